@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, tokenstore
+from . import packing, sharding, simhash, tokenstore
 from .bpe import tokenizer_path
 from .common import table
 
 
+def op3_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the component of its links."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -28,6 +33,7 @@ def op8_bit_plane_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash_components": op3_simhash_components,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_minimax_shards": op6_minimax_shards,
     "op8_bit_plane_store": op8_bit_plane_store,
