@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, simhash, tokenstore
+from . import chat, packing, sharding, simhash, tokenstore, urlfilter
 from .bpe import tokenizer_path
-from .common import table
+from .common import table, written
+
+
+def op2_url_model_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict."""
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
 def op3_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +39,40 @@ def op8_bit_plane_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.document_index(tokenstore.write_store(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
 
 
+#: One more conversation of the query: it holds the template's own marks.
+MARKED = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
+
+
+def op10_reply_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's best branch as one formatted text, described as read back from the written output."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(MARKED, "conv_id long, turn long, role string, text string"))
+    nodes = written(chat.linear_nodes(rows), "chat-nodes")
+    best = chat.rank_branches(nodes).filter("branch_rank = 1")
+    output = written(chat.format_paths(best, nodes), "chat")
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for conv, formatted, spans in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                turns = chat.parse(formatted)
+                loss = "".join(chat.unescape(formatted[s["start"] : s["end"]]) for s in spans)
+                sha = [hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in ("".join(f"{r}\n{t}\n" for r, t in turns), loss)]
+                out.append((conv, len(turns), sha[0], len(loss), sha[1], len(formatted)))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+            columns = list(zip(*out, strict=True)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+
+    return output.select("tree", "formatted", "loss_spans").mapInArrow(described, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_model_filter": op2_url_model_filter,
     "op3_simhash_components": op3_simhash_components,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_minimax_shards": op6_minimax_shards,
     "op8_bit_plane_store": op8_bit_plane_store,
+    "op10_reply_tree_chat": op10_reply_tree_chat,
 }
 
 SQL: dict[str, str] = {}
