@@ -45,17 +45,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about SLICE_BYTES of text; rows stay whole and in order."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds about limit bytes of text; rows stay whole and in order."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         size, start = 0, 0
-        if column.nbytes <= SLICE_BYTES:
+        if column.nbytes <= limit:
             yield batch
             continue
         for k in range(batch.num_rows):
             size += len(value.as_buffer()) if (value := column[k]).is_valid else 0
-            if size >= SLICE_BYTES:
+            if size >= limit:
                 yield batch.slice(start, k + 1 - start)
                 size, start = 0, k + 1
         if start < batch.num_rows:

@@ -9,11 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, sharding, simhash, tokenstore, urlfilter
+from . import chat, decontam, packing, sharding, simhash, tokenstore, urlfilter
 from .bpe import tokenizer_path
 from .common import table, written
 
 
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, verbatim or with other numbers, names or units, with the item."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_url_model_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, rule and verdict."""
     return urlfilter.judge(table(spark, sf_dir, "pages"))
@@ -67,6 +72,7 @@ def op10_reply_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_template_decontamination": op1_template_decontamination,
     "op2_url_model_filter": op2_url_model_filter,
     "op3_simhash_components": op3_simhash_components,
     "op5_best_fit_packing": op5_best_fit_packing,
