@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, packing, sharding, simhash, tokenstore, urlfilter
+from . import chat, decontam, langid, packing, sharding, simhash, tokenstore, urlfilter
 from .bpe import tokenizer_path
 from .common import table, written
 
@@ -44,6 +44,14 @@ def op8_bit_plane_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.document_index(tokenstore.write_store(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
 
 
+def op9_hashed_subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, its score and whether it is rejected."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs)
+    out = langid.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (langid.fold(F.col("doc_id")) == langid.HELD_OUT).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 #: One more conversation of the query: it holds the template's own marks.
 MARKED = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
 
@@ -78,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_minimax_shards": op6_minimax_shards,
     "op8_bit_plane_store": op8_bit_plane_store,
+    "op9_hashed_subword_language": op9_hashed_subword_language,
     "op10_reply_tree_chat": op10_reply_tree_chat,
 }
 
