@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, packing, sharding, simhash, tokenstore, urlfilter
+from . import chat, decontam, langid, media, packing, sharding, simhash, tokenstore, urlfilter
 from .bpe import tokenizer_path
 from .common import table, written
 
@@ -29,6 +30,22 @@ def op3_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def _measures(stored: bytes, payload: bytes) -> tuple:
+    return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), media.feature(payload)
+
+
+def op4_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a page with one figure, whose payload (the text) is stored as an image and described as read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # A row of its own for each document row, should ids repeat.
+    store = media.store_media(docs.select(F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("id"), "text"))
+    html = media.figure(F.coalesce(F.col("id.doc_id").cast("string"), F.lit("")), F.col("digest"), F.col("n_bytes").cast("string"))
+    pages = media.interleaved(store.select("id", html.alias("html")))
+    found = written(media.described(store, _measures, "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"), "media-features")
+    one = media.resolve(pages, found).select("id", F.explode("elements").alias("e")).filter("e.kind = 'media'")
+    return one.select("id.doc_id", F.col("e.caption").cast("long").alias("n_bytes"), "e.media.*")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -83,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_url_model_filter": op2_url_model_filter,
     "op3_simhash_components": op3_simhash_components,
+    "op4_interleaved_media": op4_interleaved_media,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_minimax_shards": op6_minimax_shards,
     "op8_bit_plane_store": op8_bit_plane_store,
