@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, media, packing, sharding, simhash, tokenstore, urlfilter
+from . import chat, decontam, langid, media, packing, pii, sharding, simhash, tokenstore, urlfilter
 from .bpe import tokenizer_path
 from .common import table, written
 
@@ -56,6 +56,11 @@ def op6_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), 40).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op7_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: counts and digest of the base spans, and all spans."""
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_bit_plane_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids written in plane files and indexed as read back."""
     return tokenstore.document_index(tokenstore.write_store(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_interleaved_media": op4_interleaved_media,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_minimax_shards": op6_minimax_shards,
+    "op7_semi_markov_pii": op7_semi_markov_pii,
     "op8_bit_plane_store": op8_bit_plane_store,
     "op9_hashed_subword_language": op9_hashed_subword_language,
     "op10_reply_tree_chat": op10_reply_tree_chat,
