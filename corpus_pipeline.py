@@ -1,8 +1,76 @@
-"""The corpus pipeline: stages that each apply one operator to what the stage before kept."""
+"""The corpus pipeline: each stage applies one operator to all that the stage before kept.
 
-STAGES: list = []
+All stages but the last return the columns of ``documents``; the last returns
+the pieces of the packed sequences.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontam, langid, packing, pii, simhash
+from tidemark.llm.bpe import tokenizer_path
+from tidemark.llm.common import slices, written
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; the model learns from the input's own labelled rows."""
+    columns = docs.columns
+    return langid.predict(docs, langid.train(docs), columns).filter("not rejected").select(*columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component: the one of least doc_id. Repeated rows of it stay one row; null ids all stay."""
+    groups = simhash.near_duplicates(docs)
+    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
+    return named.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with each span of personal data replaced by its kind; n_chars follows the text."""
+    weights = pii.trained()
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            at = batch.schema.get_field_index("text")
+            masked = pa.array([pii.masked(t, weights) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
+            yield batch.set_column(at, batch.schema.field(at), masked)
+
+    out = docs.mapInArrow(rows, docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else out
+
+
+def pack_best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 ids."""
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", identify_language),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("pii", mask_personal_data),
+    ("best_fit_packing", pack_best_fit),
+]
+
+#: SQL has no form of the trained stages; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over documents; what each returns is written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
