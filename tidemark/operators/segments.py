@@ -1,0 +1,208 @@
+"""Segment optimiser: numeric buckets and category groups, fitted on history and applied as expressions.
+
+A fit reaches the driver as a handful of edges or a mapping of the supported
+categories. All candidate partitions of a variable are judged in one
+aggregation over (partition, group) instead of one pass for each.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.scalars import bucket_index, parse_number
+from ..plans.config import QUANTILES, Segment
+from .stats import MIN_LOG_SCALE, join_null_safe, robust_stats, trend_stats
+
+MISSING = "segment_missing"
+
+
+def internal_name(source: str, suffix: str) -> str:
+    """A column name of at most 30 characters for what is fitted of a source column."""
+    stem = re.sub(r"[^0-9a-z]+", "_", source.strip().lower()).strip("_")[:16].strip("_") or "var"
+    return f"seg_{stem}_{hashlib.md5(source.encode()).hexdigest()[:6]}_{suffix}"[:30]
+
+
+@dataclass(frozen=True)
+class Fit:
+    """What was chosen for a segment variable; column is None if it is dropped."""
+
+    source: str
+    column: str | None
+    variant: str
+    base_objective: float
+    objective: float
+    edges: tuple[float, ...] = ()
+    log: bool = False
+    mapping: dict[str, str] = field(default_factory=dict)
+
+    def value(self, df: DataFrame) -> Column:
+        """The fitted variable of df's rows."""
+        if self.edges:
+            return bucketed(numeric(df, self.source, self.log), self.edges, self.column)
+        text = F.coalesce(F.col(f"`{self.source}`").cast("string"), F.lit(MISSING))
+        if not self.mapping:
+            return text
+        pairs = F.create_map(*[F.lit(x) for kv in self.mapping.items() for x in kv])
+        return F.coalesce(F.try_element_at(pairs, text), F.lit(f"{self.column}_low_support"))
+
+
+def numeric(df: DataFrame, source: str, log: bool) -> Column:
+    value = parse_number(F.col(f"`{source}`"), df.schema[source].dataType)
+    return F.when(value >= 0, F.log1p(value)) if log else value
+
+
+def bucketed(value: Column, edges: Sequence[float], prefix: str) -> Column:
+    """prefix_1 onward by the edges at or below the value; MISSING for null."""
+    index = bucket_index(value, edges, len(edges) + 1)
+    return F.coalesce(F.concat(F.lit(prefix + "_"), (index + 1).cast("string")), F.lit(MISSING))
+
+
+def quantile_edges(df: DataFrame, values: dict[str, tuple[Column, Sequence[float]]], least: int) -> dict[str, tuple[float, ...]]:
+    """Distinct quantiles of each value, ascending; none where fewer than least rows have it. One aggregation."""
+    if not values:
+        return {}
+    columns = [x for k, (v, q) in values.items() for x in (F.count(v).alias(f"n_{k}"), F.percentile(v, F.array(*[F.lit(float(p)) for p in q])).alias(f"q_{k}"))]
+    row = df.agg(*columns).first()
+    return {k: tuple(sorted(set(row[f"q_{k}"]))) if row[f"n_{k}"] >= max(1, least) else () for k in values}
+
+
+def partition_objectives(df: DataFrame, partitions: dict[str, Column], least: int) -> dict[str, dict[str, float]]:
+    """The objective of each candidate partition of df's valid rows, and its parts.
+
+    Rows in groups of at least ``least`` rows count as supported. An objective is 0
+    where there are too few rows or no supported group.
+    """
+    names = list(partitions)
+    labels = F.array(*[F.struct(F.lit(n).alias("partition"), partitions[n].alias("label")) for n in names])
+    rows = df.select("log_main_metric", "main_metric", F.explode(labels).alias("p")).select("log_main_metric", "main_metric", "p.partition", "p.label").filter("label is not null")
+    whole = rows.groupBy("partition").agg(F.count("*").alias("valid_rows"), F.percentile("log_main_metric", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    groups = rows.groupBy("partition", "label").agg(
+        F.count("*").alias("n"), F.percentile("log_main_metric", F.array(F.lit(0.25), F.lit(0.75))).alias("gq"), F.median("log_main_metric").alias("gm"),
+        F.avg("main_metric").alias("mean"), F.median("main_metric").alias("mid"), F.stddev_pop("main_metric").alias("sd"),
+    )
+    floor = lambda c: F.greatest(F.col(c), F.lit(1e-6))
+    kept = groups.withColumns({"ok": (F.col("n") >= least).cast("int"), "iqr": F.greatest(F.col("gq")[1] - F.col("gq")[0], F.lit(0.0)), "gap": F.abs(F.log(floor("mean") / floor("mid"))), "spread": F.col("sd") / floor("mid")})
+    w = F.when(F.col("ok") == 1, F.col("n"))
+    sums = kept.groupBy("partition").agg(
+        F.count("*").alias("group_count"), F.sum("ok").alias("supported_group_count"), F.sum(w).alias("rows"), F.sum(w * F.col("iqr")).alias("iqr"), F.sum(w * F.col("gap")).alias("gap"), F.sum(w * F.col("spread")).alias("spread"),
+        F.stddev_pop(F.when(F.col("ok") == 1, F.col("gm"))).alias("sep"),
+    )
+    out = {n: {"objective": 0.0, "group_count": 0.0, "supported_group_count": 0.0, "valid_rows": 0.0} for n in names}
+    for r in whole.join(sums, "partition").collect():  # a row for each candidate partition
+        n, rows_in = float(r["valid_rows"]), float(r["rows"] or 0)
+        if n < max(least, 10) or not rows_in:
+            continue
+        scale = max(r["q"][1] - r["q"][0], MIN_LOG_SCALE)
+        parts = {
+            "homogeneity_score": 100 * (1 - min(r["iqr"] / rows_in / scale, 1)),
+            "support_score": 100 * min(rows_in / n, 1),
+            "mean_median_score": 100 * (1 - min(r["gap"] / rows_in / math.log(8), 1)),
+            "std_score": 100 * (1 - min(r["spread"] / rows_in / 12, 1)),
+            "separation_score": 100 * min((r["sep"] or 0.0) / scale, 1),
+        }
+        raw = sum(x * parts[k] for k, x in (("homogeneity_score", 0.35), ("support_score", 0.25), ("mean_median_score", 0.15), ("std_score", 0.15), ("separation_score", 0.10)))
+        raw -= max(0.0, (r["group_count"] - 12) * 1.5)
+        out[r["partition"]] = {"objective": min(max(raw, 0.0), 100.0), **parts, "valid_rows": n, "group_count": float(r["group_count"]), "supported_group_count": float(r["supported_group_count"])}
+    return out
+
+
+def fit_numeric(history: DataFrame, spec: Segment) -> Fit:
+    """The bucketing (raw or logarithm, a quantile variant) of the best objective; dropped if it gains too little."""
+    wanted = {f"{'log1p' if log else 'raw'}_{v}": (numeric(history, spec.source, log), QUANTILES[v]) for log in (False, True) for v in spec.variants}
+    edges = quantile_edges(history, wanted, spec.min_rows)
+    columns = {k: internal_name(spec.source, f"{k.rpartition('_')[2][:4]}b") for k in wanted}
+    valid = history.filter("valid_main_metric_for_model and log_main_metric is not null")
+    partitions = {"": F.lit("ALL")} | {k: bucketed(v, edges[k], columns[k]) for k, (v, _) in wanted.items() if edges[k]}
+    found = partition_objectives(valid, partitions, spec.min_rows)
+    base = found[""]["objective"]
+    best = max((k for k in partitions if k), key=lambda k: found[k]["objective"], default=None)
+    if best is None or found[best]["objective"] < base + spec.min_gain:
+        return Fit(spec.source, None, best or "", base, found[best]["objective"] if best else 0.0)
+    return Fit(spec.source, columns[best], best, base, found[best]["objective"], edges[best], best.startswith("log1p"))
+
+
+def fit_categorical(history: DataFrame, spec: Segment) -> Fit:
+    """The categories as they are, or grouped by their medians where that isn't worse."""
+    valid = history.filter("valid_main_metric_for_model and log_main_metric is not null")
+    identity = Fit(spec.source, spec.source, "identity", 0.0, 0.0)
+    mapping: dict[str, str] = {}
+    column = internal_name(spec.source, "grp")
+    if spec.optimize_groups:
+        stats = valid.groupBy(identity.value(history).alias("c")).agg(F.count("*").alias("n"), F.median("log_main_metric").alias("m")).filter(F.col("n") >= spec.min_rows)
+        rows = sorted(stats.collect(), key=lambda r: r["c"])  # supported categories only
+        if len(rows) >= 2:
+            ranks = pd.Series([r["m"] for r in rows]).rank(method="first")
+            groups = pd.qcut(ranks, q=min(spec.max_groups, len(rows)), labels=False, duplicates="drop")
+            mapping = {r["c"]: f"{column}_{int(g) + 1}" for r, g in zip(rows, groups, strict=True)}
+    grouped = Fit(spec.source, column, "optimized_category_group", 0.0, 0.0, mapping=mapping)
+    partitions = {"identity": identity.value(history)} | ({"grouped": grouped.value(history)} if mapping else {})
+    found = partition_objectives(valid, partitions, spec.min_rows)
+    base = found["identity"]["objective"]
+    if mapping and found["grouped"]["objective"] >= base + spec.min_gain:
+        return Fit(spec.source, column, "optimized_category_group", base, found["grouped"]["objective"], mapping=mapping)
+    return Fit(spec.source, spec.source, "identity", base, base)
+
+
+def fit_segments(history: DataFrame, specs: Sequence[Segment]) -> list[Fit]:
+    return [fit_numeric(history, s) if s.type == "numeric" else fit_categorical(history, s) for s in specs]
+
+
+def apply_segments(df: DataFrame, fits: Sequence[Fit]) -> DataFrame:
+    return df.withColumns({f.column: f.value(df) for f in fits if f.column})
+
+
+def reference_bucket(value: Column, edges: Sequence[float], prefix: str) -> Column:
+    """feature_missing, feature_zero, or prefix_b1 onward of a positive reference value (feature_positive without edges)."""
+    index = bucket_index(value, edges, len(edges) + 1)
+    inside = F.concat(F.lit(prefix + "_b"), (index + 1).cast("string")) if edges else F.lit("feature_positive")
+    return F.when(value.isNull(), "feature_missing").when(value <= 0, "feature_zero").otherwise(inside)
+
+
+def behavior_clusters(history: DataFrame) -> DataFrame:
+    """Each customer's level, volatility and trend bucket, by quantiles over the customers with six rows or more."""
+    valid = history.filter("valid_main_metric_for_model and log_main_metric is not null")
+    base = robust_stats(valid, ["customer_id"], {"behavior": (F.col("log_main_metric"), F.lit(True))})
+    out = join_null_safe(base, trend_stats(valid, ["customer_id"], "log_main_metric", "behavior"), ["customer_id"])
+    eligible = out.filter("behavior_n >= 6")
+    thirds = (0.33, 0.66)
+    edges = quantile_edges(eligible, {"level": (F.col("behavior_median"), QUANTILES["q5"]), "vol": (F.col("behavior_mad"), thirds), "trend": (F.col("behavior_trend_slope"), thirds)}, 100)
+
+    def named(value: str, key: str, names: Sequence[str]) -> Column:
+        index = bucket_index(F.col(value), edges[key], len(names))
+        label = F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
+        return F.when(F.lit(bool(edges[key])) & (F.col("behavior_n") >= 6) & F.col(value).isNotNull(), label).otherwise(f"{key}_unknown")
+
+    out = out.withColumns(
+        {
+            "behavior_level_bucket": named("behavior_median", "level", [f"level_q{k}" for k in range(1, 6)]),
+            "behavior_volatility_bucket": named("behavior_mad", "vol", ["vol_low", "vol_mid", "vol_high"]),
+            "behavior_trend_bucket": named("behavior_trend_slope", "trend", ["trend_down", "trend_stable", "trend_up"]),
+        }
+    )
+    parts = ("behavior_level_bucket", "behavior_volatility_bucket", "behavior_trend_bucket")
+    cluster = F.when(F.col("behavior_n") >= 6, F.concat_ws("|", *parts)).otherwise("behavior_unknown")
+    return out.select("customer_id", cluster.alias("behavior_cluster"), F.col("behavior_n").alias("behavior_history_n"), *parts, F.expm1("behavior_median").alias("behavior_median_main_metric"), F.col("behavior_mad").alias("behavior_volatility_log"), "behavior_trend_slope")
+
+
+def assign_behavior(df: DataFrame, clusters: DataFrame) -> DataFrame:
+    out = join_null_safe(df, clusters, ["customer_id"])
+    unknown = {"behavior_cluster": "behavior_unknown", "behavior_level_bucket": "level_unknown", "behavior_volatility_bucket": "vol_unknown", "behavior_trend_bucket": "trend_unknown"}
+    return out.fillna(unknown)
+
+
+def auto_segments(df: DataFrame, columns: Sequence[str], most: int = 250) -> list[Segment]:
+    """Columns of 2 to ``most`` distinct values, each as a categorical segment."""
+    if not columns:
+        return []
+    row = df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in columns]).first()
+    return [Segment(c) for c in columns if 1 < row[c] <= most]
+
+
