@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,17 @@ class Run:
     scoring: DataFrame
     candidates: tuple[peers.Candidate, ...]
     fits: tuple[segments.Fit, ...]
+    kept: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Let go of the tables that the run keeps for reuse."""
+        for df in self.kept:
+            df.unpersist()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df, kept in memory or on disk: it is read more than once, and a lost part is computed again."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def split(panel: DataFrame, scoring_month: int, window_months: int | None) -> tuple[DataFrame, DataFrame]:
@@ -56,7 +68,7 @@ def score_month(panel: DataFrame, profile: Profile, config: Config, scoring_mont
     month = to_ord(scoring_month)
     history, scoring = split(panel, scoring_month, config.window_months)
     fits = tuple(segments.fit_segments(history, config.segments))
-    history, scoring = segments.apply_segments(history, fits), segments.apply_segments(scoring, fits)
+    history, scoring = kept(segments.apply_segments(history, fits)), kept(segments.apply_segments(scoring, fits))
     names = [f.column for f in fits if f.column]
     if config.behavior_peers:
         clusters = segments.behavior_clusters(history)
@@ -70,17 +82,18 @@ def score_month(panel: DataFrame, profile: Profile, config: Config, scoring_mont
     rows = signals.gaps(rows)
     rows = rows.withColumn("customer_explainability_score", signals.explainability(config.explainability))
     rows = rows.withColumns({"customer_explainability_status": signals.explainability_status(F.col("customer_explainability_score")), "scoreability_status": signals.scoreability()})
+    rows = kept(rows)
     paired = candidate_rows(history, rows, candidates, month)
     gated = paired.filter(peers.support_gate(candidates, config.support))
     gated = peers.quality(gated, candidates, priority, config.support, config.peers, config.objective_weights)
     gated = signals.signal_scores(signals.peer_signals(gated, profile, config.min_ratio_rows, config.min_ratio_mad))
     scored = evidence.aggregate(evidence.empirical_p(gated, config.aggregation), config.aggregation)
-    best = peers.choose_best(scored, "customer_id", config.peers.selection)
+    best = kept(peers.choose_best(scored, "customer_id", config.peers.selection))
     scores = labels.diagnose(labels.label(best, config.watch_top_rate, config.high_top_rate, config.aggregation["label_guardrails"]))
     lost = scoring.join(best.select("customer_id"), "customer_id", "left_anti")
     reason = F.when(F.col("valid_main_metric_for_model"), "INSUFFICIENT_PEER_SUPPORT").otherwise("INVALID_MAIN_METRIC")
     lost = lost.withColumns({"not_scored_reason": reason, "scoreability_status": F.concat(F.lit("NOT_SCORED_"), reason)})
-    return Run(scoring_month, scores.drop("cand", "key", "_row_id"), lost, history, scoring, candidates, fits)
+    return Run(scoring_month, scores.drop("cand", "key", "_row_id"), lost, history, scoring, candidates, fits, (history, scoring, rows, best))
 
 
 def without_segments(config: Config) -> Config:
