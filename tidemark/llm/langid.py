@@ -219,8 +219,8 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     return fit(counts, [chosen[doc] for doc in order])
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of docs (doc_id if None), with lang_pred, score and rejected, from each whole text.
+def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """The columns ``keep`` of docs (doc_id if None), with lang_pred, score and rejected (after prefix), from each whole text.
 
     Texts that are null or without letters are UNKNOWN with score 0 and rejected; so is
     everything if the model knows no language. Other texts get the likeliest language
@@ -247,7 +247,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Dat
                 scores.append(float(p[best]))
                 rejected.append(bool(p[best] < model.least_score or model.known(counts)[0] < model.least_seen))
             own = [batch.column(batch.schema.get_field_index(c)) for c in keep] if "text" not in keep else [texts if c == "text" else batch.column(batch.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names=[*keep, "lang_pred", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays([*own, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names=[*keep, *(prefix + n for n in ("lang_pred", "score", "rejected"))])
 
     inputs = docs.select(*columns, F.col("text").cast("string").alias("__text"))
-    return inputs.mapInArrow(rows, f"{schema}, lang_pred string, score double, rejected boolean")
+    return inputs.mapInArrow(rows, f"{schema}, {prefix}lang_pred string, {prefix}score double, {prefix}rejected boolean")
