@@ -20,7 +20,7 @@ from tidemark.llm.common import slices, written
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; the model learns from the input's own labelled rows."""
     columns = docs.columns
-    return langid.predict(docs, langid.train(docs), columns).filter("not rejected").select(*columns)
+    return langid.predict(docs, langid.train(docs), columns, "__").filter("not __rejected").select(*columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
