@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -83,28 +83,27 @@ def train(urls: DataFrame) -> DataFrame:
     two down to the uniform distribution, so no probability is zero, and a
     class without any URL is uniform.
     """
-    side = F.when(F.col("allow"), "a").otherwise("b")
-    grams = urls.select(side.alias("side"), F.explode(trigrams(F.col("symbols"))).alias("gram")).groupBy("side", "gram").agg(F.count("*").alias("n"))
+    grams = urls.select("allow", F.explode(trigrams(F.col("symbols"))).alias("gram"))
+    counts = grams.groupBy("gram").agg(F.count(F.when(F.col("allow"), 1)).alias("a"), F.count(F.when(~F.col("allow"), 1)).alias("b"))
     size, spark = len(ALPHABET), urls.sparkSession
 
     def symbol(k: int) -> Column:
-        return F.substring(F.lit(ALPHABET), 1, size) if k < 0 else F.substr(F.lit(ALPHABET), (F.floor(F.col("id") / size**k) % size + 1).cast("int"), F.lit(1))
+        return F.substr(F.lit(ALPHABET), (F.floor(F.col("id") / size**k) % size + 1).cast("int"), F.lit(1))
 
-    every = spark.range(size**_ORDER_CHARS).select(F.concat(symbol(2), symbol(1), symbol(0)).alias("gram"))
-    out = every
+    # All possible grams, so that counts of shorter ones and of contexts are sums over this table of fixed size.
+    every = spark.range(size**_ORDER_CHARS).select(symbol(2).alias("x"), symbol(1).alias("y"), symbol(0).alias("z"))
+    out = every.join(counts, F.concat("x", "y", "z") == F.col("gram"), "left").select("x", "y", "z", F.coalesce("a", F.lit(0)).alias("a"), F.coalesce("b", F.lit(0)).alias("b"))
     for name in ("a", "b"):
-        own = grams.filter(F.col("side") == name)
-        probability = F.lit(1.0 / size)
-        for order in range(_ORDER_CHARS):
-            tail, context = F.substring("gram", _ORDER_CHARS - order, order + 1), F.substring("gram", _ORDER_CHARS - order, order)
-            counts = own.groupBy(tail.alias("tail")).agg(F.sum("n").alias("n"))
-            contexts = counts.groupBy(F.substring("tail", 1, order).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-            n, total, kinds = (f"{name}{order}_{x}" for x in ("n", "total", "kinds"))
-            out = out.join(counts.select(F.col("tail").alias(f"{name}{order}_t"), F.col("n").alias(n)), tail == F.col(f"{name}{order}_t"), "left")
-            out = out.join(contexts.select(F.col("context").alias(f"{name}{order}_c"), F.col("total").alias(total), F.col("kinds").alias(kinds)), context == F.col(f"{name}{order}_c"), "left")
-            probability = F.when(F.col(total).isNull(), probability).otherwise((F.coalesce(F.col(n), F.lit(0)) + F.col(kinds) * probability) / (F.col(total) + F.col(kinds)))
-        out = out.withColumn(f"p_{name}", probability)
-    return out.select("gram", (F.log("p_a") - F.log("p_b")).alias("ratio"))
+        over = lambda *c: F.sum(name).over(Window.partitionBy(*c))  # noqa: B023, E731
+        out = out.withColumns({"n_yz": over("y", "z"), "n_z": over("z"), "n_xy": over("x", "y"), "n_y": over("y")})
+        kinds = lambda c, *by: F.sum(F.when(F.col(c) > 0, 1).otherwise(0)).over(Window.partitionBy(*by))
+        # (x, y) meets each z once, y meets it `size` times, and the empty context size ** 2 times.
+        out = out.withColumns({"k_xy": kinds(name, "x", "y"), "k_y": kinds("n_yz", "y") / size, "k": kinds("n_z", "x", "y"), "n": F.sum("n_z").over(Window.partitionBy("x", "y"))})
+        p = F.lit(1.0 / size)
+        for n, kind, total in (("n_z", "k", "n"), ("n_yz", "k_y", "n_y"), (name, "k_xy", "n_xy")):
+            p = F.when(F.col(total) > 0, (F.col(n) + F.col(kind) * p) / (F.col(total) + F.col(kind))).otherwise(p)
+        out = out.withColumn(f"p_{name}", p).drop("n_yz", "n_z", "n_xy", "n_y", "k_xy", "k_y", "k", "n")
+    return out.select(F.concat("x", "y", "z").alias("gram"), (F.log("p_a") - F.log("p_b")).alias("ratio"))
 
 
 def score(urls: DataFrame, model: DataFrame, key: str) -> DataFrame:
@@ -125,8 +124,6 @@ def threshold(scored: DataFrame, rejected: float) -> DataFrame:
     taken, the lowest of equal ones. Null if there are no allowed URLs.
     """
     bins = scored.groupBy(F.floor(F.col("score") / BIN).alias("bin")).agg(F.count(F.when(F.col("allow"), 1)).alias("a"), F.count(F.when(~F.col("allow"), 1)).alias("b"))
-    from pyspark.sql import Window
-
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as there are bins
     cut = bins.select("bin", F.coalesce(F.sum("a").over(below), F.lit(0)).alias("lost"), F.coalesce(F.sum("b").over(below), F.lit(0)).alias("caught"), F.sum("a").over(Window.partitionBy()).alias("all_a"), F.sum("b").over(Window.partitionBy()).alias("all_b"))
     kept = cut.filter(F.col("lost") <= rejected * F.col("all_a"))
