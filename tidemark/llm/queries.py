@@ -22,7 +22,7 @@ def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_url_model_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, rule and verdict."""
-    return urlfilter.judge(table(spark, sf_dir, "pages"))
+    return urlfilter.judge(table(spark, sf_dir, "pages")).withColumn("score", F.round("score", 6) + F.lit(0.0))
 
 
 def op3_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,4 +114,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_reply_tree_chat": op10_reply_tree_chat,
 }
 
-SQL: dict[str, str] = {}
+_OP10_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(14 + length(regexp_replace(role || text, '[\\<>]', '__', 'g'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+SQL: dict[str, str] = {"op10_reply_tree_chat": _OP10_SQL, "op2_url_model_filter": urlfilter.judge_sql()}

@@ -76,6 +76,11 @@ def trigrams(symbols: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(symbols) - 2), lambda k: F.substr(symbols, k, F.lit(_ORDER_CHARS)))
 
 
+def held_out(symbols: Column) -> Column:
+    """Whether a training URL is kept for calibration: one in FOLDS, by the first hex digit of its MD5."""
+    return F.conv(F.substring(F.md5(symbols), 1, 1), 16, 10).cast("int") % FOLDS == 0
+
+
 def train(urls: DataFrame) -> DataFrame:
     """(gram, ratio): log P_allow - log P_block of every possible gram's last symbol after its first two.
 
@@ -106,15 +111,16 @@ def train(urls: DataFrame) -> DataFrame:
     return out.select(F.concat("x", "y", "z").alias("gram"), (F.log("p_a") - F.log("p_b")).alias("ratio"))
 
 
-def score(urls: DataFrame, model: DataFrame, key: str) -> DataFrame:
-    """(key, score): the mean ratio over each URL's symbols; urls: key and symbols.
+def score(urls: DataFrame, model: DataFrame) -> DataFrame:
+    """urls (symbols and any other columns) with score, the mean ratio over each row's symbols.
 
-    A key's grams stand together, so they are summed where they are made and one
-    row for each key and task is shuffled.
+    A row's grams stand together, so they are averaged where they are made, and one
+    row for each URL is shuffled, by all its columns and its place: no key is hot.
     """
-    grams = urls.select(key, F.explode(trigrams(F.col("symbols"))).alias("gram"))
+    keys = [*urls.columns, "__row"]
+    grams = urls.withColumn("__row", F.monotonically_increasing_id()).select(*keys, F.explode(trigrams(F.col("symbols"))).alias("gram"))
     bounded = F.broadcast(model)  # len(ALPHABET) ** 3 rows at most
-    return grams.join(bounded, "gram").groupBy(key).agg(F.avg("ratio").alias("score"))
+    return grams.join(bounded, "gram").groupBy(*keys).agg(F.avg("ratio").alias("score")).drop("__row")
 
 
 def threshold(scored: DataFrame, rejected: float) -> DataFrame:
@@ -142,17 +148,61 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rejected: float = 0
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col("page_id"), F.col("url").cast("string").alias("url")).select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
-    # Equal symbol strings have equal scores: they are scored once.
     rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("ruled"), folded(F.col("url")).alias("symbols"))
-    known = rows.filter("ruled is not null").select("symbols", (F.col("ruled") == "allow").alias("allow"), (F.pmod(F.crc32("symbols"), F.lit(FOLDS)) == 0).alias("held"))
+    known = rows.filter("ruled is not null").select("symbols", (F.col("ruled") == "allow").alias("allow"), held_out(F.col("symbols")).alias("held"))
     known = written(known, "url-training")
     trial = written(train(known.filter("not held")), "url-trial")
-    texts = known.filter("held").select("symbols").distinct()
-    limit = threshold(known.filter("held").join(score(texts, trial, "symbols"), "symbols"), rejected)
+    limit = threshold(score(known.filter("held"), trial), rejected)
     both = known.agg(F.bool_or("allow"), F.bool_or(~F.col("allow"))).first()
     least = limit.first()["least"] if all(both) else None
     model = written(train(known), "url-model")
-    open_texts = rows.select("symbols").distinct()
-    out = rows.join(score(open_texts, model, "symbols"), "symbols", "left")
+    out = score(rows, model)
     by_method = F.when(F.col("score") >= least, "allow").otherwise("block") if least is not None else F.lit("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", by_method).alias("verdict"), "score")
+
+
+def judge_sql(rules: tuple[Rule, ...] = RULES, rejected: float = 0.05) -> str:
+    """DuckDB SQL for page_id, host, path, rule, verdict of judge(), score rounded to six digits."""
+    order = sorted(rules, key=lambda r: (-len(r.text), r.text))
+    fits = lambda r: f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
+    rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r.text}'" for r in order) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{'allow' if r.allow else 'block'}'" for r in order) + " END"
+    size = len(ALPHABET)
+
+    def model(name: str, source: str) -> str:
+        side = ""
+        for c in ("a", "b"):
+            side += (
+                f", {name}_{c}1 AS (SELECT x, y, z, {c} AS n3, sum({c}) OVER (PARTITION BY y, z) AS n_yz, sum({c}) OVER (PARTITION BY z) AS n_z, sum({c}) OVER (PARTITION BY x, y) AS n_xy, sum({c}) OVER (PARTITION BY y) AS n_y, sum({c}) OVER () AS n_all FROM {name}_n)"
+                f", {name}_{c}2 AS (SELECT *, sum((n3 > 0)::INT) OVER (PARTITION BY x, y) AS k_xy, sum((n_yz > 0)::INT) OVER (PARTITION BY y) / {size}.0 AS k_y, sum((n_z > 0)::INT) OVER (PARTITION BY x, y) AS k FROM {name}_{c}1)"
+                f", {name}_{c}3 AS (SELECT *, CASE WHEN n_all > 0 THEN (n_z + k / {size}.0) / (n_all + k)::DOUBLE ELSE 1.0 / {size} END AS p1 FROM {name}_{c}2)"
+                f", {name}_{c}4 AS (SELECT *, CASE WHEN n_y > 0 THEN (n_yz + k_y * p1) / (n_y + k_y)::DOUBLE ELSE p1 END AS p2 FROM {name}_{c}3)"
+                f", {name}_{c} AS (SELECT x || y || z AS gram, CASE WHEN n_xy > 0 THEN (n3 + k_xy * p2) / (n_xy + k_xy)::DOUBLE ELSE p2 END AS p FROM {name}_{c}4)"
+            )
+        return (
+            f", {name}_g AS (SELECT allow, unnest(list_transform(range(1, length(symbols) - 1), lambda i: substr(symbols, i, 3))) AS gram FROM {source})"
+            f", {name}_c AS (SELECT gram, count(*) FILTER (allow) AS a, count(*) FILTER (NOT allow) AS b FROM {name}_g GROUP BY 1)"
+            f", {name}_n AS (SELECT p.c AS x, q.c AS y, s.c AS z, coalesce(a, 0) AS a, coalesce(b, 0) AS b FROM letters p, letters q, letters s LEFT JOIN {name}_c ON gram = p.c || q.c || s.c)"
+            f"{side}, {name} AS (SELECT l.gram, ln(l.p) - ln(r.p) AS ratio FROM {name}_a l JOIN {name}_b r ON l.gram = r.gram)"
+        )
+
+    def scored(name: str, source: str, kept: str) -> str:
+        return f", {name} AS (SELECT {kept}, avg(ratio) AS score FROM (SELECT *, unnest(list_transform(range(1, length(symbols) - 1), lambda i: substr(symbols, i, 3))) AS gram FROM (SELECT *, row_number() OVER () AS place FROM {source})) g JOIN {{model}} m ON g.gram = m.gram GROUP BY place, {kept})"
+
+    return (
+        "WITH letters AS (SELECT unnest(string_split('" + ALPHABET + "', '')) AS c)"
+        ", cut AS (SELECT page_id, url, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)"
+        ", parts AS (SELECT *, regexp_extract(rest, '^([^/?#]*)', 1) AS raw_host FROM cut)"
+        ", named AS (SELECT page_id, url, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw_host) + 1), '^([^?#]*)', 1) AS path FROM parts)"
+        f", ruled AS (SELECT page_id, host, path, {rule} AS rule, {verdict} AS ruled, '^^' || regexp_replace(translate(lower(regexp_replace(coalesce(url, ''), '^[^:/?#]*://', '')), '0123456789', '0000000000'), '[^0a-z./\\-_%=&?#~+:@,;]', '*', 'g') || '$' AS symbols FROM named)"
+        f", known AS (SELECT symbols, ruled = 'allow' AS allow, ('0x' || substr(md5(symbols), 1, 1))::INT % {FOLDS} = 0 AS held FROM ruled WHERE ruled IS NOT NULL)"
+        ", fitted AS (SELECT * FROM known WHERE NOT held), held AS (SELECT * FROM known WHERE held)"
+        + model("trial", "fitted")
+        + scored("trial_scores", "held", "symbols, allow").format(model="trial")
+        + f", bins AS (SELECT floor(score / {BIN}) AS bin, count(*) FILTER (allow) AS a, count(*) FILTER (NOT allow) AS b FROM trial_scores GROUP BY 1)"
+        ", run AS (SELECT bin, coalesce(sum(a) OVER w, 0) AS lost, coalesce(sum(b) OVER w, 0) AS caught, sum(a) OVER () AS all_a, sum(b) OVER () AS all_b FROM bins WINDOW w AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"
+        f", best AS (SELECT bin * {BIN} AS least FROM run WHERE lost <= {rejected} * all_a ORDER BY caught / greatest(all_b, 1) - lost / greatest(all_a, 1) DESC, bin LIMIT 1)"
+        + model("whole", "known")
+        + scored("page_scores", "ruled", "page_id, host, path, rule, ruled, symbols").format(model="whole")
+        + " SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN score >= least THEN 'allow' ELSE 'block' END) AS verdict, round(score, 6) + 0.0 AS score FROM page_scores LEFT JOIN best ON true"
+    )
