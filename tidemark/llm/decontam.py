@@ -35,7 +35,7 @@ LITERALS = 5
 #: A document is contaminated by an item if it holds this many of the item's tokens, or this share of them.
 MATCH_TOKENS = 13
 MATCH_SHARE = 0.5
-FILTER_WINDOWS = 4_000_000
+FILTER_WINDOWS = 1_000_000
 #: Unit words that are placeholders when they follow a number.
 UNITS = (
     "km m cm mm mi mile miles ft foot feet inch inches yard yards kg g mg t ton tons lb lbs pound pounds oz ounce ounces l ml liter liters litre litres gallon gallons "
@@ -204,24 +204,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, lit
     docs: doc_id, text; benchmark: item_id, text; other columns are ignored. A
     document holds an item if windows that stand in the item's order cover
     match_tokens tokens or match_share of it, whichever is less, and the values in
-    their placeholders map one to one way from the item. reparameterised: some value
-    differs. Null texts, and items shorter than a window, match nothing; repeated rows count once; empty tables give no rows.
+    their placeholders are a function of the item's; where they aren't, only windows of
+    the very same values count. reparameterised: some value differs. Null texts, and items shorter than a window, match nothing; repeated rows count once; empty tables give no rows.
     """
     items = written(template_windows(benchmark.select(F.col("item_id").alias("id"), "text"), width, literals), "item-windows")
     distinct = items.select("window").distinct()
     known = None
     if distinct.count() <= FILTER_WINDOWS:
-        known = np.sort(np.array([r[0] for r in distinct.collect()], np.int64).view(np.uint64))
+        known = np.sort(distinct.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
         if not len(known):
             known = np.zeros(1, np.uint64)
     found = template_windows(docs.select(F.col("doc_id").alias("id"), "text"), width, literals, known)
     mine = items.select("channel", "window", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("tokens").alias("item_tokens"), F.col("slots").alias("item_slots")).distinct()
-    hits = found.join(mine, ["channel", "window"]).select(F.col("id").alias("doc_id"), "item_id", "channel", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos", "item_tokens", F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours")).alias("pairs"))
+    pairs = F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours")).alias("pairs")
+    hits = found.join(mine, ["channel", "window"]).select(F.col("id").alias("doc_id"), "item_id", "channel", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos", "item_tokens", pairs, (F.col("item_slots") == F.col("slots")).alias("same"))
     # A chain has at most one window for each place of the item, and so as many pairs at most.
-    chains = hits.groupBy("doc_id", "item_id", "channel", "shift").agg(F.collect_set("item_pos").alias("places"), F.max("item_tokens").alias("item_tokens"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    chains = hits.groupBy("doc_id", "item_id", "channel", "shift").agg(
+        F.collect_set("item_pos").alias("all_places"), F.collect_set(F.when(F.col("same"), F.col("item_pos"))).alias("same_places"), F.max("item_tokens").alias("item_tokens"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+    )
     consistent = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.theirs")))
-    covered = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + width - 1))))
-    chains = chains.filter(consistent).select("doc_id", "item_id", "item_tokens", covered.alias("covered"), F.exists("pairs", lambda p: p["theirs"] != p["ours"]).alias("other"))
+    places = F.when(consistent, F.col("all_places")).otherwise(F.col("same_places"))
+    covered = F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p, p + width - 1))))
+    chains = chains.select("doc_id", "item_id", "item_tokens", covered.alias("covered"), (consistent & F.exists("pairs", lambda p: p["theirs"] != p["ours"])).alias("other"))
     best = chains.groupBy("doc_id", "item_id").agg(F.max_by(F.struct(F.size("covered").alias("matched"), "item_tokens", "other"), F.struct(F.size("covered"), ~F.col("other"), "item_tokens")).alias("best"))
     least = F.least(F.lit(float(match_tokens)), match_share * F.col("best.item_tokens"))
     return best.filter(F.col("best.matched") >= least).select("doc_id", "item_id", F.col("best.matched").cast("long").alias("matched_tokens"), F.col("best.item_tokens").cast("long").alias("item_tokens"), F.col("best.other").alias("reparameterised"))

@@ -211,11 +211,12 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     found: dict[int, tuple] = {}
     for r in texts.mapInArrow(counted, "doc_id long, buckets array<int>, counts array<int>").dropDuplicates(["doc_id"]).toLocalIterator():
         if r["buckets"]:
-            found[r["doc_id"]] = (r["buckets"], r["counts"])
+            found[r["doc_id"]] = (np.array(r["buckets"], np.int32), np.array(r["counts"], np.int32))
     order = sorted(found, key=lambda k: (zlib.crc32(str(k).encode()), k))
     counts = np.zeros((len(order), BUCKETS), np.float32)
     for k, doc in enumerate(order):
-        counts[k, found[doc][0]] = found[doc][1]
+        buckets, n = found.pop(doc)
+        counts[k, buckets] = n
     return fit(counts, [chosen[doc] for doc in order])
 
 

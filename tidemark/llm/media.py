@@ -57,6 +57,8 @@ def from_png(media: bytes) -> bytes:
     at, body, width = len(_SIGNATURE), [], 0
     while at < len(media):
         (length,) = struct.unpack_from(">I", media, at)
+        if at + 12 + length > len(media):
+            raise ValueError("damaged chunk length")
         kind, data = media[at + 4 : at + 8], media[at + 8 : at + 8 + length]
         if zlib.crc32(kind + data) != struct.unpack_from(">I", media, at + 8 + length)[0]:
             raise ValueError(f"damaged chunk {kind!r}")
