@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that one Python step handles at once; a longer single text is handled alone.
 SLICE_BYTES = 4 << 20
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -22,11 +25,23 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/") + "/tables"
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it holds, Spark sends Python BATCH_ROWS rows at once at most: whole texts can be long, and a batch is held three times over."""
+    old = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH) if old is None else spark.conf.set(_BATCH, old)
+
+
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df below the shared folder and return it as read from there, so that lineage ends here."""
     spark = df.sparkSession
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_path = path
     return out
