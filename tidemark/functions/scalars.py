@@ -96,7 +96,7 @@ def z_to_score(z: Column, cap: float = 3.0) -> Column:
 
 def number_text(c: Column, digits: int = 2) -> Column:
     """c with so many decimals, halves to even; 'n/a' for null."""
-    return F.coalesce(F.format_string(f"%.{digits}f", F.bround(c.cast("double"), digits)), F.lit("n/a"))
+    return F.when(c.isNull(), "n/a").otherwise(F.format_string(f"%.{digits}f", F.bround(c.cast("double"), digits)))
 
 
 def first_match(pairs: Sequence[tuple[Column, Column | str]], default: Column | str) -> Column:

@@ -12,23 +12,21 @@ from ..functions.scalars import clip, first_match
 from .signals import SIGNALS
 
 
-def empirical_p(df: DataFrame, config: Mapping[str, Any], scope: str = "cand") -> DataFrame:
+def empirical_p(df: DataFrame, config: Mapping[str, Any], scope: str = "cand", row: str = "customer_id") -> DataFrame:
     """<signal>_p_value and _evidence_score: the rank of z among the scope's rows of its side, not below what its size allows.
 
-    Rows of one scope and side are ranked together: of one month's scored rows, never history.
+    All signals are ranked in one window over (scope, signal, side), of one month's
+    scored rows and never of history; (scope, row) must be unique.
     """
     least, floor = float(config["min_abs_z_for_evidence"]), float(config["min_p_value"])
-    new: dict[str, Column] = {}
-    for s in SIGNALS:
-        z = s.evidence_z
-        side = F.when(z >= least, 1).when(z <= -least, -1)
-        by = Window.partitionBy(scope, side)
-        ranked = F.rank().over(by.orderBy(F.abs(z).desc_nulls_last())) / (F.count("*").over(by) + 1)
-        own = clip(1.0 - F.col(f"{s.name}_score") / 100.0, floor, 1.0)
-        p = F.when(side.isNotNull(), F.greatest(own, clip(ranked, floor, 1.0))).otherwise(1.0)
-        new[f"{s.name}_p_value"] = p
-    out = df.withColumns(new)
-    return out.withColumns({f"{s.name}_evidence_score": 100.0 * (1.0 - F.col(f"{s.name}_p_value")) for s in SIGNALS})
+    entries = F.array(*[F.struct(F.lit(s.name).alias("signal"), s.evidence_z.alias("z"), F.col(f"{s.name}_score").alias("score")) for s in SIGNALS])
+    long = df.select(scope, row, F.explode(F.filter(entries, lambda e: F.abs(e["z"]) >= least)).alias("e")).select(scope, row, "e.*")
+    by = Window.partitionBy(scope, "signal", F.signum("z"))
+    ranked = F.rank().over(by.orderBy(F.abs("z").desc())) / (F.count("*").over(by) + 1)
+    p = F.greatest(clip(1.0 - F.col("score") / 100.0, floor, 1.0), clip(ranked, floor, 1.0))
+    wide = long.withColumn("p", p).groupBy(scope, row).agg(*[F.max(F.when(F.col("signal") == s.name, F.col("p"))).alias(f"__{s.name}") for s in SIGNALS])
+    out = df.join(wide, [scope, row], "left").withColumns({f"{s.name}_p_value": F.coalesce(F.col(f"__{s.name}"), F.lit(1.0)) for s in SIGNALS})
+    return out.withColumns({f"{s.name}_evidence_score": 100.0 * (1.0 - F.col(f"{s.name}_p_value")) for s in SIGNALS}).drop(*[f"__{s.name}" for s in SIGNALS])
 
 
 def simes(p: Column, most: int) -> Column:

@@ -148,9 +148,9 @@ def operational_decision(action: Column | None = None) -> Column:
 
 
 def explanation() -> Column:
-    """A sentence with the action, the ratio to the expected value, the driver and the strongest signal."""
+    """A sentence with the label, the ratio to the expected value, the driver and the strongest signal."""
     body = F.concat(
-        F.col("action_label"), F.lit(": "), F.when(F.col("anomaly_direction") == "HIGH", "above").otherwise("below"), F.lit(" the expected "), number_text(F.col("expected_main_metric")), F.lit(" ("), number_text(F.col("actual_to_expected_ratio")),
+        F.col("anomaly_label"), F.lit(": "), F.when(F.col("anomaly_direction") == "HIGH", "above").otherwise("below"), F.lit(" the expected "), number_text(F.col("expected_main_metric")), F.lit(" ("), number_text(F.col("actual_to_expected_ratio")),
         F.lit(" times); driver "), F.col("evidence_driver"), F.lit(", strongest signal "), strongest_name((*CUSTOMER_Z, *PEER_Z)), F.lit("; peer "), F.col("peer_group_level_name"),
     )
     return F.when(F.col("anomaly_label") == "NORMAL", "within the expected range").otherwise(body)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -41,6 +42,17 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df as written to the checkpoint folder: it is read more than once, and later plans begin there.
+
+    The folder is the session's; one of our own is set only where there is none.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
+    return df.checkpoint()
+
+
 def split(panel: DataFrame, scoring_month: int, window_months: int | None) -> tuple[DataFrame, DataFrame]:
     """(history, scoring): the window's months before the scoring month, and the scoring month."""
     rows = rolling_window(panel, to_ord(scoring_month), window_months)
@@ -82,18 +94,18 @@ def score_month(panel: DataFrame, profile: Profile, config: Config, scoring_mont
     rows = signals.gaps(rows)
     rows = rows.withColumn("customer_explainability_score", signals.explainability(config.explainability))
     rows = rows.withColumns({"customer_explainability_status": signals.explainability_status(F.col("customer_explainability_score")), "scoreability_status": signals.scoreability()})
-    rows = kept(rows)
+    rows = cut(rows)
     paired = candidate_rows(history, rows, candidates, month)
     gated = paired.filter(peers.support_gate(candidates, config.support))
     gated = peers.quality(gated, candidates, priority, config.support, config.peers, config.objective_weights)
-    gated = signals.signal_scores(signals.peer_signals(gated, profile, config.min_ratio_rows, config.min_ratio_mad))
+    gated = cut(signals.signal_scores(signals.peer_signals(gated, profile, config.min_ratio_rows, config.min_ratio_mad)))
     scored = evidence.aggregate(evidence.empirical_p(gated, config.aggregation), config.aggregation)
-    best = kept(peers.choose_best(scored, "customer_id", config.peers.selection))
-    scores = labels.diagnose(labels.label(best, config.watch_top_rate, config.high_top_rate, config.aggregation["label_guardrails"]))
+    best = cut(peers.choose_best(scored, "customer_id", config.peers.selection))
+    scores = cut(labels.diagnose(labels.label(best, config.watch_top_rate, config.high_top_rate, config.aggregation["label_guardrails"])))
     lost = scoring.join(best.select("customer_id"), "customer_id", "left_anti")
     reason = F.when(F.col("valid_main_metric_for_model"), "INSUFFICIENT_PEER_SUPPORT").otherwise("INVALID_MAIN_METRIC")
     lost = lost.withColumns({"not_scored_reason": reason, "scoreability_status": F.concat(F.lit("NOT_SCORED_"), reason)})
-    return Run(scoring_month, scores.drop("cand", "key", "_row_id"), lost, history, scoring, candidates, fits, (history, scoring, rows, best))
+    return Run(scoring_month, scores.drop("cand", "key", "_row_id"), lost, history, scoring, candidates, fits, (history, scoring))
 
 
 def without_segments(config: Config) -> Config:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from .functions import scalars
 from .functions.periods import to_ord
-from .operators import evidence, labels, panel, peers, segments, signals, stats
-from .plans import scoring
+from .operators import challengers, evidence, labels, panel, peers, segments, signals, stats
+from .plans import outputs, report, scoring, validation
 from .plans.config import AGGREGATION, EXPLAINABILITY, OBJECTIVE_WEIGHTS, Segment
 from .plans.fixtures import ROLES, SCORING_MONTH, order_config, order_panel, order_rows
 from .plans.oracles import sql
@@ -202,11 +202,11 @@ class Stages:
 
     def rows(self) -> DataFrame:
         out = signals.customer_signals(stats.join_null_safe(self.now, stats.self_stats(self.history, ORD), ["customer_id"]), AGGREGATION["recent_regime"])
-        return signals.gaps(out).withColumn("customer_explainability_score", signals.explainability(EXPLAINABILITY))
+        return scoring.cut(signals.gaps(out)).withColumn("customer_explainability_score", signals.explainability(EXPLAINABILITY))
 
     def level(self) -> DataFrame:
         old, new = (peers.exploded(scoring.valid(x), self.candidates, scoring.STAT_COLUMNS) for x in (self.history, self.now))
-        return peers.level_stats(old, new, ORD)
+        return scoring.cut(peers.level_stats(old, new, ORD))
 
     def quality(self) -> DataFrame:
         rows = self.rows()
@@ -215,7 +215,7 @@ class Stages:
         return peers.quality(gated, self.candidates, ["segment", "region"], CONFIG.support, CONFIG.peers, OBJECTIVE_WEIGHTS)
 
     def z(self) -> DataFrame:
-        return signals.signal_scores(signals.peer_signals(self.quality(), self.profile, 50, 0.0))
+        return scoring.cut(signals.signal_scores(signals.peer_signals(self.quality(), self.profile, 50, 0.0)))
 
     def p(self) -> DataFrame:
         return evidence.empirical_p(self.z(), AGGREGATION)
@@ -224,7 +224,7 @@ class Stages:
         return evidence.aggregate(self.p(), AGGREGATION)
 
     def best(self) -> DataFrame:
-        return peers.choose_best(self.evidence(), "customer_id")
+        return scoring.cut(peers.choose_best(self.evidence(), "customer_id"))
 
     def labelled(self) -> DataFrame:
         return labels.label(self.best(), CONFIG.watch_top_rate, CONFIG.high_top_rate, AGGREGATION["label_guardrails"])
@@ -340,6 +340,119 @@ def top_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(flagged.orderBy(F.desc("final_anomaly_score"), "customer_id").limit(500))
 
 
+# Outputs
+
+
+@query("calendar_grid", "SELECT customer_id, CAST(unnest(range(min(month_ord), 24020)) AS INTEGER) AS month_ord FROM panel WHERE month_ord BETWEEN 23984 AND 24019 GROUP BY 1")
+def calendar_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = panel.rolling_window(order_panel(spark, sf_dir, CONFIG)[0], ORD, 36)
+    return outputs.calendar_grid(rows, SCORING_MONTH).select("customer_id", "month_ord")
+
+
+@query(
+    "peer_monthly_stats",
+    "SELECT cand, key, invoice_month, count(*) AS peer_month_row_count, count(DISTINCT customer_id) AS peer_month_customer_count, "
+    + "round(median(main_metric) + 1e-7, 6) AS peer_month_main_metric_median, round(avg(main_metric) + 1e-7, 6) AS peer_month_main_metric_mean, round(median(reference_feature) + 1e-7, 6) AS peer_month_reference_feature_median"
+    + " FROM xall GROUP BY 1, 2, 3",
+)
+def peer_monthly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Stages(spark, sf_dir)
+    out = outputs.peer_monthly_stats(s.history, s.candidates)
+    nudged = ("peer_month_main_metric_median", "peer_month_main_metric_mean", "peer_month_reference_feature_median")  # means of cents stand on halves of the last digit
+    return rounded(out.drop("peer_month_main_to_reference_median").withColumns({c: F.col(c) + F.lit(1e-7) for c in nudged}))
+
+
+@query("decision_table", "SELECT n.customer_id, n.invoice_month, CASE WHEN coalesce(label, 'NOT_SCORED') IN ('NORMAL', 'NOT_SCORED') THEN 0 ELSE 1 END AS ANOMALI_FLAG, " + rs({"ANOMALI_SKORU": "coalesce(score, 0.0)"}) + " FROM now n LEFT JOIN labelled l ON n.customer_id = l.customer_id")
+def decision_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(outputs.decision_table(run(spark, sf_dir)).drop("ANOMALI_NEDENI"))
+
+
+@query(
+    "detail_table",
+    "SELECT customer_id, invoice_month, customer_main_metric_missing_flag, is_scoring_month, " + rs({"main_metric": "main_metric", "peer_month_main_metric_median": "med", "customer_vs_peer_month_ratio": "CASE WHEN med IS NOT NULL THEN main_metric / greatest(med, 1e-6) END", "final_anomaly_score": "CASE WHEN is_scoring_month THEN score END"})
+    + " FROM (SELECT g.customer_id, g.invoice_month, w.main_metric IS NULL AS customer_main_metric_missing_flag, g.invoice_month = 200107 AS is_scoring_month, w.main_metric, s.med, score FROM "
+    "(SELECT customer_id, CAST((o - 1) // 12 * 100 + (o - 1) % 12 + 1 AS INTEGER) AS invoice_month FROM (SELECT customer_id, unnest(range(min(month_ord), 24020)) AS o FROM panel WHERE month_ord BETWEEN 23984 AND 24019 GROUP BY 1)) g "
+    "LEFT JOIN panel w ON w.customer_id = g.customer_id AND w.invoice_month = g.invoice_month LEFT JOIN labelled l ON l.customer_id = g.customer_id "
+    "LEFT JOIN (SELECT cand, key, invoice_month, median(main_metric) AS med FROM (SELECT cand, key, invoice_month, main_metric FROM xall UNION ALL SELECT cand, key, invoice_month, main_metric FROM xnow) GROUP BY 1, 2, 3) s ON s.cand = l.cand AND s.key = l.key AND s.invoice_month = g.invoice_month) d",
+)
+def detail_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, profile = order_panel(spark, sf_dir, CONFIG)
+    out = outputs.detail_table(table, scoring.score_month(table, profile, CONFIG, SCORING_MONTH), CONFIG)
+    return rounded(out.select("customer_id", "invoice_month", "customer_main_metric_missing_flag", "is_scoring_month", "main_metric", "peer_month_main_metric_median", "customer_vs_peer_month_ratio", "final_anomaly_score"))
+
+
+@query("peer_level_summary", "SELECT level_name AS peer_group_level_name, count(DISTINCT customer_id) AS customers, " + rs({"anomaly_watch_rate": "avg((label <> 'NORMAL')::INT)", "representability_median": "median(represent)", "distribution_median": "median(distribution)", "calibration_median": "median(calibration)", "confidence_median": "median(confidence)", "score_median": "median(score)"}) + " FROM labelled GROUP BY 1")
+def peer_level_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = report.peer_quality_tables(run(spark, sf_dir))["level"]
+    return rounded(out.select("peer_group_level_name", "customers", "anomaly_watch_rate", "representability_median", "distribution_median", "calibration_median", "confidence_median", "score_median"))
+
+
+@query(
+    "peer_instance_metrics",
+    "SELECT coalesce(a.cand, b.cand) AS peer_candidate_order, coalesce(a.key, b.key) AS peer_key, " + rs({"current_mean": "a.m", "current_median": "a.d", "current_std": "a.s", "history_mean": "b.m", "history_median": "b.d", "history_std": "b.s"})
+    + " FROM (SELECT cand, key, avg(main_metric) AS m, median(main_metric) AS d, stddev_pop(main_metric) AS s FROM xnow GROUP BY 1, 2) a FULL JOIN (SELECT cand, key, avg(main_metric) AS m, median(main_metric) AS d, stddev_pop(main_metric) AS s FROM xall GROUP BY 1, 2) b ON a.cand = b.cand AND a.key = b.key",
+)
+def peer_instance_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = report.metric_stats(run(spark, sf_dir))
+    return rounded(out.select("peer_candidate_order", "peer_key", "current_mean", "current_median", "current_std", "history_mean", "history_median", "history_std"))
+
+
+@query(
+    "weak_peer_review",
+    "SELECT key AS peer_key, " + rs({"review_score": "0.30 * (100 - median(represent)) + 0.25 * (100 - median(distribution)) + 0.25 * (100 - median(calibration)) + 20 * avg((label <> 'NORMAL')::INT) + CASE WHEN min(current_n) < 25 THEN 10 ELSE 0 END + 15 * least(greatest(any_value(mean_ratio) - 1, 0) / 3, 1) + 15 * least(any_value(sd_ratio) / 3, 1)"})
+    + " FROM labelled GROUP BY cand, key",
+)
+def weak_peer_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(report.peer_quality_tables(run(spark, sf_dir))["weak_review"].select("peer_key", "review_score"))
+
+
+@query("backtest_summary", "SELECT 200107 AS scoring_month, count(*) AS scored_rows, count(*) FILTER (label = 'NORMAL') AS normal_count, " + rs({"watch_or_anomaly_rate": "avg((label <> 'NORMAL')::INT)", "median_score": "median(score)", "p95_score": "quantile_cont(score, 0.95)", "peer_objective_score_median": "median(objective)"}) + " FROM labelled")
+def backtest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, profile = order_panel(spark, sf_dir, CONFIG)
+    out = validation.backtest(table, profile, CONFIG, [SCORING_MONTH])
+    return rounded(out.select("scoring_month", "scored_rows", "normal_count", "watch_or_anomaly_rate", "median_score", "p95_score", "peer_objective_score_median"))
+
+
+@query("stability_flags")
+def stability_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, profile = order_panel(spark, sf_dir, CONFIG)
+    table = table.persist()
+    return validation.stability_flags(validation.backtest(table, profile, CONFIG, validation.backtest_months(table, SCORING_MONTH, 2)))
+
+
+@query("stress_detection")
+def stress_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, profile = order_panel(spark, sf_dir, CONFIG)
+    return validation.stress_test(table.persist(), profile, CONFIG, SCORING_MONTH)
+
+
+@query("integrity_checks")
+def integrity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, profile = order_panel(spark, sf_dir, CONFIG)
+    got = scoring.score_month(table, profile, CONFIG, SCORING_MONTH)
+    return validation.integrity_checks(outputs.decision_table(got, ["segment", "region"]), outputs.detail_table(table, got, CONFIG), ["segment", "region"])
+
+
+@query("prior_delta")
+def prior_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, profile = order_panel(spark, sf_dir, CONFIG)
+    table = table.persist()
+    out = outputs.with_prior_scores(table, profile, CONFIG, scoring.score_month(table, profile, CONFIG, SCORING_MONTH))
+    return rounded(out.select("customer_id", "final_anomaly_score", "previous_month_score", "score_delta_from_previous_month", "score_trend_diagnostic"))
+
+
+@query("challengers")
+def challenger_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = AGGREGATION | {"challenger_models": AGGREGATION["challenger_models"] | {"min_rows": 20}}
+    out = challengers.add_challengers(run(spark, sf_dir).scores, rules)
+    return rounded(out.select("customer_id", "pca_challenger_score", "if_challenger_score", "lof_challenger_score", "model_challenger_score", "model_challenger_warning"))
+
+
+@query("diagnosis")
+def diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(run(spark, sf_dir).scores.select("customer_id", "peer_alignment_status", "signal_consistency", "evidence_strength", "action_label", "operational_decision", "reason_codes", "reason_explanation"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scored month."""
     columns = ("customer_id", "invoice_month", "main_metric", "expected_main_metric", "peer_group_level_name", "evidence_driver", "anomaly_label", "final_anomaly_score", "confidence", "action_label", "reason_codes")
