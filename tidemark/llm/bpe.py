@@ -12,10 +12,11 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
-import numpy as np
-
 #: Letters and numbers (general categories L and N) below U+0100, as regex classes.
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -23,8 +24,20 @@ NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 SPACES = "\\t-\\r \x85\xa0"
 #: Fixed value: the split pattern of the word-end tokenizer's file.
 WORD_END_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Distinct pre-tokens that a worker keeps; the cache starts anew beyond that.
-CACHE_WORDS = 500_000
+#: Distinct pre-tokens in a generation of a worker's cache; it keeps the newest generation and the one before.
+CACHE_WORDS = 350_000
+
+
+class _Words(dict):
+    """Pre-tokens with their ids as bytes; one that is missing comes from the generation before or the library."""
+
+    def __init__(self, encode: Callable[[str], bytes], before: dict[str, bytes]):
+        self.encode, self.before = encode, before
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.before.get(word)
+        self[word] = found = self.encode(word) if found is None else found
+        return found
 
 
 class Encoder:
@@ -39,7 +52,7 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.lower, self.split = self._split(spec)
-        self.cache: dict[str, bytes] = {}
+        self.cache = _Words(self._library, {})
 
     @staticmethod
     def _split(spec: dict) -> tuple[bool, re.Pattern | None]:
@@ -57,23 +70,17 @@ class Encoder:
         return False, None
 
     def _library(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(self, text: str) -> bytes:
         if self.split is None or not (text.isascii() or max(text) < "Ā"):
             return self._library(text)
-        words = self.split.findall(text.lower() if self.lower else text)
-        cache = self.cache
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            pass
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        for word in words:
-            if word not in cache:
-                cache[word] = self._library(word)
-        return b"".join([cache[w] for w in words])
+        if len(self.cache) > CACHE_WORDS:
+            self.cache = _Words(self._library, dict(self.cache))
+        return b"".join(map(self.cache.__getitem__, self.split.findall(text.lower() if self.lower else text)))
 
 
 @lru_cache(maxsize=2)
