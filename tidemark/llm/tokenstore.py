@@ -165,5 +165,8 @@ def _read(store: DataFrame, whole: bool) -> DataFrame:
                 last = pa.array([bytes(v) for v in views], pa.binary()) if whole else pa.array([zlib.crc32(v) for v in views], pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ends - counts + start + base[part]), pa.array(counts), last], names=names)
 
-    columns = store.select("part", "doc_ids", "counts", "chunk_index", "payload", "first")
+    # Reading is light beside encoding: fewer tasks than the store has parts will do.
+    spark = store.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, -(-len(base) // 8))
+    columns = store.select("part", "doc_ids", "counts", "chunk_index", "payload", "first").coalesce(tasks)
     return columns.mapInArrow(documents, f"doc_id long, start long, n_tokens long, {'ids binary' if whole else 'ids_crc32 long'}")
