@@ -130,6 +130,12 @@ def test_a_value_must_always_stand_against_one_value(spark):
     assert not got[4, 1]["reparameterised"] and got[4, 1]["matched_tokens"] < got[4, 1]["item_tokens"]
 
 
+def test_an_inserted_word_does_not_hide_a_copy(spark):
+    words = [f"w{c}" for c in "abcdefghijklmnopqrst"]
+    cut = " ".join([*words[:9], "extra", *words[9:]])
+    assert contaminated(spark, [(1, cut)], [(1, " ".join(words))])[1, 1]["matched_tokens"] == 20
+
+
 def test_accented_capitals_match(spark):
     item = "élan vital par dela les écoles du nord où àlors émile cherche encore ses çadeaux"
     assert (7, 1) in contaminated(spark, [(7, "x y. " + item.upper() + " z")], [(1, item)])

@@ -202,9 +202,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, lit
     """(doc_id, item_id, matched_tokens, item_tokens, reparameterised) of each document that holds a benchmark item.
 
     docs: doc_id, text; benchmark: item_id, text; other columns are ignored. A
-    document holds an item if windows that stand in the item's order cover
-    match_tokens tokens or match_share of it, whichever is less, and the values in
-    their placeholders are a function of the item's; where they aren't, only windows of
+    document holds an item if chains of windows in the item's order cover match_tokens
+    tokens or match_share of it, whichever is less. In a chain the values in
+    placeholders are a function of the item's; where they aren't, only windows of
     the very same values count. reparameterised: some value differs. Null texts, and items shorter than a window, match nothing; repeated rows count once; empty tables give no rows.
     """
     items = written(template_windows(benchmark.select(F.col("item_id").alias("id"), "text"), width, literals), "item-windows")
@@ -225,7 +225,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, lit
     consistent = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.theirs")))
     places = F.when(consistent, F.col("all_places")).otherwise(F.col("same_places"))
     covered = F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p, p + width - 1))))
-    chains = chains.select("doc_id", "item_id", "item_tokens", covered.alias("covered"), (consistent & F.exists("pairs", lambda p: p["theirs"] != p["ours"])).alias("other"))
-    best = chains.groupBy("doc_id", "item_id").agg(F.max_by(F.struct(F.size("covered").alias("matched"), "item_tokens", "other"), F.struct(F.size("covered"), ~F.col("other"), "item_tokens")).alias("best"))
+    chains = chains.select("doc_id", "item_id", "channel", "item_tokens", covered.alias("covered"), (consistent & F.exists("pairs", lambda p: p["theirs"] != p["ours"])).alias("other"))
+    # Words put in or left out break a copy into chains; together they cover what the copy holds.
+    joined = chains.groupBy("doc_id", "item_id", "channel").agg(F.array_distinct(F.flatten(F.collect_set("covered"))).alias("covered"), F.max("item_tokens").alias("item_tokens"), F.max_by("other", F.struct(F.size("covered"), ~F.col("other"))).alias("other"))
+    best = joined.groupBy("doc_id", "item_id").agg(F.max_by(F.struct(F.size("covered").alias("matched"), "item_tokens", "other"), F.struct(F.size("covered"), ~F.col("other"), "item_tokens")).alias("best"))
     least = F.least(F.lit(float(match_tokens)), match_share * F.col("best.item_tokens"))
     return best.filter(F.col("best.matched") >= least).select("doc_id", "item_id", F.col("best.matched").cast("long").alias("matched_tokens"), F.col("best.item_tokens").cast("long").alias("item_tokens"), F.col("best.other").alias("reparameterised"))
