@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,7 +141,8 @@ def derive(monthly: DataFrame, profile: Profile) -> DataFrame:
 
 def panel(raw: DataFrame, config: Config) -> tuple[DataFrame, Profile]:
     """(panel, profile) of a raw table."""
-    monthly = collapse(normalise(raw, config.roles))
+    # Read for the profile and again for the panel; kept in memory or on disk, and computed again where a part is lost.
+    monthly = collapse(normalise(raw, config.roles)).persist(StorageLevel.MEMORY_AND_DISK)
     profile = profile_of(monthly, config)
     if profile.duplicate_rows:  # a table with repeated customer-months is summed as a whole, and the sum of nothing is 0
         monthly = monthly.withColumn("main_metric", F.coalesce("main_metric", F.lit(0.0)))

@@ -195,7 +195,8 @@ class Stages:
     """The tables of one scoring run on the fixture, each lazy."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.panel, self.profile = order_panel(spark, sf_dir, CONFIG)
+        table, self.profile = order_panel(spark, sf_dir, CONFIG)
+        self.panel = scoring.kept(table)
         history, scored = scoring.split(self.panel, SCORING_MONTH, CONFIG.window_months)
         self.history, self.now = scoring.valid(history), scored
         self.candidates = peers.build_candidates(["segment", "region"], CONFIG.peers, self.profile.ratio_signal)
@@ -326,7 +327,7 @@ def not_scored_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run(spark: SparkSession, sf_dir: str) -> scoring.Run:
     table, profile = order_panel(spark, sf_dir, CONFIG)
-    return scoring.score_month(table, profile, CONFIG, SCORING_MONTH)
+    return scoring.score_month(scoring.kept(table), profile, CONFIG, SCORING_MONTH)
 
 
 @query("label_summary", "SELECT label AS anomaly_label, count(*) AS n, " + rs({"mean_score": "avg(score)"}) + " FROM labelled GROUP BY 1")
@@ -377,6 +378,7 @@ def decision_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def detail_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, profile = order_panel(spark, sf_dir, CONFIG)
+    table = scoring.kept(table)
     out = outputs.detail_table(table, scoring.score_month(table, profile, CONFIG, SCORING_MONTH), CONFIG)
     return rounded(out.select("customer_id", "invoice_month", "customer_main_metric_missing_flag", "is_scoring_month", "main_metric", "peer_month_main_metric_median", "customer_vs_peer_month_ratio", "final_anomaly_score"))
 
