@@ -164,10 +164,11 @@ def calibrated(model: Model, counts: np.ndarray, y: np.ndarray) -> Model:
     right = p.argmax(axis=1) == y
     if not right.any():
         return out
-    # Texts of other languages lie far below these limits; the halving leaves room for short texts.
+    # Texts of other languages lie far below these limits; the halving leaves room for short texts, and texts in two
+    # or three known languages stay.
     score = float(np.quantile(p.max(axis=1)[right], REJECTED_SHARE))
     known = float(np.quantile(out.known(counts)[right], REJECTED_SHARE))
-    return Model(out.languages, out.table, out.bias, out.seen, temperature, min(score, 1.5 / len(out.languages), 0.5), known / 2)
+    return Model(out.languages, out.table, out.bias, out.seen, temperature, min(score, 1.2 / len(out.languages), 0.5), known / 2)
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[int, str]]:
