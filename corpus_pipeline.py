@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, packing, pii, simhash
+from tidemark.llm import decontam, langid, neardup, packing, pii
 from tidemark.llm.bpe import tokenizer_path
 from tidemark.llm.common import slices, written
 
@@ -24,11 +24,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one of least doc_id. Repeated rows of it stay one row; null ids all stay."""
-    groups = simhash.near_duplicates(docs)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    """One row of each component of near copies (five-word shingles, similarity 0.8 or more): the one of least doc_id, nulls last."""
+    return neardup.distinct_documents(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
