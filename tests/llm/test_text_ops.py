@@ -265,3 +265,21 @@ def test_pipeline_on_a_small_corpus(spark, tmp_path):
     assert "<email>" in seen[3][911]
     packed = pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in packed} == set(seen[3])
+
+
+# Decontamination by windows of few words, and by whole short items
+
+FEW_WORDS = ["If 3 kg cost 5 dollars and 7 kg cost 9 dollars how much do 11 kg cost", "A train goes 60 km in 2 hours and 90 km in 3 hours, then 30 km in 1 hours; how far in 6 hours", "12 5 7 31 8 44 19 2 6 10 77 13 15 21 4 9 91 92 93 94 95 96 97 98 99 14 16 17 18 22 23 24 25 26 27 28", "What does quorvex 12 mean"]
+
+
+@pytest.mark.parametrize("limit", [decontam.FILTER_WINDOWS, 0])
+def test_items_of_few_words_and_short_items_match(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontam, "FILTER_WINDOWS", limit)
+    rng = random.Random(4)
+    around = lambda t: f"{prose(rng, 30)}. {t}. {prose(rng, 30)}"
+    other = FEW_WORDS[0].replace("5 d", "6 d").replace("11", "13").replace("3 kg", "4 kg")
+    docs = [*((k, around(t)) for k, t in enumerate(FEW_WORDS)), (10, around(other)), (11, around("What does quorvex 13 mean")), (12, FEW_WORDS[3].upper()), (13, "4 kg in 2 hours and 9 km for 3 dollars at 2 pm"), *ODD]
+    got = contaminated(spark, docs, list(enumerate(FEW_WORDS)))
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 3), (10, 0), (12, 3)}
+    assert got[10, 0]["reparameterised"] and not any(got[k, k]["reparameterised"] for k in range(4))
+    assert all(got[k, k]["matched_tokens"] == got[k, k]["item_tokens"] for k in range(4))

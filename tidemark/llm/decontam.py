@@ -2,7 +2,8 @@
 
 A text becomes a sequence of template tokens: numbers, units after numbers and
 names are typed placeholders, other words are themselves in lower case. Windows
-of ``WINDOW`` template tokens are hashed and joined with the benchmark's. Where a
+of ``WINDOW`` template tokens, more where these have few words, are hashed and joined
+with the benchmark's; windows of few words also with their values. Where a
 document holds a chain of an item's windows in place, the values in its
 placeholders are compared: one value of the item must always stand against one
 value of the document. That finds questions that only have other numbers,
@@ -30,8 +31,9 @@ from pyspark.sql import functions as F
 from .common import slices, written
 
 WINDOW = 8
-#: Words that a window must have besides placeholders.
+#: Words that a window must have besides placeholders, or else it is longer, up to STRETCH times, or matches verbatim only.
 LITERALS = 5
+STRETCH = 4
 #: A document is contaminated by an item if it holds this many of the item's tokens, or this share of them.
 MATCH_TOKENS = 13
 MATCH_SHARE = 0.5
@@ -51,7 +53,7 @@ _CLASS[48:58] = 1
 _CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = 2
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?:\n\r")] = True
-_HITS = "id long, channel int, window long, pos int, tokens int, slots array<long>"
+_HITS = "id long, channel int, window long, pos int, width int, tokens int, slots array<long>"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -142,20 +144,45 @@ def templates(data: np.ndarray, low: np.ndarray, offsets: np.ndarray) -> list[tu
     return [plain, named]
 
 
-def windows(text: np.ndarray, code: np.ndarray, slot: np.ndarray, channel: int, width: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first token, hash) of each window that lies in one text and has enough words."""
-    last = len(text) - width + 1
-    if last <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    words = np.concatenate([[0], np.cumsum(slot == 0)])
-    at = np.flatnonzero((text[:last] == text[width - 1 :]) & (words[width:] - words[:last] >= literals))
-    out = np.full(last, channel + 1, np.uint64)
-    for k in range(width):
-        out = out * np.uint64(_STEP) + code[k : k + last]
-    return at, _mixed(out[at])
+def _hashes(code: np.ndarray, first: np.ndarray, width: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of code[first : first + width] for each window: a polynomial from running sums."""
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(code), _STEP, np.uint64)]))
+    back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(code), pow(_STEP, -1, 1 << 64), np.uint64)]))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * powers[:-1])])
+    return _mixed((sums[first + width] - sums[first]) * back[first] + _mixed(width.astype(np.uint64) * np.uint64(64) + np.uint64(seed)))
+
 
+def windows(text: np.ndarray, code: np.ndarray, slot: np.ndarray, value: np.ndarray, channel: int, width: int, literals: int, short: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first token, tokens, hash) of all windows, each in one text.
 
-def _rows(width: int, literals: int, known: np.ndarray | None):
+    From each token on, the template window is the shortest that has width tokens and
+    enough words, up to STRETCH times width. Where width tokens have too few words,
+    these are a window with its values too, for verbatim copies. So are windows of
+    the lengths in short, those of whole items; with enough words they go by template.
+    """
+    n = len(text)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    places = np.arange(n)
+    ends = np.searchsorted(text, text, side="right")
+    words = np.concatenate([[0], np.cumsum(slot == 0)])
+    word_ends = np.append(np.flatnonzero(slot == 0) + 1, np.full(literals, n + 1))
+    enough = word_ends[words[:-1] + literals - 1] if literals else places
+    stop = np.maximum(places + width, enough)
+    at = np.flatnonzero((stop <= ends) & (stop - places <= STRETCH * width))
+    found = [(at, (stop - places)[at], _hashes(code, at, (stop - places)[at], channel))]
+    exact = np.where(slot > 0, _mixed(value + code), code)
+    for length in (width, *short):
+        at = np.flatnonzero(places + length <= ends)
+        few = words[at + length] - words[at] < literals
+        for own, codes, kind in ((at[few], exact, 2), (at[~few] if length < width else at[:0], code, 0)):
+            if len(own):
+                long = np.full(len(own), length)
+                found.append((own, long, _hashes(codes, own, long, channel + kind)))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _rows(width: int, literals: int, known: np.ndarray | None, short: tuple[int, ...] | None):
     table = None
     if known is not None:
         table = np.zeros(1 << 22, bool)
@@ -167,35 +194,46 @@ def _rows(width: int, literals: int, known: np.ndarray | None):
             ids, out = batch.column(0), []
             for channel, (text, code, slot, value) in enumerate(templates(data, low, offsets)):
                 code, value = code.astype(np.uint64), value.astype(np.uint64)
-                at, hashes = windows(text, code, slot, channel, width, literals)
+                at, long, hashes = windows(text, code, slot, value, channel, width, literals, short or ())
                 if table is not None:
                     hit = np.flatnonzero(table[hashes >> np.uint64(42)])
                     place = np.minimum(np.searchsorted(known, hashes[hit]), len(known) - 1)
                     hit = hit[known[place] == hashes[hit]]
-                    at, hashes = at[hit], hashes[hit]
-                if not len(at):
-                    continue
+                    at, long, hashes = at[hit], long[hit], hashes[hit]
                 begin = np.searchsorted(text, text[at])
                 total = np.searchsorted(text, text[at], side="right") - begin
+                if short is None:  # items: a short one is a window as a whole
+                    for length in range(1, width):
+                        whole = np.flatnonzero(np.diff(text, prepend=-1) != 0)
+                        whole = whole[np.searchsorted(text, text[whole], side="right") - whole == length]
+                        own = windows(text, code, slot, value, channel, width, literals, (length,)) if len(whole) else None
+                        if own is not None:
+                            pick = np.isin(own[0], whole) & (own[1] == length)
+                            at, long, hashes = (np.concatenate([x, y[pick]]) for x, y in zip((at, long, hashes), own, strict=True))
+                            begin, total = np.concatenate([begin, own[0][pick]]), np.concatenate([total, own[1][pick]])
+                if not len(at):
+                    continue
                 slots = np.concatenate([[0], np.cumsum(slot > 0)])
                 values = value[slot > 0].view(np.int64)
-                lists = [values[a:b] for a, b in zip(slots[at].tolist(), slots[at + width].tolist(), strict=True)]
+                lists = [values[a:b] for a, b in zip(slots[at].tolist(), slots[at + long].tolist(), strict=True)]
                 out.append(pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(text[at])), pa.array(np.full(len(at), channel), pa.int32()), pa.array(hashes.view(np.int64)), pa.array((at - begin).astype(np.int32)), pa.array(total.astype(np.int32)), pa.array(lists, pa.list_(pa.int64()))],
-                    names=["id", "channel", "window", "pos", "tokens", "slots"],
+                    [ids.take(pa.array(text[at])), pa.array(np.full(len(at), channel), pa.int32()), pa.array(hashes.view(np.int64)), pa.array((at - begin).astype(np.int32)), pa.array(long.astype(np.int32)), pa.array(total.astype(np.int32)), pa.array(lists, pa.list_(pa.int64()))],
+                    names=["id", "channel", "window", "pos", "width", "tokens", "slots"],
                 ))
             yield from out
 
     return rows
 
 
-def template_windows(texts: DataFrame, width: int = WINDOW, literals: int = LITERALS, known: np.ndarray | None = None) -> DataFrame:
-    """(id, channel, window, pos, tokens, slots) of the windows of texts (id, text), or of those whose hash is in known (sorted).
+def template_windows(texts: DataFrame, width: int = WINDOW, literals: int = LITERALS, known: np.ndarray | None = None, short: tuple[int, ...] | None = None) -> DataFrame:
+    """(id, channel, window, pos, width, tokens, slots) of the windows of texts (id, text), or of those whose hash is in known (sorted).
 
-    tokens: template tokens of the whole text; slots: value hashes in the window's
-    placeholders, in order. Null texts and texts of fewer tokens have no window.
+    width: tokens of the window; tokens: template tokens of the whole text; slots: value
+    hashes in the window's placeholders, in order. short: lengths of further windows, or
+    None for items, of which one under width tokens is a window as a whole. Texts
+    without a token have no window.
     """
-    return texts.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(_rows(width, literals, known), _HITS)
+    return texts.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(_rows(width, literals, known, short), _HITS)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, match_tokens: int = MATCH_TOKENS, match_share: float = MATCH_SHARE) -> DataFrame:
@@ -205,7 +243,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, lit
     document holds an item if chains of windows in the item's order cover match_tokens
     tokens or match_share of it, whichever is less. In a chain the values in
     placeholders are a function of the item's; where they aren't, only windows of
-    the very same values count. reparameterised: some value differs. Null texts, and items shorter than a window, match nothing; repeated rows count once; empty tables give no rows.
+    the very same values count. reparameterised: some value differs. An item shorter than a window matches as a whole only. Null texts match nothing; repeated rows count once; empty tables give no rows.
     """
     items = written(template_windows(benchmark.select(F.col("item_id").alias("id"), "text"), width, literals), "item-windows")
     distinct = items.select("window").distinct()
@@ -214,17 +252,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, lit
         known = np.sort(distinct.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
         if not len(known):
             known = np.zeros(1, np.uint64)
-    found = template_windows(docs.select(F.col("doc_id").alias("id"), "text"), width, literals, known)
-    mine = items.select("channel", "window", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("tokens").alias("item_tokens"), F.col("slots").alias("item_slots")).distinct()
+    short = tuple(sorted(r[0] for r in items.filter(F.col("width") < width).select("width").distinct().collect()))
+    found = template_windows(docs.select(F.col("doc_id").alias("id"), "text"), width, literals, known, short)
+    mine = items.select("channel", "window", F.col("id").alias("item_id"), F.struct("pos", "width").alias("item_pos"), F.col("tokens").alias("item_tokens"), F.col("slots").alias("item_slots")).distinct()
     pairs = F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours")).alias("pairs")
-    hits = found.join(mine, ["channel", "window"]).select(F.col("id").alias("doc_id"), "item_id", "channel", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos", "item_tokens", pairs, (F.col("item_slots") == F.col("slots")).alias("same"))
-    # A chain has at most one window for each place of the item, and so as many pairs at most.
+    hits = found.join(mine, ["channel", "window"]).select(F.col("id").alias("doc_id"), "item_id", "channel", (F.col("pos") - F.col("item_pos.pos")).alias("shift"), "item_pos", "item_tokens", pairs, (F.col("item_slots") == F.col("slots")).alias("same"))
+    # A chain has at most two windows for each place of the item, and so as many pairs at most.
     chains = hits.groupBy("doc_id", "item_id", "channel", "shift").agg(
         F.collect_set("item_pos").alias("all_places"), F.collect_set(F.when(F.col("same"), F.col("item_pos"))).alias("same_places"), F.max("item_tokens").alias("item_tokens"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
     consistent = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.theirs")))
     places = F.when(consistent, F.col("all_places")).otherwise(F.col("same_places"))
-    covered = F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p, p + width - 1))))
+    covered = F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p["pos"], p["pos"] + p["width"] - 1))))
     chains = chains.select("doc_id", "item_id", "channel", "item_tokens", covered.alias("covered"), (consistent & F.exists("pairs", lambda p: p["theirs"] != p["ours"])).alias("other"))
     # Words put in or left out break a copy into chains; together they cover what the copy holds.
     joined = chains.groupBy("doc_id", "item_id", "channel").agg(F.array_distinct(F.flatten(F.collect_set("covered"))).alias("covered"), F.max("item_tokens").alias("item_tokens"), F.max_by("other", F.struct(F.size("covered"), ~F.col("other"))).alias("other"))
