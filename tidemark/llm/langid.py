@@ -8,8 +8,8 @@ For prediction, embeddings and output weights are multiplied out into one score
 for each bucket and language, so a whole text costs one table look-up a subword.
 
 Scores are calibrated on rows that took no part in the training: one temperature
-for the softmax, and a novelty limit (how much of a text lies in buckets that
-the training rarely met) and a score limit below which a text is rejected.
+for the softmax, and a novelty limit (how many of a text's longer grams the training
+met, told in so many buckets that it can't fill them) and a score limit below which a text is rejected.
 """
 
 from __future__ import annotations
@@ -28,6 +28,12 @@ from .common import slices
 
 BUCKET_BITS = 13
 BUCKETS = 1 << BUCKET_BITS
+#: Novelty looks at grams of at least NOVEL_GRAM bytes in far more buckets, which training leaves nearly empty.
+NOVEL_BITS, NOVEL_GRAM = 24, 3
+#: Grams that count as known in every text, so that a short one isn't rejected for one odd word.
+KNOWN_PRIOR = 8
+#: Share of the lowest calibrated known share that a text may have: calibration rows don't show every mixture and typo.
+KNOWN_SLACK = 0.8
 DIMENSIONS = 16
 GRAMS = (1, 2, 3, 4)
 #: Labelled rows that training and calibration use for each language at most (the bound of the sample).
@@ -52,8 +58,8 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
-def subwords(data: np.ndarray) -> np.ndarray:
-    """Bucket of each n-gram of the words of lower-cased UTF-8 bytes; other bytes are word ends."""
+def subwords(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of each n-gram of the words of lower-cased UTF-8 bytes, and the fine buckets of the longer ones; other bytes are word ends."""
     letters = _LETTER_BYTE[data]
     padded = np.zeros(len(data) + 2, np.uint32)
     padded[1:-1] = np.where(letters, data, 0)
@@ -61,7 +67,7 @@ def subwords(data: np.ndarray) -> np.ndarray:
     # Symbols: a word's bytes, 1 where a word has just ended or is about to begin.
     edge = ~word & (np.append(word[1:], False) | np.append(False, word[:-1]))
     symbols = np.where(word, padded, np.where(edge, 1, 0)).astype(np.uint32)
-    out, code = [], np.zeros(len(symbols), np.uint32)
+    out, fine, code = [], [], np.zeros(len(symbols), np.uint32)
     run = np.ones(len(symbols), bool)
     for n in range(1, max(GRAMS) + 1):
         size = len(symbols) - n + 1
@@ -74,14 +80,20 @@ def subwords(data: np.ndarray) -> np.ndarray:
             run &= symbols[n - 2 : size + n - 2] > 1
         if n in GRAMS:
             own = code[run & ((symbols[:size] > 1) | (symbols[n - 1 :] > 1))]
-            out.append(((own ^ np.uint32(n)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS))
-    return np.concatenate(out) if out else np.zeros(0, np.uint32)
+            hashed = (own ^ np.uint32(n)) * np.uint32(0x9E3779B1)
+            out.append(hashed >> np.uint32(32 - BUCKET_BITS))
+            if n >= NOVEL_GRAM:
+                hashed ^= hashed >> np.uint32(15)
+                fine.append((hashed * np.uint32(0x85EBCA6B)) >> np.uint32(32 - NOVEL_BITS))
+    none = np.zeros(0, np.uint32)
+    return np.concatenate(out) if out else none, np.concatenate(fine) if fine else none
 
 
-def histogram(text: str | None) -> np.ndarray:
-    """How often a whole text has each bucket."""
+def histogram(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """How often a whole text has each bucket, and the fine bucket of each of its longer grams."""
     data = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), np.uint8)
-    return np.bincount(subwords(data), minlength=BUCKETS)
+    own, fine = subwords(data)
+    return np.bincount(own, minlength=BUCKETS), fine
 
 
 @dataclass(frozen=True)
@@ -89,7 +101,7 @@ class Model:
     languages: tuple[str, ...]
     table: np.ndarray  # (buckets, languages): embeddings times output weights
     bias: np.ndarray
-    seen: np.ndarray  # buckets that the training met
+    seen: np.ndarray  # a bit for each fine bucket: whether the training met it
     temperature: float = 1.0
     least_score: float = 0.0
     least_seen: float = 0.0
@@ -102,16 +114,18 @@ class Model:
         scores = np.exp(scores - scores.max(axis=1, keepdims=True))
         return scores / scores.sum(axis=1, keepdims=True)
 
-    def known(self, counts: np.ndarray) -> np.ndarray:
-        """Share of each text's subwords that lie in buckets the training met."""
-        return counts @ self.seen / np.maximum(counts.sum(axis=1), 1)
+    def known(self, fine: np.ndarray, counts: np.ndarray | None = None) -> float:
+        """Share of a text's longer grams (fine buckets, each once if counts is None) that the training met."""
+        met = self.seen[fine >> 3] >> (fine & 7).astype(np.uint8) & 1
+        total, own = (len(fine), met.sum()) if counts is None else (counts.sum(), (met * counts).sum())
+        return float((own + KNOWN_PRIOR) / (total + KNOWN_PRIOR))
 
 
-def fit(counts: np.ndarray, labels: list[str], seed: int = 0) -> Model:
-    """Train on histograms by SGD. Calibration takes each third row of a language."""
+def fit(counts: np.ndarray, labels: list[str], fines: list[tuple[np.ndarray, np.ndarray]], seed: int = 0) -> Model:
+    """Train on histograms by SGD; fines: (distinct fine buckets, how often) of each row. Calibration takes each third row of a language."""
     languages = tuple(sorted(set(labels)))
     if not languages:
-        return Model((), np.zeros((BUCKETS, 0)), np.zeros(0), np.zeros(BUCKETS))
+        return Model((), np.zeros((BUCKETS, 0)), np.zeros(0), np.zeros(0, np.uint8))
     place = {name: k for k, name in enumerate(languages)}
     y = np.array([place[x] for x in labels])
     nth, seen_of = np.zeros(len(y), int), dict.fromkeys(range(len(languages)), 0)
@@ -144,12 +158,14 @@ def fit(counts: np.ndarray, labels: list[str], seed: int = 0) -> Model:
             embed[used] -= rate * step_e / np.sqrt(sum_e[used])
             weights -= rate * step_w / np.sqrt(sum_w)
             bias -= 0.1 * rate * p.sum(axis=0)
-    met = (counts[~held] > 0).sum(axis=0) > 0
-    model = Model(languages, embed @ weights, bias, met.astype(float))
-    return calibrated(model, counts[held], y[held]) if held.any() else model
+    met = np.zeros(1 << NOVEL_BITS, bool)
+    for k in rows.tolist():
+        met[fines[k][0]] = True
+    model = Model(languages, embed @ weights, bias, np.packbits(met, bitorder="little"))
+    return calibrated(model, counts[held], y[held], [fines[k] for k in np.flatnonzero(held)]) if held.any() else model
 
 
-def calibrated(model: Model, counts: np.ndarray, y: np.ndarray) -> Model:
+def calibrated(model: Model, counts: np.ndarray, y: np.ndarray, fines: list[tuple[np.ndarray, np.ndarray]]) -> Model:
     """The model with the temperature of least log loss and the limits that reject REJECTED_SHARE of right rows."""
     logits = model.logits(counts)
 
@@ -164,11 +180,10 @@ def calibrated(model: Model, counts: np.ndarray, y: np.ndarray) -> Model:
     right = p.argmax(axis=1) == y
     if not right.any():
         return out
-    # Texts of other languages lie far below these limits; the halving leaves room for short texts, and texts in two
-    # or three known languages stay.
+    # Texts of other languages lie far below the known limit. The score limit is low: texts in two or three known languages stay.
     score = float(np.quantile(p.max(axis=1)[right], REJECTED_SHARE))
-    known = float(np.quantile(out.known(counts)[right], REJECTED_SHARE))
-    return Model(out.languages, out.table, out.bias, out.seen, temperature, min(score, 1.2 / len(out.languages), 0.5), known / 2)
+    known = float(np.quantile(np.array([out.known(*f) for f in fines])[right], REJECTED_SHARE))
+    return Model(out.languages, out.table, out.bias, out.seen, temperature, min(score, 1.2 / len(out.languages), 0.5), KNOWN_SLACK * known)
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[int, str]]:
@@ -191,7 +206,7 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Fit a model on a bounded sample of docs (doc_id, text, lang); whole texts are counted where they lie."""
     chosen = dict(sample(docs, rows))
     if not chosen:
-        return fit(np.zeros((0, BUCKETS)), [])
+        return fit(np.zeros((0, BUCKETS)), [], [])
     ids = np.sort(np.array(list(chosen), np.int64))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,24 +216,25 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
             own = batch.column(0).to_numpy(zero_copy_only=False)
             at = np.flatnonzero(ids[np.minimum(np.searchsorted(ids, own), len(ids) - 1)] == own)
             taken = batch.take(pa.array(at))
-            hists = [histogram(t) for t in taken.column(1).to_pylist()]
-            sparse = [np.flatnonzero(h) for h in hists]
-            yield pa.RecordBatch.from_arrays(
-                [taken.column(0), pa.array([k.astype(np.int32) for k in sparse], pa.list_(pa.int32())), pa.array([h[k].astype(np.int32) for h, k in zip(hists, sparse, strict=True)], pa.list_(pa.int32()))],
-                names=["doc_id", "buckets", "counts"],
-            )
+            both = [histogram(t) for t in taken.column(1).to_pylist()]
+            sparse = [np.flatnonzero(h) for h, _ in both]
+            fine = [np.unique(f, return_counts=True) for _, f in both]
+            lists = (sparse, [h[k] for (h, _), k in zip(both, sparse, strict=True)], [f for f, _ in fine], [n for _, n in fine])
+            yield pa.RecordBatch.from_arrays([taken.column(0), *(pa.array([x.astype(np.int32) for x in one], pa.list_(pa.int32())) for one in lists)], names=["doc_id", "buckets", "counts", "fine", "fine_counts"])
 
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found: dict[int, tuple] = {}
-    for r in texts.mapInArrow(counted, "doc_id long, buckets array<int>, counts array<int>").dropDuplicates(["doc_id"]).toLocalIterator():
+    for r in texts.mapInArrow(counted, "doc_id long, buckets array<int>, counts array<int>, fine array<int>, fine_counts array<int>").dropDuplicates(["doc_id"]).toLocalIterator():
         if r["buckets"]:
-            found[r["doc_id"]] = (np.array(r["buckets"], np.int32), np.array(r["counts"], np.int32))
+            found[r["doc_id"]] = tuple(np.array(r[c], np.int32) for c in ("buckets", "counts", "fine", "fine_counts"))
     order = sorted(found, key=lambda k: (zlib.crc32(str(k).encode()), k))
     counts = np.zeros((len(order), BUCKETS), np.float32)
+    fines = []
     for k, doc in enumerate(order):
-        buckets, n = found.pop(doc)
+        buckets, n, *fine = found.pop(doc)
         counts[k, buckets] = n
-    return fit(counts, [chosen[doc] for doc in order])
+        fines.append(tuple(fine))
+    return fit(counts, [chosen[doc] for doc in order], fines)
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
@@ -237,17 +253,17 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, prefix
             texts = batch.column(batch.schema.get_field_index("__text"))
             langs, scores, rejected = [], [], []
             for text in texts.to_pylist():
-                counts = histogram(text)[None, :] if text and model.languages else None
+                counts, fine = histogram(text) if text and model.languages else (None, None)
                 if counts is None or not counts.any() or not any(map(str.isalpha, text)):
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     rejected.append(True)
                     continue
-                p = model.probabilities(counts)[0]
+                p = model.probabilities(counts[None, :])[0]
                 best = int(p.argmax())
                 langs.append(model.languages[best])
                 scores.append(float(p[best]))
-                rejected.append(bool(p[best] < model.least_score or model.known(counts)[0] < model.least_seen))
+                rejected.append(bool(p[best] < model.least_score or model.known(fine) < model.least_seen))
             own = [batch.column(batch.schema.get_field_index(c)) for c in keep] if "text" not in keep else [texts if c == "text" else batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*own, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names=[*keep, *(prefix + n for n in ("lang_pred", "score", "rejected"))])
 
