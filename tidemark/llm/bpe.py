@@ -4,7 +4,7 @@ Byte-pair merges never cross a pre-token, so a text's ids are the joined ids
 of its pre-tokens. For the two pre-tokenizers whose split we can state exactly
 over code points below 256, texts of such code points are split here and each
 distinct pre-token goes to the tokenizers library once per cache fill. Other
-texts, and other tokenizer files, are encoded by the library as a whole.
+texts, those that hold an added token (which the library splits off first), and other tokenizer files, are encoded by the library as a whole.
 """
 
 from __future__ import annotations
@@ -48,10 +48,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.lower, self.split = self._split(spec)
+        contents = {form for t in spec.get("added_tokens") or [] for form in (t["content"], t["content"].lower())}
+        self.added = re.compile("|".join(map(re.escape, sorted(contents)))) if contents else None
         self.cache = _Words(self._library, {})
 
     @staticmethod
@@ -78,9 +79,12 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if self.split is None or not (text.isascii() or max(text) < "Ā"):
             return self._library(text)
+        small = text.lower() if self.lower else text
+        if self.added and (self.added.search(text) or (self.lower and self.added.search(small))):
+            return self._library(text)
         if len(self.cache) > CACHE_WORDS:
             self.cache = _Words(self._library, dict(self.cache))
-        return b"".join(map(self.cache.__getitem__, self.split.findall(text.lower() if self.lower else text)))
+        return b"".join(map(self.cache.__getitem__, self.split.findall(small)))
 
 
 @lru_cache(maxsize=2)
