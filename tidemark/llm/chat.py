@@ -64,9 +64,10 @@ def rank_branches(nodes: DataFrame) -> DataFrame:
     path lists the nodes from the root. A node without a parent, or with one that
     isn't in its tree, is a root; a branch that comes from a cycle is left out.
     branch_score is the mean of the path's scores (null counts as 0); rank 1 is the
-    best of its tree, ties go to the lesser leaf. (tree, node) must be unique.
+    best of its tree, ties go to the lesser leaf. (tree, node) must be unique; a null tree is a tree.
     """
-    own = written(nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "tree")
+    # Inside a struct a null tree joins like any other.
+    own = written(nodes.select(F.struct("tree").alias("tree"), "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "tree")
     known = own.select("tree", F.col("node").alias("parent"))
     links = own.filter("parent is not null").join(known, ["tree", "parent"], "left_semi")
     # jumps: from each node to the one 2**k above it. seen: the nodes less than 2**k above each leaf.
@@ -90,7 +91,7 @@ def rank_branches(nodes: DataFrame) -> DataFrame:
     steps = seen.join(own.select("tree", "node", "score"), ["tree", "node"]).join(ends, ["tree", "node"], "left")
     whole = steps.groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(step)).alias("steps"), F.avg("score").alias("branch_score"), F.count("root").alias("roots")).filter("roots > 0")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("branch_score"), "leaf"))
-    return whole.select("tree", "leaf", F.col("steps.node").alias("path"), "branch_score").withColumn("branch_rank", rank)
+    return whole.select(F.col("tree.tree").alias("tree"), "leaf", F.col("steps.node").alias("path"), "branch_score").withColumn("branch_rank", rank)
 
 
 def format_paths(paths: DataFrame, nodes: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
@@ -98,9 +99,9 @@ def format_paths(paths: DataFrame, nodes: DataFrame, loss_roles: tuple[str, ...]
 
     Null roles and texts count as empty.
     """
-    places = paths.select("tree", "leaf", F.posexplode("path").alias("pos", "node"))
+    places = paths.select(F.struct("tree").alias("tree"), "leaf", F.posexplode("path").alias("pos", "node"))
     turn = F.struct("pos", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = places.join(nodes.select("tree", "node", "role", "text"), ["tree", "node"]).groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    turns = places.join(nodes.select(F.struct("tree").alias("tree"), "node", "role", "text"), ["tree", "node"]).groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,8 +109,9 @@ def format_paths(paths: DataFrame, nodes: DataFrame, loss_roles: tuple[str, ...]
             spans = pa.array([[{"start": a, "end": b} for a, b in s] for _, s in made], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f for f, _ in made], pa.string()), spans], names=["tree", "leaf", "formatted", "loss_spans"])
 
+    turns = turns.select("tree.tree", "leaf", "turns")
     kind = dict(turns.dtypes)
-    return turns.select("tree", "leaf", "turns").mapInArrow(rows, f"tree {kind['tree']}, leaf {kind['leaf']}, formatted string, loss_spans array<struct<start: long, end: long>>")
+    return turns.mapInArrow(rows, f"tree {kind['tree']}, leaf {kind['leaf']}, formatted string, loss_spans array<struct<start: long, end: long>>")
 
 
 def linear_nodes(conversations: DataFrame) -> DataFrame:
