@@ -29,9 +29,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark item. What is found goes by a hash of the text, so ids can be null or repeat."""
+    own = F.xxhash64(F.col("text").cast("string"))
+    found = decontam.contaminated(docs.select(own.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    marked = docs.withColumn("__text", own).join(found.select(F.col("doc_id").alias("__text")).distinct(), "__text", "left_anti")
+    return marked.select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
