@@ -2,24 +2,29 @@
 
 They are diagnostics beside the robust score. All fit on a bounded part of a
 month's scored rows that reaches the driver (moments for the components, at
-most POOL_ROWS rows for the other two) and score every row where it lies.
+most POOL_ROWS rows for isolation trees) and score every row where it lies. The
+outlier factor is against all scored rows, beyond POOL_ROWS in pairs of blocks.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .signals import CUSTOMER_Z, PEER_Z
 from .stats import MAD_FACTOR, MIN_LOG_SCALE, average_rank_pct
 
-#: Rows that isolation trees are drawn from, and that neighbours are looked for in; all rows of a month with fewer.
+#: Rows that isolation trees are drawn from; up to as many, neighbours are looked for on the driver's copy.
 POOL_ROWS = 4096
+BLOCK_ROWS = 1024
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TREES, TREE_ROWS = 100, 256
 METHODS = {"pca": "pca", "isolation_forest": "if", "lof": "lof"}
 
@@ -92,6 +97,14 @@ def isolation_score(pool: np.ndarray, seed: int):
     return lambda x: 2.0 ** (-np.mean([depths(t, x) for t in forest], axis=0) / max(expected_depth(size), 1e-9))
 
 
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Between all rows of x and y, by differences: a row's distance to itself is exactly 0."""
+    out = np.zeros((len(x), len(y)))
+    for a, b in zip(x.T, y.T, strict=True):
+        out += (a[:, None] - b[None, :]) ** 2
+    return np.sqrt(out)
+
+
 def outlier_factor(pool: np.ndarray, k: int):
     """A function from rows to local outlier factors against pool, which is searched in blocks."""
     k = max(1, min(k, len(pool) - 1))
@@ -100,7 +113,7 @@ def outlier_factor(pool: np.ndarray, k: int):
         dist, index = [], []
         for at in range(0, len(x), 512):
             block = x[at : at + 512]
-            d = np.sqrt(np.maximum((block**2).sum(1)[:, None] + (pool**2).sum(1)[None, :] - 2 * block @ pool.T, 0))
+            d = distances(block, pool)
             if own:
                 d[np.arange(len(block)), np.arange(at, at + len(block))] = np.inf
             near = np.argpartition(d, k - 1, axis=1)[:, :k]
@@ -127,6 +140,51 @@ def outlier_factor(pool: np.ndarray, k: int):
     return factor
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """df as written to the checkpoint folder."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
+    return df.checkpoint()
+
+
+def outlier_factors(points: DataFrame, k: int) -> DataFrame:
+    """(row, lof) of each of points (row: a unique long, x), against all of them; points must be written, as it is read often."""
+    n = points.count()
+    k = max(1, min(k, n - 1))
+    block = points.groupBy(F.pmod(F.xxhash64("row"), F.lit(-(-n // BLOCK_ROWS))).alias("block")).agg(F.collect_list(F.struct("row", "x")).alias("p"))
+    block = kept(block.select("block", F.col("p.row").alias("row"), F.col("p.x").alias("x")))
+
+    def matrix(batch: pa.RecordBatch, column: int, at: int) -> np.ndarray:
+        return np.array(batch.column(column)[at].as_py())
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                (mine, x), (theirs, y) = ((matrix(batch, c, at), matrix(batch, c + 1, at)) for c in (0, 2))
+                d = distances(x, y)
+                d[mine[:, None] == theirs[None, :]] = np.inf
+                near = np.argpartition(d, min(k, len(y)) - 1, axis=1)[:, :k]
+                dist, own = np.take_along_axis(d, near, 1).ravel(), np.repeat(mine, near.shape[1])
+                real = np.isfinite(dist)
+                yield pa.RecordBatch.from_arrays([pa.array(own[real]), pa.array(theirs[near].ravel()[real]), pa.array(dist[real])], names=["row", "other", "dist"])
+
+    pairs = block.select("row", "x").crossJoin(block.select(F.col("row").alias("others"), F.col("x").alias("y")))
+    conf = points.sparkSession.conf
+    old = conf.get(_BATCH, None)
+    conf.set(_BATCH, "16")  # a row is two whole blocks
+    try:
+        found = pairs.mapInArrow(nearest, "row long, other long, dist double")
+        near = kept(found.groupBy("row").agg(F.slice(F.sort_array(F.collect_list(F.struct("dist", "other"))), 1, k).alias("near")))
+    finally:
+        conf.unset(_BATCH) if old is None else conf.set(_BATCH, old)
+    links = near.select("row", F.inline("near"))
+    reach = near.select(F.col("row").alias("other"), F.array_max("near.dist").alias("reach"))
+    density = kept(links.join(reach, "other").groupBy("row").agg((1.0 / (F.avg(F.greatest("dist", "reach")) + 1e-10)).alias("density")))
+    around = links.join(density.toDF("other", "theirs"), "other").groupBy("row").agg(F.avg("theirs").alias("theirs"))
+    return around.join(density, "row").select("row", (F.col("theirs") / F.col("density")).alias("lof"))
+
+
 def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "customer_id") -> DataFrame:
     """Scores (0 to 100 by rank) and flags of each method, their mean and a warning; nulls where there are too few rows."""
     rules = config["challenger_models"]
@@ -153,7 +211,12 @@ def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "cu
         pool = np.array([r["x"] for r in rows.select("x", key).orderBy(F.xxhash64(key, F.lit(seed)), key).limit(POOL_ROWS).collect()])
         if "isolation_forest" in wanted:
             models["isolation_forest"] = isolation_score(pool, seed)
-        if "lof" in wanted:
+        if "lof" in wanted and len(pool) == POOL_ROWS:  # there may be more rows
+            rows = kept(rows.withColumn("__row", F.monotonically_increasing_id()))
+            neighbours = max(5, int(rules["lof_neighbors"]))
+            rows = rows.join(outlier_factors(rows.select(F.col("__row").alias("row"), "x"), neighbours).toDF("__row", "__factor"), "__row").drop("__row")
+            raw["lof"] = F.col("__factor")
+        elif "lof" in wanted:
             models["lof"] = outlier_factor(pool, max(5, min(int(rules["lof_neighbors"]), len(pool) - 1)))
     for name, model in models.items():
         raw[name] = _scored(model)(F.col("x"))
@@ -165,7 +228,7 @@ def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "cu
     mean = sum((F.col(f"{METHODS[m]}_challenger_score") for m in raw), F.lit(0.0)) / len(raw)
     text = "+".join(sorted(raw))
     warn = F.when(mean >= 95, f"challengers ({text}) stand far apart; the robust score decides").when(mean >= 80, f"challengers ({text}) give a signal to watch; the robust score decides").otherwise(f"challengers ({text}) add no evidence")
-    return out.withColumns({"model_challenger_score": mean, "model_challenger_warning": warn}).drop("x", *[f"__{m}" for m in raw])
+    return out.withColumns({"model_challenger_score": mean, "model_challenger_warning": warn}).drop("x", "__factor", *[f"__{m}" for m in raw])
 
 
 def _scored(model):
