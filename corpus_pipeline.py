@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, langid, neardup, packing, pii
 from tidemark.llm.bpe import tokenizer_path
-from tidemark.llm.common import slices, written
+from tidemark.llm.common import slices, temporaries, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; the model learns from the input's own labelled rows."""
-    columns = docs.columns
-    return langid.predict(docs, langid.train(docs), columns, "__").filter("not __rejected").select(*columns)
+    return langid.accepted(docs, langid.train(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +31,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that hold no benchmark item. What is found goes by a hash of the text, so ids can be null or repeat."""
     own = F.xxhash64(F.col("text").cast("string"))
     found = decontam.contaminated(docs.select(own.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    marked = docs.withColumn("__text", own).join(found.select(F.col("doc_id").alias("__text")).distinct(), "__text", "left_anti")
-    return marked.select(*docs.columns)
+    found = found.select(F.col("doc_id").alias("hash")).distinct()
+    return docs.join(found, own == found["hash"], "left_anti")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,5 +70,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents; what each returns is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with temporaries(spark) as made:
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            made.remove(docs.written_path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -85,14 +85,34 @@ def test_links_of_many_close_fingerprints_match_brute_force(spark):
     assert got == {v: want[k] for k, v in enumerate(values)}
 
 
-@pytest.mark.parametrize("m", [5, 6, 7, 8])
-def test_ring_condition_keeps_every_link(spark, m):
+@pytest.mark.parametrize(("m", "distance"), [(5, 4), (6, 4), (7, 4), (8, 4), (9, 4), (6, 2), (3, 0)])
+def test_each_link_has_a_key_whose_chain_holds(spark, m, distance):
     rng = random.Random(m)
-    rows = [(sum(1 << b for b in rng.sample(range(64), d)), d) for d in list(range(0, 5)) * 60]
-    df = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v, d) for v, d in rows], "x long, d int")
+    values = []
+    for k in range(200):
+        v = rng.getrandbits(64)
+        values += [(v, 2 * k), (v ^ sum(1 << b for b in rng.sample(range(64), k % (distance + 1))), 2 * k + 1)]
+    grouped = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v, c) for v, c in values], "fp long, comp long")
     from pyspark.sql import functions as F
 
-    assert df.filter(~simhash.ring_condition(F.col("x"), m, 4)).isEmpty()
+    pairs, rest = simhash.candidates(grouped, m, distance)
+    x = F.col("fp_a").bitwiseXOR(F.col("fp_b"))
+    held = pairs.filter(simhash.chain_condition(x, F.col("start"), m, distance)).collect()
+    assert {k // 2 for k in range(400)} == {r["comp_a"] // 2 for r in held if r["comp_a"] // 2 == r["comp_b"] // 2}
+    assert rest.isEmpty()
+
+
+def test_dense_buckets_go_on_to_wider_keys(spark):
+    rng = random.Random(12)
+    # Half of the bits are the same everywhere, so narrow keys are full of fingerprints that aren't linked.
+    low = rng.getrandbits(32)
+    values = {rng.getrandbits(32) << 32 | low for _ in range(150)}
+    values |= {v ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for v in list(values)[:60]}
+    values = sorted(values)
+    nodes = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v, k) for k, v in enumerate(values)], "fp long, rep long")
+    got = {r["fp"] % (1 << 64): r["component"] for r in simhash.link_components(nodes, dense=3).collect()}
+    want = brute_components(list(range(len(values))), values, 4)
+    assert got == {v: want[k] for k, v in enumerate(values)} and len(set(want.values())) > 100
 
 
 def test_near_duplicates_of_an_empty_table(spark):

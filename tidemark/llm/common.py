@@ -16,10 +16,16 @@ BATCH_ROWS = 500
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+#: For each temporaries() that holds, the paths written since.
+_made: list[list[str]] = []
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session gets a folder of our own, and a cluster an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/") + "/tables"
@@ -44,16 +50,34 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_path = path
+    for paths in _made:
+        paths.append(path)
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by written() that no later plan reads."""
     path = getattr(df, "written_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(df.sparkSession, path)
+
+
+@contextlib.contextmanager
+def temporaries(spark: SparkSession) -> Iterator[list[str]]:
+    """Paths of the tables that written() makes while it holds; those still in the list at its end are deleted."""
+    made: list[str] = []
+    _made.append(made)
+    try:
+        yield made
+    finally:
+        _made.remove(made)
+        for path in made:
+            _delete(spark, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

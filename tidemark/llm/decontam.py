@@ -3,18 +3,22 @@
 A text becomes a sequence of template tokens: numbers, units after numbers and
 names are typed placeholders, other words are themselves in lower case. Windows
 of ``WINDOW`` template tokens, more where these have few words, are hashed and joined
-with the benchmark's; windows of few words also with their values. Where a
-document holds a chain of an item's windows in place, the values in its
-placeholders are compared: one value of the item must always stand against one
-value of the document. That finds questions that only have other numbers,
-names or units, and tells them from verbatim copies.
+with the benchmark's; windows of few words also with their values. Windows that a
+row and an item share in place are runs, and runs that follow each other in the
+item and, at most ``GAP`` tokens apart, in the row are a chain. Within a chain the
+values in placeholders are compared: one value of the item must always stand
+against one value of the document. That finds questions that only have other
+numbers, names or units, and tells them from verbatim copies.
 
 Two templates are made of each text, one with names as placeholders and one
 with names as words, since a copy in other case shows no names.
 
 Tokenising works on the UTF-8 bytes of many texts at once with numpy; the
 benchmark's window hashes go to the tasks as a filter only while there are at
-most ``FILTER_WINDOWS`` of them, and otherwise every window is joined.
+most ``FILTER_WINDOWS`` of them, and otherwise every window is joined. With the
+filter, windows that stand too far from others to reach any of their items'
+limit are dropped before the join, so that a phrase of many items and documents
+doesn't multiply.
 """
 
 from __future__ import annotations
@@ -37,6 +41,8 @@ STRETCH = 4
 #: A document is contaminated by an item if it holds this many of the item's tokens, or this share of them.
 MATCH_TOKENS = 13
 MATCH_SHARE = 0.5
+#: Tokens that a document may have between two runs of a chain.
+GAP = 32
 FILTER_WINDOWS = 1_000_000
 #: Unit words that are placeholders when they follow a number.
 UNITS = (
@@ -53,7 +59,9 @@ _CLASS[48:58] = 1
 _CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = 2
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?:\n\r")] = True
-_HITS = "id long, channel int, window long, pos int, width int, tokens int, slots array<long>"
+_HITS = "row long, id long, channel int, window long, pos int, width int, tokens int, slots array<long>"
+#: A run of windows in place: where it begins and ends in the document and in the item, and the document's value for each of the item's.
+Run = tuple[int, int, int, int, dict[int, int]]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -182,7 +190,23 @@ def windows(text: np.ndarray, code: np.ndarray, slot: np.ndarray, value: np.ndar
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _rows(width: int, literals: int, known: np.ndarray | None, short: tuple[int, ...] | None):
+def _near_enough(text: np.ndarray, at: np.ndarray, long: np.ndarray, need: np.ndarray, gap: int) -> np.ndarray:
+    """Which windows lie in a stretch (windows of a text at most gap apart) that covers what one of its windows' items needs."""
+    order = np.lexsort((at, text[at]))
+    begin, owner = at[order], text[at][order]
+    # Windows stay in their text, so the furthest end so far tells each text's stretches.
+    end = np.maximum.accumulate(begin + long[order])
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (owner[1:] != owner[:-1]) | (begin[1:] - end[:-1] > gap)
+    covered = end - np.maximum(begin, np.append(0, end[:-1]))
+    first = np.flatnonzero(fresh)
+    enough = np.add.reduceat(np.maximum(covered, 0), first) >= np.minimum.reduceat(need[order], first)
+    out = np.zeros(len(order), bool)
+    out[order] = np.repeat(enough, np.diff(np.append(first, len(order))))
+    return out
+
+
+def _rows(width: int, literals: int, known: np.ndarray | None, short: tuple[int, ...] | None, need: np.ndarray | None, gap: int):
     table = None
     if known is not None:
         table = np.zeros(1 << 22, bool)
@@ -190,15 +214,18 @@ def _rows(width: int, literals: int, known: np.ndarray | None, short: tuple[int,
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=1 << 20):
-            data, low, offsets = lowered(batch.column(1).fill_null("").cast(pa.large_string()))
-            ids, out = batch.column(0), []
+            data, low, offsets = lowered(batch.column(2).fill_null("").cast(pa.large_string()))
+            out = []
             for channel, (text, code, slot, value) in enumerate(templates(data, low, offsets)):
                 code, value = code.astype(np.uint64), value.astype(np.uint64)
                 at, long, hashes = windows(text, code, slot, value, channel, width, literals, short or ())
                 if table is not None:
                     hit = np.flatnonzero(table[hashes >> np.uint64(42)])
                     place = np.minimum(np.searchsorted(known, hashes[hit]), len(known) - 1)
-                    hit = hit[known[place] == hashes[hit]]
+                    real = known[place] == hashes[hit]
+                    hit, place = hit[real], place[real]
+                    if need is not None and len(hit):
+                        hit = hit[_near_enough(text, at[hit], long[hit], need[place], gap)]
                     at, long, hashes = at[hit], long[hit], hashes[hit]
                 begin = np.searchsorted(text, text[at])
                 total = np.searchsorted(text, text[at], side="right") - begin
@@ -216,57 +243,133 @@ def _rows(width: int, literals: int, known: np.ndarray | None, short: tuple[int,
                 slots = np.concatenate([[0], np.cumsum(slot > 0)])
                 values = value[slot > 0].view(np.int64)
                 lists = [values[a:b] for a, b in zip(slots[at].tolist(), slots[at + long].tolist(), strict=True)]
+                owner = pa.array(text[at])
                 out.append(pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(text[at])), pa.array(np.full(len(at), channel), pa.int32()), pa.array(hashes.view(np.int64)), pa.array((at - begin).astype(np.int32)), pa.array(long.astype(np.int32)), pa.array(total.astype(np.int32)), pa.array(lists, pa.list_(pa.int64()))],
-                    names=["id", "channel", "window", "pos", "width", "tokens", "slots"],
+                    [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(np.full(len(at), channel), pa.int32()), pa.array(hashes.view(np.int64)), pa.array((at - begin).astype(np.int32)), pa.array(long.astype(np.int32)), pa.array(total.astype(np.int32)), pa.array(lists, pa.list_(pa.int64()))],
+                    names=[x.split()[0] for x in _HITS.split(", ")],
                 ))
             yield from out
 
     return rows
 
 
-def template_windows(texts: DataFrame, width: int = WINDOW, literals: int = LITERALS, known: np.ndarray | None = None, short: tuple[int, ...] | None = None) -> DataFrame:
-    """(id, channel, window, pos, width, tokens, slots) of the windows of texts (id, text), or of those whose hash is in known (sorted).
+def template_windows(texts: DataFrame, width: int = WINDOW, literals: int = LITERALS, known: np.ndarray | None = None, short: tuple[int, ...] | None = None, need: np.ndarray | None = None, gap: int = GAP) -> DataFrame:
+    """(row, id, channel, window, pos, width, tokens, slots) of the windows of texts (id, text), or of those whose hash is in known (sorted).
 
-    width: tokens of the window; tokens: template tokens of the whole text; slots: value
-    hashes in the window's placeholders, in order. short: lengths of further windows, or
-    None for items, of which one under width tokens is a window as a whole. Texts
-    without a token have no window.
+    row: a number for each row of texts; width: tokens of the window; tokens: template
+    tokens of the whole text; slots: value hashes in the window's placeholders, in order.
+    short: lengths of further windows, or None for items, of which one under width tokens
+    is a window as a whole. need: for each of known, the tokens that its windows must
+    cover together with others near by. Texts without a token have no window.
+    """
+    columns = texts.select(F.monotonically_increasing_id().alias("row"), F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    return columns.mapInArrow(_rows(width, literals, known, short, need, gap), _HITS)
+
+
+def _joined(windows: list[dict]) -> list[tuple[int, int, list[dict]]]:
+    """(first, end, windows) of stretches of overlapping or touching windows of one shift, in places of the item."""
+    out: list[tuple[int, int, list[dict]]] = []
+    for w in sorted(windows, key=lambda w: (w["item_pos"], w["width"])):
+        end = w["item_pos"] + w["width"]
+        if out and w["item_pos"] <= out[-1][1]:
+            first, before, own = out.pop()
+            out.append((first, max(before, end), [*own, w]))
+        else:
+            out.append((w["item_pos"], end, [w]))
+    return out
+
+
+def _values(windows: list[dict]) -> dict[int, int] | None:
+    """The document's value for each of the item's values, or None where one stands against two."""
+    out: dict[int, int] = {}
+    for w in windows:
+        for theirs, ours in zip(w["item_slots"], w["slots"], strict=True):
+            if out.setdefault(theirs, ours) != ours:
+                return None
+    return out
+
+
+def runs(hits: list[dict]) -> list[Run]:
+    """The runs of an item's windows in one row; where a run's values aren't consistent, those of its windows that have the very same values."""
+    shifts: dict[int, list[dict]] = {}
+    for h in hits:
+        shifts.setdefault(h["pos"] - h["item_pos"], []).append(h)
+    out = []
+    for shift, own in shifts.items():
+        for first, end, inside in _joined(own):
+            values = _values(inside)
+            if values is not None:
+                out.append((first + shift, end + shift, first, end, values))
+                continue
+            for a, b, same in _joined([w for w in inside if w["item_slots"] == w["slots"]]):
+                out.append((a + shift, b + shift, a, b, _values(same) or {}))
+    return out
+
+
+def chained(hits: list[dict], gap: int = GAP) -> tuple[int, bool]:
+    """(tokens, whether some value differs) of the best chain of runs.
+
+    A run may follow another if it begins and ends later in both the row and the item,
+    lies at most gap tokens behind it in the row, and their values are consistent; what
+    two runs both cover counts once. The chain to each run goes on from the best chain
+    that may go before it.
     """
-    return texts.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(_rows(width, literals, known, short), _HITS)
+    best: list[tuple[int, bool, dict[int, int]]] = []
+    ordered = sorted(runs(hits), key=lambda r: (r[0], r[2], r[1]))
+    longest = max((r[1] - r[0] for r in ordered), default=0)
+    for k, (p1, p2, q1, q2, own) in enumerate(ordered):
+        state = (p2 - p1, any(t != o for t, o in own.items()), own)
+        for j in range(k - 1, -1, -1):
+            a1, a2, b1, b2, _ = ordered[j]
+            if p1 - a1 > gap + longest:
+                break
+            fresh = p2 - p1 - max(0, a2 - p1, b2 - q1)
+            if a1 < p1 and a2 < p2 and b1 < q1 and b2 < q2 and p1 - a2 <= gap and fresh > 0:
+                tokens, other, values = best[j]
+                if (tokens + fresh, not (other or state[1])) > (state[0], not state[1]) and all(values.get(t, o) == o for t, o in own.items()):
+                    merged = {**values, **own}
+                    state = (tokens + fresh, any(t != o for t, o in merged.items()), merged)
+        best.append(state)
+    tokens, other, _ = max(best, key=lambda s: (s[0], not s[1]), default=(0, False, {}))
+    return tokens, other
+
+
+def _chains(gap: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [chained(h, gap) for h in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([n for n, _ in found], pa.int64()), pa.array([o for _, o in found], pa.bool_())], names=["doc_id", "item_id", "item_tokens", "matched_tokens", "reparameterised"])
+
+    return rows
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, match_tokens: int = MATCH_TOKENS, match_share: float = MATCH_SHARE) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, match_tokens: int = MATCH_TOKENS, match_share: float = MATCH_SHARE, gap: int = GAP) -> DataFrame:
     """(doc_id, item_id, matched_tokens, item_tokens, reparameterised) of each document that holds a benchmark item.
 
-    docs: doc_id, text; benchmark: item_id, text; other columns are ignored. A
-    document holds an item if chains of windows in the item's order cover match_tokens
-    tokens or match_share of it, whichever is less. In a chain the values in
-    placeholders are a function of the item's; where they aren't, only windows of
-    the very same values count. reparameterised: some value differs. An item shorter than a window matches as a whole only. Null texts match nothing; repeated rows count once; empty tables give no rows.
+    docs: doc_id, text; benchmark: item_id, text; other columns are ignored. A row
+    holds an item if a chain of windows, in the item's order and at most gap tokens
+    apart, covers match_tokens tokens or match_share of it, whichever is less. In a
+    chain the values in placeholders are a function of the item's; where they aren't,
+    only windows of the very same values count. reparameterised: some value differs.
+    An item shorter than a window matches as a whole only. Null texts match nothing;
+    each row is judged by itself, and rows of one doc_id, null too, give one result
+    for each item, the best; empty tables give no rows.
     """
     items = written(template_windows(benchmark.select(F.col("item_id").alias("id"), "text"), width, literals), "item-windows")
-    distinct = items.select("window").distinct()
-    known = None
+    least = F.least(F.lit(float(match_tokens)), match_share * F.col("tokens"))
+    distinct = items.groupBy("window").agg(F.min(least).alias("need"))
+    known = need = None
     if distinct.count() <= FILTER_WINDOWS:
-        known = np.sort(distinct.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
-        if not len(known):
-            known = np.zeros(1, np.uint64)
+        table = distinct.toArrow()
+        known = table.column(0).to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(known)
+        known, need = (known[order], table.column(1).to_numpy()[order]) if len(known) else (np.zeros(1, np.uint64), np.zeros(1))
     short = tuple(sorted(r[0] for r in items.filter(F.col("width") < width).select("width").distinct().collect()))
-    found = template_windows(docs.select(F.col("doc_id").alias("id"), "text"), width, literals, known, short)
-    mine = items.select("channel", "window", F.col("id").alias("item_id"), F.struct("pos", "width").alias("item_pos"), F.col("tokens").alias("item_tokens"), F.col("slots").alias("item_slots")).distinct()
-    pairs = F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours")).alias("pairs")
-    hits = found.join(mine, ["channel", "window"]).select(F.col("id").alias("doc_id"), "item_id", "channel", (F.col("pos") - F.col("item_pos.pos")).alias("shift"), "item_pos", "item_tokens", pairs, (F.col("item_slots") == F.col("slots")).alias("same"))
-    # A chain has at most two windows for each place of the item, and so as many pairs at most.
-    chains = hits.groupBy("doc_id", "item_id", "channel", "shift").agg(
-        F.collect_set("item_pos").alias("all_places"), F.collect_set(F.when(F.col("same"), F.col("item_pos"))).alias("same_places"), F.max("item_tokens").alias("item_tokens"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
-    )
-    consistent = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.theirs")))
-    places = F.when(consistent, F.col("all_places")).otherwise(F.col("same_places"))
-    covered = F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p["pos"], p["pos"] + p["width"] - 1))))
-    chains = chains.select("doc_id", "item_id", "channel", "item_tokens", covered.alias("covered"), (consistent & F.exists("pairs", lambda p: p["theirs"] != p["ours"])).alias("other"))
-    # Words put in or left out break a copy into chains; together they cover what the copy holds.
-    joined = chains.groupBy("doc_id", "item_id", "channel").agg(F.array_distinct(F.flatten(F.collect_set("covered"))).alias("covered"), F.max("item_tokens").alias("item_tokens"), F.max_by("other", F.struct(F.size("covered"), ~F.col("other"))).alias("other"))
-    best = joined.groupBy("doc_id", "item_id").agg(F.max_by(F.struct(F.size("covered").alias("matched"), "item_tokens", "other"), F.struct(F.size("covered"), ~F.col("other"), "item_tokens")).alias("best"))
-    least = F.least(F.lit(float(match_tokens)), match_share * F.col("best.item_tokens"))
-    return best.filter(F.col("best.matched") >= least).select("doc_id", "item_id", F.col("best.matched").cast("long").alias("matched_tokens"), F.col("best.item_tokens").cast("long").alias("item_tokens"), F.col("best.other").alias("reparameterised"))
+    found = template_windows(docs.select(F.col("doc_id").alias("id"), "text"), width, literals, known, short, need, gap)
+    mine = items.select("channel", "window", F.col("row").alias("item_row"), F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("tokens").alias("item_tokens"), F.col("slots").alias("item_slots"))
+    hit = F.struct("pos", "width", "slots", "item_pos", "item_slots")
+    hits = found.join(mine, ["channel", "window"]).groupBy("row", "channel", "item_row").agg(F.first("id").alias("doc_id"), F.first("item_id").alias("item_id"), F.first("item_tokens").cast("long").alias("item_tokens"), F.collect_set(hit).alias("hits"))
+    chains = hits.select("doc_id", "item_id", "item_tokens", "hits").mapInArrow(_chains(gap), "doc_id long, item_id long, item_tokens long, matched_tokens long, reparameterised boolean")
+    held = chains.filter(F.col("matched_tokens") >= F.least(F.lit(float(match_tokens)), match_share * F.col("item_tokens")))
+    best = held.groupBy("doc_id", "item_id").agg(F.max(F.struct("matched_tokens", (~F.col("reparameterised")).alias("plain"), "item_tokens")).alias("best"))
+    return best.select("doc_id", "item_id", "best.matched_tokens", "best.item_tokens", (~F.col("best.plain")).alias("reparameterised"))

@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import slices
 
@@ -38,8 +39,6 @@ DIMENSIONS = 16
 GRAMS = (1, 2, 3, 4)
 #: Labelled rows that training and calibration use for each language at most (the bound of the sample).
 SAMPLE_ROWS = 600
-#: Languages at most: the commonest ones.
-LANGUAGES = 400
 EPOCHS = 8
 RATE = 0.05
 BATCH = 16
@@ -187,54 +186,67 @@ def calibrated(model: Model, counts: np.ndarray, y: np.ndarray, fines: list[tupl
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[int, str]]:
-    """(doc_id, lang) of at most ``rows`` learnable rows of each of the commonest languages, by a hash of the id.
+    """(doc_id, lang) of at most ``rows`` learnable rows of each language, by a hash of the id.
 
-    Only ids and labels are read here.
+    Only ids and labels are read here. An id with two languages can be drawn for both.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     # Twice the share that is asked for, so that a language hardly ever comes short; the rest is cut off.
-    share = F.coalesce(*[F.when(F.col("lang") == name, F.lit(min(1_000_000, 1 + 2_000_000 * rows // n))) for name, n in counts.items()]) if counts else F.lit(0)
+    share = known.groupBy("lang").agg((1 + 2_000_000 * rows / F.count("*")).alias("share"))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     out: dict[str, list[tuple[int, int]]] = {}
-    for r in known.filter(draw < share).select("doc_id", "lang", draw.alias("draw")).distinct().toLocalIterator():
+    for r in known.withColumn("draw", draw).join(share, "lang").filter("draw < share").select("doc_id", "lang", "draw").distinct().toLocalIterator():
         out.setdefault(r["lang"], []).append((r["draw"], r["doc_id"]))
     return [(doc, name) for name in sorted(out) for _, doc in sorted(out[name])[:rows]]
 
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """Fit a model on a bounded sample of docs (doc_id, text, lang); whole texts are counted where they lie."""
-    chosen = dict(sample(docs, rows))
+    """Fit a model on a bounded sample of docs (doc_id, text, lang); only the chosen rows' texts go to Python, whole.
+
+    Every language that a learnable row names is learned, so the model grows with
+    their number: a row of ``BUCKETS`` scores each. Of rows with the same id and
+    language, the one whose text has the least hash is taken.
+    """
+    chosen = sample(docs, rows)
     if not chosen:
         return fit(np.zeros((0, BUCKETS)), [], [])
-    ids = np.sort(np.array(list(chosen), np.int64))
+    # At most ``rows`` ids a language, which is what bounds the broadcast.
+    ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, lang string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             if not batch.num_rows:
                 continue
-            own = batch.column(0).to_numpy(zero_copy_only=False)
-            at = np.flatnonzero(ids[np.minimum(np.searchsorted(ids, own), len(ids) - 1)] == own)
-            taken = batch.take(pa.array(at))
-            both = [histogram(t) for t in taken.column(1).to_pylist()]
+            both = [histogram(t) for t in batch.column(2).to_pylist()]
             sparse = [np.flatnonzero(h) for h, _ in both]
             fine = [np.unique(f, return_counts=True) for _, f in both]
             lists = (sparse, [h[k] for (h, _), k in zip(both, sparse, strict=True)], [f for f, _ in fine], [n for _, n in fine])
-            yield pa.RecordBatch.from_arrays([taken.column(0), *(pa.array([x.astype(np.int32) for x in one], pa.list_(pa.int32())) for one in lists)], names=["doc_id", "buckets", "counts", "fine", "fine_counts"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array([x.astype(np.int32) for x in one], pa.list_(pa.int32())) for one in lists)], names=["doc_id", "lang", "buckets", "counts", "fine", "fine_counts"])
 
-    texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found: dict[int, tuple] = {}
-    for r in texts.mapInArrow(counted, "doc_id long, buckets array<int>, counts array<int>, fine array<int>, fine_counts array<int>").dropDuplicates(["doc_id"]).toLocalIterator():
+    found: dict[tuple[int, str], tuple] = {}
+    for r in texts.mapInArrow(counted, "doc_id long, lang string, buckets array<int>, counts array<int>, fine array<int>, fine_counts array<int>").toLocalIterator():
         if r["buckets"]:
-            found[r["doc_id"]] = tuple(np.array(r[c], np.int32) for c in ("buckets", "counts", "fine", "fine_counts"))
-    order = sorted(found, key=lambda k: (zlib.crc32(str(k).encode()), k))
+            found[r["doc_id"], r["lang"]] = tuple(np.array(r[c], np.int32) for c in ("buckets", "counts", "fine", "fine_counts"))
+    order = sorted(found, key=lambda k: (zlib.crc32(str(k[0]).encode()), k))
     counts = np.zeros((len(order), BUCKETS), np.float32)
     fines = []
     for k, doc in enumerate(order):
         buckets, n, *fine = found.pop(doc)
         counts[k, buckets] = n
         fines.append(tuple(fine))
-    return fit(counts, [chosen[doc] for doc in order], fines)
+    return fit(counts, [lang for _, lang in order], fines)
+
+
+def verdict(text: str | None, model: Model) -> tuple[str, float, bool]:
+    """(language, score, whether it is rejected) of a whole text, as predict() gives them."""
+    counts, fine = histogram(text) if text and model.languages else (None, None)
+    if counts is None or not counts.any() or not any(map(str.isalpha, text)):
+        return UNKNOWN, 0.0, True
+    p = model.probabilities(counts[None, :])[0]
+    best = int(p.argmax())
+    return model.languages[best], float(p[best]), bool(p[best] < model.least_score or model.known(fine) < model.least_seen)
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
@@ -245,27 +257,24 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, prefix
     and its calibrated probability, and are rejected below the calibrated limits.
     """
     keep = ["doc_id"] if keep is None else keep
-    columns = [c for c in keep if c != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text", 1 << 20):
-            texts = batch.column(batch.schema.get_field_index("__text"))
-            langs, scores, rejected = [], [], []
-            for text in texts.to_pylist():
-                counts, fine = histogram(text) if text and model.languages else (None, None)
-                if counts is None or not counts.any() or not any(map(str.isalpha, text)):
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    rejected.append(True)
-                    continue
-                p = model.probabilities(counts[None, :])[0]
-                best = int(p.argmax())
-                langs.append(model.languages[best])
-                scores.append(float(p[best]))
-                rejected.append(bool(p[best] < model.least_score or model.known(fine) < model.least_seen))
-            own = [batch.column(batch.schema.get_field_index(c)) for c in keep] if "text" not in keep else [texts if c == "text" else batch.column(batch.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names=[*keep, *(prefix + n for n in ("lang_pred", "score", "rejected"))])
-
-    inputs = docs.select(*columns, F.col("text").cast("string").alias("__text"))
-    return inputs.mapInArrow(rows, f"{schema}, {prefix}lang_pred string, {prefix}score double, {prefix}rejected boolean")
+        for batch in slices(batches, limit=1 << 20):
+            found = [verdict(t, model) for t in batch.column(1).to_pylist()]
+            columns = list(zip(*found, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.float64(), pa.bool_()), strict=True))], names=["row", "lang_pred", "score", "rejected"])
+
+    inputs = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text").cast("string").alias("text"))
+    out = inputs.mapInArrow(rows, StructType([inputs.schema["row"], *StructType.fromDDL("lang_pred string, score double, rejected boolean")]))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in keep], *[F.col(c).alias(prefix + c) for c in ("lang_pred", "score", "rejected")])
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs (text and any other columns) that predict() doesn't reject, whole."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, limit=1 << 20):
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            yield batch.filter(pa.array([not verdict(t, model)[2] for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(rows, docs.schema)

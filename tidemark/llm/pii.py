@@ -19,6 +19,7 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -289,19 +290,32 @@ def trained(epochs: int = 12, rate: float = 0.3) -> np.ndarray:
     return weights
 
 
+def united(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """(starts, ends) of the stretches that spans cover together, in order and apart."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b in sorted(spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def find(text: str | None, weights: np.ndarray) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans) of a whole text, each by kind and then start; added spans don't touch base ones."""
     text = text or ""
     base = base_spans(text)
     if "@" not in text and not _TRIGGER.search(text):
         return base, base
-    taken = sorted((a, b) for _, a, b in base)
-    added, k = [], 0
+    starts, ends = united([(a, b) for _, a, b in base])
+    added = []
     for run in words_of(text):
-        while k < len(taken) and taken[k][1] <= run[0][0]:
-            k += 1
-        near = [t for t in taken[k : k + 4 * len(run) + 4] if t[0] < run[-1][1]]
-        added += [s for s in decode(text, run, weights) if not any(a < s[2] and s[1] < b for a, b in near)]
+        for span in decode(text, run, weights):
+            before = bisect_left(starts, span[2])  # the base spans from here on begin at or after the span's end
+            if not before or ends[before - 1] <= span[1]:
+                added.append(span)
     order = {kind: n for n, kind in enumerate(KINDS)}
     return base, sorted({*base, *added}, key=lambda s: (order[s[0]], s[1], s[2]))
 

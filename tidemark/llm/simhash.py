@@ -1,13 +1,17 @@
 """SimHash near-duplicates by pigeonring filtering.
 
 A 64-bit fingerprint is cut into m segments that stand in a ring. If two
-fingerprints differ in at most t bits, at least m - t segments agree, and some
-segment begins a chain whose first l segments together differ in at most
-floor(l * t / m) bits for every l (the pigeonring principle). Candidates are
-therefore joined on every choice of m - t agreeing segments, must hold such a
-chain, and only then is the whole Hamming distance checked. m is the least number for which a join key is wider than the number of
-fingerprints in bits, so buckets stay small at every size; it changes the work
-only, never the links.
+fingerprints differ in at most t bits, some segment begins a chain whose first l
+segments together differ in at most floor(l * t / m) bits for every l (the
+pigeonring principle). So at most floor(l * t / m) of those l segments differ at
+all: for each start there are only so many patterns of segments that may differ,
+and a fingerprint has one join key for each start and pattern, made of the
+segments that must agree. A candidate is a pair with an equal key; it must keep
+the bit budgets of the chain that begins at its key's own start, and only then
+is the whole Hamming distance checked. m is the least number for which a join
+key is wider than the number of fingerprints in bits, so buckets stay small at
+every size; it changes the work only, never the links. Fingerprints of a bucket
+that is dense all the same go on to a larger m with wider keys.
 
 Equal fingerprints are one node, so exact copies make no pairs. A dense group
 of near copies would still fill its buckets with pairs that lie in one
@@ -19,6 +23,7 @@ bucket, those outside its most frequent component meet the bucket.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -36,6 +41,10 @@ SEED = 42
 MAX_DISTANCE = 4
 #: Predecessors in key order that a fingerprint is compared with before the join.
 NEIGHBOURS = 8
+#: Components in a bucket above which its fingerprints go on to wider keys.
+DENSE = 256
+#: Segments in a ring at most.
+MOST_SEGMENTS = 15
 _CHUNK = 1 << 16
 
 
@@ -80,26 +89,52 @@ def _segments(m: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
+def _key_bits(m: int, distance: int) -> int:
+    """Bits that a join key has at least."""
+    return (m - distance) * (BITS // m)
+
+
 def segment_count(nodes: int, distance: int) -> int:
     """The least number of segments for which distance can be exceeded and a key has more bits than nodes takes."""
-    for m in range(distance + 1, 17):
-        if (m - distance) * (BITS // m) > max(nodes, 2).bit_length():
+    for m in range(distance + 1, MOST_SEGMENTS + 1):
+        if _key_bits(m, distance) > max(nodes, 2).bit_length():
             return m
-    return 16
+    return max(MOST_SEGMENTS, distance + 1)
+
 
+def wider(m: int, distance: int) -> int:
+    """The next number of segments whose keys are at least six bits wider, or m where there is none."""
+    return next((k for k in range(m + 1, MOST_SEGMENTS + 1) if _key_bits(k, distance) >= _key_bits(m, distance) + 6), m)
 
-def _keys(fp: Column, m: int, distance: int) -> Column:
-    """The join keys of a fingerprint: each choice of m - distance segments, with the choice's number."""
-    parts = _segments(m)
 
-    def key(number: int, choice: tuple[int, ...]) -> Column:
+@lru_cache(maxsize=16)
+def chain_starts(m: int, distance: int) -> tuple[tuple[int, tuple[int, ...]], ...]:
+    """(start, segments that agree) of each chain start and pattern of ``distance`` segments that may differ.
+
+    Counted from the start, the j-th segment that may differ stands at place j * m / distance
+    or later, or else the chain up to it would be over its budget.
+    """
+    out = []
+    for start in range(m if distance else 1):
+        for free in combinations(range(1, m + 1), distance):
+            if all(place * distance >= j * m for j, place in enumerate(free, 1)):
+                out.append((start, tuple(sorted((start + p - 1) % m for p in range(1, m + 1) if p not in free))))
+    return tuple(out)
+
+
+def _keyed(nodes: DataFrame, m: int, distance: int) -> DataFrame:
+    """The columns of nodes (fp and others) with key and start, a row for each join key of a fingerprint."""
+    parts, fp = _segments(m), F.col("fp")
+
+    def key(number: int, start: int, agree: tuple[int, ...]) -> Column:
         out = F.lit(number).cast("long")
-        for k in choice:
+        for k in agree:
             first, width = parts[k]
             out = F.shiftleft(out, width).bitwiseOR(F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1).cast("long")))
-        return out
+        return F.struct(out.alias("key"), F.lit(start).cast("byte").alias("start"))
 
-    return F.array(*[key(n, c) for n, c in enumerate(combinations(range(m), m - distance))])
+    keys = F.array(*[key(n, *c) for n, c in enumerate(chain_starts(m, distance))])
+    return nodes.select("*", F.explode(keys).alias("own")).select(*nodes.columns, "own.key", "own.start")
 
 
 def _mask(parts: list[tuple[int, int]], segments: list[int]) -> int:
@@ -107,57 +142,92 @@ def _mask(parts: list[tuple[int, int]], segments: list[int]) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
-def ring_condition(x: Column, m: int, distance: int) -> Column:
-    """Whether the differing bits x hold a chain of consecutive segments within all proportional budgets."""
-    parts, out = _segments(m), F.lit(False)
-    for start in range(m):
-        chain, budget_before = F.lit(True), -1
-        for length in range(m, 0, -1):  # a longer chain with the same budget implies the shorter one
-            budget = length * distance // m
-            if budget != budget_before:
-                mask = _mask(parts, [(start + k) % m for k in range(length)])
-                chain, budget_before = (F.bit_count(x.bitwiseAND(F.lit(mask).cast("long"))) <= budget) & chain, budget
-        out = out | chain
+def _budgets(m: int, distance: int, start: int) -> list[tuple[int, int]]:
+    """(mask of the chain's segments, bits that may differ in it) for each length short of the ring, the longest of each budget only."""
+    parts, out = _segments(m), {}
+    for length in range(1, m):
+        out[length * distance // m] = _mask(parts, [(start + k) % m for k in range(length)])
+    return [(mask, budget) for budget, mask in sorted(out.items())]
+
+
+def chain_condition(x: Column, start: Column, m: int, distance: int) -> Column:
+    """Whether the differing bits x keep all proportional budgets of the chain from start on."""
+    out = F.lit(False)
+    for s in range(m if distance else 1):
+        chain = F.lit(True)
+        for mask, budget in _budgets(m, distance, s):
+            chain = chain & (F.bit_count(x.bitwiseAND(F.lit(mask).cast("long"))) <= budget)
+        out = out | ((start == s) & chain)
     return out
 
 
-def _near_neighbours(keyed: DataFrame, distance: int) -> DataFrame:
-    """Edges between fingerprints that stand near each other in key order and differ in at most distance bits."""
+def _near_neighbours(keyed: DataFrame, m: int, distance: int) -> DataFrame:
+    """Edges between fingerprints that stand near each other in the order of a key, keep its chain's budgets and differ in at most distance bits."""
+    budgets = [_budgets(m, distance, s) for s in range(m)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, fp, rep = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            key, fp, rep, start = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
             found: list[tuple[np.ndarray, np.ndarray]] = []
             for lag in range(1, min(NEIGHBOURS + 1, len(key))):
-                near = (key[lag:] == key[:-lag]) & (np.bitwise_count((fp[lag:] ^ fp[:-lag]).view(np.uint64)) <= distance)
-                at = np.flatnonzero(near)
+                at = np.flatnonzero(key[lag:] == key[:-lag])
+                x = (fp[at + lag] ^ fp[at]).view(np.uint64)
+                kept = np.zeros(len(at), bool)
+                for s in np.unique(start[at]).tolist():
+                    own = np.flatnonzero(start[at] == s)
+                    for mask, budget in budgets[s]:
+                        own = own[np.bitwise_count(x[own] & np.uint64(mask % (1 << BITS))) <= budget]
+                    kept[own] = True
+                at = at[kept & (np.bitwise_count(x) <= distance)]
                 found.append((rep[at + lag], rep[at]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["u", "v"])
 
     ordered = keyed.repartitionByRange("key", "fp").sortWithinPartitions("key", "fp")
-    return ordered.select("key", "fp", "rep").mapInArrow(rows, "u long, v long")
+    return ordered.select("key", "fp", "rep", "start").mapInArrow(rows, "u long, v long")
+
 
+def candidates(grouped: DataFrame, m: int, distance: int, dense: int | None = DENSE) -> tuple[DataFrame, DataFrame]:
+    """(pairs, rest) of fingerprints (fp, comp) of different components that have a key in common.
 
-def link_components(nodes: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
+    Pairs: key, start, and fp and comp of both. Of a bucket, those outside its most
+    frequent component meet the bucket. rest: the fingerprints (fp, comp) of buckets
+    with more than dense components, which are left out of the pairs.
+    """
+    keyed = _keyed(grouped.select("fp", "comp"), m, distance)
+    held = keyed.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    mixed = held.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("most"), F.count("*").alias("comps")).filter("comps > 1").select("key", "most", (F.col("comps") > (dense or 1 << 62)).alias("dense"))
+    members = written(keyed.join(mixed, "key").select("key", "start", "fp", "comp", "most", "dense"), "buckets")
+    a, b = members.filter("not dense and comp != most").alias("a"), members.filter("not dense").alias("b")
+    apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.most")) | (F.col("a.fp") < F.col("b.fp")))
+    pairs = a.join(b, apart).select("a.key", "a.start", F.col("a.fp").alias("fp_a"), F.col("b.fp").alias("fp_b"), F.col("a.comp").alias("comp_a"), F.col("b.comp").alias("comp_b"))
+    return pairs, members.filter("dense").select("fp", "comp").distinct()
+
+
+def link_components(nodes: DataFrame, distance: int = MAX_DISTANCE, dense: int = DENSE) -> DataFrame:
     """(fp, component) of distinct fingerprints; nodes: fp and rep, a long that is its own.
 
     The component is the least rep that links of at most distance differing bits reach.
     """
     m = segment_count(nodes.count(), distance)
-    near = written(_near_neighbours(nodes.select("fp", "rep", F.explode(_keys(F.col("fp"), m, distance)).alias("key")), distance).distinct(), "near")
+    near = written(_near_neighbours(_keyed(nodes.select("fp", "rep"), m, distance), m, distance).distinct(), "near")
     first = connected_components(near)
-    grouped = nodes.join(first, nodes["rep"] == first["node"], "left").select("fp", "rep", F.coalesce("component", "rep").alias("comp"))
-    keyed = grouped.select("fp", "comp", F.explode(_keys(F.col("fp"), m, distance)).alias("key"))
-    held = keyed.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    mixed = held.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("most"), F.count("*").alias("comps")).filter("comps > 1").select("key", "most")
-    members = written(keyed.join(mixed, "key").select("key", "fp", "comp", "most"), "buckets")
-    a, b = members.filter("comp != most").alias("a"), members.alias("b")
-    x = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.most")) | (F.col("a.fp") < F.col("b.fp")))
-    pairs = a.join(b, apart & ring_condition(x, m, distance) & (F.bit_count(x) <= distance))
-    links = pairs.select(F.col("a.comp").alias("u"), F.col("b.comp").alias("v")).distinct()
-    second = connected_components(links)
+    grouped = written(nodes.join(first, nodes["rep"] == first["node"], "left").select("fp", F.coalesce("component", "rep").alias("comp")), "grouped")
+    links, pool = [], grouped
+    while True:
+        # Any two fingerprints of a dense bucket share a wider key too if they are linked. The widest keys take buckets as they are.
+        last = wider(m, distance) == m
+        pairs, rest = candidates(pool, m, distance, None if last else dense)
+        x = F.col("fp_a").bitwiseXOR(F.col("fp_b"))
+        kept = pairs.filter(chain_condition(x, F.col("start"), m, distance)).filter(F.bit_count(x) <= distance)
+        links.append(written(kept.select(F.col("comp_a").alias("u"), F.col("comp_b").alias("v")).distinct(), "cross"))
+        if last:
+            break
+        pool = written(rest, "dense")
+        if pool.isEmpty():
+            break
+        m = wider(m, distance)
+    second = connected_components(reduce(DataFrame.unionByName, links))
     discard(near)
     merged = grouped.join(second, grouped["comp"] == second["node"], "left")
     return merged.select("fp", F.coalesce("component", "comp").alias("component"))
