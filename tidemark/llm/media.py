@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import slices, written
 
@@ -143,14 +144,16 @@ def parse_html(html: str | None) -> list[dict]:
 
 
 def interleaved(pages: DataFrame) -> DataFrame:
-    """(id, elements) of pages (id, html)."""
+    """pages (html and any other columns) with their elements in place of html."""
+    kept = [c for c in pages.columns if c != "html"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("pos", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("digest", pa.string()), ("caption", pa.string())]))
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([parse_html(h) for h in batch.column(1).to_pylist()], kind)], names=["id", "elements"])
+        for batch in slices(batches, "html"):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([parse_html(h) for h in batch.column(batch.num_columns - 1).to_pylist()], kind)], names=[*kept, "elements"])
 
-    return pages.select("id", F.col("html").cast("string").alias("html")).mapInArrow(rows, f"id {dict(pages.dtypes)['id']}, elements {ELEMENTS}")
+    schema = StructType([*(pages.schema[c] for c in kept), *StructType.fromDDL(f"elements {ELEMENTS}")])
+    return pages.select(*[F.col(f"`{c}`") for c in kept], F.col("html").cast("string").alias("html")).mapInArrow(rows, schema)
 
 
 def store_media(payloads: DataFrame) -> DataFrame:
@@ -188,20 +191,31 @@ def described(store: DataFrame, measures: Callable[[bytes, bytes], tuple], schem
 
 
 def resolve(pages: DataFrame, found: DataFrame) -> DataFrame:
-    """(id, elements) with what ``found`` has of each media element's digest in a struct ``media``.
+    """pages with what ``found`` has of each media element's digest in the element's struct ``media``.
 
-    pages: id, elements, with unique ids; found: digest and other columns, one row for
-    each digest. Elements keep their positions; a digest that isn't found has a null.
+    pages: id (unique), elements and any other columns; found: digest and other columns,
+    one row for each digest. Elements keep their positions and captions; a digest that
+    isn't found has a null, and so has a text. A digest that a page names more than once
+    is looked up once.
     """
-    inside = F.struct(*[F.col(c) for c in found.columns if c != "digest"]).alias("media")
-    places = pages.select("id", F.explode("elements").alias("e"))
-    known = found.select(F.col("digest").alias("__digest"), inside)
-    joined = places.join(known, F.col("e.digest") == F.col("__digest"), "left")
-    element = F.struct(F.col("e.pos").alias("pos"), F.col("e.kind").alias("kind"), F.col("e.text").alias("text"), F.col("e.digest").alias("digest"), F.col("e.caption").alias("caption"), "media")
-    whole = joined.groupBy("id").agg(F.sort_array(F.collect_list(element)).alias("elements"))
-    return pages.select("id").join(whole, "id", "left").select("id", F.coalesce("elements", F.array().cast(dict(whole.dtypes)["elements"])).alias("elements"))
-
-
-def figure(title: Column, digest: Column, caption: Column) -> Column:
-    """A small page with one figure, as HTML."""
-    return F.concat(F.lit("<article><h1>"), title, F.lit(f'</h1><figure><img src="{_SCHEME}'), digest, F.lit('" alt=""><figcaption>'), caption, F.lit("</figcaption></figure></article>"))
+    inside = F.struct(*[F.col(c) for c in found.columns if c != "digest"])
+    digests = F.array_distinct(F.transform(F.filter("elements", lambda e: e["kind"] == "media"), lambda e: e["digest"]))
+    named = pages.select("id", F.explode(digests).alias("digest"))
+    known = named.join(found.select("digest", inside.alias("media")), "digest")
+    looked = known.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("digest", "media"))).alias("known"))
+    none = F.lit(None).cast(dict(looked.dtypes)["known"].partition(",")[2][:-1])
+
+    def filled(e: Column) -> Column:
+        own = F.when(F.col("known").isNotNull() & e["digest"].isNotNull(), F.try_element_at("known", e["digest"])).otherwise(none)
+        return F.struct(*[e[c].alias(c) for c in ("pos", "kind", "text", "digest", "caption")], own.alias("media"))
+
+    rest = [c for c in pages.columns if c not in ("id", "elements")]
+    return pages.join(looked, "id", "left").select("id", *[F.col(f"`{c}`") for c in rest], F.transform("elements", filled).alias("elements"))
+
+
+def illustrated(title: Column, digest: Column, absent: Column) -> Column:
+    """A page as HTML: a heading, a figure, a paragraph with an image without caption that no store holds, and the first figure once more."""
+    image = lambda d, alt: F.concat(F.lit(f'<img src="{_SCHEME}'), d, F.lit('" alt="'), alt, F.lit('">'))
+    caption = lambda n: F.concat(F.lit(f"figure {n} of "), title)
+    shown = lambda n: F.concat(F.lit("<figure>"), image(digest, F.lit("")), F.lit("<figcaption>"), caption(n), F.lit("</figcaption></figure>"))
+    return F.concat(F.lit("<article><h1>"), title, F.lit("</h1>"), shown(1), F.lit("<p>before "), image(absent, F.lit("lost")), F.lit(" after</p>"), shown(2), F.lit("</article>"))

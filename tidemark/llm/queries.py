@@ -35,15 +35,22 @@ def _measures(stored: bytes, payload: bytes) -> tuple:
 
 
 def op4_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a page with one figure, whose payload (the text) is stored as an image and described as read back."""
+    """Every document as a page whose figures show the text, stored as an image and described as read back.
+
+    Each page also has text runs, an image that the store doesn't hold, and its figure
+    twice; sequence tells its elements in order, with captions and whether they resolved.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # A row of its own for each document row, should ids repeat.
     store = media.store_media(docs.select(F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("id"), "text"))
-    html = media.figure(F.coalesce(F.col("id.doc_id").cast("string"), F.lit("")), F.col("digest"), F.col("n_bytes").cast("string"))
-    pages = media.interleaved(store.select("id", html.alias("html")))
+    title = F.coalesce(F.col("id.doc_id").cast("string"), F.lit("none"))
+    html = media.illustrated(title, F.col("digest"), F.reverse("digest"))
+    pages = media.interleaved(store.select("id", "n_bytes", html.alias("html")))
     found = written(media.described(store, _measures, "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"), "media-features")
-    one = media.resolve(pages, found).select("id", F.explode("elements").alias("e")).filter("e.kind = 'media'")
-    return one.select("id.doc_id", F.col("e.caption").cast("long").alias("n_bytes"), "e.media.*")
+    whole = media.resolve(pages, found)
+    shown = F.filter("elements", lambda e: e["caption"].startswith("figure 1 of "))[0]["media"]
+    told = lambda e: F.concat_ws(":", e["pos"].cast("string"), e["kind"], F.coalesce(e["caption"], e["text"]), F.when(e["kind"] == "media", F.when(e["media"].isNull(), "absent").otherwise("resolved")))
+    return whole.select("id.doc_id", "n_bytes", shown.alias("m"), F.array_join(F.transform("elements", told), "|").alias("sequence")).select("doc_id", "n_bytes", "m.*", "sequence")
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
