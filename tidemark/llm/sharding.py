@@ -1,48 +1,75 @@
 """Minimax contiguous partition of documents into shards of near equal bytes.
 
-Documents are ordered by a hash of their text, so equal texts stand together
-and are one atomic group. Groups are gathered into at most ``2**ATOM_BITS``
-contiguous hash ranges; only these ranges' sizes reach the driver, however
-many documents there are. Over the ordered sizes, a binary search finds the
-smallest shard capacity for which a greedy pass needs no more than the given
-number of shards, and the cuts follow from it. A last look inside the ranges
-next to the cuts isn't needed: a range is about 1/1600 of a shard of forty,
-or one large group that can't be divided anyway.
+Documents are ordered by a hash of their text, so equal texts stand together and
+are one atomic group. A binary search finds the smallest shard capacity for which
+a greedy pass over the ordered groups needs no more than the given number of
+shards, and the cuts follow from it.
+
+The driver never holds the groups. It knows sizes of hash ranges: ``2**ATOM_BITS``
+at first. If ranges could be divided anywhere, the search gives a capacity that no
+partition of the groups falls below; if they couldn't be divided at all, one that
+some partition keeps. While the two differ, the ranges in which shards end for
+capacities between them are divided by further bits of the hash, down to single
+groups if need be, so the capacity is the smallest for the groups themselves.
 """
 
 from __future__ import annotations
 
 import bisect
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
-ATOM_BITS = 16
+ATOM_BITS, STEP_BITS = 16, 5
+HASH_BITS = 64
 ROW_BYTES = 16
+#: Capacities between the two bounds whose shard ends are looked at in a round.
+PROBES = 16
 
 
-def smallest_capacity(sizes: np.ndarray, shards: int) -> int:
-    """The least capacity at which greedy filling of the ordered sizes needs at most ``shards`` shards."""
-    ends = np.cumsum(sizes, dtype=np.int64).tolist()
-    if not ends:
-        return 0
+@dataclass(frozen=True)
+class Atom:
+    """A range of hashes that begin with the same bits: its least hash, and its groups' number and bytes."""
+
+    low: int
+    bits: int
+    size: int
+    groups: int = 1
 
-    def feasible(capacity: int) -> bool:
-        filled, at = 0, 0
-        for _ in range(shards):
-            at = bisect.bisect_right(ends, filled + capacity, at)
-            if at == len(ends):
-                return True
-            filled = ends[at - 1] if at else 0
-        return False
+    @property
+    def whole(self) -> bool:
+        """Whether it can't be divided: one group."""
+        return self.groups == 1 or self.bits >= HASH_BITS
 
-    low, high = max(int(np.max(sizes)), -(-ends[-1] // shards)), ends[-1]
+
+def shard_ends(sizes: np.ndarray, divisible: np.ndarray, capacity: int, shards: int) -> tuple[bool, set[int]]:
+    """(whether greedy filling needs at most ``shards`` shards, the atoms in which shards end) at a capacity."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    total, filled, hit = int(ends[-1]) if len(ends) else 0, 0, set()
+    for _ in range(shards):
+        if filled + capacity >= total:
+            return True, hit
+        at = int(np.searchsorted(ends, filled + capacity, side="right"))
+        hit.add(at)
+        filled = filled + capacity if divisible[at] else int(ends[at - 1]) if at else 0
+    return filled >= total, hit
+
+
+def smallest_capacity(sizes: np.ndarray, shards: int, divisible: np.ndarray | None = None) -> int:
+    """The least capacity at which greedy filling of the ordered sizes needs at most ``shards`` shards; divisible: which of them may be cut."""
+    sizes = np.asarray(sizes, np.int64)
+    if not len(sizes):
+        return 0
+    divisible = np.zeros(len(sizes), bool) if divisible is None else divisible
+    total = int(sizes.sum())
+    low, high = max(int(sizes[~divisible].max(initial=0)), -(-total // shards)), total
     while low < high:
         middle = (low + high) // 2
-        low, high = (low, middle) if feasible(middle) else (middle + 1, high)
+        low, high = (low, middle) if shard_ends(sizes, divisible, middle, shards)[0] else (middle + 1, high)
     return low
 
 
@@ -72,30 +99,68 @@ def cuts(sizes: np.ndarray, shards: int) -> list[int]:
     return out
 
 
-def layout(sizes: np.ndarray, shards: int) -> tuple[dict[int, int], list[int]]:
-    """(shard of each large atom, atom at which shards 1 onward begin for the others).
-
-    Atoms above the mean shard stand first in the order, the largest ahead; there
-    are fewer than ``shards`` of them. The others follow in hash order.
-    """
-    large = np.flatnonzero(sizes * shards > sizes.sum())
-    large = large[np.argsort(-sizes[large], kind="stable")]
-    rest = np.setdiff1d(np.arange(len(sizes)), large)
-    begins = cuts(sizes[np.concatenate([large, rest])], shards)
-    alone = {int(atom): bisect.bisect_right(begins, at) for at, atom in enumerate(large.tolist())}
-    return alone, [int(rest[b - len(large)]) if len(large) <= b < len(sizes) else -1 if b < len(large) else len(sizes) for b in begins]
-
-
-def shard_of(atom: Column, placed: tuple[dict[int, int], list[int]]) -> Column:
-    """The shard of an atom under a layout()."""
-    alone, starts = placed
-    out = F.size(F.filter(F.array(*[F.lit(s) for s in starts]), lambda s: s <= atom)) if starts else F.lit(0)
+def shard_of(group: Column, alone: dict[int, int], starts: list[int | None]) -> Column:
+    """The shard of a group: that of alone, or how many of starts (where shards 1 onward begin; None: before all) it has reached."""
+    out = F.size(F.filter(F.array(*[F.lit(s).cast("long") for s in starts if s is not None]), lambda s: s <= group)) + sum(s is None for s in starts) if starts else F.lit(0)
     for one, shard in alone.items():
-        out = F.when(atom == one, shard).otherwise(out)
-    return out
+        out = F.when(group == one, shard).otherwise(out)
+    return out.cast("int")
+
+
+def _split(groups: DataFrame, atoms: list[Atom], bits: int) -> list[Atom]:
+    """The parts of atoms of one depth by so many bits; a row for each part that has groups reaches the driver."""
+    depth = atoms[0].bits
+    new = min(depth + bits, HASH_BITS)
+    own = groups.filter(F.shiftright("group", HASH_BITS - depth).isin(*[a.low >> (HASH_BITS - depth) for a in atoms])) if depth else groups
+    place = F.shiftright("group", HASH_BITS - new) if new else F.lit(0)
+    found = own.groupBy(place.cast("long").alias("place")).agg(F.sum("bytes").alias("size"), F.count("*").alias("groups"))
+    return [Atom(r["place"] << (HASH_BITS - new), new, r["size"], r["groups"]) for r in found.collect()]
+
 
+def refined(groups: DataFrame, first: list[Atom], shards: int, atom_bits: int = ATOM_BITS, step_bits: int = STEP_BITS) -> tuple[list[Atom], int]:
+    """(atoms in order, smallest capacity) of groups (group: hash, bytes) that follow those of first.
 
-def assign(docs: DataFrame, shards: int = 40, atom_bits: int = ATOM_BITS) -> DataFrame:
+    The atoms are divided where shards can end, so that the capacity is that of the groups.
+    """
+    largest = groups.agg(F.max("bytes")).first()[0] or 0
+    atoms = sorted(_split(groups, [Atom(-(1 << (HASH_BITS - 1)), 0, 0, 2)], atom_bits), key=lambda a: a.low)
+    while True:
+        row = [*first, *atoms]
+        sizes, loose = np.array([a.size for a in row], np.int64), np.array([not a.whole for a in row], bool)
+        least, most = max(largest, smallest_capacity(sizes, shards, loose)), smallest_capacity(sizes, shards)
+        if least >= most:
+            return atoms, most
+        hit: set[int] = set()
+        for capacity in {least + (most - least) * k // (PROBES - 1) for k in range(PROBES)}:
+            for divisible in (loose, np.zeros(len(row), bool)):
+                hit |= shard_ends(sizes, divisible, capacity, shards)[1]
+        by_depth: dict[int, list[Atom]] = {}
+        for k in hit:
+            if loose[k]:
+                by_depth.setdefault(row[k].bits, []).append(row[k])
+        gone = {(a.low, a.bits) for own in by_depth.values() for a in own}
+        parts = [p for own in by_depth.values() for p in _split(groups, own, step_bits)]
+        atoms = sorted([*(a for a in atoms if (a.low, a.bits) not in gone), *parts], key=lambda a: a.low)
+
+
+def layout(groups: DataFrame, shards: int, atom_bits: int = ATOM_BITS, step_bits: int = STEP_BITS) -> tuple[dict[int, int], list[int | None], int]:
+    """(shard of each large group, hash at which shards 1 onward begin for the others, capacity).
+
+    Groups above the mean shard stand first in the order, the largest ahead; there
+    are fewer than ``shards`` of them. The others follow in hash order.
+    """
+    total = groups.agg(F.sum("bytes")).first()[0] or 0
+    large = [Atom(r["group"], HASH_BITS, r["bytes"]) for r in groups.filter(F.col("bytes") * shards > total).collect()]
+    large.sort(key=lambda a: (-a.size, a.low))
+    others = groups.filter(~F.col("group").isin(*[a.low for a in large])) if large else groups
+    atoms, capacity = refined(others, large, shards, atom_bits, step_bits)
+    begins = cuts(np.array([a.size for a in [*large, *atoms]], np.int64), shards)
+    alone = {a.low: bisect.bisect_right(begins, at) for at, a in enumerate(large)}
+    starts = [None if b <= len(large) else atoms[b - len(large)].low for b in begins if b < len(large) + len(atoms)]
+    return alone, starts, capacity
+
+
+def assign(docs: DataFrame, shards: int = 40, atom_bits: int = ATOM_BITS, step_bits: int = STEP_BITS) -> DataFrame:
     """Shard and slot of each document (doc_id, text); other columns are ignored.
 
     Returns doc_id, size (UTF-8 bytes and ROW_BYTES), text_crc32, law ('bytes'),
@@ -108,13 +173,13 @@ def assign(docs: DataFrame, shards: int = 40, atom_bits: int = ATOM_BITS) -> Dat
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.shiftrightunsigned(F.xxhash64(text), 64 - atom_bits).cast("int").alias("atom"),
+        F.xxhash64(text).alias("group"),
     ).withColumns({"part": F.spark_partition_id(), "row": F.monotonically_increasing_id()})
     rows = written(rows, "shard-rows")
-    sizes = np.zeros(1 << atom_bits, np.int64)
-    for atom, size in rows.groupBy("atom").agg(F.sum("size")).collect():  # at most 2**atom_bits rows
-        sizes[atom] = size
-    return slotted(rows.withColumn("shard", shard_of(F.col("atom"), layout(sizes, shards)))).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot")
+    groups = written(rows.groupBy("group").agg(F.sum("size").alias("bytes")), "shard-groups")
+    alone, starts, _ = layout(groups, shards, atom_bits, step_bits)
+    discard(groups)
+    return slotted(rows.withColumn("shard", shard_of(F.col("group"), alone, starts))).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot")
 
 
 def slotted(rows: DataFrame) -> DataFrame:
