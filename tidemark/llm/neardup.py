@@ -1,15 +1,17 @@
 """Near copies by similarity of word shingles, for the pipeline's stage.
 
 Two texts are near copies if the Jaccard similarity of their sets of five-word
-shingles is ``SIMILAR`` or more. Candidates agree in one of ``BANDS`` bands of
-``ROWS`` minhashes each, and every candidate is then checked on the whole sets.
-A pair at exactly 0.8 agrees in no band once in 300 000 times, a closer one less
-often. (SimHash differs by about 10 of 64 bits there, so that no segments of a
-fingerprint are left to join on.)
+shingles is ``SIMILAR`` or more. Candidates come in two rounds, and every one is
+checked on the whole sets. First those that SimHash finds: fingerprints of the
+same shingles that stand near each other in the order of a pigeonring key
+(``simhash.near_neighbours``). At a similarity of 0.8 fingerprints differ by about
+10 of 64 bits, so that no segments are left to join on; therefore texts that agree
+in one of ``BANDS`` bands of ``ROWS`` minhashes are candidates too. A pair at exactly
+0.8 agrees in no band once in 300 000 times, a closer one less often.
 
 Texts of one set are one node, so exact copies make no pairs. In a dense group
-of near copies, neighbours in the order of (band, size) are checked first; then
-only pairs of different components are, as in ``simhash``.
+of near copies, neighbours in key order are checked first; then only pairs of
+different components are, as in ``simhash``.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, slices, written
 from .components import connected_components
+from .simhash import MAX_DISTANCE, majority, near_neighbours, segment_count, shingle_hashes
 
 SHINGLE_WORDS = 5
 #: Similarity of near copies as a fraction of whole numbers, so that the limit itself counts.
@@ -39,18 +42,9 @@ _FACTORS = _RNG.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(
 _ADDED = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 
 
-def shingles(text: str | None, words: int = SHINGLE_WORDS) -> np.ndarray:
-    """Sorted distinct XXH64 values of a whole text's shingles; words and short texts as in simhash.fingerprint."""
-    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    whole, hashed = b" ".join(parts), xxhash.xxh64_intdigest
-    if len(parts) <= words:
-        return np.array([hashed(whole)], np.uint64)
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = (ends - lengths)[: len(parts) - words + 1].tolist()
-    return np.unique(np.array([hashed(whole[s:e]) for s, e in zip(starts, ends[words - 1 :].tolist(), strict=True)], np.uint64))
+def shingles(text: str | None) -> np.ndarray:
+    """Sorted distinct hashes of a whole text's shingles."""
+    return np.unique(shingle_hashes(text, SHINGLE_WORDS))
 
 
 def bands(values: np.ndarray) -> np.ndarray:
@@ -72,17 +66,19 @@ def row_keys() -> list[Column]:
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """(r1, r2, doc_id, node, size, bands) of each row; node: a hash of the set."""
+    """(r1, r2, doc_id, node, size, fp, bands) of each row; node: a hash of the set, fp: the fingerprint."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [shingles(t) for t in batch.column(3).to_pylist()]
+            values = [shingle_hashes(t, SHINGLE_WORDS) for t in batch.column(3).to_pylist()]
+            sets = [np.unique(v) for v in values]
+            prints = pa.array(np.array([majority(v) for v in values], np.uint64).view(np.int64))
             node = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
             keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(node), pa.array([len(s) for s in sets], pa.int64()), keys], names=["r1", "r2", "doc_id", "node", "size", "bands"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(node), pa.array([len(s) for s in sets], pa.int64()), prints, keys], names=["r1", "r2", "doc_id", "node", "size", "fp", "bands"])
 
     texts = docs.select(*row_keys(), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(rows, "r1 long, r2 long, doc_id long, node long, size long, bands array<long>")
+    return texts.mapInArrow(rows, "r1 long, r2 long, doc_id long, node long, size long, fp long, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -141,8 +137,11 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     part, whole = SIMILAR
     rows = written(_sketches(docs), "sketches")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r1", "r2")
-    nodes = written(rows.groupBy("node").agg(F.min(order).alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
-    near = written(_neighbours(nodes.select("node", "size", F.explode(F.slice("bands", 1, FIRST_BANDS)).alias("key"))), "near")
+    nodes = written(rows.groupBy("node").agg(F.min(order).alias("least"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "nodes")
+    close = near_neighbours(nodes.select("fp", F.col("node").alias("rep")), segment_count(nodes.count(), MAX_DISTANCE))
+    close = close.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    banded = _neighbours(nodes.select("node", "size", F.explode(F.slice("bands", 1, FIRST_BANDS)).alias("key")))
+    near = written(close.unionByName(banded).distinct(), "near")
     first = connected_components(_checked(docs, nodes, near))
     grouped = written(nodes.join(first.withColumnRenamed("component", "found"), "node", "left").select("node", "size", "bands", F.coalesce("found", "node").alias("comp")), "grouped")
     keyed = grouped.select("node", "size", "comp", F.explode("bands").alias("key"))

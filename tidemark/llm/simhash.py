@@ -44,34 +44,43 @@ NEIGHBOURS = 8
 #: Components in a bucket above which its fingerprints go on to wider keys.
 DENSE = 256
 #: Segments in a ring at most.
-MOST_SEGMENTS = 15
+MOST_SEGMENTS = 9
 _CHUNK = 1 << 16
+_KEYED_ROWS = 1 << 10
 
 
-def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
-    """The unsigned fingerprint of a whole text; zero if it has no word.
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of each shingle of a whole text, repeats included.
 
     A-Z are lower-cased; words are runs without space or \\x09-\\x0D; a text of fewer
-    words than a shingle has is one shingle. A bit is set if it is in more than half
-    of the shingles' XXH64 values, repeats included.
+    words than a shingle has is one shingle, one without words has none.
     """
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return np.zeros(0, np.uint64)
     whole, hashed = b" ".join(parts), xxhash.xxh64_intdigest
     if len(parts) <= words:
-        return hashed(whole, SEED)
+        return np.array([hashed(whole, SEED)], np.uint64)
     lengths = np.fromiter(map(len, parts), np.int64, len(parts))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: len(parts) - words + 1].tolist()
-    values = [hashed(whole[s:e], SEED) for s, e in zip(starts, ends[words - 1 :].tolist(), strict=True)]
+    return np.array([hashed(whole[s:e], SEED) for s, e in zip(starts, ends[words - 1 :].tolist(), strict=True)], np.uint64)
+
+
+def majority(values: np.ndarray) -> int:
+    """The unsigned fingerprint of hashes: a bit is set if it is in more than half of them; zero for none."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(values), _CHUNK):
-        block = np.array(values[at : at + _CHUNK], "<u8").view(np.uint8).reshape(-1, 8)
+        block = values[at : at + _CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(values), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
+    """The unsigned fingerprint of a whole text's shingles; zero if it has no word."""
+    return majority(shingle_hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp) of each row of docs (doc_id, text); fp is the fingerprint as a signed long."""
 
@@ -122,19 +131,35 @@ def chain_starts(m: int, distance: int) -> tuple[tuple[int, tuple[int, ...]], ..
     return tuple(out)
 
 
-def _keyed(nodes: DataFrame, m: int, distance: int) -> DataFrame:
-    """The columns of nodes (fp and others) with key and start, a row for each join key of a fingerprint."""
-    parts, fp = _segments(m), F.col("fp")
+def join_keys(fp: np.ndarray, m: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, start) of unsigned fingerprints, a row for each and a column for each chain start and pattern.
 
-    def key(number: int, start: int, agree: tuple[int, ...]) -> Column:
-        out = F.lit(number).cast("long")
+    A key is the number of its pattern and, after it, the bits of the segments that must agree.
+    """
+    parts, starts = _segments(m), chain_starts(m, distance)
+    bits = [(fp >> np.uint64(first)) & np.uint64((1 << width) - 1) for first, width in parts]
+    out = np.empty((len(fp), len(starts)), np.uint64)
+    for number, (_, agree) in enumerate(starts):
+        key = np.full(len(fp), number, np.uint64)
         for k in agree:
-            first, width = parts[k]
-            out = F.shiftleft(out, width).bitwiseOR(F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1).cast("long")))
-        return F.struct(out.alias("key"), F.lit(start).cast("byte").alias("start"))
+            key = (key << np.uint64(parts[k][1])) | bits[k]
+        out[:, number] = key
+    return out.view(np.int64), np.array([start for start, _ in starts], np.int8)
+
+
+def _keyed(nodes: DataFrame, m: int, distance: int) -> DataFrame:
+    """The columns of nodes (fp and another long) with key and start, a row for each join key of a fingerprint."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _KEYED_ROWS):
+                part = batch.slice(at, _KEYED_ROWS)
+                keys, starts = join_keys(part.column(0).to_numpy(zero_copy_only=False).view(np.uint64), m, distance)
+                owner = pa.array(np.repeat(np.arange(part.num_rows), keys.shape[1]))
+                yield pa.RecordBatch.from_arrays([*(c.take(owner) for c in part.columns), pa.array(keys.ravel()), pa.array(np.tile(starts, part.num_rows))], names=[*names, "key", "start"])
 
-    keys = F.array(*[key(n, *c) for n, c in enumerate(chain_starts(m, distance))])
-    return nodes.select("*", F.explode(keys).alias("own")).select(*nodes.columns, "own.key", "own.start")
+    names = ["fp", next(c for c in nodes.columns if c != "fp")]
+    return nodes.select(*names).mapInArrow(rows, f"fp long, {names[1]} long, key long, start byte")
 
 
 def _mask(parts: list[tuple[int, int]], segments: list[int]) -> int:
@@ -161,8 +186,8 @@ def chain_condition(x: Column, start: Column, m: int, distance: int) -> Column:
     return out
 
 
-def _near_neighbours(keyed: DataFrame, m: int, distance: int) -> DataFrame:
-    """Edges between fingerprints that stand near each other in the order of a key, keep its chain's budgets and differ in at most distance bits."""
+def near_neighbours(nodes: DataFrame, m: int, distance: int = MAX_DISTANCE) -> DataFrame:
+    """Edges (u, v) between reps of nodes (fp, rep) whose fingerprints stand near each other in the order of a key, keep its chain's budgets and differ in at most distance bits."""
     budgets = [_budgets(m, distance, s) for s in range(m)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,8 +208,8 @@ def _near_neighbours(keyed: DataFrame, m: int, distance: int) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["u", "v"])
 
-    ordered = keyed.repartitionByRange("key", "fp").sortWithinPartitions("key", "fp")
-    return ordered.select("key", "fp", "rep", "start").mapInArrow(rows, "u long, v long")
+    ordered = _keyed(nodes.select("fp", "rep"), m, distance).repartitionByRange("key", "fp").sortWithinPartitions("key", "fp")
+    return ordered.select("key", "fp", "rep", "start").mapInArrow(rows, "u long, v long").distinct()
 
 
 def candidates(grouped: DataFrame, m: int, distance: int, dense: int | None = DENSE) -> tuple[DataFrame, DataFrame]:
@@ -194,10 +219,11 @@ def candidates(grouped: DataFrame, m: int, distance: int, dense: int | None = DE
     frequent component meet the bucket. rest: the fingerprints (fp, comp) of buckets
     with more than dense components, which are left out of the pairs.
     """
-    keyed = _keyed(grouped.select("fp", "comp"), m, distance)
+    keyed = written(_keyed(grouped, m, distance), "keyed")
     held = keyed.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = held.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("most"), F.count("*").alias("comps")).filter("comps > 1").select("key", "most", (F.col("comps") > (dense or 1 << 62)).alias("dense"))
     members = written(keyed.join(mixed, "key").select("key", "start", "fp", "comp", "most", "dense"), "buckets")
+    discard(keyed)
     a, b = members.filter("not dense and comp != most").alias("a"), members.filter("not dense").alias("b")
     apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.most")) | (F.col("a.fp") < F.col("b.fp")))
     pairs = a.join(b, apart).select("a.key", "a.start", F.col("a.fp").alias("fp_a"), F.col("b.fp").alias("fp_b"), F.col("a.comp").alias("comp_a"), F.col("b.comp").alias("comp_b"))
@@ -210,7 +236,7 @@ def link_components(nodes: DataFrame, distance: int = MAX_DISTANCE, dense: int =
     The component is the least rep that links of at most distance differing bits reach.
     """
     m = segment_count(nodes.count(), distance)
-    near = written(_near_neighbours(_keyed(nodes.select("fp", "rep"), m, distance), m, distance).distinct(), "near")
+    near = written(near_neighbours(nodes, m, distance), "near")
     first = connected_components(near)
     grouped = written(nodes.join(first, nodes["rep"] == first["node"], "left").select("fp", F.coalesce("component", "rep").alias("comp")), "grouped")
     links, pool = [], grouped
