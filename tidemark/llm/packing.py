@@ -127,7 +127,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPAC
     bases = counts.select("part", "length", before.alias("before"))
     # At most ``capacity`` rows reach the driver.
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    slots = plan(histogram, capacity)
     ranked = cut.join(bases, ["part", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
     return take_slots(ranked, plan(histogram, capacity))
 

@@ -127,11 +127,13 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int = 0, planes: str =
     """Encode ``docs`` (doc_id, text; others are ignored) and write the store; returns it as read back.
 
     Null and empty texts have the end id alone. Null doc_ids come first;
-    repeated doc_ids stay as rows of their own, ordered by text. An empty table
-    gives an empty store.
+    repeated doc_ids stay as rows of their own, ordered by a hash of the text and by
+    the text, so that one id's rows can lie in many tasks. An empty table gives an
+    empty store.
     """
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    text = F.col("text").cast("string")
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    ordered = ordered.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text").select("doc_id", "text")
     return written(ordered.mapInArrow(_writer(tokenizer, end_id, planes, chunk_ids, segment_ids), _STORE), "token-store", "uncompressed")
 
 
