@@ -1,11 +1,13 @@
 """Grouped statistics against pandas and numpy, and the rules of small groups."""
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import stats
+from tidemark.operators import peers, stats
 
 
 @pytest.fixture(scope="module")
@@ -42,9 +44,18 @@ def test_skew_and_kurtosis_are_bias_corrected(spark, sample):
     assert {r["k"]: tuple(r)[1:] for r in small} == {"a": (None, None), "b": (0.0, 0.0)}
 
 
+def level(spark, rows, large=False):
+    """level_stats() of rows (key, month_ord, value) in month 124, each key with one scoring row."""
+    schema = "cand int, key string, month_ord int, log_main_metric double, main_metric double, main_to_reference_log_ratio double, invoice_month int, month_of_year int"
+    full = lambda k, m, y: (0, k, m, y, float(np.expm1(y)), y / 2, (m - 1) // 12 * 100 + (m - 1) % 12 + 1, (m - 1) % 12 + 1)
+    old = spark.createDataFrame([full(*r) for r in rows], schema)
+    new = spark.createDataFrame([full(k, 124, 5.0) for k in sorted({r[0] for r in rows})], schema)
+    return {r["key"]: r.asDict() for r in peers.level_stats(old, new, 124, True, large).collect()}
+
+
 def test_tail_rate_needs_twenty_rows(spark):
     rows = [("few", 0.0)] * 18 + [("few", 99.0)] + [("many", float(k % 5)) for k in range(19)] + [("many", 99.0)] + [("flat", 1.0)] * 20
-    got = {r["k"]: r["tail_rate"] for r in stats.tail_rate(spark.createDataFrame(rows, "k string, y double"), ["k"], "y").collect()}
+    got = {k: r["peer_tail_rate"] for k, r in level(spark, [(k, 110, y) for k, y in rows]).items()}
     assert got == {"few": None, "many": 0.05, "flat": 0.0}
 
 
@@ -63,17 +74,44 @@ def test_trend_slope_is_cut_and_one_month_has_none(spark):
     assert got["o"]["t_trend_slope"] is None and got["o"]["t_trend_intercept"] is None
 
 
-def test_average_ranks_of_ties(spark):
-    df = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (5.0,)], "y double")
-    got = sorted(r[0] for r in df.select(stats.average_rank_pct(F.col("y"))).collect())
-    assert got == sorted(pd.Series([1.0, 2.0, 2.0, 5.0]).rank(pct=True))
+@pytest.mark.parametrize("large", [False, True])
+def test_average_ranks_of_ties(spark, large):
+    rows = [("a", 1.0), ("a", 2.0), ("a", 2.0), ("a", 5.0), ("a", None), (None, 3.0), (None, 1.0)]
+    out = stats.ranked(spark.createDataFrame(rows, "k string, y double"), ["k"], F.col("y"), large)
+    got = [tuple(r) for r in out.select("k", "y", F.expr(stats.AVERAGE_RANK), "__below").collect()]
+    want = [("a", 1.0, 0.25, 0), ("a", 2.0, 0.625, 1), ("a", 2.0, 0.625, 1), ("a", 5.0, 1.0, 3), ("a", None, None, None), (None, 3.0, 1.0, 1), (None, 1.0, 0.5, 0)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_quantiles_of_groups_too_large_for_a_task_are_the_same(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([0.0, 1.5, rng.random()]), None) for _ in range(500)] + [("none", None, None), ("one", 2.0, None)]
+    df = spark.createDataFrame(rows, "k string, y double, z double").repartition(5)
+    values = {"q": (F.col("y"), (0.0, 0.25, 0.5, 0.97, 1.0)), "half": (F.abs(F.col("y") - 1), (0.5,)), "nothing": (F.col("z"), (0.5,))}
+    small, large = ({r["k"]: r for r in stats.quantiles(df, ["k"], values, [F.count("y").alias("n")], x).collect()} for x in (False, True))
+    assert set(small) == set(large) == {"a", "b", None, "none", "one"}
+    for k in small:
+        assert small[k]["n"] == large[k]["n"]
+        for name in values:
+            assert (small[k][name] is None) == (large[k][name] is None)
+            assert small[k][name] is None or np.allclose(small[k][name], large[k][name], rtol=1e-12)
+    whole = stats.quantiles(df, [], {"q": (F.col("y"), (0.25, 0.9))}, (), True).first()["q"]
+    assert np.allclose(whole, np.quantile([y for _, y, _ in rows if y is not None], (0.25, 0.9)))
 
 
 def test_calibration_of_a_steady_group_is_full(spark):
-    rows = [("a", m, 5.0, (m - 1) % 12 + 1) for m in range(100, 124) for _ in range(3)] + [("b", m, 5.0, (m - 1) % 12 + 1) for m in range(122, 124)]
-    df = spark.createDataFrame(rows, "k string, month_ord int, y double, month_of_year int")
-    got = stats.calibration_stats(df, ["k"], 124, "y").collect()
-    assert [(r["k"], r["peer_calibration_n"], r["peer_calibration_score"]) for r in got] == [("a", 6, 100.0)]
+    rows = [("a", m, 5.0) for m in range(100, 124) for _ in range(3)] + [("b", m, 5.0) for m in range(122, 124)]
+    got = level(spark, rows)
+    assert [(k, r["peer_calibration_n"], r["peer_calibration_score"]) for k, r in sorted(got.items())] == [("a", 6, 100.0), ("b", 0, 50.0)]
+
+
+def test_levels_of_groups_too_large_for_a_task_are_the_same(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice("abc"), rng.randint(100, 123), rng.gauss(5, 1)) for _ in range(400)]
+    small, large = level(spark, rows), level(spark, rows, True)
+    for k in small:
+        for name, value in small[k].items():
+            assert value == large[k][name] or np.isclose(value, large[k][name], rtol=1e-9), (k, name)
 
 
 def test_self_stats_need_two_rows(spark):

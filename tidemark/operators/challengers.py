@@ -8,7 +8,6 @@ outlier factor is against all scored rows, beyond POOL_ROWS in pairs of blocks.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
@@ -18,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import checkpointed
 from .signals import CUSTOMER_Z, PEER_Z
-from .stats import MAD_FACTOR, MIN_LOG_SCALE, average_rank_pct
+from .stats import AVERAGE_RANK, MAD_FACTOR, MIN_LOG_SCALE, RANKS, ranked
 
 #: Rows that isolation trees are drawn from; up to as many, neighbours are looked for on the driver's copy.
 POOL_ROWS = 4096
@@ -140,20 +140,12 @@ def outlier_factor(pool: np.ndarray, k: int):
     return factor
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df as written to the checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
-    return df.checkpoint()
-
-
 def outlier_factors(points: DataFrame, k: int) -> DataFrame:
     """(row, lof) of each of points (row: a unique long, x), against all of them; points must be written, as it is read often."""
     n = points.count()
     k = max(1, min(k, n - 1))
     block = points.groupBy(F.pmod(F.xxhash64("row"), F.lit(-(-n // BLOCK_ROWS))).alias("block")).agg(F.collect_list(F.struct("row", "x")).alias("p"))
-    block = kept(block.select("block", F.col("p.row").alias("row"), F.col("p.x").alias("x")))
+    block = checkpointed(block.select("block", F.col("p.row").alias("row"), F.col("p.x").alias("x")))
 
     def matrix(batch: pa.RecordBatch, column: int, at: int) -> np.ndarray:
         return np.array(batch.column(column)[at].as_py())
@@ -175,17 +167,17 @@ def outlier_factors(points: DataFrame, k: int) -> DataFrame:
     conf.set(_BATCH, "16")  # a row is two whole blocks
     try:
         found = pairs.mapInArrow(nearest, "row long, other long, dist double")
-        near = kept(found.groupBy("row").agg(F.slice(F.sort_array(F.collect_list(F.struct("dist", "other"))), 1, k).alias("near")))
+        near = checkpointed(found.groupBy("row").agg(F.slice(F.sort_array(F.collect_list(F.struct("dist", "other"))), 1, k).alias("near")))
     finally:
         conf.unset(_BATCH) if old is None else conf.set(_BATCH, old)
     links = near.select("row", F.inline("near"))
     reach = near.select(F.col("row").alias("other"), F.array_max("near.dist").alias("reach"))
-    density = kept(links.join(reach, "other").groupBy("row").agg((1.0 / (F.avg(F.greatest("dist", "reach")) + 1e-10)).alias("density")))
+    density = checkpointed(links.join(reach, "other").groupBy("row").agg((1.0 / (F.avg(F.greatest("dist", "reach")) + 1e-10)).alias("density")))
     around = links.join(density.toDF("other", "theirs"), "other").groupBy("row").agg(F.avg("theirs").alias("theirs"))
     return around.join(density, "row").select("row", (F.col("theirs") / F.col("density")).alias("lof"))
 
 
-def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "customer_id") -> DataFrame:
+def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "customer_id", large: bool = False) -> DataFrame:
     """Scores (0 to 100 by rank) and flags of each method, their mean and a warning; nulls where there are too few rows."""
     rules = config["challenger_models"]
     names = list(rules.get("feature_columns") or (*CUSTOMER_Z, *PEER_Z))
@@ -212,7 +204,7 @@ def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "cu
         if "isolation_forest" in wanted:
             models["isolation_forest"] = isolation_score(pool, seed)
         if "lof" in wanted and len(pool) == POOL_ROWS:  # there may be more rows
-            rows = kept(rows.withColumn("__row", F.monotonically_increasing_id()))
+            rows = checkpointed(rows.withColumn("__row", F.monotonically_increasing_id()))
             neighbours = max(5, int(rules["lof_neighbors"]))
             rows = rows.join(outlier_factors(rows.select(F.col("__row").alias("row"), "x"), neighbours).toDF("__row", "__factor"), "__row").drop("__row")
             raw["lof"] = F.col("__factor")
@@ -221,7 +213,8 @@ def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "cu
     for name, model in models.items():
         raw[name] = _scored(model)(F.col("x"))
     out = rows.withColumns({f"__{m}": c for m, c in raw.items()})
-    out = out.withColumns({f"{METHODS[m]}_challenger_score": 100.0 * average_rank_pct(F.col(f"__{m}")) for m in raw})
+    for m in raw:
+        out = ranked(out, [], F.col(f"__{m}"), large).withColumn(f"{METHODS[m]}_challenger_score", 100.0 * F.expr(AVERAGE_RANK)).drop(*RANKS)
     out = out.withColumns({f"{v}_challenger_score": F.lit(None).cast("double") for k, v in METHODS.items() if k not in raw})
     flag = float(rules["flag_threshold"])
     out = out.withColumns({f"{v}_challenger_anomaly_flag": F.coalesce(F.col(f"{v}_challenger_score") >= flag, F.lit(False)).cast("int") for v in METHODS.values()})

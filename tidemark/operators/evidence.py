@@ -5,26 +5,26 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clip, first_match
 from .signals import SIGNALS
+from .stats import RANKS, ranked
 
 
-def empirical_p(df: DataFrame, config: Mapping[str, Any], scope: str = "cand", row: str = "customer_id") -> DataFrame:
+def empirical_p(df: DataFrame, config: Mapping[str, Any], scope: str = "cand", row: str = "customer_id", large: bool = False) -> DataFrame:
     """<signal>_p_value and _evidence_score: the rank of z among the scope's rows of its side, not below what its size allows.
 
-    All signals are ranked in one window over (scope, signal, side), of one month's
-    scored rows and never of history; (scope, row) must be unique.
+    All signals are ranked at once within (scope, signal, side); (scope, row) must be
+    unique. large: whether these may be too many for one task each.
     """
     least, floor = float(config["min_abs_z_for_evidence"]), float(config["min_p_value"])
     entries = F.array(*[F.struct(F.lit(s.name).alias("signal"), s.evidence_z.alias("z"), F.col(f"{s.name}_score").alias("score")) for s in SIGNALS])
     long = df.select(scope, row, F.explode(F.filter(entries, lambda e: F.abs(e["z"]) >= least)).alias("e")).select(scope, row, "e.*")
-    by = Window.partitionBy(scope, "signal", F.signum("z"))
-    ranked = F.rank().over(by.orderBy(F.abs("z").desc())) / (F.count("*").over(by) + 1)
-    p = F.greatest(clip(1.0 - F.col("score") / 100.0, floor, 1.0), clip(ranked, floor, 1.0))
-    wide = long.withColumn("p", p).groupBy(scope, row).agg(*[F.max(F.when(F.col("signal") == s.name, F.col("p"))).alias(f"__{s.name}") for s in SIGNALS])
+    long = ranked(long.withColumn("side", F.signum("z")), [scope, "signal", "side"], -F.abs("z"), large)
+    p = F.greatest(clip(1.0 - F.col("score") / 100.0, floor, 1.0), clip((F.col("__below") + 1) / (F.col("__total") + 1), floor, 1.0))
+    wide = long.withColumn("p", p).drop(*RANKS).groupBy(scope, row).agg(*[F.max(F.when(F.col("signal") == s.name, F.col("p"))).alias(f"__{s.name}") for s in SIGNALS])
     out = df.join(wide, [scope, row], "left").withColumns({f"{s.name}_p_value": F.coalesce(F.col(f"__{s.name}"), F.lit(1.0)) for s in SIGNALS})
     return out.withColumns({f"{s.name}_evidence_score": 100.0 * (1.0 - F.col(f"{s.name}_p_value")) for s in SIGNALS}).drop(*[f"__{s.name}" for s in SIGNALS])
 

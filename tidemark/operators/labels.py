@@ -10,24 +10,24 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import at_least, clip, first_match, number_text
 from .signals import CUSTOMER_Z, PEER_Z, SIGNALS
-from .stats import average_rank_pct
+from .stats import AVERAGE_RANK, RANKS, quantiles, ranked
 
 STRONG_Z, STABLE_Z = 2.5, 1.5
 
 
-def thresholds(scores: DataFrame, watch_rate: float, high_rate: float) -> tuple[float, float]:
+def thresholds(scores: DataFrame, watch_rate: float, high_rate: float, large: bool = False) -> tuple[float, float]:
     """(watch, high) thresholds of the raw score: its upper quantiles, 60 and 80 at least. One aggregation."""
     at = [max(0.0, 1.0 - watch_rate), max(0.0, 1.0 - high_rate)]
-    got = scores.agg(F.percentile("final_anomaly_score", F.array(*map(F.lit, at)))).first()[0] or [0.0, 0.0]
+    got = quantiles(scores, [], {"q": (F.col("final_anomaly_score"), at)}, (), large).first()[0] or [0.0, 0.0]
     return max(60.0, got[0]), max(80.0, got[1])
 
 
-def label(scores: DataFrame, watch_rate: float, high_rate: float, guardrails: Mapping[str, Any]) -> DataFrame:
+def label(scores: DataFrame, watch_rate: float, high_rate: float, guardrails: Mapping[str, Any], large: bool = False) -> DataFrame:
     """Label each row; final_anomaly_score becomes the operational score, raw_evidence_score keeps the raw one."""
-    watch_at, high_at = thresholds(scores, watch_rate, high_rate)
+    watch_at, high_at = thresholds(scores, watch_rate, high_rate, large)
     raw = F.coalesce(F.col("final_anomaly_score"), F.lit(0.0))
     out = scores.withColumns({"raw_evidence_score": raw, "raw_watchlist_threshold_used": F.lit(watch_at), "raw_high_anomaly_threshold_used": F.lit(high_at)})
-    out = out.withColumn("score_percentile", 100.0 * average_rank_pct(F.col("raw_evidence_score")))
+    out = ranked(out, [], F.col("raw_evidence_score"), large).withColumn("score_percentile", 100.0 * F.expr(AVERAGE_RANK)).drop(*RANKS)
     raw, on = F.col("raw_evidence_score"), bool(guardrails.get("enabled", False))
     z = F.greatest(*[F.abs(F.coalesce(s.evidence_z, F.lit(0.0))) for s in SIGNALS])
     effect = F.coalesce(F.abs(F.log(at_least(F.col("actual_to_expected_ratio"), 1e-6))), F.lit(0.0))

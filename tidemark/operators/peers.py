@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import at_least, clip, first_match, share
 from ..plans.config import BLOCKED, DISTRIBUTION, OBJECTIVE_CAPS, Peers, Support
-from .stats import calibration_stats, iqr_stats, join_null_safe, robust_stats, shape, tail_rate, trend_stats
+from .stats import CALIBRATION_MONTHS, IQR_FACTOR, MAD_FACTOR, MIN_BASE_MONTHS, MIN_LOG_SCALE, MIN_TAIL_ROWS, calibration_score, floored, quantiles, shape
 
 BEHAVIOR_PARTS = ("behavior_level_bucket", "behavior_volatility_bucket", "behavior_trend_bucket")
 KEYS = ("cand", "key")
@@ -102,26 +102,6 @@ def exploded(df: DataFrame, candidates: Sequence[Candidate], keep: Sequence[str]
     return df.select(*keep, F.explode(F.array(*keys)).alias("__e")).select(*keep, "__e.cand", "__e.key")
 
 
-def distribution_stats(history: DataFrame, current: DataFrame, keys: Sequence[str] = KEYS, use_current: bool = True) -> DataFrame:
-    """The shape of each group: skewness, kurtosis and tails of history; spread and means of the current month.
-
-    use_current: whether the current month has valid rows at all; otherwise history stands in.
-    """
-    y, raw = F.col("log_main_metric"), current if use_current else history
-    out = history.groupBy(*keys).agg(F.count("*").alias("peer_distribution_n"), *shape("log_main_metric", "peer_log_ratio"))
-    tails = tail_rate(history, keys, "log_main_metric").withColumnRenamed("tail_rate", "peer_tail_rate")
-    means = raw.groupBy(*keys).agg(F.avg("main_metric").alias("__mean"), F.median("main_metric").alias("__mid"), F.stddev_pop("main_metric").alias("__sd"))
-    monthly = iqr_stats(history, [*keys, "invoice_month"], y, "m").groupBy(*keys).agg(F.median("m_iqr_log").alias("peer_history_monthly_iqr_log"), F.median("m_mad_log").alias("peer_history_monthly_mad_log"))
-    for part in (tails, means, iqr_stats(raw, keys, y, "peer_current"), monthly):
-        out = join_null_safe(out, part, keys)
-    floor = at_least(F.col("__mid"), 1e-6)
-    out = out.withColumns({"peer_mean_median_ratio": F.col("__mean") / floor, "peer_std_median_ratio": F.col("__sd") / floor})
-    gap = F.abs(F.log(at_least(F.col("peer_mean_median_ratio"), 1e-6)))
-    out = out.withColumn("peer_mean_median_gap_log", gap).drop("__mean", "__mid", "__sd")
-    out = out.withColumn("peer_distribution_quality_score", distribution_quality())
-    return out.withColumn("peer_distribution_status", distribution_status(F.col("peer_distribution_quality_score")))
-
-
 def distribution_quality(settings: Mapping[str, float] = DISTRIBUTION) -> Column:
     """100 for a group whose values are alike, less for each of seven penalties; an unknown penalty is a half."""
     names = ("iqr", "mad", "tail", "skew", "kurtosis", "mean_median", "std_median")
@@ -146,26 +126,60 @@ def distribution_status(score: Column) -> Column:
     return first_match([(score.isNull(), "PEER_DISTRIBUTION_UNKNOWN"), (score >= 75, "ROBUST_COMPARABLE_PEER"), (score >= 60, "USABLE_WIDE_PEER"), (score >= 40, "WIDE_PEER_REVIEW")], "UNSTABLE_PEER_DISTRIBUTION")
 
 
-def level_stats(history: DataFrame, scoring: DataFrame, scoring_ord: int, has_current: bool = True) -> DataFrame:
-    """All statistics of every (cand, key) that scoring rows have; both inputs are exploded and valid."""
-    keys, y = list(KEYS), F.col("log_main_metric")
-    own = scoring.select(*keys).distinct()
-    history = history.join(own, keys, "left_semi")
-    month = F.col("month_ord")
-    base = robust_stats(
-        history,
-        keys,
-        {
-            "hist": (y, F.lit(True)),
-            "recent": (y, month.between(scoring_ord - 3, scoring_ord - 1)),
-            "moy": (y, F.col("month_of_year") == (scoring_ord - 1) % 12 + 1),
-            "ratio": (F.col("main_to_reference_log_ratio"), F.col("main_to_reference_log_ratio").isNotNull()),
-        },
+def level_stats(history: DataFrame, scoring: DataFrame, scoring_ord: int, has_current: bool = True, large: bool = False) -> DataFrame:
+    """All statistics of every (cand, key) that scoring rows have; both inputs are exploded and valid.
+
+    History is read in four grouped passes: by group, by group and month, by group and
+    month of the year, and by group once more against the centres of the first. The
+    shape of a group's values is that of the current month, or of history if has_current
+    is false. large: whether a group may be too large for one task.
+    """
+    keys, y, month = list(KEYS), F.col("log_main_metric"), F.col("month_ord")
+    rows = history.join(scoring.select(*keys).distinct(), keys, "left_semi")
+    season, base = F.col("month_of_year") == (scoring_ord - 1) % 12 + 1, month < scoring_ord - CALIBRATION_MONTHS
+    subsets = {"hist": y, "recent": F.when(month.between(scoring_ord - 3, scoring_ord - 1), y), "moy": F.when(season, y), "ratio": F.col("main_to_reference_log_ratio"), "cal": F.when(base, y)}
+    n = [F.count(v).alias(f"{k}_n") for k, v in subsets.items()]
+    first = quantiles(rows, keys, {f"{k}_median": (v, (0.5,)) for k, v in subsets.items()}, [*n, F.count("*").alias("peer_distribution_n"), F.stddev_pop(y).alias("__sd"), *shape("log_main_metric", "peer_log_ratio")], large)
+    first = first.withColumns({f"{k}_median": F.col(f"{k}_median")[0] for k in subsets})
+    back = rows.join(first.select(*keys, *[f"{k}_median" for k in subsets]), keys)
+    second = quantiles(back, keys, {f"__{k}": (F.abs(v - F.col(f"{k}_median")), (0.5,)) for k, v in subsets.items()}, (), large)
+    out = first.join(second, keys).withColumns({f"{k}_mad": F.when(F.col(f"{k}_n") > 0, floored(MAD_FACTOR * F.col(f"__{k}")[0])) for k in subsets})
+    # Tails go by the MAD without floor, or the deviation where that is 0.
+    scale = F.when(F.col("__hist")[0] > 0, MAD_FACTOR * F.col("__hist")[0]).otherwise(F.col("__sd"))
+    far = F.avg(F.when((F.col("__scale") > 0) & (F.abs(y - F.col("hist_median")) > 3 * F.col("__scale")), 1.0).otherwise(0.0))
+    tails = rows.join(out.select(*keys, "hist_n", "hist_median", scale.alias("__scale")), keys).groupBy(*keys).agg(F.when(F.max("hist_n") >= MIN_TAIL_ROWS, far).alias("peer_tail_rate"))
+    monthly = quantiles(rows, [*keys, "month_ord", "month_of_year"], {"__q": (y, (0.25, 0.5, 0.75))}, [F.count("*").alias("__rows")], large)
+    monthly = monthly.select(*keys, "month_ord", "month_of_year", "__rows", F.col("__q")[1].alias("__month"), (F.col("__q")[2] - F.col("__q")[0]).alias("__iqr"))
+    x, m = month.cast("double"), F.col("__month")
+    trend = monthly.groupBy(*keys).agg(
+        F.sum("__rows").alias("peer_trend_n"), F.regr_slope(m, x).alias("__slope"), F.avg(m).alias("__ym"), F.avg(x).alias("__xm"), F.median("__iqr").alias("peer_history_monthly_iqr_log"), F.count(F.when(base, 1)).alias("__months")
     )
-    current = robust_stats(scoring, keys, {"current": (y, F.lit(True))})
-    out = base
-    for part in (current, trend_stats(history, keys, "log_main_metric", "peer"), distribution_stats(history, scoring, keys, has_current), calibration_stats(history, keys, scoring_ord)):
-        out = out.join(part, keys, "left")
+    slope = F.when(F.col("__slope").isNotNull(), F.greatest(F.least("__slope", F.lit(1.0)), F.lit(-1.0)))
+    trend = trend.select(*keys, "peer_trend_n", slope.alias("peer_trend_slope"), (F.col("__ym") - slope * F.col("__xm")).alias("peer_trend_intercept"), "peer_history_monthly_iqr_log", (F.col("peer_history_monthly_iqr_log") / IQR_FACTOR).alias("peer_history_monthly_mad_log"), "__months")
+    out = out.join(tails, keys, "left").join(trend, keys, "left")
+    # The last six months against what the months before them predict.
+    seasonal = quantiles(rows.filter(base), [*keys, "month_of_year"], {"__season": (y, (0.5,))}, (), large)
+    tried = monthly.filter(month.between(scoring_ord - CALIBRATION_MONTHS, scoring_ord - 1)).join(out.filter(F.col("__months") >= MIN_BASE_MONTHS).select(*keys, "cal_median", "cal_mad"), keys)
+    tried = tried.join(seasonal, [*keys, "month_of_year"], "left").withColumn("__r", F.abs((m - F.coalesce(F.col("__season")[0], "cal_median")) / F.greatest("cal_mad", F.lit(MIN_LOG_SCALE))))
+    rate = lambda c: F.avg(F.when(c, 1.0).otherwise(0.0))
+    calibration = tried.groupBy(*keys).agg(
+        F.count("*").alias("peer_calibration_n"), F.median("__r").alias("peer_calibration_abs_residual_median"), rate(F.col("__r") <= 3.0).alias("peer_calibration_interval_coverage"), rate(F.col("__r") >= 2.5).alias("peer_calibration_false_alarm_rate")
+    ).withColumn("peer_calibration_score", calibration_score())
+    out = out.join(calibration, keys, "left")
+    shown = {"__y": (y, (0.25, 0.5, 0.75)), "__mid": (F.col("main_metric"), (0.5,))}
+    means = [F.avg("main_metric").alias("__mean"), F.stddev_pop("main_metric").alias("__dev")]
+    current = quantiles(scoring, keys, shown, [F.count("*").alias("current_n"), *means], large).withColumn("current_median", F.col("__y")[1])
+    spread = quantiles(scoring.join(current.select(*keys, "current_median"), keys), keys, {"__d": (F.abs(y - F.col("current_median")), (0.5,))}, (), large)
+    if has_current:
+        out = out.join(current, keys, "left")
+    else:
+        out = out.join(current.select(*keys, "current_n", "current_median"), keys, "left").join(quantiles(rows, keys, shown, means, large), keys, "left")
+    out = out.join(spread, keys, "left").withColumns({"current_mad": F.when(F.col("current_n") > 0, floored(MAD_FACTOR * F.col("__d")[0])), "peer_current_iqr_log": F.col("__y")[2] - F.col("__y")[0]})
+    floor = at_least(F.col("__mid")[0], 1e-6)
+    out = out.withColumns({"peer_current_mad_log": F.col("peer_current_iqr_log") / IQR_FACTOR, "peer_mean_median_ratio": F.col("__mean") / floor, "peer_std_median_ratio": F.col("__dev") / floor})
+    out = out.withColumns({"peer_mean_median_gap_log": F.abs(F.log(at_least(F.col("peer_mean_median_ratio"), 1e-6))), "peer_distribution_quality_score": distribution_quality()})
+    out = out.withColumn("peer_distribution_status", distribution_status(F.col("peer_distribution_quality_score")))
+    out = out.drop(*[c for c in out.columns if c.startswith("__")], "cal_n", "cal_median", "cal_mad")
     return out.fillna({"peer_distribution_quality_score": 50.0, "peer_distribution_status": "PEER_DISTRIBUTION_UNKNOWN", "peer_calibration_score": 50.0, "peer_calibration_n": 0})
 
 

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import checkpointed
+
 MIN_LOG_SCALE = 0.20
 MAD_FACTOR = 1.4826
 IQR_FACTOR = 1.349
@@ -28,6 +30,69 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
 
 
+def value_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, value, below, same, total): how many rows of a group have a lesser value, this one, and any; nulls are left out.
+
+    Values are counted, dealt out in ranges, and numbered by sums within a range and over
+    the ranges before it, so that no task holds a group, however large it is.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("same"))
+    # Written, so that a row's range stays the same.
+    parts = checkpointed(counts.repartitionByRange(*keys, value).withColumn("__part", F.spark_partition_id()))
+    before = lambda c, by: F.coalesce(F.sum(c).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = parts.withColumn("__inside", before("same", Window.partitionBy("__part", *keys).orderBy(value)))
+    group = Window.partitionBy(*keys)
+    ranges = parts.groupBy(*keys, "__part").agg(F.sum("same").alias("__n"))
+    ranges = ranges.select(*keys, "__part", before("__n", group.orderBy("__part")).alias("__before"), F.sum("__n").over(group).alias("total"))
+    return join_null_safe(inside, ranges, [*keys, "__part"], "inner").select(*keys, value, (F.col("__before") + F.col("__inside")).alias("below"), "same", "total")
+
+
+def ranked(df: DataFrame, keys: Sequence[str], value: Column, large: bool = False) -> DataFrame:
+    """df with below, same and total of value_ranks() in __below, __same and __total; null for a null value.
+
+    large: whether a group may be too large for one task; the result is the same.
+    """
+    out = df.withColumn("__value", value)
+    if large:
+        ranks = value_ranks(out, keys, "__value").toDF(*keys, "__value", "__below", "__same", "__total")
+        return join_null_safe(out, ranks, [*keys, "__value"]).drop("__value")
+    told = F.col("__value").isNotNull()
+    by = Window.partitionBy(*keys, told) if keys else Window.partitionBy(told)
+    columns = {"__below": F.rank().over(by.orderBy("__value")) - 1, "__same": F.count("*").over(Window.partitionBy(*keys, "__value")), "__total": F.count("*").over(by)}
+    return out.withColumns({k: F.when(told, v) for k, v in columns.items()}).drop("__value")
+
+
+#: The average rank of ties as a share of the group's rows, in (0, 1], of what ranked() adds.
+AVERAGE_RANK = "(__below + (__same + 1) / 2) / __total"
+RANKS = ("__below", "__same", "__total")
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], values: dict[str, tuple[Column, Sequence[float]]], others: Sequence[Column] = (), large: bool = False) -> DataFrame:
+    """keys, an array of exact interpolated quantiles for each value (null where there is no value), and other aggregates.
+
+    large: whether a group may be too large for one task. Then quantiles are read off
+    value_ranks() in place of a map of the group's values; the result is the same.
+    """
+    if not large:
+        return df.groupBy(*keys).agg(*[F.percentile(v, F.array(*[F.lit(float(p)) for p in q])).alias(n) for n, (v, q) in values.items()], *others)
+    rest = df.groupBy(*keys).agg(F.count("*").alias("__rows"), *others)
+    entries = F.array(*[F.struct(F.lit(n).alias("__name"), v.cast("double").alias("__x")) for n, (v, _) in values.items()])
+    long = df.select(*keys, F.explode(entries).alias("__e")).select(*keys, "__e.*")
+    wanted = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(k).alias("k"), F.lit(float(p)).alias("p")) for n, (_, q) in values.items() for k, p in enumerate(q)])
+    places = value_ranks(long, [*keys, "__name"], "__x").withColumn("__w", F.explode(F.filter(wanted, lambda w: w["n"] == F.col("__name"))))
+    place = F.col("__w.p") * (F.col("total") - 1)
+    here = lambda c: (F.col("below") <= c) & (c < F.col("below") + F.col("same"))
+    low, high = F.floor(place), F.ceil(place)
+    found = places.filter(here(low) | here(high)).groupBy(*keys, F.col("__w.n").alias("__n"), F.col("__w.k").alias("__k")).agg(
+        F.max(F.when(here(low), F.col("__x"))).alias("__a"), F.max(F.when(here(high), F.col("__x"))).alias("__b"), F.max(place - low).alias("__f")
+    )
+    at = F.col("__a") + (F.col("__b") - F.col("__a")) * F.col("__f")
+    one = lambda n, k: F.max(F.when((F.col("__n") == n) & (F.col("__k") == k), at))
+    wide = found.groupBy(*keys).agg(*[F.array(*[one(n, k) for k in range(len(q))]).alias(n) for n, (_, q) in values.items()])
+    out = join_null_safe(rest, wide, keys)
+    return out.select(*keys, *[F.when(F.col(n)[0].isNotNull(), F.col(n)).alias(n) for n in values], *[c for c in rest.columns if c not in (*keys, "__rows")])
+
+
 def median(c: Column, where: Column | None = None) -> Column:
     return F.median(c if where is None else F.when(where, c))
 
@@ -59,20 +124,6 @@ def iqr_stats(df: DataFrame, keys: Sequence[str], value: Column, prefix: str) ->
     return out.select(*keys, iqr.alias(f"{prefix}_iqr_log"), (iqr / IQR_FACTOR).alias(f"{prefix}_mad_log"))
 
 
-def tail_rate(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """tail_rate: the share of rows more than three scales from the median; null below MIN_TAIL_ROWS rows.
-
-    The scale is the MAD without floor, or the population deviation where that is 0;
-    the rate is 0 where both are.
-    """
-    first = df.groupBy(*keys).agg(F.count(value).alias("__n"), F.median(value).alias("__m"), F.stddev_pop(value).alias("__sd"))
-    back = join_null_safe(df.select(*keys, value), first, keys)
-    mads = back.groupBy(*keys).agg((MAD_FACTOR * F.median(F.abs(F.col(value) - F.col("__m")))).alias("__mad"))
-    scaled = join_null_safe(back, mads, keys).withColumn("__scale", F.when(F.col("__mad") > 0, F.col("__mad")).otherwise(F.col("__sd")))
-    far = F.avg(F.when(F.col("__scale") > 0, F.when(F.abs(F.col(value) - F.col("__m")) > 3 * F.col("__scale"), 1.0).otherwise(0.0)).otherwise(F.lit(0.0)))
-    return scaled.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.when(F.first("__n") >= MIN_TAIL_ROWS, far).alias("tail_rate"))
-
-
 def shape(value: str, prefix: str) -> list[Column]:
     """Aggregates: bias-corrected skewness (3 rows or more) and excess kurtosis (4 or more)."""
     n, g1, g2 = F.count(value).cast("double"), F.skewness(value), F.kurtosis(value)
@@ -92,36 +143,14 @@ def trend_stats(df: DataFrame, keys: Sequence[str], value: str, prefix: str, mon
     return out.select(*keys, f"{prefix}_trend_n", slope.alias(f"{prefix}_trend_slope"), (F.col("__ym") - slope * F.col("__xm")).alias(f"{prefix}_trend_intercept"))
 
 
-def average_rank_pct(order: Column, partition: Sequence[str | Column] = ()) -> Column:
-    """The average rank of ties as a share of the rows, in (0, 1]; null values must be left out before."""
-    by = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
-    ties = Window.partitionBy(*(partition or (F.lit(0),)), order)
-    return (F.rank().over(by.orderBy(order)) + (F.count("*").over(ties) - 1) / 2) / F.count("*").over(by)
-
-
-def calibration_stats(df: DataFrame, keys: Sequence[str], scoring_ord: int, value: str = "log_main_metric") -> DataFrame:
-    """How well months before the last six predict the monthly medians of these six, for groups with three base months."""
-    cut = scoring_ord - CALIBRATION_MONTHS
-    base = df.filter(F.col("month_ord") < cut)
-    months = base.groupBy(*keys).agg(F.count_distinct("month_ord").alias("__months"))
-    centre = join_null_safe(robust_stats(base, keys, {"cal_base": (F.col(value), F.lit(True))}), months, keys).filter(F.col("__months") >= MIN_BASE_MONTHS)
-    seasonal = base.groupBy(*keys, "month_of_year").agg(F.median(value).alias("__season"))
-    monthly = df.filter(F.col("month_ord").between(cut, scoring_ord - 1)).groupBy(*keys, "month_ord", "month_of_year").agg(F.median(value).alias("__month"))
-    work = join_null_safe(monthly, centre.drop("__months"), keys, "inner")
-    work = join_null_safe(work, seasonal, [*keys, "month_of_year"])
-    residual = F.abs((F.col("__month") - F.coalesce("__season", "cal_base_median")) / F.greatest("cal_base_mad", F.lit(MIN_LOG_SCALE)))
-    out = work.withColumn("__r", residual).groupBy(*keys).agg(
-        F.count("*").alias("peer_calibration_n"),
-        F.median("__r").alias("peer_calibration_abs_residual_median"),
-        F.avg(F.when(F.col("__r") <= 3.0, 1.0).otherwise(0.0)).alias("peer_calibration_interval_coverage"),
-        F.avg(F.when(F.col("__r") >= 2.5, 1.0).otherwise(0.0)).alias("peer_calibration_false_alarm_rate"),
-    )
+def calibration_score() -> Column:
+    """The score of how well months before the last six predict the monthly medians of these six."""
     score = 100.0 * (
         0.45 * (1.0 - F.least(F.col("peer_calibration_abs_residual_median") / 3.0, F.lit(1.0)))
         + 0.35 * F.col("peer_calibration_interval_coverage")
         + 0.20 * (1.0 - F.col("peer_calibration_false_alarm_rate"))
     )
-    return out.withColumn("peer_calibration_score", F.greatest(F.least(score, F.lit(100.0)), F.lit(0.0)))
+    return F.greatest(F.least(score, F.lit(100.0)), F.lit(0.0))
 
 
 def main_metric_stats(df: DataFrame, keys: Sequence[str], value: str = "main_metric") -> DataFrame:

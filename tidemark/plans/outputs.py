@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.periods import from_ord, to_ord
@@ -13,7 +13,7 @@ from ..operators.labels import anomaly_flag
 from ..operators.panel import Profile, rolling_window
 from ..operators.peers import Candidate, exploded
 from ..operators.segments import apply_segments
-from ..operators.stats import average_rank_pct
+from ..operators.stats import AVERAGE_RANK, RANKS, ranked
 from .config import Config
 from .scoring import Run, score_month
 
@@ -84,20 +84,17 @@ def detail_table(panel: DataFrame, run: Run, config: Config) -> DataFrame:
             "customer_vs_peer_month_ratio": F.col("main_metric") / at_least(F.col("peer_month_main_metric_median"), 1e-6),
         }
     )
-    out = ratio_percentiles(out)
+    out = ratio_percentiles(out, run.large)
     only = {c: F.when(scoring, F.col(c)) for c in CONTEXT if c not in ("peer_group_level_name",)}
     out = out.withColumns(only).withColumn("month_comment", month_comment())
     return out.withColumn("ANOMALI_FLAG", F.when(scoring, anomaly_flag(F.col("anomaly_label")))).drop("cand", "key", "__there", "month_ord")
 
 
-def ratio_percentiles(detail: DataFrame) -> DataFrame:
+def ratio_percentiles(detail: DataFrame, large: bool = False) -> DataFrame:
     """The place of a past month's ratio among all past ratios of its peer group, and how many there are."""
     counted = ~F.col("is_scoring_month") & (F.col("customer_vs_peer_month_ratio") > 0) & F.col("cand").isNotNull()
-    by = ["cand", "key", "__counted"]
-    rank = average_rank_pct(F.log("customer_vs_peer_month_ratio"), by)
-    n = F.count("*").over(Window.partitionBy(*by))
-    out = detail.withColumn("__counted", F.coalesce(counted, F.lit(False)))
-    return out.withColumns({"customer_vs_peer_ratio_percentile": F.when(F.col("__counted"), rank), "customer_vs_peer_ratio_reference_n": F.when(F.col("__counted"), n)}).drop("__counted")
+    out = ranked(detail, ["cand", "key"], F.when(counted, F.log("customer_vs_peer_month_ratio")), large)
+    return out.withColumns({"customer_vs_peer_ratio_percentile": F.expr(AVERAGE_RANK), "customer_vs_peer_ratio_reference_n": F.col("__total")}).drop(*RANKS)
 
 
 def month_comment() -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -13,8 +12,11 @@ from pyspark.sql import functions as F
 from ..functions.periods import to_ord
 from ..operators import evidence, labels, peers, segments, signals, stats
 from ..operators.panel import Profile, rolling_window
+from ..sources.shared import checkpointed as cut
 from .config import Config
 
+#: Rows of history up to which one task may hold a whole group's values or ranks; beyond, ranges of values are dealt out instead. Results are the same.
+LARGE_ROWS = 20_000_000
 STAT_COLUMNS = ("log_main_metric", "main_metric", "main_to_reference_log_ratio", "invoice_month", "month_ord", "month_of_year")
 
 
@@ -30,6 +32,7 @@ class Run:
     candidates: tuple[peers.Candidate, ...]
     fits: tuple[segments.Fit, ...]
     kept: tuple[DataFrame, ...] = ()
+    large: bool = False
 
     def release(self) -> None:
         """Let go of the tables that the run keeps for reuse."""
@@ -42,17 +45,6 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df as written to the checkpoint folder: it is read more than once, and later plans begin there.
-
-    The folder is the session's; one of our own is set only where there is none.
-    """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
-    return df.checkpoint()
-
-
 def split(panel: DataFrame, scoring_month: int, window_months: int | None) -> tuple[DataFrame, DataFrame]:
     """(history, scoring): the window's months before the scoring month, and the scoring month."""
     rows = rolling_window(panel, to_ord(scoring_month), window_months)
@@ -63,12 +55,12 @@ def valid(df: DataFrame) -> DataFrame:
     return df.filter("valid_main_metric_for_model and log_main_metric is not null")
 
 
-def candidate_rows(history: DataFrame, scoring: DataFrame, candidates: Sequence[peers.Candidate], scoring_ord: int) -> DataFrame:
+def candidate_rows(history: DataFrame, scoring: DataFrame, candidates: Sequence[peers.Candidate], scoring_ord: int, large: bool = False) -> DataFrame:
     """A row for each scoring row and candidate with the statistics of its peer group."""
     has_current = not valid(scoring).isEmpty()
     old = peers.exploded(valid(history), candidates, STAT_COLUMNS)
     now = peers.exploded(valid(scoring), candidates, STAT_COLUMNS)
-    level = peers.level_stats(old, now, scoring_ord, has_current)
+    level = peers.level_stats(old, now, scoring_ord, has_current, large)
     return peers.exploded(scoring, candidates, [c for c in scoring.columns]).join(level, list(peers.KEYS), "left")
 
 
@@ -81,6 +73,7 @@ def score_month(panel: DataFrame, profile: Profile, config: Config, scoring_mont
     history, scoring = split(panel, scoring_month, config.window_months)
     fits = tuple(segments.fit_segments(history, config.segments))
     history, scoring = kept(segments.apply_segments(history, fits)), kept(segments.apply_segments(scoring, fits))
+    large = history.count() + scoring.count() > LARGE_ROWS
     names = [f.column for f in fits if f.column]
     if config.behavior_peers:
         clusters = segments.behavior_clusters(history)
@@ -95,17 +88,17 @@ def score_month(panel: DataFrame, profile: Profile, config: Config, scoring_mont
     rows = rows.withColumn("customer_explainability_score", signals.explainability(config.explainability))
     rows = rows.withColumns({"customer_explainability_status": signals.explainability_status(F.col("customer_explainability_score")), "scoreability_status": signals.scoreability()})
     rows = cut(rows)
-    paired = candidate_rows(history, rows, candidates, month)
+    paired = candidate_rows(history, rows, candidates, month, large)
     gated = paired.filter(peers.support_gate(candidates, config.support))
     gated = peers.quality(gated, candidates, priority, config.support, config.peers, config.objective_weights)
     gated = cut(signals.signal_scores(signals.peer_signals(gated, profile, config.min_ratio_rows, config.min_ratio_mad)))
-    scored = evidence.aggregate(evidence.empirical_p(gated, config.aggregation), config.aggregation)
+    scored = evidence.aggregate(evidence.empirical_p(gated, config.aggregation, large=large), config.aggregation)
     best = cut(peers.choose_best(scored, "customer_id", config.peers.selection))
-    scores = cut(labels.diagnose(labels.label(best, config.watch_top_rate, config.high_top_rate, config.aggregation["label_guardrails"])))
+    scores = cut(labels.diagnose(labels.label(best, config.watch_top_rate, config.high_top_rate, config.aggregation["label_guardrails"], large)))
     lost = scoring.join(best.select("customer_id"), "customer_id", "left_anti")
     reason = F.when(F.col("valid_main_metric_for_model"), "INSUFFICIENT_PEER_SUPPORT").otherwise("INVALID_MAIN_METRIC")
     lost = lost.withColumns({"not_scored_reason": reason, "scoreability_status": F.concat(F.lit("NOT_SCORED_"), reason)})
-    return Run(scoring_month, scores.drop("cand", "key", "_row_id"), lost, history, scoring, candidates, fits, (history, scoring))
+    return Run(scoring_month, scores.drop("cand", "key", "_row_id"), lost, history, scoring, candidates, fits, (history, scoring), large)
 
 
 def without_segments(config: Config) -> Config:
