@@ -75,6 +75,8 @@ def quantiles(df: DataFrame, keys: Sequence[str], values: dict[str, tuple[Column
     """
     if not large:
         return df.groupBy(*keys).agg(*[F.percentile(v, F.array(*[F.lit(float(p)) for p in q])).alias(n) for n, (v, q) in values.items()], *others)
+    if not keys:
+        return quantiles(df.withColumn("__all", F.lit(1)), ["__all"], values, others, True).drop("__all")
     rest = df.groupBy(*keys).agg(F.count("*").alias("__rows"), *others)
     entries = F.array(*[F.struct(F.lit(n).alias("__name"), v.cast("double").alias("__x")) for n, (v, _) in values.items()])
     long = df.select(*keys, F.explode(entries).alias("__e")).select(*keys, "__e.*")

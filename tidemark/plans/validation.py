@@ -66,11 +66,16 @@ def stability_flags(summary: DataFrame) -> DataFrame:
     return out.withColumn("stability_flag", F.when(text == "", "stable").otherwise(text))
 
 
-def stress_cohorts(scores: DataFrame, size: int = 300) -> DataFrame:
-    """(customer_id, cohort): so many customers with a positive metric, and so many reliably normal ones, by a seeded hash of the id."""
+def stress_cohorts(scores: DataFrame, size: int | None = 300) -> DataFrame:
+    """(customer_id, cohort): so many customers (all if size is None) with a positive metric, and so many reliably normal ones, by a seeded hash of the id."""
     positive = scores.filter("main_metric > 0")
     reliable = positive.filter((F.col("anomaly_label") == "NORMAL") & F.col("scoreability_status").isin(*RELIABLE) & (F.col("confidence") >= 65) & (F.col("peer_objective_score") >= 60))
-    pick = lambda df, name, seed: df.select("customer_id").distinct().orderBy(F.xxhash64("customer_id", F.lit(seed)), "customer_id").limit(size).withColumn("cohort", F.lit(name))
+
+    def pick(df: DataFrame, name: str, seed: int) -> DataFrame:
+        out = df.select("customer_id").distinct()
+        out = out if size is None else out.orderBy(F.xxhash64("customer_id", F.lit(seed)), "customer_id").limit(size)
+        return out.withColumn("cohort", F.lit(name))
+
     return pick(positive, "all_positive", 42).unionByName(pick(reliable, "reliable_normal", 43))
 
 
@@ -84,7 +89,7 @@ def perturbed(panel: DataFrame, scoring_month: int, customers: DataFrame, factor
     return out.drop("__hit")
 
 
-def stress_test(panel: DataFrame, profile: Profile, config: Config, scoring_month: int, size: int = 300, spike: float = 2.0, drop: float = 0.25) -> DataFrame:
+def stress_test(panel: DataFrame, profile: Profile, config: Config, scoring_month: int, size: int | None = 300, spike: float = 2.0, drop: float = 0.25) -> DataFrame:
     """For each cohort: how often a spike or a drop of its metric is found, and the median change of its score."""
     base = score_month(panel, profile, config, scoring_month)
     cohorts = stress_cohorts(base.scores, size).persist()

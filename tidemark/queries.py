@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .functions import scalars
 from .functions.periods import to_ord
 from .operators import challengers, evidence, labels, panel, peers, segments, signals, stats
-from .plans import outputs, report, scoring, validation
+from .plans import diagnostics, oracles, outputs, report, scoring, validation
 from .plans.config import AGGREGATION, EXPLAINABILITY, OBJECTIVE_WEIGHTS, Segment
 from .plans.fixtures import ROLES, SCORING_MONTH, order_config, order_panel, order_rows
 from .plans.oracles import sql
@@ -363,9 +363,9 @@ def peer_monthly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.drop("peer_month_main_to_reference_median").withColumns({c: F.col(c) + F.lit(1e-7) for c in nudged}))
 
 
-@query("decision_table", "SELECT n.customer_id, n.invoice_month, CASE WHEN coalesce(label, 'NOT_SCORED') IN ('NORMAL', 'NOT_SCORED') THEN 0 ELSE 1 END AS ANOMALI_FLAG, " + rs({"ANOMALI_SKORU": "coalesce(score, 0.0)"}) + " FROM now n LEFT JOIN labelled l ON n.customer_id = l.customer_id")
+@query("decision_table", "SELECT n.customer_id, n.invoice_month, CASE WHEN coalesce(label, 'NOT_SCORED') IN ('NORMAL', 'NOT_SCORED') THEN 0 ELSE 1 END AS ANOMALI_FLAG, " + rs({"ANOMALI_SKORU": "coalesce(score, 0.0)"}) + ", coalesce(reason, 'not scored: ' || CASE WHEN n.valid THEN 'insufficient_peer_support' ELSE 'invalid_main_metric' END) AS ANOMALI_NEDENI FROM now n LEFT JOIN diag l ON n.customer_id = l.customer_id")
 def decision_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(outputs.decision_table(run(spark, sf_dir)).drop("ANOMALI_NEDENI"))
+    return rounded(outputs.decision_table(run(spark, sf_dir)))
 
 
 @query(
@@ -415,30 +415,76 @@ def backtest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select("scoring_month", "scored_rows", "normal_count", "watch_or_anomaly_rate", "median_score", "p95_score", "peer_objective_score_median"))
 
 
-@query("stability_flags")
+_MONTHS = ((200106, 23983), (SCORING_MONTH, 23984))
+_DELTAS = ("watch_or_anomaly_rate", "high_anomaly_rate", "median_score", "peer_objective_score_median", "peer_calibration_score_median", "scored_rate")
+_FLAGS = (
+    "SELECT *, concat_ws(';', CASE WHEN abs(watch_or_anomaly_rate_delta) > 0.02 THEN 'watch_or_anomaly_rate_shift' END, CASE WHEN abs(high_anomaly_rate_delta) > 0.01 THEN 'high_anomaly_rate_shift' END, CASE WHEN scored_rate < 0.95 THEN 'scoreability_drop' END, "
+    "CASE WHEN peer_calibration_score_median < 60 AND peer_calibration_score_median <> 0 THEN 'peer_calibration_weak' END) AS flags FROM d"
+)
+
+
+def _stability_sql() -> str:
+    months = " UNION ALL ".join(f"SELECT * FROM ({oracles.month_summary(m, first)})" for m, first in _MONTHS)
+    deltas = ", ".join(f"{c} - lag({c}) OVER (ORDER BY scoring_month) AS {c}_delta" for c in _DELTAS)
+    doubles = ("p95_score", "p99_score", "median_confidence", "peer_representability_score_median", "peer_distribution_quality_score_median", *_DELTAS, *(f"{c}_delta" for c in _DELTAS))
+    counts = ("scored_rows", "normal_count", "watchlist_high_count", "watchlist_low_count", "high_main_metric_anomaly_count", "low_main_metric_anomaly_count", "not_scored_rows")
+    return f"WITH m AS ({months}), r AS (SELECT *, scored_rows / (scored_rows + not_scored_rows) AS scored_rate FROM m), d AS (SELECT *, {deltas} FROM r), f AS ({_FLAGS}) SELECT scoring_month, calendar_month, {', '.join(counts)}, {rs({c: c for c in doubles})}, CASE WHEN flags = '' THEN 'stable' ELSE flags END AS stability_flag FROM f"
+
+
+@query("stability_flags", _stability_sql(), chain=False)
 def stability_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, profile = order_panel(spark, sf_dir, CONFIG)
-    table = table.persist()
-    return validation.stability_flags(validation.backtest(table, profile, CONFIG, validation.backtest_months(table, SCORING_MONTH, 2)))
+    table = scoring.kept(table)
+    return rounded(validation.stability_flags(validation.backtest(table, profile, CONFIG, validation.backtest_months(table, SCORING_MONTH, 2))))
 
 
-@query("stress_detection")
+def _stress_sql() -> str:
+    base = oracles.with_chain("SELECT customer_id, main_metric, label, score, confidence, objective, scoreability FROM diag")
+    after = lambda factor: oracles.with_chain("SELECT customer_id, label, direction, score FROM labelled", factor=factor)
+    part = lambda name, side: f"count({name}.customer_id) AS {name}_n, avg(({name}.label <> 'NORMAL' AND {name}.direction = '{side}')::INT) AS {name}_detection_rate, median({name}.score - b.score) AS {name}_median_score_delta"
+    return (
+        f"WITH base AS MATERIALIZED ({base}), spike AS ({after(2.0)}), fall AS ({after(0.25)}), cohorts AS (SELECT customer_id, 'all_positive' AS cohort FROM base WHERE main_metric > 0 UNION ALL SELECT customer_id, 'reliable_normal' FROM base WHERE main_metric > 0 AND label = 'NORMAL' AND confidence >= 65 AND objective >= 60 "
+        "AND scoreability IN ('CUSTOMER_TREND_AND_SEASONAL_AVAILABLE', 'CUSTOMER_TREND_AVAILABLE', 'CUSTOMER_HISTORY_AVAILABLE')), "
+        f"found AS (SELECT cohort, count(*) AS sample_size, {part('spike', 'HIGH')}, {part('fall', 'LOW')} FROM cohorts c JOIN base b ON c.customer_id = b.customer_id LEFT JOIN spike ON c.customer_id = spike.customer_id LEFT JOIN fall ON c.customer_id = fall.customer_id GROUP BY 1) "
+        f"SELECT cohort, sample_size, spike_n, fall_n AS drop_n, {rs({'spike_detection_rate': 'spike_detection_rate', 'drop_detection_rate': 'fall_detection_rate', 'spike_median_score_delta': 'spike_median_score_delta', 'drop_median_score_delta': 'fall_median_score_delta'})} FROM found"
+    )
+
+
+@query("stress_detection", _stress_sql(), chain=False)
 def stress_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer's metric is doubled and quartered, without a sample."""
     table, profile = order_panel(spark, sf_dir, CONFIG)
-    return validation.stress_test(table.persist(), profile, CONFIG, SCORING_MONTH)
+    return rounded(validation.stress_test(scoring.kept(table), profile, CONFIG, SCORING_MONTH, None))
+
 
+_BAD = {
+    "decision_row_count_positive": "(count(*) = 0)::INT", "decision_anomaly_flag_not_missing": "count(*) FILTER (flag IS NULL)", "decision_anomaly_flag_binary": "count(*) FILTER (flag NOT IN (0, 1))", "decision_reason_not_blank": "count(*) FILTER (reason IS NULL OR trim(reason) = '')",
+    "decision_reason_without_confidence_text": "count(*) FILTER (contains(lower(reason), 'confidence'))", "decision_anomaly_score_not_missing": "count(*) FILTER (score IS NULL)", "decision_anomaly_score_range": "count(*) FILTER (score NOT BETWEEN 0 AND 100)", "decision_duplicate_full_rows": "count(*) - count(DISTINCT customer_id)",
+    "detail_row_count_positive": "(count(*) = 0)::INT", "detail_anomaly_flag_not_missing": "count(*) FILTER (flag IS NULL)", "detail_anomaly_flag_binary": "count(*) FILTER (flag NOT IN (0, 1))", "detail_normal_score_below_flagged_min": "coalesce(max(score) FILTER (flag = 0) > min(score) FILTER (flag = 1), false)::INT",
+    "decision_contains_raw_input_columns": "0",
+}
+_DECIDED = "SELECT n.customer_id, CASE WHEN coalesce(label, 'NOT_SCORED') IN ('NORMAL', 'NOT_SCORED') THEN 0 ELSE 1 END AS flag, coalesce(score, 0.0) AS score, coalesce(reason, 'not scored') AS reason FROM now n LEFT JOIN diag l ON n.customer_id = l.customer_id"
 
-@query("integrity_checks")
+
+@query("integrity_checks", f"SELECT check_name, CASE WHEN observed = 0 THEN 'PASS' WHEN check_name IN ('decision_duplicate_full_rows', 'detail_normal_score_below_flagged_min') THEN 'WARN' ELSE 'FAIL' END AS status, observed FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS check_name, CAST({c} AS BIGINT) AS observed FROM ({_DECIDED})" for n, c in _BAD.items()) + ") t")
 def integrity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, profile = order_panel(spark, sf_dir, CONFIG)
+    table = scoring.kept(table)
     got = scoring.score_month(table, profile, CONFIG, SCORING_MONTH)
     return validation.integrity_checks(outputs.decision_table(got, ["segment", "region"]), outputs.detail_table(table, got, CONFIG), ["segment", "region"])
 
 
-@query("prior_delta")
+_PRIOR = (
+    f"WITH cur AS ({oracles.with_chain('SELECT customer_id, score FROM labelled')}), old AS ({oracles.with_chain('SELECT customer_id, score FROM labelled', 200106, 23984)}) SELECT customer_id, {rs({'final_anomaly_score': 'score', 'previous_month_score': 'before', 'score_delta_from_previous_month': 'delta'})}, "
+    "CASE WHEN delta IS NULL THEN 'NO_PREVIOUS_MONTH_SCORE' WHEN delta >= 30 THEN 'SCORE_SPIKE_UP_DIAGNOSTIC_ONLY' WHEN delta <= -30 THEN 'SCORE_DROP_DOWN_DIAGNOSTIC_ONLY' WHEN abs(delta) >= 15 THEN 'SCORE_MOVED_MODERATELY_DIAGNOSTIC_ONLY' ELSE 'SCORE_STABLE_DIAGNOSTIC_ONLY' END AS score_trend_diagnostic "
+    "FROM (SELECT c.customer_id, c.score, o.score AS before, c.score - o.score AS delta FROM cur c LEFT JOIN old o ON c.customer_id = o.customer_id)"
+)
+
+
+@query("prior_delta", _PRIOR, chain=False)
 def prior_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, profile = order_panel(spark, sf_dir, CONFIG)
-    table = table.persist()
+    table = scoring.kept(table)
     out = outputs.with_prior_scores(table, profile, CONFIG, scoring.score_month(table, profile, CONFIG, SCORING_MONTH))
     return rounded(out.select("customer_id", "final_anomaly_score", "previous_month_score", "score_delta_from_previous_month", "score_trend_diagnostic"))
 
@@ -450,11 +496,60 @@ def challenger_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select("customer_id", "pca_challenger_score", "if_challenger_score", "lof_challenger_score", "model_challenger_score", "model_challenger_warning"))
 
 
-@query("diagnosis")
+@query("diagnosis", "SELECT customer_id, alignment AS peer_alignment_status, consistency AS signal_consistency, strength AS evidence_strength, action AS action_label, decision AS operational_decision, codes AS reason_codes, reason AS reason_explanation FROM diag")
 def diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(run(spark, sf_dir).scores.select("customer_id", "peer_alignment_status", "signal_consistency", "evidence_strength", "action_label", "operational_decision", "reason_codes", "reason_explanation"))
 
 
+# Diagnostic tables
+
+_COUNTS = "count(*) AS rows, CAST(sum(high::INT) AS BIGINT) AS high_anomaly_count, CAST(sum((label <> 'NORMAL')::INT) AS BIGINT) AS watch_or_anomaly_count, "
+_RATES = {"high_anomaly_rate": "avg(high::INT)", "watch_or_anomaly_rate": "avg((label <> 'NORMAL')::INT)"}
+_MEDIANS = {"median_score": "median(score)", "median_confidence": "median(confidence)"}
+_QUALITY_MEDIANS = {"peer_objective_score_median": "median(objective)", "peer_calibration_score_median": "median(calibration)"}
+
+
+def diagnostic(name: str) -> Query:
+    def f(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table, profile = order_panel(spark, sf_dir, CONFIG)
+        table = scoring.kept(table)
+        return rounded(diagnostics.tables(table, scoring.score_month(table, profile, CONFIG, SCORING_MONTH), ["segment", "region"], 36)[name])
+
+    return f
+
+
+query("month_counts", "SELECT invoice_month, substr(CAST(invoice_month AS VARCHAR), 1, 4) || '-' || substr(CAST(invoice_month AS VARCHAR), 5) AS calendar_month, count(*) AS row_count, count(DISTINCT customer_id) AS customer_count FROM panel GROUP BY 1")(
+    lambda spark, sf_dir: diagnostics.month_counts(order_panel(spark, sf_dir, CONFIG)[0])
+)
+query("peer_level_rates", "SELECT level_name AS peer_group_level_name, " + _COUNTS + rs(_RATES | _MEDIANS) + " FROM labelled GROUP BY 1")(diagnostic("peer_level_summary"))
+query("segment_summary", "SELECT segment, " + _COUNTS + rs(_RATES | {"median_score": "median(score)", "median_main_metric": "median(main_metric)"}) + " FROM labelled GROUP BY 1")(diagnostic("segment_variable_1_summary"))
+query(
+    "logical_test_summary",
+    "SELECT label AS anomaly_label, consistency AS signal_consistency, strength AS evidence_strength, action AS action_label, scoreability AS scoreability_status, count(*) AS rows, " + rs(_MEDIANS | {"median_actual_to_expected_ratio": "median(main_metric / greatest(expected, 1e-6))", "median_data_gap_score": "median(data_gap)", "median_prior_n": "median(prior_n)"}) + " FROM diag GROUP BY 1, 2, 3, 4, 5",
+)(diagnostic("logical_test_summary"))
+query("scoreability_summary", "SELECT scoreability AS scoreability_status, level_name AS peer_group_level_name, " + _COUNTS + rs(_RATES | _MEDIANS | {"median_data_gap_score": "median(data_gap)"}) + " FROM diag GROUP BY 1, 2")(diagnostic("scoreability_summary"))
+query(
+    "run_summary",
+    " UNION ALL ".join(f"SELECT '{field}' AS field, {c} AS value, count(*) AS rows FROM diag GROUP BY {c}" for field, c in (("anomaly_label", "label"), ("action_label", "action"), ("evidence_driver", "driver"), ("scoreability_status", "scoreability"), ("peer_group_level_name", "level_name"), ("operational_decision", "decision"))),
+)(diagnostic("run_summary"))
+query(
+    "audited_customer_series",
+    "SELECT p.customer_id, substr(CAST(p.invoice_month AS VARCHAR), 1, 4) || '-' || substr(CAST(p.invoice_month AS VARCHAR), 5) AS calendar_month, p.invoice_month, p.invoice_month = 200107 AS is_scoring_month, label AS anomaly_label, action AS action_label, consistency AS signal_consistency, strength AS evidence_strength, scoreability AS scoreability_status, codes AS reason_codes, "
+    + rs({"exposure_feature": "p.exposure_feature", "main_metric": "p.main_metric", "reference_feature": "p.reference_feature", "final_anomaly_score": "score", "confidence": "confidence"})
+    + " FROM panel p JOIN (SELECT *, row_number() OVER (PARTITION BY flagged ORDER BY score DESC, customer_id) AS top, row_number() OVER (PARTITION BY flagged ORDER BY score, customer_id DESC) AS bottom FROM diag) d ON p.customer_id = d.customer_id WHERE p.month_ord BETWEEN 23984 AND 24019 AND CASE WHEN flagged THEN top <= 40 ELSE top <= 10 OR bottom <= 10 END",
+)(diagnostic("audited_customer_series"))
+
+
+@query("label_breakdown", "SELECT 200107 AS scoring_month, '2001-07' AS scoring_calendar_month, label AS anomaly_label, direction AS anomaly_direction, " + _COUNTS + rs(_RATES | _MEDIANS | _QUALITY_MEDIANS) + " FROM labelled GROUP BY label, direction")
+def label_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(diagnostics.label_breakdown(run(spark, sf_dir)))
+
+
+@query("scoreability_breakdown", "SELECT 200107 AS scoring_month, '2001-07' AS scoring_calendar_month, scoreability AS scoreability_status, level_name AS peer_group_level_name, " + _COUNTS + rs(_RATES | _MEDIANS | _QUALITY_MEDIANS) + " FROM diag GROUP BY scoreability, level_name")
+def scoreability_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(diagnostics.scoreability_breakdown(run(spark, sf_dir)))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scored month."""
     columns = ("customer_id", "invoice_month", "main_metric", "expected_main_metric", "peer_group_level_name", "evidence_driver", "anomaly_label", "final_anomaly_score", "confidence", "action_label", "reason_codes")
