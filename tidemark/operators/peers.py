@@ -15,7 +15,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import at_least, clip, first_match, share
+from ..functions.scalars import at_least, clip, first_match, number_text, share
 from ..plans.config import BLOCKED, DISTRIBUTION, OBJECTIVE_CAPS, Peers, Support
 from .stats import CALIBRATION_MONTHS, IQR_FACTOR, MAD_FACTOR, MIN_BASE_MONTHS, MIN_LOG_SCALE, MIN_TAIL_ROWS, calibration_score, floored, quantiles, shape
 
@@ -265,11 +265,27 @@ def quality(df: DataFrame, candidates: Sequence[Candidate], priority: Sequence[s
 
 
 def choose_best(df: DataFrame, row: str, selection: str = "objective") -> DataFrame:
-    """The best supported candidate of each row, and in peer_candidate_count how many there were."""
+    """The best supported candidate of each row; peer_candidate_count: how many there were, __supported: which."""
     if selection in ("first_supported", "first_pass", "narrow_first"):
         order = [F.col("peer_candidate_order")]
     else:
         order = [F.desc_nulls_last(f"peer_{n}_score") for n in ("objective", "calibration", "representability")] + [F.desc_nulls_last("peer_distribution_quality_score"), F.desc_nulls_last("peer_specificity_score"), F.col("peer_candidate_order")]
     by = Window.partitionBy(row)
-    ranked = df.withColumns({"__best": F.row_number().over(by.orderBy(*order)), "peer_candidate_count": F.count("*").over(by)})
+    ranked = df.withColumns({"__best": F.row_number().over(by.orderBy(*order)), "peer_candidate_count": F.count("*").over(by), "__supported": F.collect_set("cand").over(by)})
     return ranked.filter("__best = 1").drop("__best")
+
+
+ATTEMPTS_SHOWN = 4
+
+
+def with_attempts(best: DataFrame, candidates: Sequence[Candidate]) -> DataFrame:
+    """choose_best()'s rows with the names of the candidates that failed the gate, in order, and why theirs was selected."""
+    every = F.array(*[F.struct(F.lit(c.order).alias("order"), F.lit(c.name).alias("name")) for c in candidates])
+    failed = F.transform(F.filter(every, lambda c: ~F.array_contains("__supported", c["order"])), lambda c: c["name"])
+    n = lambda c: number_text(F.coalesce(F.col(c), F.lit(0)), 0)
+    text = F.concat(
+        F.lit("peer "), F.col("peer_group_level_name"), F.lit("; rows of history "), n("hist_n"), F.lit(", season "), n("moy_n"), F.lit(", recent "), n("recent_n"), F.lit(", current "), n("current_n"), F.lit("; "), F.col("peer_distribution_status"),
+        F.lit(", objective "), number_text(F.col("peer_objective_score"), 1), F.lit("; best of "), n("peer_candidate_count"),
+        F.when(F.size("peer_attempts") > 0, F.concat(F.lit("; not supported: "), F.array_join(F.slice("peer_attempts", 1, ATTEMPTS_SHOWN), " | "))).otherwise(""),
+    )
+    return best.withColumn("peer_attempts", failed).drop("__supported").withColumn("peer_selection_reason", text)

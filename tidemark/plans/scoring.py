@@ -72,8 +72,10 @@ def score_month(panel: DataFrame, profile: Profile, config: Config, scoring_mont
     month = to_ord(scoring_month)
     history, scoring = split(panel, scoring_month, config.window_months)
     fits = tuple(segments.fit_segments(history, config.segments))
-    history, scoring = kept(segments.apply_segments(history, fits)), kept(segments.apply_segments(scoring, fits))
+    history, scoring = held = kept(segments.apply_segments(history, fits)), kept(segments.apply_segments(scoring, fits))
     large = history.count() + scoring.count() > LARGE_ROWS
+    edges = segments.fit_reference_buckets(history, dict(config.bucket_variants), large=large) if profile.reference_usable else {}
+    history, scoring = (segments.assign_reference_buckets(x, edges) for x in (history, scoring))
     names = [f.column for f in fits if f.column]
     if config.behavior_peers:
         clusters = segments.behavior_clusters(history)
@@ -93,12 +95,12 @@ def score_month(panel: DataFrame, profile: Profile, config: Config, scoring_mont
     gated = peers.quality(gated, candidates, priority, config.support, config.peers, config.objective_weights)
     gated = cut(signals.signal_scores(signals.peer_signals(gated, profile, config.min_ratio_rows, config.min_ratio_mad)))
     scored = evidence.aggregate(evidence.empirical_p(gated, config.aggregation, large=large), config.aggregation)
-    best = cut(peers.choose_best(scored, "customer_id", config.peers.selection))
+    best = cut(peers.with_attempts(peers.choose_best(scored, "customer_id", config.peers.selection), candidates))
     scores = cut(labels.diagnose(labels.label(best, config.watch_top_rate, config.high_top_rate, config.aggregation["label_guardrails"], large)))
     lost = scoring.join(best.select("customer_id"), "customer_id", "left_anti")
     reason = F.when(F.col("valid_main_metric_for_model"), "INSUFFICIENT_PEER_SUPPORT").otherwise("INVALID_MAIN_METRIC")
     lost = lost.withColumns({"not_scored_reason": reason, "scoreability_status": F.concat(F.lit("NOT_SCORED_"), reason)})
-    return Run(scoring_month, scores.drop("cand", "key", "_row_id"), lost, history, scoring, candidates, fits, (history, scoring), large)
+    return Run(scoring_month, scores.drop("cand", "key", "_row_id"), lost, history, scoring, candidates, fits, held, large)
 
 
 def without_segments(config: Config) -> Config:

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import scalars
-from .functions.periods import to_ord
+from .functions.periods import parse_scoring_month, to_ord
 from .operators import challengers, evidence, labels, panel, peers, segments, signals, stats
-from .plans import diagnostics, oracles, outputs, report, scoring, validation
-from .plans.config import AGGREGATION, EXPLAINABILITY, OBJECTIVE_WEIGHTS, Segment
-from .plans.fixtures import ROLES, SCORING_MONTH, order_config, order_panel, order_rows
+from .plans import diagnostics, oracles, outputs, pipeline, report, scoring, validation
+from .plans.config import AGGREGATION, EXPLAINABILITY, OBJECTIVE_WEIGHTS, QUANTILES, Segment, resolve_roles
+from .plans.fixtures import ROLES, SCORING_MONTH, order_config, order_panel, order_rows, order_source
 from .plans.oracles import sql
+from .sources import files, jdbc
+from .sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -160,7 +163,7 @@ def numeric_bucket_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(segments.bucketed(F.col("balance"), edges, "b").alias("bucket")).agg(F.count("*").alias("n"))
 
 
-@query("reference_bucket_assign", "SELECT CASE WHEN reference_feature IS NULL THEN 'feature_missing' WHEN reference_feature <= 0 THEN 'feature_zero' WHEN reference_feature < 30 THEN 'q_b1' ELSE 'q_b2' END AS bucket, count(*) AS n FROM panel GROUP BY 1")
+@query("reference_bucket_assign", "SELECT CASE WHEN coalesce(reference_feature, 0) = 0 THEN 'feature_zero' WHEN reference_feature < 0 THEN 'feature_missing' WHEN reference_feature < 30 THEN 'q_b1' ELSE 'q_b2' END AS bucket, count(*) AS n FROM panel GROUP BY 1")
 def reference_bucket_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, _ = order_panel(spark, sf_dir, CONFIG)
     return table.groupBy(segments.reference_bucket(F.col("reference_feature"), [30.0], "q").alias("bucket")).agg(F.count("*").alias("n"))
@@ -225,7 +228,7 @@ class Stages:
         return evidence.aggregate(self.p(), AGGREGATION)
 
     def best(self) -> DataFrame:
-        return scoring.cut(peers.choose_best(self.evidence(), "customer_id"))
+        return scoring.cut(peers.choose_best(self.evidence(), "customer_id").drop("__supported"))
 
     def labelled(self) -> DataFrame:
         return labels.label(self.best(), CONFIG.watch_top_rate, CONFIG.high_top_rate, AGGREGATION["label_guardrails"])
@@ -461,7 +464,7 @@ _BAD = {
     "decision_row_count_positive": "(count(*) = 0)::INT", "decision_anomaly_flag_not_missing": "count(*) FILTER (flag IS NULL)", "decision_anomaly_flag_binary": "count(*) FILTER (flag NOT IN (0, 1))", "decision_reason_not_blank": "count(*) FILTER (reason IS NULL OR trim(reason) = '')",
     "decision_reason_without_confidence_text": "count(*) FILTER (contains(lower(reason), 'confidence'))", "decision_anomaly_score_not_missing": "count(*) FILTER (score IS NULL)", "decision_anomaly_score_range": "count(*) FILTER (score NOT BETWEEN 0 AND 100)", "decision_duplicate_full_rows": "count(*) - count(DISTINCT customer_id)",
     "detail_row_count_positive": "(count(*) = 0)::INT", "detail_anomaly_flag_not_missing": "count(*) FILTER (flag IS NULL)", "detail_anomaly_flag_binary": "count(*) FILTER (flag NOT IN (0, 1))", "detail_normal_score_below_flagged_min": "coalesce(max(score) FILTER (flag = 0) > min(score) FILTER (flag = 1), false)::INT",
-    "decision_contains_raw_input_columns": "0",
+    "decision_contains_raw_input_columns": "0 * count(*)",
 }
 _DECIDED = "SELECT n.customer_id, CASE WHEN coalesce(label, 'NOT_SCORED') IN ('NORMAL', 'NOT_SCORED') THEN 0 ELSE 1 END AS flag, coalesce(score, 0.0) AS score, coalesce(reason, 'not scored') AS reason FROM now n LEFT JOIN diag l ON n.customer_id = l.customer_id"
 
@@ -550,6 +553,124 @@ def scoreability_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(diagnostics.scoreability_breakdown(run(spark, sf_dir)))
 
 
+@query("peer_attempts", "SELECT customer_id, supported AS peer_candidate_count, coalesce((SELECT string_agg(c.level_name, '|' ORDER BY c.cand) FROM cands c WHERE NOT EXISTS (SELECT 1 FROM gated g WHERE g.customer_id = b.customer_id AND g.cand = c.cand)), '') AS failed FROM best b")
+def peer_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir).scores.select("customer_id", "peer_candidate_count", F.array_join("peer_attempts", "|").alias("failed"))
+
+
+# Local outlier factor of the eight signals
+
+_Z = tuple(s.z for s in signals.SIGNALS)
+_LOF = (
+    "SELECT * FROM (WITH s AS (SELECT count(*) AS n, " + ", ".join(f"count({z}) AS n_{z}, count(DISTINCT {z}) AS d_{z}, median({z}) AS m_{z}" for z in _Z) + " FROM labelled), a AS (SELECT " + ", ".join(f"median(abs({z} - m_{z})) AS a_{z}" for z in _Z) + " FROM labelled, s), "
+    "x AS (SELECT customer_id, " + ", ".join(f"CASE WHEN n_{z} >= 0.01 * n AND d_{z} >= 2 THEN coalesce(greatest(least(({z} - m_{z}) / greatest(1.4826 * a_{z}, 0.2), 8.0), -8.0), 0.0) ELSE 0.0 END AS {z}, CASE WHEN n_{z} >= 0.01 * n AND d_{z} >= 2 THEN ({z} IS NULL)::INT ELSE 0 END AS i_{z}" for z in _Z) + " FROM labelled, s, a), "
+    "near AS MATERIALIZED (SELECT p.customer_id, q.customer_id AS other, sqrt(" + " + ".join(f"(p.{z} - q.{z}) * (p.{z} - q.{z}) + (p.i_{z} - q.i_{z}) * (p.i_{z} - q.i_{z})" for z in _Z) + ") AS d FROM x p JOIN x q ON p.customer_id <> q.customer_id QUALIFY row_number() OVER (PARTITION BY p.customer_id ORDER BY d, q.customer_id) <= greatest(5, least(35, (SELECT count(*) - 1 FROM x)))), "
+    "reach AS (SELECT customer_id, max(d) AS r FROM near GROUP BY 1), dens AS (SELECT n.customer_id, 1.0 / (avg(greatest(d, r)) + 1e-10) AS density FROM near n JOIN reach k ON n.other = k.customer_id GROUP BY 1), "
+    "lof AS (SELECT n.customer_id, avg(o.density) / any_value(d.density) AS lof FROM near n JOIN dens o ON n.other = o.customer_id JOIN dens d ON n.customer_id = d.customer_id GROUP BY 1) "
+    "SELECT customer_id, round(100.0 * (rank() OVER (ORDER BY lof) + (count(*) OVER (PARTITION BY lof) - 1) / 2.0) / count(*) OVER (), 6) + 0.0 AS lof_challenger_score FROM lof) t"
+)
+
+
+@query("challenger_lof", _LOF)
+def challenger_lof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = AGGREGATION | {"challenger_models": AGGREGATION["challenger_models"] | {"min_rows": 20, "methods": ["lof"]}}
+    return rounded(challengers.add_challengers(run(spark, sf_dir).scores, rules).select("customer_id", "lof_challenger_score"))
+
+
+# Fitted buckets
+
+_BUCKET_ROWS = " UNION ALL ".join(
+    f"SELECT '{kind}_{name}' AS partition, y, main_metric, CASE WHEN v IS NULL THEN 'missing' ELSE CAST(len(list_filter(e, lambda x: x <= v)) AS VARCHAR) END AS label FROM (SELECT y, main_metric, {value} AS v FROM hist), (SELECT list_distinct(quantile_cont({value}, {list(q)})) AS e FROM hist)"
+    for kind, value in (("raw", "balance"), ("log1p", "CASE WHEN balance >= 0 THEN ln(1 + balance) END"))
+    for name, q in QUANTILES.items()
+)
+_OBJECTIVES = (
+    f"SELECT * FROM (WITH p AS ({_BUCKET_ROWS} UNION ALL SELECT '' AS partition, y, main_metric, 'ALL' AS label FROM hist), "
+    f"g AS (SELECT partition, label, count(*) AS n, {_IQR} AS iqr, median(y) AS med, abs(ln(greatest(avg(main_metric), 1e-6) / greatest(median(main_metric), 1e-6))) AS gap, stddev_pop(main_metric) / greatest(median(main_metric), 1e-6) AS spread FROM p GROUP BY 1, 2), "
+    f"w AS (SELECT partition, count(*) AS rows_in, greatest({_IQR}, 0.2) AS scale FROM p GROUP BY 1), c AS (SELECT partition, count(*) AS group_count FROM g GROUP BY 1), k AS (SELECT * FROM g WHERE n >= 120) "
+    "SELECT k.partition, any_value(group_count) AS group_count, count(*) AS supported_group_count, round(greatest(least(0.35 * 100 * (1 - least(sum(n * iqr) / sum(n) / any_value(scale), 1)) + 0.25 * 100 * least(sum(n) / any_value(rows_in), 1) + 0.15 * 100 * (1 - least(sum(n * gap) / sum(n) / ln(8.0), 1)) "
+    "+ 0.15 * 100 * (1 - least(sum(n * spread) / sum(n) / 12, 1)) + 0.10 * 100 * least(stddev_pop(med) / any_value(scale), 1) - greatest(0, (any_value(group_count) - 12) * 1.5), 100), 0), 6) + 0.0 AS objective FROM k JOIN w ON k.partition = w.partition JOIN c ON k.partition = c.partition GROUP BY 1) t"
+)
+
+
+@query("numeric_segment_objectives", _OBJECTIVES)
+def numeric_segment_objectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The objective of every bucketing of the balance that a fit chooses from."""
+    history = history_of(spark, sf_dir)
+    spec = Segment("balance", "numeric")
+    found = segments.partition_objectives(history, segments.numeric_partitions(history, spec)[0], spec.min_rows)
+    return rounded(spark.createDataFrame([(k, int(v["group_count"]), int(v["supported_group_count"]), v["objective"]) for k, v in found.items()], "partition string, group_count long, supported_group_count long, objective double"))
+
+
+def _bucket_sql(edges: str, prefix: str) -> str:
+    return f"'{prefix}' || CAST(1 + len(list_filter({edges}, lambda e: e <= x)) AS VARCHAR)"
+
+
+@query(
+    "reference_buckets",
+    "SELECT CASE WHEN reference_feature > 0 THEN " + _bucket_sql("a", "q3_b") + " WHEN coalesce(reference_feature, 0) = 0 THEN 'feature_zero' ELSE 'feature_missing' END AS feature_bucket_q3, CASE WHEN reference_feature > 0 THEN " + _bucket_sql("b", "feature_ratio_q") + " WHEN coalesce(reference_feature, 0) = 0 THEN 'reference_feature_zero' ELSE 'reference_feature_missing' END AS feature_ratio_bucket, count(*) AS n "
+    f"FROM (SELECT *, ln(1 + reference_feature) AS x FROM hist), (SELECT quantile_cont(ln(1 + reference_feature), {list(QUANTILES['q3'])}) FILTER (reference_feature > 0) AS a, quantile_cont(ln(1 + reference_feature), [0.2, 0.4, 0.6, 0.8]) FILTER (reference_feature > 0) AS b FROM hist) GROUP BY 1, 2",
+)
+def reference_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = history_of(spark, sf_dir)
+    edges = segments.fit_reference_buckets(history, segments.bucket_variants(["q3"]))
+    return segments.assign_reference_buckets(history, edges).groupBy("feature_bucket_q3", "feature_ratio_bucket").agg(F.count("*").alias("n"))
+
+
+# Sources, sinks and configured runs
+
+
+def _csv_orders(spark: SparkSession, sf_dir: str) -> str:
+    """The order source as CSV with semicolons, decimal commas and aliased names, below the shared folder."""
+    text = lambda c: F.translate(F.format_string("%.4f", F.col(c).cast("double")), ".", ",")
+    rows = order_source(spark, sf_dir).select(
+        F.col("customer").alias("MUSTERINO"), F.col("month").alias("DONEM_AY"), text("amount").alias("FATURA_TTR"), F.when(F.col("quantity").isNotNull(), text("quantity")).alias("TURNOVER_AMT"), F.col("orders").alias("AKTIF_ABONE"), F.col("segment").alias("SEGMENTAD"), F.col("region").alias("BOLGE")
+    )
+    path = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}"
+    files.write_snapshot(rows, path)
+    return path
+
+
+@query("csv_source", "SELECT CAST(month AS INTEGER) AS invoice_month, count(*) AS n, round(sum(amount), 3) + 0.0 AS amount, round(sum(quantity), 3) + 0.0 AS quantity FROM src GROUP BY 1")
+def csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A written CSV, read back with detected options, roles by alias and parsed numbers."""
+    df = files.read_csv(spark, _csv_orders(spark, sf_dir))
+    rows = panel.normalise(df, resolve_roles(df.columns))
+    return rows.groupBy("invoice_month").agg(F.count("*").alias("n"), (F.round(F.sum("main_metric"), 3) + F.lit(0.0)).alias("amount"), (F.round(F.sum("reference_feature"), 3) + F.lit(0.0)).alias("quantity"))
+
+
+@query("configured_run", "SELECT n.customer_id AS MUSTERINO, n.invoice_month AS DONEM_AY, n.segment AS SEGMENTAD, CASE WHEN coalesce(label, 'NOT_SCORED') IN ('NORMAL', 'NOT_SCORED') THEN 0 ELSE 1 END AS ANOMALI_FLAG, " + rs({"ANOMALI_SKORU": "coalesce(score, 0.0)"}) + " FROM now n LEFT JOIN labelled l ON n.customer_id = l.customer_id")
+def configured_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run by a configuration of variable groups, from a CSV source to a local sink, whose decision file is read back."""
+    path = _csv_orders(spark, sf_dir)
+    raw = {
+        "source": {"active_source": "orders", "connections": {"orders": {"type": "csv", "path": path}}, "output_columns": ["MUSTERINO", "DONEM_AY", "SEGMENTAD"]},
+        "sinks": {"active_sink": "folder", "connections": {"folder": {"type": "local", "path": path + "-out"}}},
+        "variables": {"ids": "MUSTERINO", "dates": ["DONEM_AY"], "features": ["FATURA_TTR", "TURNOVER_AMT"], "segments": ["SEGMENTAD", {"column": "BOLGE"}]},
+        "model": {"derived_signals": {"ratios": [{"name": "per_unit", "denominator": "TURNOVER_AMT", "quality_gate": {"min_peer_ratio_rows": 50, "min_peer_ratio_mad": 0.0}}]}, "derived_features": {"bucket_features": [{"source": "AKTIF_ABONE", "internal_role": "exposure"}]}},
+        "peer_support": {"min_history_rows": 100, "min_season_rows": 5, "min_recent_rows": 10, "min_current_rows": 5},
+        "scoring_month": "2001-07",
+        "prior": False,
+    }
+    found = spark.read.option("header", True).csv(pipeline.run_mapping(spark, raw).written["decision"])
+    found = found.toDF(*[c.lstrip("﻿") for c in found.columns])
+    return rounded(found.select("MUSTERINO", F.col("DONEM_AY").cast("int").alias("DONEM_AY"), "SEGMENTAD", F.col("ANOMALI_FLAG").cast("int").alias("ANOMALI_FLAG"), F.col("ANOMALI_SKORU").cast("double").alias("ANOMALI_SKORU")))
+
+
+SCORED_MONTHS = [("last", 202604), ("LATEST", 202604), ("202603", 202603), ("20260315", 202603), ("2026-03", 202603), ("2026/3/1", 202603), ("01.03.2026", 202603), ("03.2026", 202603), ("202603.0", 202603)]
+NAMES = [("müşteri no", "M_TERI_NO"), ("1st", "C_1ST"), ("a--b", "A_B"), ("x", "X"), ("X", "X_2"), ("total$ #", "TOTAL$_#")]
+
+
+@query("scoring_month_parse", "SELECT * FROM (VALUES " + ", ".join(f"({t!r}, {v})" for t, v in SCORED_MONTHS) + ") t(text, month)", chain=False)
+def scoring_month_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(t, parse_scoring_month(t, [202601, 202604])) for t, _ in SCORED_MONTHS], "text string, month int")
+
+
+@query("identifier_map", "SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in NAMES) + ") t(source, identifier)", chain=False)
+def identifier_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame(list(jdbc.identifiers([a for a, _ in NAMES]).items()), "source string, identifier string")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scored month."""
     columns = ("customer_id", "invoice_month", "main_metric", "expected_main_metric", "peer_group_level_name", "evidence_driver", "anomaly_label", "final_anomaly_score", "confidence", "action_label", "reason_codes")

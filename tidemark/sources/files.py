@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Encodings and separators that are tried, in this order.
 ENCODINGS, SEPARATORS, LEAST_COLUMNS = ("utf-8", "utf-8-sig", "cp1254"), (",", ";"), 5
@@ -49,13 +51,36 @@ def output_columns(df: DataFrame, wanted: str | Sequence[str] = "all", excluded:
 
 def write_month(df: DataFrame, path: str, scoring_month: int) -> None:
     """Write a month's rows as Parquet, in place of what the path had of that month and of no other."""
-    from pyspark.sql import functions as F
-
     df.withColumn("MODEL_DONEM_AY", F.lit(scoring_month)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("MODEL_DONEM_AY").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+def stem(name: str | None) -> str:
+    """A source's name as the stem of file names."""
+    return re.sub(r"[^A-Za-z0-9_]+", "_", str(name or "anomaly_input")).strip("_") or "anomaly_input"
+
+
+def output_names(name: str | None, scoring_month: int) -> dict[str, str]:
+    """Names of what a run writes. The parts after the stem."""
+    own = stem(name)
+    return {"decision": f"{own}_anomaly_decisions_{scoring_month}.csv", "detail": f"{own}_anomaly_decision_detail_{scoring_month}.csv", "contract": f"{own}_implementation_contract_{scoring_month}.json", "snapshot": f"{own}_source_snapshot.csv"}
+
+
+def write_csv(df: DataFrame, path: str, order: Sequence[str] = (), sep: str = ",", mark: bool = True) -> None:
+    """A folder of CSV files in the order of columns, each with a header and, if mark, a byte order mark before it."""
+    out = df.orderBy(*[F.col(f"`{c}`") for c in order if c in df.columns]) if order else df
+    if mark and out.columns:
+        out = out.withColumnRenamed(out.columns[0], "\ufeff" + out.columns[0])
+    out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").option("sep", sep).csv(path)
+
+
+def write_snapshot(df: DataFrame, path: str) -> None:
+    """The source as it was read, so that a run can be done again."""
+    write_csv(df, path, sep=";", mark=False)
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small text, by Spark, so that any store will do."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\x00").text(path)
 
 
 def contract(scoring_month: int, summary: Mapping[str, Any], paths: Mapping[str, str], identifiers: Mapping[str, str] | None = None) -> str:

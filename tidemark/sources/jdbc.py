@@ -8,9 +8,13 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
+import yaml
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import read_csv
+
 _IDENTIFIER = re.compile(r"[A-Z][A-Z0-9_$#]{0,29}")
 MAX_NAME = 30
 #: Parts of column names that are long texts.
@@ -19,8 +23,11 @@ REQUIRED = ("user", "password", "host", "port", "service_name")
 
 
 def credentials(raw: Mapping[str, Any] | str, section: str = "JOB") -> dict[str, str]:
-    """User, password, host, port and service_name from a mapping or INI text; ValueError names what is missing."""
-    if isinstance(raw, str):
+    """User, password, host, port and service_name from a mapping, YAML or INI text; ValueError names what is missing."""
+    if isinstance(raw, str) and not raw.lstrip().startswith("["):
+        found = yaml.safe_load(raw) or {}
+        raw = found.get(section, found.get("connection", found)) if isinstance(found, Mapping) else {}
+    elif isinstance(raw, str):
         parser = configparser.ConfigParser()
         parser.read_string(raw)
         name = parser.get(section, "connection", fallback=section) if parser.has_section(section) else next(iter(parser.sections()), section)
@@ -79,28 +86,90 @@ def column_type(name: str, kind: T.DataType, longest: int = 0) -> str:
     return "CLOB" if longest > 3900 or any(k in name.upper() for k in LONG_TEXT) else "VARCHAR2(4000 CHAR)"
 
 
-def delete_statements(table: str, key: str, values: Sequence[Any], block: int = 900) -> list[str]:
-    """Statements that delete the rows of the values, in lists of at most ``block``; all rows if there is no value."""
-    quoted = [f"'{str(v).replace(chr(39), chr(39) * 2)}'" if isinstance(v, str) else str(v) for v in values]
-    return [f"DELETE FROM {table} WHERE {key} IN ({', '.join(quoted[k : k + block])})" for k in range(0, len(quoted), block)] or [f"DELETE FROM {table}"]
+#: Runs a statement with values for its question marks on the target.
+Execute = Callable[[str, Sequence[Any]], None]
+
+
+def executor(spark: SparkSession, connection: Mapping[str, str]) -> Execute:
+    """Statements by the driver's own JDBC connection, each committed by itself."""
+
+    def execute(statement: str, values: Sequence[Any] = ()) -> None:
+        own = spark._jvm.java.sql.DriverManager.getConnection(connection["url"], connection.get("user"), connection.get("password"))
+        try:
+            prepared = own.prepareStatement(statement)
+            for k, value in enumerate(values, 1):
+                prepared.setObject(k, value)
+            prepared.executeUpdate()
+        finally:
+            own.close()
+
+    return execute
+
+
+def delete_statements(table: str, key: str, values: Sequence[Any], block: int = 900) -> list[tuple[str, list[Any]]]:
+    """Statements with their values that delete the rows of the values, in lists of at most ``block``.
+
+    ValueError where there is no value, as that would leave nothing to delete or delete all.
+    """
+    if not values:
+        raise ValueError("delete_insert needs the values that are to be replaced")
+    table, key = qualified(table), valid_identifier(key)
+    return [(f"DELETE FROM {table} WHERE {key} IN ({', '.join('?' * len(part))})", list(part)) for part in (values[k : k + block] for k in range(0, len(values), block))]
+
 
+def qualified(table: str) -> str:
+    """A table name, or one after its owner's, of valid identifiers."""
+    return ".".join(valid_identifier(part) for part in table.split("."))
 
-def write(df: DataFrame, connection: Mapping[str, str], table: str, mode: str = "append", execute: Callable[[str], None] | None = None, key: str | None = None, values: Sequence[Any] = ()) -> None:
+
+def create_statement(table: str, columns: Mapping[str, str]) -> str:
+    return f"CREATE TABLE {qualified(table)} ({', '.join(f'{valid_identifier(n)} {t}' for n, t in columns.items())})"
+
+
+def table_columns(spark: SparkSession, connection: Mapping[str, str], table: str) -> list[str] | None:
+    """The columns of a table in their order, or None where it can't be read."""
+    try:
+        return [c.upper() for c in spark.read.format("jdbc").options(**connection).option("query", f"SELECT * FROM {qualified(table)} WHERE 1 = 0").load().columns]
+    except Exception:  # drivers tell a missing table in errors of their own
+        return None
+
+
+def longest_texts(df: DataFrame) -> dict[str, int]:
+    """The length of the longest value of each text column, in one pass."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return {k: v or 0 for k, v in df.agg(*[F.max(F.length(F.col(f"`{c}`"))).alias(c) for c in texts]).first().asDict().items()} if texts else {}
+
+
+def write(df: DataFrame, connection: Mapping[str, str], table: str, mode: str = "append", execute: Execute | None = None, key: str | None = None, values: Sequence[Any] = (), kind: Callable[[str, T.DataType, int], str] = column_type) -> None:
     """Write in mode append, delete_insert (key in values goes first), truncate_insert or replace.
 
-    execute runs a statement on the target; only delete_insert needs it.
+    A table that is missing, or has other columns or an other order of them, is made
+    anew (with replace, in any case). execute runs statements on the target; only append
+    to a table that fits does without. Each task of the insert commits by itself.
     """
+    if mode not in ("append", "delete_insert", "truncate_insert", "replace"):
+        raise ValueError(f"no write mode {mode!r}")
     names = identifiers(df.columns)
     out = df.toDF(*[names[c] for c in df.columns])
-    writer = out.write.format("jdbc").options(**connection).option("dbtable", table)
+    deletes = delete_statements(table, key or "", values) if mode == "delete_insert" else []
+    there = table_columns(df.sparkSession, connection, table)
+    if there != out.columns or mode == "replace":
+        if execute is None:
+            raise ValueError(f"{table} must be made, which needs execute")
+        longest = longest_texts(out)
+        if there is not None:
+            execute(f"DROP TABLE {qualified(table)}", ())
+        execute(create_statement(table, {f.name: kind(f.name, f.dataType, longest.get(f.name, 0)) for f in out.schema}), ())
+    elif mode != "append":
+        if execute is None:
+            raise ValueError(f"{mode} needs execute")
+        for statement, own in deletes or [(f"TRUNCATE TABLE {qualified(table)}", [])]:
+            execute(statement, own)
+    out.write.format("jdbc").options(**connection).option("dbtable", qualified(table)).mode("append").save()
+
+
+def load_csv(spark: SparkSession, path: str, connection: Mapping[str, str], table: str, mode: str, execute: Execute, kind: Callable[[str, T.DataType, int], str] | None = None) -> None:
+    """A CSV with detected options into a table, every column as text."""
     if mode == "delete_insert":
-        if execute is None or key is None:
-            raise ValueError("delete_insert needs execute and key")
-        for statement in delete_statements(table, key, values):
-            execute(statement)
-    elif mode not in ("append", "truncate_insert", "replace"):
-        raise ValueError(f"no write mode {mode!r}")
-    if mode == "replace":
-        types = ", ".join(f"{f.name} {column_type(f.name, f.dataType)}" for f in out.schema)
-        writer = writer.option("createTableColumnTypes", types) if "CLOB" not in types else writer
-    writer.option("truncate", str(mode == "truncate_insert").lower()).mode("append" if mode in ("append", "delete_insert") else "overwrite").save()
+        raise ValueError("a loaded file replaces, truncates or appends")
+    write(read_csv(spark, path), connection, table, mode, execute, kind=kind or (lambda name, t, longest: "VARCHAR2(4000)"))

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df as written to the checkpoint folder: it is read more than once, and later plans begin there.
-
-    The folder is the session's. Where it is unset, a local session gets one of our own, and a cluster an error.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder. Where it is unset, a local session gets one of our own, and a cluster an error."""
+    context = spark.sparkContext
+    root = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not context.getCheckpointDir():
-        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not root and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(root or tempfile.mkdtemp(prefix="tidemark-"))
+    return str(context.getCheckpointDir())
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df as written to the checkpoint folder: it is read more than once, and later plans begin there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
