@@ -80,7 +80,7 @@ def write_snapshot(df: DataFrame, path: str) -> None:
 
 def write_text(spark: SparkSession, text: str, path: str) -> None:
     """A small text, by Spark, so that any store will do."""
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\x00").text(path)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def contract(scoring_month: int, summary: Mapping[str, Any], paths: Mapping[str, str], identifiers: Mapping[str, str] | None = None) -> str:
