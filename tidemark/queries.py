@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -323,9 +324,17 @@ def label_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(Stages(spark, sf_dir).labelled().select("customer_id", "anomaly_label", "final_anomaly_score", "score_percentile", "raw_evidence_score", "label_guardrail_max_abs_z", "label_guardrail_abs_log_effect"))
 
 
-@query("not_scored_anti", "SELECT n.customer_id, CASE WHEN valid THEN 'INSUFFICIENT_PEER_SUPPORT' ELSE 'INVALID_MAIN_METRIC' END AS not_scored_reason FROM now n ANTI JOIN best b ON n.customer_id = b.customer_id")
+#: Without a global peer and with a minimum that some groups of the fixture meet and others don't.
+_STRICT = replace(CONFIG, support=replace(CONFIG.support, min_current_rows=38), peers=replace(CONFIG.peers, include_global=False))
+
+
+@query(
+    "not_scored_anti",
+    "SELECT customer_id, CASE WHEN valid THEN 'INSUFFICIENT_PEER_SUPPORT' ELSE 'INVALID_MAIN_METRIC' END AS not_scored_reason FROM now n WHERE NOT EXISTS (SELECT 1 FROM paired p WHERE p.customer_id = n.customer_id AND cand < 3 AND valid AND hist_n >= 100 AND moy_n >= 5 AND recent_n >= 10 AND current_n >= 38 AND distribution >= 20)",
+)
 def not_scored_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir).not_scored.select("customer_id", "not_scored_reason")
+    table, profile = order_panel(spark, sf_dir, CONFIG)
+    return scoring.score_month(scoring.kept(table), profile, _STRICT, SCORING_MONTH).not_scored.select("customer_id", "not_scored_reason")
 
 
 def run(spark: SparkSession, sf_dir: str) -> scoring.Run:
