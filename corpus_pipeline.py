@@ -62,7 +62,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best_fit_packing", pack_best_fit),
 ]
 
-#: SQL has no form of the trained stages; tests hold run() against brute force.
+#: SQL has no form of the trained stages; tests hold the stages to brute force or planted rows, and run() to odd tables.
 ORACLE_SQL = None
 
 
