@@ -32,21 +32,21 @@ def shared_root(spark: SparkSession) -> str:
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """While it holds, Spark sends Python BATCH_ROWS rows at once at most: whole texts can be long, and a batch is held three times over."""
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """While it holds, Spark sends Python so many rows at once at most: whole texts can be long, and a batch is held three times over."""
     old = spark.conf.get(_BATCH, None)
-    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    spark.conf.set(_BATCH, str(rows))
     try:
         yield
     finally:
         spark.conf.unset(_BATCH) if old is None else spark.conf.set(_BATCH, old)
 
 
-def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy", batch_rows: int = BATCH_ROWS) -> DataFrame:
     """Write df below the shared folder and return it as read from there, so that lineage ends here."""
     spark = df.sparkSession
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    with small_batches(spark):
+    with small_batches(spark, batch_rows):
         df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_path = path

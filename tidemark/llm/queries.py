@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, media, packing, pii, sharding, simhash, tokenstore, urlfilter
+from . import chat, decontam, langid, lexical, media, packing, pii, sharding, simhash, tokenstore, urlfilter, warc, whitening
 from .bpe import tokenizer_path
 from .common import table, written
 
@@ -108,6 +108,21 @@ def op10_reply_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output.select("tree", "formatted", "loss_spans").mapInArrow(described, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
+def op11_blocked_sparse_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item, its terms taken once each."""
+    return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), lexical.TOP, once=True)
+
+
+def op12_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding's first 32 whitened components, and how they were fitted."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a capture read back from archives: payload, record type and what it revisits."""
+    return warc.page_index(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_url_model_filter": op2_url_model_filter,
@@ -119,6 +134,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bit_plane_store": op8_bit_plane_store,
     "op9_hashed_subword_language": op9_hashed_subword_language,
     "op10_reply_tree_chat": op10_reply_tree_chat,
+    "op11_blocked_sparse_search": op11_blocked_sparse_search,
+    "op12_jacobi_whitening": op12_jacobi_whitening,
+    "op13_warc_captures": op13_warc_captures,
 }
 
 _OP10_SQL = r"""
@@ -133,4 +151,4 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM turns GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op10_reply_tree_chat": _OP10_SQL, "op2_url_model_filter": urlfilter.judge_sql()}
+SQL: dict[str, str] = {"op13_warc_captures": warc.INDEX_SQL, "op11_blocked_sparse_search": lexical.SEARCH_SQL, "op10_reply_tree_chat": _OP10_SQL, "op2_url_model_filter": urlfilter.judge_sql()}
