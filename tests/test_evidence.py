@@ -126,7 +126,7 @@ def test_labels_and_flags(spark):
 def test_segment_names_and_buckets(spark):
     assert len(segments.internal_name("A very long Column Name!", "q4b")) <= 30
     df = spark.createDataFrame([(None,), (-1.0,), (0.0,), (5.0,)], "v double")
-    assert [r[0] for r in df.select(segments.reference_bucket(F.col("v"), [], "q")).collect()] == ["feature_missing", "feature_zero", "feature_zero", "feature_positive"]
+    assert [r[0] for r in df.select(segments.reference_bucket(F.col("v"), [], "q")).collect()] == ["feature_zero", "feature_missing", "feature_zero", "feature_positive"]
     assert [r[0] for r in df.select(segments.bucketed(F.col("v"), [0.0, 5.0], "b")).collect()] == ["segment_missing", "b_1", "b_2", "b_3"]
 
 

@@ -99,6 +99,38 @@ def test_quantiles_of_groups_too_large_for_a_task_are_the_same(spark):
     assert np.allclose(whole, np.quantile([y for _, y, _ in rows if y is not None], (0.25, 0.9)))
 
 
+def test_selection_ranks_only_what_lies_inside_the_brackets(spark, monkeypatch):
+    monkeypatch.setattr(stats, "WHOLE_ROWS", 50)
+    monkeypatch.setattr(stats, "SKETCH_ERROR", 0.01)
+    seen = []
+    count_ranks = stats.count_ranks
+    monkeypatch.setattr(stats, "count_ranks", lambda counts, *rest: (seen.append(counts.agg(F.sum("same")).first()[0]), count_ranks(counts, *rest))[1])
+    rng = random.Random(4)
+    rows = [("huge", rng.gauss(0, 1)) for _ in range(6000)] + [("tied", float(rng.randint(0, 3))) for _ in range(3000)] + [("small", rng.random()) for _ in range(40)] + [("none", None), (None, 1.0), (None, 2.0)]
+    df = spark.createDataFrame(rows, "k string, y double").repartition(6)
+    p = (0.0, 0.001, 0.1, 0.5, 0.999, 1.0)
+    small, large = ({r["k"]: r["q"] for r in stats.quantiles(df, ["k"], {"q": (F.col("y"), p)}, (), x).collect()} for x in (False, True))
+    assert set(small) == set(large) == {"huge", "tied", "small", "none", None}
+    assert all(small[k] is large[k] is None or np.allclose(small[k], large[k], rtol=1e-12) for k in small)
+    assert seen[0] < 6 * 0.15 * 6000 + 6 * 3000 + 6 * 42
+
+
+def test_grouped_statistics_of_large_groups_are_the_same(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice("ab"), rng.randint(100, 110), rng.choice([1.0, 2.0, rng.random()]), rng.random() < 0.5) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k string, month_ord int, y double, half boolean")
+    made = {
+        "metric": lambda x: stats.main_metric_stats(df, ["k"], "y", x),
+        "whole": lambda x: stats.main_metric_stats(df, [], "y", x),
+        "robust": lambda x: stats.robust_stats(df, ["k"], {"all": (F.col("y"), F.lit(True)), "half": (F.col("y"), F.col("half"))}, x),
+        "trend": lambda x: stats.trend_stats(df, ["k"], "y", "t", large=x),
+        "iqr": lambda x: stats.iqr_stats(df, ["k"], F.col("y"), "i", x),
+    }
+    for name, make in made.items():
+        small, large = (make(x).toPandas().set_index("k" if name != "whole" else "row_count").sort_index() for x in (False, True))
+        assert sorted(small.columns) == sorted(large.columns) and np.allclose(small.to_numpy(float), large[small.columns].to_numpy(float), rtol=1e-12), name
+
+
 def test_calibration_of_a_steady_group_is_full(spark):
     rows = [("a", m, 5.0) for m in range(100, 124) for _ in range(3)] + [("b", m, 5.0) for m in range(122, 124)]
     got = level(spark, rows)

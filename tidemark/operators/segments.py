@@ -65,16 +65,15 @@ def bucketed(value: Column, edges: Sequence[float], prefix: str) -> Column:
     return F.coalesce(F.concat(F.lit(prefix + "_"), (index + 1).cast("string")), F.lit(MISSING))
 
 
-def quantile_edges(df: DataFrame, values: dict[str, tuple[Column, Sequence[float]]], least: int) -> dict[str, tuple[float, ...]]:
+def quantile_edges(df: DataFrame, values: dict[str, tuple[Column, Sequence[float]]], least: int, large: bool = False) -> dict[str, tuple[float, ...]]:
     """Distinct quantiles of each value, ascending; none where fewer than least rows have it. One aggregation."""
     if not values:
         return {}
-    columns = [x for k, (v, q) in values.items() for x in (F.count(v).alias(f"n_{k}"), F.percentile(v, F.array(*[F.lit(float(p)) for p in q])).alias(f"q_{k}"))]
-    row = df.agg(*columns).first()
-    return {k: tuple(sorted(set(row[f"q_{k}"]))) if row[f"n_{k}"] >= max(1, least) else () for k in values}
+    row = quantiles(df, [], {f"q_{k}": x for k, x in values.items()}, [F.count(v).alias(f"n_{k}") for k, (v, _) in values.items()], large).first()
+    return {k: tuple(sorted(set(row[f"q_{k}"]))) if row and row[f"n_{k}"] >= max(1, least) else () for k in values}
 
 
-def partition_objectives(df: DataFrame, partitions: dict[str, Column], least: int) -> dict[str, dict[str, float]]:
+def partition_objectives(df: DataFrame, partitions: dict[str, Column], least: int, large: bool = False) -> dict[str, dict[str, float]]:
     """The objective of each candidate partition of df's valid rows, and its parts.
 
     Rows in groups of at least ``least`` rows count as supported. An objective is 0
@@ -83,13 +82,13 @@ def partition_objectives(df: DataFrame, partitions: dict[str, Column], least: in
     names = list(partitions)
     labels = F.array(*[F.struct(F.lit(n).alias("partition"), partitions[n].alias("label")) for n in names])
     rows = df.select("log_main_metric", "main_metric", F.explode(labels).alias("p")).select("log_main_metric", "main_metric", "p.partition", "p.label").filter("label is not null")
-    whole = rows.groupBy("partition").agg(F.count("*").alias("valid_rows"), F.percentile("log_main_metric", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    groups = rows.groupBy("partition", "label").agg(
-        F.count("*").alias("n"), F.percentile("log_main_metric", F.array(F.lit(0.25), F.lit(0.75))).alias("gq"), F.median("log_main_metric").alias("gm"),
-        F.avg("main_metric").alias("mean"), F.median("main_metric").alias("mid"), F.stddev_pop("main_metric").alias("sd"),
-    )
+    y = F.col("log_main_metric")
+    whole = quantiles(rows, ["partition"], {"q": (y, (0.25, 0.75))}, [F.count("*").alias("valid_rows")], large)
+    others = [F.count("*").alias("n"), F.avg("main_metric").alias("mean"), F.stddev_pop("main_metric").alias("sd")]
+    groups = quantiles(rows, ["partition", "label"], {"gq": (y, (0.25, 0.5, 0.75)), "mid": (F.col("main_metric"), (0.5,))}, others, large)
+    groups = groups.withColumns({"gm": F.col("gq")[1], "mid": F.col("mid")[0]})
     floor = lambda c: F.greatest(F.col(c), F.lit(1e-6))
-    kept = groups.withColumns({"ok": (F.col("n") >= least).cast("int"), "iqr": F.greatest(F.col("gq")[1] - F.col("gq")[0], F.lit(0.0)), "gap": F.abs(F.log(floor("mean") / floor("mid"))), "spread": F.col("sd") / floor("mid")})
+    kept = groups.withColumns({"ok": (F.col("n") >= least).cast("int"), "iqr": F.greatest(F.col("gq")[2] - F.col("gq")[0], F.lit(0.0)), "gap": F.abs(F.log(floor("mean") / floor("mid"))), "spread": F.col("sd") / floor("mid")})
     w = F.when(F.col("ok") == 1, F.col("n"))
     sums = kept.groupBy("partition").agg(
         F.count("*").alias("group_count"), F.sum("ok").alias("supported_group_count"), F.sum(w).alias("rows"), F.sum(w * F.col("iqr")).alias("iqr"), F.sum(w * F.col("gap")).alias("gap"), F.sum(w * F.col("spread")).alias("spread"),
@@ -114,19 +113,19 @@ def partition_objectives(df: DataFrame, partitions: dict[str, Column], least: in
     return out
 
 
-def numeric_partitions(history: DataFrame, spec: Segment) -> tuple[dict[str, Column], dict[str, tuple[float, ...]], dict[str, str]]:
+def numeric_partitions(history: DataFrame, spec: Segment, large: bool = False) -> tuple[dict[str, Column], dict[str, tuple[float, ...]], dict[str, str]]:
     """(partitions, edges, column names) of a numeric variable's bucketings, raw or logarithm by quantile variant; '' is one group of all."""
     wanted = {f"{'log1p' if log else 'raw'}_{v}": (numeric(history, spec.source, log), QUANTILES[v]) for log in (False, True) for v in spec.variants}
-    edges = quantile_edges(history, wanted, spec.min_rows)
+    edges = quantile_edges(history, wanted, spec.min_rows, large)
     columns = {k: internal_name(spec.source, f"{k.rpartition('_')[2][:4]}b") for k in wanted}
     return {"": F.lit("ALL")} | {k: bucketed(v, edges[k], columns[k]) for k, (v, _) in wanted.items() if edges[k]}, edges, columns
 
 
-def fit_numeric(history: DataFrame, spec: Segment) -> Fit:
+def fit_numeric(history: DataFrame, spec: Segment, large: bool = False) -> Fit:
     """The bucketing of the best objective; dropped if it gains too little."""
-    partitions, edges, columns = numeric_partitions(history, spec)
+    partitions, edges, columns = numeric_partitions(history, spec, large)
     valid = history.filter("valid_main_metric_for_model and log_main_metric is not null")
-    found = partition_objectives(valid, partitions, spec.min_rows)
+    found = partition_objectives(valid, partitions, spec.min_rows, large)
     base = found[""]["objective"]
     best = max((k for k in partitions if k), key=lambda k: found[k]["objective"], default=None)
     if best is None or found[best]["objective"] < base + spec.min_gain:
@@ -156,8 +155,8 @@ def fit_categorical(history: DataFrame, spec: Segment) -> Fit:
     return Fit(spec.source, spec.source, "identity", base, base)
 
 
-def fit_segments(history: DataFrame, specs: Sequence[Segment]) -> list[Fit]:
-    return [fit_numeric(history, s) if s.type == "numeric" else fit_categorical(history, s) for s in specs]
+def fit_segments(history: DataFrame, specs: Sequence[Segment], large: bool = False) -> list[Fit]:
+    return [fit_numeric(history, s, large) if s.type == "numeric" else fit_categorical(history, s, large) for s in specs]
 
 
 def apply_segments(df: DataFrame, fits: Sequence[Fit]) -> DataFrame:

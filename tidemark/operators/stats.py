@@ -23,11 +23,11 @@ CALIBRATION_MONTHS, MIN_BASE_MONTHS = 6, 3
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on keys of which nulls match each other; right's keys are dropped."""
-    renamed = right.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    condition = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    renamed = right.select(*[F.col(k).alias(f"__of_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    condition = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys]
     if how in ("left_semi", "left_anti"):
         return left.join(renamed, condition, how)
-    return left.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
+    return left.join(renamed, condition, how).drop(*[f"__of_{k}" for k in keys])
 
 
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -36,7 +36,11 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     Values are counted, dealt out in ranges, and numbered by sums within a range and over
     the ranges before it, so that no task holds a group, however large it is.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("same"))
+    return count_ranks(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("same")), keys, value)
+
+
+def count_ranks(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """value_ranks() of counts (keys, value, same)."""
     # Written, so that a row's range stays the same.
     parts = checkpointed(counts.repartitionByRange(*keys, value).withColumn("__part", F.spark_partition_id()))
     before = lambda c, by: F.coalesce(F.sum(c).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -67,32 +71,64 @@ AVERAGE_RANK = "(__below + (__same + 1) / 2) / __total"
 RANKS = ("__below", "__same", "__total")
 
 
+#: Rank error of the sketches that bracket a quantile, as a share of the group; and rows up to which the bracket is the whole group.
+SKETCH_ERROR, WHOLE_ROWS = 1e-4, 4096
+_SKETCH = "__sketch_"
+
+
 def quantiles(df: DataFrame, keys: Sequence[str], values: dict[str, tuple[Column, Sequence[float]]], others: Sequence[Column] = (), large: bool = False) -> DataFrame:
     """keys, an array of exact interpolated quantiles for each value (null where there is no value), and other aggregates.
 
-    large: whether a group may be too large for one task. Then quantiles are read off
-    value_ranks() in place of a map of the group's values; the result is the same.
+    large: whether a group may be too large for one task. Then quantiles are selected
+    between brackets in place of a map of the group's values; the result is the same.
     """
     if not large:
         return df.groupBy(*keys).agg(*[F.percentile(v, F.array(*[F.lit(float(p)) for p in q])).alias(n) for n, (v, q) in values.items()], *others)
     if not keys:
         return quantiles(df.withColumn("__all", F.lit(1)), ["__all"], values, others, True).drop("__all")
-    rest = df.groupBy(*keys).agg(F.count("*").alias("__rows"), *others)
-    entries = F.array(*[F.struct(F.lit(n).alias("__name"), v.cast("double").alias("__x")) for n, (v, _) in values.items()])
-    long = df.select(*keys, F.explode(entries).alias("__e")).select(*keys, "__e.*")
-    wanted = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(k).alias("k"), F.lit(float(p)).alias("p")) for n, (_, q) in values.items() for k, p in enumerate(q)])
-    places = value_ranks(long, [*keys, "__name"], "__x").withColumn("__w", F.explode(F.filter(wanted, lambda w: w["n"] == F.col("__name"))))
-    place = F.col("__w.p") * (F.col("total") - 1)
-    here = lambda c: (F.col("below") <= c) & (c < F.col("below") + F.col("same"))
-    low, high = F.floor(place), F.ceil(place)
-    found = places.filter(here(low) | here(high)).groupBy(*keys, F.col("__w.n").alias("__n"), F.col("__w.k").alias("__k")).agg(
-        F.max(F.when(here(low), F.col("__x"))).alias("__a"), F.max(F.when(here(high), F.col("__x"))).alias("__b"), F.max(place - low).alias("__f")
-    )
+    return selected(df, keys, values, others)
+
+
+def _bracket(name: str, k: int, p: float) -> tuple[Column, Column]:
+    """Least and greatest value that the quantile p of a group can lie between, of what selected() sketches."""
+    few, q = F.col(f"{_SKETCH}n_{name}") <= WHOLE_ROWS, F.col(f"{_SKETCH}q_{name}_{k}")
+    low = F.when(few | F.lit(p <= 4 * SKETCH_ERROR), F.col(f"{_SKETCH}low_{name}")).otherwise(q[0])
+    high = F.when(few | F.lit(p >= 1 - 4 * SKETCH_ERROR), F.col(f"{_SKETCH}high_{name}")).otherwise(q[1])
+    return low, high
+
+
+def selected(df: DataFrame, keys: Sequence[str], values: dict[str, tuple[Column, Sequence[float]]], others: Sequence[Column] = ()) -> DataFrame:
+    """quantiles() by selection: a first pass sketches each group, a second counts the values below each quantile's bracket and ranks only those inside it.
+
+    A bracket of a large group holds some thousandth of it, and those values are ranked in
+    ranges. A quantile outside its bracket, which the sketch's error bound rules out, is an error.
+    """
+    wide = 4 * SKETCH_ERROR
+    columns = {n: v.cast("double") for n, (v, _) in values.items()}
+    wanted = [(n, k, float(p)) for n, (_, q) in values.items() for k, p in enumerate(q)]
+    sketches = [x for n, v in columns.items() for x in (F.count(v).alias(f"{_SKETCH}n_{n}"), F.min(v).alias(f"{_SKETCH}low_{n}"), F.max(v).alias(f"{_SKETCH}high_{n}"))]
+    sketches += [F.percentile_approx(columns[n], F.array(F.lit(max(p - wide, 0.0)), F.lit(min(p + wide, 1.0))), round(1 / SKETCH_ERROR)).alias(f"{_SKETCH}q_{n}_{k}") for n, k, p in wanted]
+    first = checkpointed(df.groupBy(*keys).agg(*sketches, *others))
+    ends = {(n, k): _bracket(n, k, p) for n, k, p in wanted}
+    brackets = first.select(*keys, *[x for (n, k), (low, high) in ends.items() for x in (low.alias(f"__from_{n}_{k}"), high.alias(f"__to_{n}_{k}"))])
+    rows = join_null_safe(df.select(*keys, *[v.alias(f"__v_{n}") for n, v in columns.items()]), brackets, keys)
+    below = rows.groupBy(*keys).agg(*[F.count(F.when(F.col(f"__v_{n}") < F.col(f"__from_{n}_{k}"), 1)).alias(f"__below_{n}_{k}") for n, k, _ in wanted])
+    entries = F.array(*[F.when(F.col(f"__v_{n}").between(F.col(f"__from_{n}_{k}"), F.col(f"__to_{n}_{k}")), F.struct(F.lit(n).alias("__name"), F.lit(k).alias("__k"), F.col(f"__v_{n}").alias("__x"))) for n, k, _ in wanted])
+    inside = rows.select(*keys, F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("__e")).select(*keys, "__e.*")
+    own = [*keys, "__name", "__k"]
+    ranks = count_ranks(inside.groupBy(*own, "__x").agg(F.count("*").alias("same")), own, "__x")
+    told = F.explode(F.array(*[F.struct(F.lit(n).alias("__name"), F.lit(k).alias("__k"), F.col(f"__below_{n}_{k}").alias("__under"), (F.lit(p) * (F.col(f"{_SKETCH}n_{n}") - 1)).alias("__place")) for n, k, p in wanted]))
+    places = join_null_safe(first, below, keys).select(*keys, told.alias("__w")).select(*keys, "__w.*")
+    found = join_null_safe(ranks, places, own, "inner")
+    start, low, high = F.col("below") + F.col("__under"), F.floor("__place"), F.ceil("__place")
+    here = lambda c: (start <= c) & (c < start + F.col("same"))
+    pair = found.filter(here(low) | here(high)).groupBy(*own).agg(F.max(F.when(here(low), F.col("__x"))).alias("__a"), F.max(F.when(here(high), F.col("__x"))).alias("__b"), F.max(F.col("__place") - low).alias("__f"))
     at = F.col("__a") + (F.col("__b") - F.col("__a")) * F.col("__f")
-    one = lambda n, k: F.max(F.when((F.col("__n") == n) & (F.col("__k") == k), at))
-    wide = found.groupBy(*keys).agg(*[F.array(*[one(n, k) for k in range(len(q))]).alias(n) for n, (_, q) in values.items()])
-    out = join_null_safe(rest, wide, keys)
-    return out.select(*keys, *[F.when(F.col(n)[0].isNotNull(), F.col(n)).alias(n) for n in values], *[c for c in rest.columns if c not in (*keys, "__rows")])
+    one = lambda n, k: F.max(F.when((F.col("__name") == n) & (F.col("__k") == k), at))
+    quantile = pair.groupBy(*keys).agg(*[one(n, k).alias(f"__is_{n}_{k}") for n, k, _ in wanted])
+    out = join_null_safe(first, quantile, keys)
+    sure = lambda n, k: F.coalesce(F.col(f"__is_{n}_{k}"), F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))
+    return out.select(*keys, *[F.when(F.col(f"{_SKETCH}n_{n}") > 0, F.array(*[sure(n, k) for k in range(len(q))])).alias(n) for n, (_, q) in values.items()], *[c for c in first.columns if c not in keys and not c.startswith(_SKETCH)])
 
 
 def median(c: Column, where: Column | None = None) -> Column:
@@ -104,25 +140,25 @@ def floored(mad: Column) -> Column:
     return F.greatest(F.coalesce(mad, F.lit(0.0)), F.lit(MIN_LOG_SCALE))
 
 
-def robust_stats(df: DataFrame, keys: Sequence[str], subsets: dict[str, tuple[Column, Column]]) -> DataFrame:
+def robust_stats(df: DataFrame, keys: Sequence[str], subsets: dict[str, tuple[Column, Column]], large: bool = False) -> DataFrame:
     """For each prefix of subsets (value, condition): n, median and floored MAD of the value where the condition holds.
 
     All subsets share two aggregations. n counts rows; median and MAD are null where
-    n is 0.
+    n is 0. large: whether a group may be too large for one task.
     """
     values = {p: (F.when(cond, v), F.when(cond, 1)) for p, (v, cond) in subsets.items()}
-    first = df.groupBy(*keys).agg(*[x for p, (v, one) in values.items() for x in (F.count(one).alias(f"{p}_n"), F.median(v).alias(f"{p}_median"))])
+    first = quantiles(df, keys, {f"{p}_median": (v, (0.5,)) for p, (v, _) in values.items()}, [F.count(one).alias(f"{p}_n") for p, (_, one) in values.items()], large)
+    first = first.withColumns({f"{p}_median": F.col(f"{p}_median")[0] for p in subsets})
     back = join_null_safe(df, first.select(*keys, *[f"{p}_median" for p in subsets]), keys)
-    second = back.groupBy(*keys).agg(*[F.median(F.abs(v - F.col(f"{p}_median"))).alias(f"__{p}") for p, (v, _) in values.items()])
+    second = quantiles(back, keys, {f"__{p}": (F.abs(v - F.col(f"{p}_median")), (0.5,)) for p, (v, _) in values.items()}, (), large)
     out = join_null_safe(first, second, keys)
-    return out.select(*keys, *[x for p in subsets for x in (f"{p}_n", f"{p}_median", F.when(F.col(f"{p}_n") > 0, floored(MAD_FACTOR * F.col(f"__{p}"))).alias(f"{p}_mad"))])
+    return out.select(*keys, *[x for p in subsets for x in (f"{p}_n", f"{p}_median", F.when(F.col(f"{p}_n") > 0, floored(MAD_FACTOR * F.col(f"__{p}")[0])).alias(f"{p}_mad"))])
 
 
-def iqr_stats(df: DataFrame, keys: Sequence[str], value: Column, prefix: str) -> DataFrame:
+def iqr_stats(df: DataFrame, keys: Sequence[str], value: Column, prefix: str, large: bool = False) -> DataFrame:
     """Interquartile range, and the same over 1.349, of each group."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.75)))
-    out = df.groupBy(*keys).agg(q.alias("__q"))
-    iqr = F.col("__q")[1] - F.col("__q")[0]
+    out = quantiles(df, keys, {"__quartiles": (value, (0.25, 0.75))}, (), large)
+    iqr = F.col("__quartiles")[1] - F.col("__quartiles")[0]
     return out.select(*keys, iqr.alias(f"{prefix}_iqr_log"), (iqr / IQR_FACTOR).alias(f"{prefix}_mad_log"))
 
 
@@ -135,9 +171,10 @@ def shape(value: str, prefix: str) -> list[Column]:
     return [F.when(n >= 3, skew).alias(f"{prefix}_skew"), F.when(n >= 4, kurt).alias(f"{prefix}_kurtosis")]
 
 
-def trend_stats(df: DataFrame, keys: Sequence[str], value: str, prefix: str, month: str = "month_ord") -> DataFrame:
+def trend_stats(df: DataFrame, keys: Sequence[str], value: str, prefix: str, month: str = "month_ord", large: bool = False) -> DataFrame:
     """Least squares through the group's monthly medians: n (rows), slope cut to [-1, 1], intercept; null below two months."""
-    monthly = df.groupBy(*keys, month).agg(F.median(value).alias("__y"), F.count("*").alias("__rows"))
+    monthly = quantiles(df, [*keys, month], {"__mid": (F.col(value), (0.5,))}, [F.count("*").alias("__rows")], large)
+    monthly = monthly.select(*keys, month, F.col("__mid")[0].alias("__y"), "__rows")
     x, y = F.col(month).cast("double"), F.col("__y")
     out = monthly.groupBy(*keys).agg(F.sum("__rows").alias(f"{prefix}_trend_n"), F.regr_slope(y, x).alias("__slope"), F.avg(y).alias("__ym"), F.avg(F.when(y.isNotNull(), x)).alias("__xm"))
     slope = F.greatest(F.least("__slope", F.lit(1.0)), F.lit(-1.0))
@@ -155,11 +192,11 @@ def calibration_score() -> Column:
     return F.greatest(F.least(score, F.lit(100.0)), F.lit(0.0))
 
 
-def main_metric_stats(df: DataFrame, keys: Sequence[str], value: str = "main_metric") -> DataFrame:
-    """Mean, median, population deviation, least and greatest of each group, with their ratios to the median."""
-    out = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.count("*").alias("row_count"), F.avg(value).alias("mean"), F.median(value).alias("median"), F.stddev_pop(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max")
-    )
+def main_metric_stats(df: DataFrame, keys: Sequence[str], value: str = "main_metric", large: bool = False) -> DataFrame:
+    """Mean, median, population deviation, least and greatest of each group, with their ratios to the median. large: whether a group may be too large for one task."""
+    v = F.col(value)
+    others = [F.count("*").alias("row_count"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")]
+    out = quantiles(df.filter(v.isNotNull()), keys, {"median": (v, (0.5,))}, others, large).withColumn("median", F.col("median")[0])
     floor = F.greatest("median", F.lit(1e-6))
     return out.withColumns({"mean_to_median": F.col("mean") / floor, "std_to_median": F.col("std") / floor})
 

@@ -13,7 +13,7 @@ from ..operators.labels import anomaly_flag
 from ..operators.panel import Profile, rolling_window
 from ..operators.peers import Candidate, exploded
 from ..operators.segments import apply_segments
-from ..operators.stats import AVERAGE_RANK, RANKS, ranked
+from ..operators.stats import AVERAGE_RANK, RANKS, quantiles, ranked
 from .config import Config
 from .scoring import Run, score_month
 
@@ -46,18 +46,14 @@ def calendar_grid(rows: DataFrame, scoring_month: int) -> DataFrame:
     return months.withColumn("invoice_month", period).withColumn("calendar_month", period_label(F.col("invoice_month")))
 
 
-def peer_monthly_stats(rows: DataFrame, candidates: Sequence[Candidate]) -> DataFrame:
-    """Size and medians of every peer group (cand, key) in every month."""
+def peer_monthly_stats(rows: DataFrame, candidates: Sequence[Candidate], large: bool = False) -> DataFrame:
+    """Size and medians of every peer group (cand, key) in every month. large: whether a group may be too large for one task."""
     keep = ("customer_id", "invoice_month", "main_metric", "reference_feature", "main_to_reference_ratio")
     spread = exploded(rows.withColumn("main_to_reference_ratio", F.when(F.col("reference_feature_for_model") > 0, F.col("main_metric") / F.col("reference_feature_for_model"))), candidates, keep)
-    return spread.groupBy("cand", "key", "invoice_month").agg(
-        F.count("*").alias("peer_month_row_count"),
-        F.count_distinct("customer_id").alias("peer_month_customer_count"),
-        F.median("main_metric").alias("peer_month_main_metric_median"),
-        F.avg("main_metric").alias("peer_month_main_metric_mean"),
-        F.median("reference_feature").alias("peer_month_reference_feature_median"),
-        F.median("main_to_reference_ratio").alias("peer_month_main_to_reference_median"),
-    )
+    medians = {"main_metric": "main_metric", "reference_feature": "reference_feature", "main_to_reference": "main_to_reference_ratio"}
+    others = [F.count("*").alias("peer_month_row_count"), F.count_distinct("customer_id").alias("peer_month_customer_count"), F.avg("main_metric").alias("peer_month_main_metric_mean")]
+    out = quantiles(spread, ["cand", "key", "invoice_month"], {f"peer_month_{k}_median": (F.col(v), (0.5,)) for k, v in medians.items()}, others, large)
+    return out.withColumns({f"peer_month_{k}_median": F.col(f"peer_month_{k}_median")[0] for k in medians})
 
 
 def detail_table(panel: DataFrame, run: Run, config: Config) -> DataFrame:
@@ -75,7 +71,7 @@ def detail_table(panel: DataFrame, run: Run, config: Config) -> DataFrame:
     keys = exploded(run.scoring, run.candidates, ["customer_id"]).join(chosen, ["customer_id", "cand"], "left_semi")
     context = verdicts(run).join(keys, "customer_id", "left")
     out = grid.join(series, ["customer_id", "invoice_month"], "left").join(context, "customer_id", "left")
-    out = out.join(peer_monthly_stats(rows, list(order.values())), ["cand", "key", "invoice_month"], "left")
+    out = out.join(peer_monthly_stats(rows, list(order.values()), run.large), ["cand", "key", "invoice_month"], "left")
     scoring = F.col("invoice_month") == run.scoring_month
     out = out.withColumns(
         {

@@ -40,7 +40,7 @@ def metric_stats(run: Run) -> DataFrame:
     """Current and historical metric statistics of every peer group, side by side."""
     parts = []
     for prefix, rows in (("current", run.scoring), ("history", run.history)):
-        stats = main_metric_stats(exploded(valid(rows), run.candidates, ["main_metric"]), ["cand", "key"])
+        stats = main_metric_stats(exploded(valid(rows), run.candidates, ["main_metric"]), ["cand", "key"], large=run.large)
         names = ("mean", "median", "std", "min", "max", "mean_to_median", "std_to_median")
         parts.append(stats.select(F.col("cand").alias("peer_candidate_order"), F.col("key").alias("peer_key"), *[F.col(n).alias(f"{prefix}_{n}") for n in names]))
     return parts[0].join(parts[1], ["peer_candidate_order", "peer_key"], "full_outer")
