@@ -1,9 +1,8 @@
 """Challenger models over the z-signals: principal components, isolation forest and local outlier factor.
 
-They are diagnostics beside the robust score. All fit on a bounded part of a
-month's scored rows that reaches the driver (moments for the components, at
-most POOL_ROWS rows for isolation trees) and score every row where it lies. The
-outlier factor is against all scored rows, beyond POOL_ROWS in pairs of blocks.
+They are diagnostics beside the robust score. Components go by moments of all
+scored rows, each isolation tree by a sample of its own of them, and the outlier
+factor by every row's exact neighbours (``neighbours``); rows are scored where they lie.
 """
 
 from __future__ import annotations
@@ -14,32 +13,34 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import checkpointed
+from .neighbours import outlier_factors
 from .signals import CUSTOMER_Z, PEER_Z
-from .stats import AVERAGE_RANK, MAD_FACTOR, MIN_LOG_SCALE, RANKS, ranked
+from .stats import AVERAGE_RANK, MAD_FACTOR, MIN_LOG_SCALE, RANKS, quantiles, ranked
 
-#: Rows that isolation trees are drawn from; up to as many, neighbours are looked for on the driver's copy.
-POOL_ROWS = 4096
-BLOCK_ROWS = 1024
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TREES, TREE_ROWS = 100, 256
 METHODS = {"pca": "pca", "isolation_forest": "if", "lof": "lof"}
 
 
-def matrix_columns(scores: DataFrame, names: Sequence[str], least_rate: float = 0.01) -> list[Column]:
-    """Robustly scaled features cut to [-8, 8], each with an indicator of its missing; only features of two values or more."""
-    stats = [x for n in names for x in (F.count(n).alias(f"n_{n}"), F.count_distinct(n).alias(f"d_{n}"), F.median(n).alias(f"m_{n}"))]
-    first = scores.agg(F.count("*").alias("rows"), *stats).first()
-    kept = [n for n in names if first[f"n_{n}"] >= least_rate * max(first["rows"], 1) and first[f"d_{n}"] >= 2]
+def matrix_columns(scores: DataFrame, names: Sequence[str], least_rate: float = 0.01, large: bool = False) -> list[Column]:
+    """Robustly scaled features cut to [-8, 8], each with an indicator of its missing; only features of two values or more. large: whether the table may be too large for one task."""
+    middle = lambda c: (c.cast("double"), (0.5,))
+    told = [x for n in names for x in (F.count(n).alias(f"n_{n}"), (F.max(n) > F.min(n)).alias(f"d_{n}"))]
+    first = quantiles(scores, [], {f"m_{n}": middle(F.col(n)) for n in names}, [F.count("*").alias("rows"), *told], large).first()
+    if first is None:
+        return []
+    kept = [n for n in names if first[f"n_{n}"] >= least_rate * max(first["rows"], 1) and first[f"d_{n}"]]
     if not kept:
         return []
-    mads = scores.agg(*[F.median(F.abs(F.col(n) - first[f"m_{n}"])).alias(n) for n in kept]).first()
+    first = {**first.asDict(), **{f"m_{n}": first[f"m_{n}"][0] for n in kept}}
+    mads = quantiles(scores, [], {n: middle(F.abs(F.col(n) - first[f"m_{n}"])) for n in kept}, (), large).first()
+    mads = {n: mads[n][0] for n in kept}
     out = []
     for n in kept:
-        scale = max(MAD_FACTOR * (mads[n] or 0.0), MIN_LOG_SCALE)
+        scale = max(MAD_FACTOR * mads[n], MIN_LOG_SCALE)
         out.append(F.coalesce(F.greatest(F.least((F.col(n) - first[f"m_{n}"]) / scale, F.lit(8.0)), F.lit(-8.0)), F.lit(0.0)))
         out.append(F.col(n).isNull().cast("double"))
     return out
@@ -60,7 +61,8 @@ def reconstruction_error(rows: DataFrame, width: int, keep: float, most: int) ->
     centred = [c - F.lit(float(m)) for c, m in zip(x, mean, strict=True)]
     total = sum((c * c for c in centred), F.lit(0.0))
     inside = sum(((sum((c * F.lit(float(v)) for c, v in zip(centred, column, strict=True)), F.lit(0.0))) ** 2 for column in vectors.T), F.lit(0.0))
-    return F.greatest((total - inside) / width, F.lit(0.0))
+    # What is left within rounding is nothing, or ranks would go by noise.
+    return F.when(total - inside > 1e-9 * total, (total - inside) / width).otherwise(0.0)
 
 
 def grow(rows: np.ndarray, rng: np.random.Generator, depth: int, most: int) -> tuple:
@@ -90,91 +92,59 @@ def depths(tree: tuple, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def isolation_score(pool: np.ndarray, seed: int):
-    """A function from rows to isolation scores in (0, 1), fitted on pool."""
-    rng, size = np.random.default_rng(seed), min(TREE_ROWS, len(pool))
-    forest = [grow(pool[rng.choice(len(pool), size, replace=False)], rng, 0, int(np.ceil(np.log2(max(size, 2))))) for _ in range(TREES)]
-    return lambda x: 2.0 ** (-np.mean([depths(t, x) for t in forest], axis=0) / max(expected_depth(size), 1e-9))
+def _mixed(h: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each h under each seed, a row for each seed; different h never have the same."""
+    z = h.view(np.uint64)[None, :] ^ seeds[:, None]
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def tree_seeds(seed: int, trees: int = TREES) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 1 << 64, trees, dtype=np.uint64)
 
 
-def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Between all rows of x and y, by differences: a row's distance to itself is exactly 0."""
-    out = np.zeros((len(x), len(y)))
-    for a, b in zip(x.T, y.T, strict=True):
-        out += (a[:, None] - b[None, :]) ** 2
-    return np.sqrt(out)
-
-
-def outlier_factor(pool: np.ndarray, k: int):
-    """A function from rows to local outlier factors against pool, which is searched in blocks."""
-    k = max(1, min(k, len(pool) - 1))
-
-    def nearest(x: np.ndarray, own: bool) -> tuple[np.ndarray, np.ndarray]:
-        dist, index = [], []
-        for at in range(0, len(x), 512):
-            block = x[at : at + 512]
-            d = distances(block, pool)
-            if own:
-                d[np.arange(len(block)), np.arange(at, at + len(block))] = np.inf
-            near = np.argpartition(d, k - 1, axis=1)[:, :k]
-            dist.append(np.take_along_axis(d, near, 1))
-            index.append(near)
-        return np.concatenate(dist), np.concatenate(index)
-
-    d, near = nearest(pool, True)
-    reach = d.max(axis=1)
-    density = 1.0 / (np.maximum(d, reach[near]).mean(axis=1) + 1e-10)
-
-    def factor(x: np.ndarray) -> np.ndarray:
-        d, near = nearest(x, False)
-        same = d.min(axis=1) == 0  # a row that is in the pool is not its own neighbour
-        own = 1.0 / (np.maximum(d, reach[near]).mean(axis=1) + 1e-10)
-        out = density[near].mean(axis=1) / own
-        at = np.flatnonzero(same)
-        self_at = near[at, d[at].argmin(axis=1)]
-        own_d, own_near = nearest_of[0][self_at], nearest_of[1][self_at]
-        out[at] = density[own_near].mean(axis=1) / (1.0 / (np.maximum(own_d, reach[own_near]).mean(axis=1) + 1e-10))
-        return out
-
-    nearest_of = (d, near)
-    return factor
-
-
-def outlier_factors(points: DataFrame, k: int) -> DataFrame:
-    """(row, lof) of each of points (row: a unique long, x), against all of them; points must be written, as it is read often."""
-    n = points.count()
-    k = max(1, min(k, n - 1))
-    block = points.groupBy(F.pmod(F.xxhash64("row"), F.lit(-(-n // BLOCK_ROWS))).alias("block")).agg(F.collect_list(F.struct("row", "x")).alias("p"))
-    block = checkpointed(block.select("block", F.col("p.row").alias("row"), F.col("p.x").alias("x")))
-
-    def matrix(batch: pa.RecordBatch, column: int, at: int) -> np.ndarray:
-        return np.array(batch.column(column)[at].as_py())
-
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def tree_samples(rows: DataFrame, seed: int, size: int = TREE_ROWS) -> list[np.ndarray]:
+    """For each tree, the x of the size rows of rows (h: a hash of the row's key, x) whose hashes under the tree's seed are the least, in that order.
+
+    A task sends on its own least ones only; what reaches the driver is trees times size rows.
+    """
+    seeds = tree_seeds(seed)
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, x = [np.zeros(0, np.uint64)] * len(seeds), [None] * len(seeds)
         for batch in batches:
-            for at in range(batch.num_rows):
-                (mine, x), (theirs, y) = ((matrix(batch, c, at), matrix(batch, c + 1, at)) for c in (0, 2))
-                d = distances(x, y)
-                d[mine[:, None] == theirs[None, :]] = np.inf
-                near = np.argpartition(d, min(k, len(y)) - 1, axis=1)[:, :k]
-                dist, own = np.take_along_axis(d, near, 1).ravel(), np.repeat(mine, near.shape[1])
-                real = np.isfinite(dist)
-                yield pa.RecordBatch.from_arrays([pa.array(own[real]), pa.array(theirs[near].ravel()[real]), pa.array(dist[real])], names=["row", "other", "dist"])
-
-    pairs = block.select("row", "x").crossJoin(block.select(F.col("row").alias("others"), F.col("x").alias("y")))
-    conf = points.sparkSession.conf
-    old = conf.get(_BATCH, None)
-    conf.set(_BATCH, "16")  # a row is two whole blocks
-    try:
-        found = pairs.mapInArrow(nearest, "row long, other long, dist double")
-        near = checkpointed(found.groupBy("row").agg(F.slice(F.sort_array(F.collect_list(F.struct("dist", "other"))), 1, k).alias("near")))
-    finally:
-        conf.unset(_BATCH) if old is None else conf.set(_BATCH, old)
-    links = near.select("row", F.inline("near"))
-    reach = near.select(F.col("row").alias("other"), F.array_max("near.dist").alias("reach"))
-    density = checkpointed(links.join(reach, "other").groupBy("row").agg((1.0 / (F.avg(F.greatest("dist", "reach")) + 1e-10)).alias("density")))
-    around = links.join(density.toDF("other", "theirs"), "other").groupBy("row").agg(F.avg("theirs").alias("theirs"))
-    return around.join(density, "row").select("row", (F.col("theirs") / F.col("density")).alias("lof"))
+            mixed = _mixed(batch.column(0).to_numpy(zero_copy_only=False), seeds)
+            matrix = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            for t, own in enumerate(mixed):
+                at = np.argpartition(own, size - 1)[:size] if len(own) > size else np.arange(len(own))
+                key[t] = np.concatenate([key[t], own[at]])
+                x[t] = matrix[at] if x[t] is None else np.concatenate([x[t], matrix[at]])
+                order = np.argsort(key[t], kind="stable")[:size]
+                key[t], x[t] = key[t][order], x[t][order]
+        for t in range(len(seeds)):
+            if len(key[t]):
+                signed = (key[t] ^ np.uint64(1 << 63)).view(np.int64)  # the same order
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(signed), t, np.int32)), pa.array(signed), pa.array(list(x[t]), pa.list_(pa.float64()))], names=["tree", "key", "x"])
+
+    found = rows.select("h", "x").mapInArrow(least, "tree int, key long, x array<double>")
+    found = found.withColumn("at", F.row_number().over(Window.partitionBy("tree").orderBy("key", "x"))).filter(F.col("at") <= size)
+    table = found.select("tree", "at", "x").toArrow().sort_by([("tree", "ascending"), ("at", "ascending")])
+    tree = table.column("tree").to_numpy()
+    x = np.array(table.column("x").to_pylist(), np.float64)
+    return [x[tree == t] for t in range(len(seeds)) if (tree == t).any()]
+
+
+def isolation_forest(samples: Sequence[np.ndarray], seed: int) -> list[tuple]:
+    """A tree for each sample; tree t is grown with the t-th child of the seed."""
+    rngs = np.random.default_rng(seed).spawn(len(samples))
+    return [grow(x, rng, 0, int(np.ceil(np.log2(max(len(x), 2))))) for x, rng in zip(samples, rngs, strict=True)]
+
+
+def isolation_score(samples: Sequence[np.ndarray], seed: int):
+    """A function from rows to isolation scores in (0, 1) by a forest over samples."""
+    forest, size = isolation_forest(samples, seed), max(len(x) for x in samples)
+    return lambda x: 2.0 ** (-np.mean([depths(t, x) for t in forest], axis=0) / max(expected_depth(size), 1e-9))
 
 
 def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "customer_id", large: bool = False) -> DataFrame:
@@ -186,7 +156,7 @@ def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "cu
         reason = "Challenger model disabled."
     elif scores.count() < int(rules.get("min_rows", 200)):
         reason = "Challenger model skipped: scoring row count below minimum."
-    columns = [] if reason else matrix_columns(scores, names)
+    columns = [] if reason else matrix_columns(scores, names, large=large)
     if not reason and not columns:
         reason = "Challenger model skipped: no usable residual features."
     if reason:
@@ -198,20 +168,14 @@ def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "cu
     raw: dict[str, Column] = {}
     if "pca" in wanted:
         raw["pca"] = reconstruction_error(rows, len(columns), float(rules["pca_variance_to_keep"]), int(rules["pca_max_components"]))
-    models = {}
-    if {"isolation_forest", "lof"} & set(wanted):
-        pool = np.array([r["x"] for r in rows.select("x", key).orderBy(F.xxhash64(key, F.lit(seed)), key).limit(POOL_ROWS).collect()])
-        if "isolation_forest" in wanted:
-            models["isolation_forest"] = isolation_score(pool, seed)
-        if "lof" in wanted and len(pool) == POOL_ROWS:  # there may be more rows
-            rows = checkpointed(rows.withColumn("__row", F.monotonically_increasing_id()))
-            neighbours = max(5, int(rules["lof_neighbors"]))
-            rows = rows.join(outlier_factors(rows.select(F.col("__row").alias("row"), "x"), neighbours).toDF("__row", "__factor"), "__row").drop("__row")
-            raw["lof"] = F.col("__factor")
-        elif "lof" in wanted:
-            models["lof"] = outlier_factor(pool, max(5, min(int(rules["lof_neighbors"]), len(pool) - 1)))
-    for name, model in models.items():
-        raw[name] = _scored(model)(F.col("x"))
+    if "isolation_forest" in wanted:
+        samples = tree_samples(rows.select(F.xxhash64(key).alias("h"), "x"), seed)
+        raw["isolation_forest"] = _scored(isolation_score(samples, seed))(F.col("x"))
+    if "lof" in wanted:
+        rows = checkpointed(rows.withColumn("__row", F.monotonically_increasing_id()))
+        found = outlier_factors(rows.select(F.col("__row").alias("row"), "x"), max(5, int(rules["lof_neighbors"])))
+        rows = rows.join(found.toDF("__row", "__factor"), "__row").drop("__row")
+        raw["lof"] = F.col("__factor")
     out = rows.withColumns({f"__{m}": c for m, c in raw.items()})
     for m in raw:
         out = ranked(out, [], F.col(f"__{m}"), large).withColumn(f"{METHODS[m]}_challenger_score", 100.0 * F.expr(AVERAGE_RANK)).drop(*RANKS)

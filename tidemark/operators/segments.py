@@ -1,7 +1,7 @@
 """Segment optimiser: numeric buckets and category groups, fitted on history and applied as expressions.
 
-A fit reaches the driver as a handful of edges or a mapping of the supported
-categories. All candidate partitions of a variable are judged in one
+A fit reaches the driver as a handful of edges; the groups of categories are a
+written table, however many there are. All candidate partitions of a variable are judged in one
 aggregation over (partition, group) instead of one pass for each.
 """
 
@@ -11,15 +11,16 @@ import hashlib
 import math
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bucket_index, parse_number
 from ..plans.config import QUANTILES, Segment
-from .stats import MIN_LOG_SCALE, join_null_safe, quantiles, robust_stats, trend_stats
+from ..sources.shared import checkpointed
+from .stats import MIN_LOG_SCALE, join_null_safe, quantiles, robust_stats, trend_stats, value_ranks
 
 MISSING = "segment_missing"
 
@@ -41,17 +42,21 @@ class Fit:
     objective: float
     edges: tuple[float, ...] = ()
     log: bool = False
-    mapping: dict[str, str] = field(default_factory=dict)
+    #: (category, grouped): the group of each supported category, a written table.
+    groups: DataFrame | None = None
 
-    def value(self, df: DataFrame) -> Column:
-        """The fitted variable of df's rows."""
+    def applied(self, df: DataFrame) -> DataFrame:
+        """df with the fitted variable in its column; groups are joined, by broadcast where their measured size allows."""
         if self.edges:
-            return bucketed(numeric(df, self.source, self.log), self.edges, self.column)
-        text = F.coalesce(F.col(f"`{self.source}`").cast("string"), F.lit(MISSING))
-        if not self.mapping:
-            return text
-        pairs = F.create_map(*[F.lit(x) for kv in self.mapping.items() for x in kv])
-        return F.coalesce(F.try_element_at(pairs, text), F.lit(f"{self.column}_low_support"))
+            return df.withColumn(self.column, bucketed(numeric(df, self.source, self.log), self.edges, self.column))
+        if self.groups is None:
+            return df.withColumn(self.column, category(self.source))
+        found = df.withColumn("__category", category(self.source)).join(self.groups.toDF("__category", "__grouped"), "__category", "left")
+        return found.withColumn(self.column, F.coalesce("__grouped", F.lit(f"{self.column}_low_support"))).drop("__category", "__grouped")
+
+
+def category(source: str) -> Column:
+    return F.coalesce(F.col(f"`{source}`").cast("string"), F.lit(MISSING))
 
 
 def numeric(df: DataFrame, source: str, log: bool) -> Column:
@@ -133,25 +138,42 @@ def fit_numeric(history: DataFrame, spec: Segment, large: bool = False) -> Fit:
     return Fit(spec.source, columns[best], best, base, found[best]["objective"], edges[best], best.startswith("log1p"))
 
 
-def fit_categorical(history: DataFrame, spec: Segment) -> Fit:
+def group_edges(count: int, most: int) -> tuple[float, ...]:
+    """Inner edges of quantile cuts of the ranks 1 to count into at most ``most`` groups; a rank on an edge is in the lower group.
+
+    An edge is a linearly interpolated quantile of the ranks, rounded as numpy's are.
+    """
+    q = np.linspace(0, 1, min(most, count) + 1) * 100 / 100  # as percentages, which rounds some
+    virtual = (count - 1) * q
+    low, share = np.floor(virtual), virtual - np.floor(virtual)
+    edges = np.where(share < 0.5, (low + 1) + share, (low + 2) - (1 - share))
+    return tuple(sorted(set(edges[1:-1].tolist())))
+
+
+def category_groups(valid: DataFrame, spec: Segment, column: str, large: bool = False) -> DataFrame | None:
+    """(category, grouped) of the supported categories, cut into groups by the rank of their medians, equal ones by name; None for fewer than two."""
+    stats = quantiles(valid.select(category(spec.source).alias("category"), "log_main_metric"), ["category"], {"m": (F.col("log_main_metric"), (0.5,))}, [F.count("*").alias("n")], large)
+    stats = checkpointed(stats.filter(F.col("n") >= spec.min_rows).select("category", F.struct(F.col("m")[0].alias("m"), "category").alias("place")))
+    count = stats.count()
+    if count < 2:
+        return None
+    edges = group_edges(count, max(2, spec.max_groups))
+    ranks = value_ranks(stats, [], "place").withColumn("rank", (F.col("below") + 1).cast("double"))
+    group = sum(((F.col("rank") > e).cast("int") for e in edges), F.lit(1))
+    return checkpointed(ranks.select(F.col("place.category").alias("category"), F.concat(F.lit(f"{column}_"), group.cast("string")).alias("grouped")))
+
+
+def fit_categorical(history: DataFrame, spec: Segment, large: bool = False) -> Fit:
     """The categories as they are, or grouped by their medians where that isn't worse."""
     valid = history.filter("valid_main_metric_for_model and log_main_metric is not null")
-    identity = Fit(spec.source, spec.source, "identity", 0.0, 0.0)
-    mapping: dict[str, str] = {}
     column = internal_name(spec.source, "grp")
-    if spec.optimize_groups:
-        stats = valid.groupBy(identity.value(history).alias("c")).agg(F.count("*").alias("n"), F.median("log_main_metric").alias("m")).filter(F.col("n") >= spec.min_rows)
-        rows = sorted(stats.collect(), key=lambda r: r["c"])  # supported categories only
-        if len(rows) >= 2:
-            ranks = pd.Series([r["m"] for r in rows]).rank(method="first")
-            groups = pd.qcut(ranks, q=min(spec.max_groups, len(rows)), labels=False, duplicates="drop")
-            mapping = {r["c"]: f"{column}_{int(g) + 1}" for r, g in zip(rows, groups, strict=True)}
-    grouped = Fit(spec.source, column, "optimized_category_group", 0.0, 0.0, mapping=mapping)
-    partitions = {"identity": identity.value(history)} | ({"grouped": grouped.value(history)} if mapping else {})
-    found = partition_objectives(valid, partitions, spec.min_rows)
+    groups = category_groups(valid, spec, column, large) if spec.optimize_groups else None
+    grouped = Fit(spec.source, column, "optimized_category_group", 0.0, 0.0, groups=groups)
+    rows = valid if groups is None else grouped.applied(valid)
+    found = partition_objectives(rows, {"identity": category(spec.source)} | ({} if groups is None else {"grouped": F.col(column)}), spec.min_rows, large)
     base = found["identity"]["objective"]
-    if mapping and found["grouped"]["objective"] >= base + spec.min_gain:
-        return Fit(spec.source, column, "optimized_category_group", base, found["grouped"]["objective"], mapping=mapping)
+    if groups is not None and found["grouped"]["objective"] >= base + spec.min_gain:
+        return replace(grouped, base_objective=base, objective=found["grouped"]["objective"])
     return Fit(spec.source, spec.source, "identity", base, base)
 
 
@@ -160,7 +182,9 @@ def fit_segments(history: DataFrame, specs: Sequence[Segment], large: bool = Fal
 
 
 def apply_segments(df: DataFrame, fits: Sequence[Fit]) -> DataFrame:
-    return df.withColumns({f.column: f.value(df) for f in fits if f.column})
+    for f in fits:
+        df = f.applied(df) if f.column else df
+    return df
 
 
 def reference_bucket(value: Column, edges: Sequence[float], prefix: str, at: Column | None = None) -> Column:
