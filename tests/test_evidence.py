@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import evidence, labels, peers, segments, signals
+from tidemark.operators import evidence, labels, peers, segments, signals, stats
 from tidemark.plans.config import AGGREGATION, Peers, normalised, resolve_roles
 
 
@@ -107,7 +107,45 @@ def test_null_keys_meet_in_exploded_rows(spark):
     df = spark.createDataFrame([(1, None), (2, "x"), (3, None)], "n int, s string")
     rows = peers.exploded(df, [peers.Candidate(0, ("s",)), peers.Candidate(1, ())], ["n"]).collect()
     keys = {(r["n"], r["cand"]): r["key"] for r in rows}
-    assert keys[1, 0] == keys[3, 0] != keys[2, 0] and keys[1, 1] == keys[2, 1] == "ALL"
+    assert keys[1, 0] == keys[3, 0] != keys[2, 0] and keys[1, 1] == keys[2, 1]
+
+
+LATTICE = [peers.Candidate(0, ("s", "t")), peers.Candidate(1, ("t",)), peers.Candidate(2, ("s",)), peers.Candidate(3, ())]
+
+
+def lattice_rows(spark, n=600):
+    rows = [(k, None if k % 7 == 0 else f"s{k % 5}", None if k % 11 == 0 else k % 3, float(k % 13), k % 4) for k in range(n)]
+    return spark.createDataFrame(rows, "n int, s string, t int, y double, m int")
+
+
+@pytest.mark.parametrize("candidates", [LATTICE, LATTICE[3:], LATTICE[:1]])
+def test_grouping_sets_are_the_groups_of_exploded_rows(spark, candidates):
+    df = lattice_rows(spark)
+    values, others = {"q": (F.col("y"), (0.25, 0.5))}, [F.count("*").alias("rows"), F.avg("m").alias("mean")]
+    for extra in ((), ("m",)):
+        wanted = stats.quantiles(peers.exploded(df, candidates, df.columns), ["cand", "key", *extra], values, others)
+        for large in (False, True):
+            got = peers.grouped(df, candidates, values, others, extra, large)
+            assert got.columns == ["cand", "key", *extra, "q", "rows", "mean"]
+            assert sorted(map(str, got.collect())) == sorted(map(str, wanted.select(got.columns).collect()))
+    assert peers.grouped(df.limit(0), candidates, values, others).count() == 0
+
+
+def test_keys_as_text(spark):
+    text = {(r["n"], r["cand"]): r["text"] for r in peers.exploded(lattice_rows(spark, 12), LATTICE, ["n"]).withColumn("text", peers.key_text(LATTICE)).collect()}
+    assert text[1, 0] == '{"k0":"s1","k1":"1"}' and text[1, 1] == '{"k0":"1"}' and text[7, 0] == '{"k1":"1"}' and text[1, 3] == "ALL"
+
+
+def test_history_is_reduced_before_and_after_it_is_exploded(spark):
+    history = spark.range(5000).select(F.col("id").alias("n"), F.when(F.col("id") % 50 != 0, F.concat(F.lit("c"), F.col("id") % 1000)).alias("s"), (F.col("id") % 2).alias("t"))
+    scoring = spark.createDataFrame([("c7", 1), ("c8", 0), (None, 0)], "s string, t long")
+    every = peers.exploded(history, LATTICE, ["n"])
+    wanted = every.join(peers.exploded(scoring, LATTICE, []).distinct(), ["cand", "key"], "left_semi")
+    got = peers.reduced(history, scoring, LATTICE, ["n"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.select("n", "cand", "key").collect()))
+    made = peers.exploded(history, LATTICE, ["n"], peers.key_filter(scoring, LATTICE)).count()
+    assert got.count() <= made < got.count() + 300 and every.count() == 20_000
+    assert peers.reduced(history, scoring.limit(0), LATTICE, ["n"]).count() == 0
 
 
 def test_objective_caps(spark):

@@ -46,11 +46,12 @@ def test_skew_and_kurtosis_are_bias_corrected(spark, sample):
 
 def level(spark, rows, large=False):
     """level_stats() of rows (key, month_ord, value) in month 124, each key with one scoring row."""
-    schema = "cand int, key string, month_ord int, log_main_metric double, main_metric double, main_to_reference_log_ratio double, invoice_month int, month_of_year int"
-    full = lambda k, m, y: (0, k, m, y, float(np.expm1(y)), y / 2, (m - 1) // 12 * 100 + (m - 1) % 12 + 1, (m - 1) % 12 + 1)
+    schema = "k string, month_ord int, log_main_metric double, main_metric double, main_to_reference_log_ratio double, invoice_month int, month_of_year int"
+    full = lambda k, m, y: (k, m, y, float(np.expm1(y)), y / 2, (m - 1) // 12 * 100 + (m - 1) % 12 + 1, (m - 1) % 12 + 1)
     old = spark.createDataFrame([full(*r) for r in rows], schema)
     new = spark.createDataFrame([full(k, 124, 5.0) for k in sorted({r[0] for r in rows})], schema)
-    return {r["key"]: r.asDict() for r in peers.level_stats(old, new, 124, True, large).collect()}
+    candidates = [peers.Candidate(0, ("k",))]
+    return {r["key"]["k0"]: {k: v for k, v in r.asDict().items() if k != "key"} for r in peers.level_stats(old, new, candidates, 124, True, large).collect()}
 
 
 def test_tail_rate_needs_twenty_rows(spark):

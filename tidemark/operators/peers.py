@@ -1,8 +1,10 @@
 """Peer candidates, the statistics of their groups, the support gate, quality scores and the choice for each row.
 
 A candidate is a set of columns; the empty set is the global peer. Instead of a
-pass for each candidate, rows are exploded to (candidate, key) and every
-statistic is one grouped aggregation over all candidates.
+pass for each candidate, every statistic is one aggregation over grouping sets, one
+for each candidate. What needs a group's centre first is an aggregation of rows
+exploded to (candidate, key) and joined with it; a key is a struct of the columns,
+null where the candidate doesn't have one, so no key is made into text.
 """
 
 from __future__ import annotations
@@ -12,15 +14,22 @@ from dataclasses import dataclass
 from itertools import combinations
 from math import log
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import at_least, clip, first_match, number_text, share
 from ..plans.config import BLOCKED, DISTRIBUTION, OBJECTIVE_CAPS, Peers, Support
+from ..sources.shared import checkpointed
 from .stats import CALIBRATION_MONTHS, IQR_FACTOR, MAD_FACTOR, MIN_BASE_MONTHS, MIN_LOG_SCALE, MIN_TAIL_ROWS, calibration_score, floored, quantiles, shape
 
+#: What statistics of peer groups take of a row.
+STAT_COLUMNS = ("log_main_metric", "main_metric", "main_to_reference_log_ratio", "invoice_month", "month_ord", "month_of_year")
 BEHAVIOR_PARTS = ("behavior_level_bucket", "behavior_volatility_bucket", "behavior_trend_bucket")
 KEYS = ("cand", "key")
+#: Columns of a grouping set at most: Spark numbers sets by 63 bits.
+MOST_GROUPING = 63
 
 
 @dataclass(frozen=True)
@@ -96,10 +105,100 @@ def specificity(candidate: Candidate, priority: Sequence[str]) -> float:
     return min(max(0.25 + 0.55 * depth + 0.20 * early, 0.25), 1.0)
 
 
-def exploded(df: DataFrame, candidates: Sequence[Candidate], keep: Sequence[str]) -> DataFrame:
-    """A row of df for each candidate, with cand and key; a key tells null from every text."""
-    keys = [F.struct(F.lit(c.order).alias("cand"), (F.to_json(F.struct(*[F.col(f"`{v}`").cast("string").alias(f"k{k}") for k, v in enumerate(c.columns)])) if c.columns else F.lit("ALL")).alias("key")) for c in candidates]
-    return df.select(*keep, F.explode(F.array(*keys)).alias("__e")).select(*keep, "__e.cand", "__e.key")
+def key_columns(candidates: Sequence[Candidate]) -> list[str]:
+    """Every column that some candidate has, in the order of a key's fields."""
+    return list(dict.fromkeys(v for c in candidates for v in c.columns))
+
+
+def _key(candidate: Candidate, names: Sequence[str]) -> Column:
+    """The key of a row in a candidate: text k0 onward of all columns, null for those that the candidate doesn't have; never null itself."""
+    fields = [(F.col(f"`{v}`").cast("string") if v in candidate.columns else F.lit(None).cast("string")).alias(f"k{k}") for k, v in enumerate(names)]
+    return F.struct(*fields or [F.lit(None).cast("string").alias("k0")])
+
+
+def exploded(df: DataFrame, candidates: Sequence[Candidate], keep: Sequence[str], met: DataFrame | None = None) -> DataFrame:
+    """A row of df for each candidate, with cand and key. met: a filter of key_filter(); rows of keys that it rules out aren't made."""
+    names = key_columns(candidates)
+    entries = [F.struct(F.lit(c.order).alias("cand"), _key(c, names).alias("key")) for c in candidates]
+    if met is None:
+        return df.select(*keep, F.explode(F.array(*entries)).alias("__e")).select(*keep, "__e.cand", "__e.key")
+    # The filter is one row of at most FILTER_BITS bits.
+    entries = [F.when(_may_meet(c, _key(c, names)), e) if c.columns else e for c, e in zip(candidates, entries, strict=True)]
+    out = df.join(F.broadcast(met), F.lit(True)).select(*keep, F.explode(F.array_compact(F.array(*entries))).alias("__e"))
+    return out.select(*keep, "__e.cand", "__e.key")
+
+
+#: Bits of a key filter for each key, probes, and bits at most; with more keys it lets more pass, and the exact semi-join after it does the rest.
+KEY_BITS, PROBES, FILTER_BITS = 16, 4, 1 << 26
+
+
+def _probes(hashed: Column, bits: Column) -> list[Column]:
+    """Places of a key in the filter, by double hashing."""
+    step = F.shiftrightunsigned(hashed, 32).bitwiseOR(F.lit(1))
+    return [F.pmod(hashed + F.lit(k) * step, bits) for k in range(PROBES)]
+
+
+def _hashed(candidate: Column, key: Column) -> Column:
+    """A hash of at most 60 bits, so that sums of it never overflow."""
+    return F.shiftrightunsigned(F.xxhash64(candidate, key), 4)
+
+
+def _may_meet(candidate: Candidate, key: Column) -> Column:
+    places = _probes(_hashed(F.lit(candidate.order), key), F.col("__bits"))
+    out = F.lit(True)
+    for place in places:
+        out = out & (F.getbit(F.get("__words", F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return out
+
+
+def key_filter(scoring: DataFrame, candidates: Sequence[Candidate]) -> DataFrame:
+    """One row (__bits, __words): a Bloom filter of the keys that scoring rows have in candidates with columns.
+
+    Its bits are set by an aggregation over words of 64; at most FILTER_BITS bits reach the driver.
+    """
+    spark = scoring.sparkSession
+    named = [c for c in candidates if c.columns]
+    names = key_columns(candidates)
+    entries = [F.struct(F.lit(c.order).alias("cand"), _key(c, names).alias("key")) for c in named]
+    keys = scoring.select(F.explode(F.array(*entries)).alias("__e")).select("__e.*").distinct().select(_hashed(F.col("cand"), F.col("key")).alias("h")) if named else spark.createDataFrame([], "h long")
+    keys = checkpointed(keys)
+    bits = max(64, min(FILTER_BITS, 1 << max(1, KEY_BITS * keys.count()).bit_length()))
+    place = F.explode(F.array(*_probes(F.col("h"), F.lit(bits))))
+    set_bits = keys.select(place.alias("p")).groupBy(F.shiftright("p", 6).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+    found = set_bits.toArrow()
+    words = np.zeros(bits // 64, np.int64)
+    words[found.column("w").to_numpy()] = found.column("bits").to_numpy()
+    return spark.createDataFrame(pa.table({"__bits": pa.array([bits], pa.int64()), "__words": pa.array([words], pa.list_(pa.int64()))}))
+
+
+def grouped(df: DataFrame, candidates: Sequence[Candidate], values: Mapping[str, tuple[Column, Sequence[float]]], others: Sequence[Column] = (), extra: Sequence[str] = (), large: bool = False) -> DataFrame:
+    """quantiles() of rows by (cand, key) and extra columns, for all candidates in one aggregation over grouping sets. large: as there."""
+    names = key_columns(candidates)
+    if large or len(names) + len(extra) > MOST_GROUPING:
+        return quantiles(exploded(df, candidates, df.columns), [*KEYS, *extra], dict(values), others, large)
+    # Own names, so that values can use the columns as they are.
+    own = {f"__k{k}": F.col(f"`{v}`").cast("string") for k, v in enumerate(names)} | {f"__x{k}": F.col(f"`{v}`") for k, v in enumerate(extra)}
+    columns = list(own)
+    sets = [[f"__k{k}" for k, v in enumerate(names) if v in c.columns] + [f"__x{k}" for k in range(len(extra))] for c in candidates]
+    number = {sum(1 << (len(columns) - 1 - k) for k, v in enumerate(columns) if v not in s): c.order for s, c in zip(sets, candidates, strict=True)}
+    percentiles = [F.percentile(v, F.array(*[F.lit(float(p)) for p in q])).alias(n) for n, (v, q) in values.items()]
+    if not columns:  # the global peer alone
+        out = df.agg(*percentiles, *others, F.count("*").alias("__all")).filter("__all > 0").withColumn("__set", F.lit(0).cast("long"))
+    else:
+        out = df.withColumns(own).groupingSets(sets, *columns).agg(*percentiles, *others, F.grouping_id().alias("__set"), F.count("*").alias("__all")).filter("__all > 0")
+    cand = F.element_at(F.create_map(*[x for s, order in number.items() for x in (F.lit(s).cast("long"), F.lit(order))]), F.col("__set"))
+    fields = [F.col(f"__k{k}").alias(f"k{k}") for k in range(len(names))] or [F.lit(None).cast("string").alias("k0")]
+    return out.select(cand.alias("cand"), F.struct(*fields).alias("key"), *[F.col(f"__x{k}").alias(v) for k, v in enumerate(extra)], *values, *[c for c in out.columns if c not in (*columns, *values, "__set", "__all")])
+
+
+def key_text(candidates: Sequence[Candidate]) -> Column:
+    """(cand, key) as text: a JSON of the candidate's columns in its own order without null ones, or ALL."""
+    place = {v: k for k, v in enumerate(key_columns(candidates))}
+    out = F.lit(None).cast("string")
+    for c in candidates:
+        text = F.to_json(F.struct(*[F.col("key")[f"k{place[v]}"].alias(f"k{k}") for k, v in enumerate(c.columns)])) if c.columns else F.lit("ALL")
+        out = F.when(F.col("cand") == c.order, text).otherwise(out)
+    return out
 
 
 def distribution_quality(settings: Mapping[str, float] = DISTRIBUTION) -> Column:
@@ -126,21 +225,29 @@ def distribution_status(score: Column) -> Column:
     return first_match([(score.isNull(), "PEER_DISTRIBUTION_UNKNOWN"), (score >= 75, "ROBUST_COMPARABLE_PEER"), (score >= 60, "USABLE_WIDE_PEER"), (score >= 40, "WIDE_PEER_REVIEW")], "UNSTABLE_PEER_DISTRIBUTION")
 
 
-def level_stats(history: DataFrame, scoring: DataFrame, scoring_ord: int, has_current: bool = True, large: bool = False) -> DataFrame:
-    """All statistics of every (cand, key) that scoring rows have; both inputs are exploded and valid.
+def reduced(history: DataFrame, scoring: DataFrame, candidates: Sequence[Candidate], keep: Sequence[str]) -> DataFrame:
+    """history exploded to (cand, key), only with keys that scoring rows have: a Bloom filter drops most others before they are made, an exact semi-join the rest."""
+    now = exploded(scoring, candidates, []).distinct()
+    return exploded(history, candidates, keep, key_filter(scoring, candidates)).join(now, list(KEYS), "left_semi").select(*keep, *KEYS)
+
+
+def level_stats(history: DataFrame, scoring: DataFrame, candidates: Sequence[Candidate], scoring_ord: int, has_current: bool = True, large: bool = False) -> DataFrame:
+    """All statistics of every (cand, key) that scoring rows have; both inputs are valid rows.
 
-    History is read in four grouped passes: by group, by group and month, by group and
-    month of the year, and by group once more against the centres of the first. The
-    shape of a group's values is that of the current month, or of history if has_current
-    is false. large: whether a group may be too large for one task.
+    Groups, groups by month and groups by month of the year are aggregations over
+    grouping sets of history; deviations from a group's centre and its tails take rows
+    exploded by reduced(). The shape of a group's values is that of the current month, or
+    of history if has_current is false. large: whether a group may be too large for one task.
     """
     keys, y, month = list(KEYS), F.col("log_main_metric"), F.col("month_ord")
-    rows = history.join(scoring.select(*keys).distinct(), keys, "left_semi")
+    now = checkpointed(exploded(scoring, candidates, []).distinct())
+    rows = reduced(history, scoring, candidates, STAT_COLUMNS)
+    met = lambda df: df.join(now, keys, "left_semi")
     season, base = F.col("month_of_year") == (scoring_ord - 1) % 12 + 1, month < scoring_ord - CALIBRATION_MONTHS
     subsets = {"hist": y, "recent": F.when(month.between(scoring_ord - 3, scoring_ord - 1), y), "moy": F.when(season, y), "ratio": F.col("main_to_reference_log_ratio"), "cal": F.when(base, y)}
     n = [F.count(v).alias(f"{k}_n") for k, v in subsets.items()]
-    first = quantiles(rows, keys, {f"{k}_median": (v, (0.5,)) for k, v in subsets.items()}, [*n, F.count("*").alias("peer_distribution_n"), F.stddev_pop(y).alias("__sd"), *shape("log_main_metric", "peer_log_ratio")], large)
-    first = first.withColumns({f"{k}_median": F.col(f"{k}_median")[0] for k in subsets})
+    first = grouped(history, candidates, {f"{k}_median": (v, (0.5,)) for k, v in subsets.items()}, [*n, F.count("*").alias("peer_distribution_n"), F.stddev_pop(y).alias("__sd"), *shape("log_main_metric", "peer_log_ratio")], (), large)
+    first = met(first).withColumns({f"{k}_median": F.col(f"{k}_median")[0] for k in subsets})
     back = rows.join(first.select(*keys, *[f"{k}_median" for k in subsets]), keys)
     second = quantiles(back, keys, {f"__{k}": (F.abs(v - F.col(f"{k}_median")), (0.5,)) for k, v in subsets.items()}, (), large)
     out = first.join(second, keys).withColumns({f"{k}_mad": F.when(F.col(f"{k}_n") > 0, floored(MAD_FACTOR * F.col(f"__{k}")[0])) for k in subsets})
@@ -148,8 +255,8 @@ def level_stats(history: DataFrame, scoring: DataFrame, scoring_ord: int, has_cu
     scale = F.when(F.col("__hist")[0] > 0, MAD_FACTOR * F.col("__hist")[0]).otherwise(F.col("__sd"))
     far = F.avg(F.when((F.col("__scale") > 0) & (F.abs(y - F.col("hist_median")) > 3 * F.col("__scale")), 1.0).otherwise(0.0))
     tails = rows.join(out.select(*keys, "hist_n", "hist_median", scale.alias("__scale")), keys).groupBy(*keys).agg(F.when(F.max("hist_n") >= MIN_TAIL_ROWS, far).alias("peer_tail_rate"))
-    monthly = quantiles(rows, [*keys, "month_ord", "month_of_year"], {"__q": (y, (0.25, 0.5, 0.75))}, [F.count("*").alias("__rows")], large)
-    monthly = monthly.select(*keys, "month_ord", "month_of_year", "__rows", F.col("__q")[1].alias("__month"), (F.col("__q")[2] - F.col("__q")[0]).alias("__iqr"))
+    monthly = grouped(history, candidates, {"__q": (y, (0.25, 0.5, 0.75))}, [F.count("*").alias("__rows")], ("month_ord", "month_of_year"), large)
+    monthly = met(monthly).select(*keys, "month_ord", "month_of_year", "__rows", F.col("__q")[1].alias("__month"), (F.col("__q")[2] - F.col("__q")[0]).alias("__iqr"))
     x, m = month.cast("double"), F.col("__month")
     trend = monthly.groupBy(*keys).agg(
         F.sum("__rows").alias("peer_trend_n"), F.regr_slope(m, x).alias("__slope"), F.avg(m).alias("__ym"), F.avg(x).alias("__xm"), F.median("__iqr").alias("peer_history_monthly_iqr_log"), F.count(F.when(base, 1)).alias("__months")
@@ -158,7 +265,7 @@ def level_stats(history: DataFrame, scoring: DataFrame, scoring_ord: int, has_cu
     trend = trend.select(*keys, "peer_trend_n", slope.alias("peer_trend_slope"), (F.col("__ym") - slope * F.col("__xm")).alias("peer_trend_intercept"), "peer_history_monthly_iqr_log", (F.col("peer_history_monthly_iqr_log") / IQR_FACTOR).alias("peer_history_monthly_mad_log"), "__months")
     out = out.join(tails, keys, "left").join(trend, keys, "left")
     # The last six months against what the months before them predict.
-    seasonal = quantiles(rows.filter(base), [*keys, "month_of_year"], {"__season": (y, (0.5,))}, (), large)
+    seasonal = grouped(history.filter(base), candidates, {"__season": (y, (0.5,))}, (), ("month_of_year",), large)
     tried = monthly.filter(month.between(scoring_ord - CALIBRATION_MONTHS, scoring_ord - 1)).join(out.filter(F.col("__months") >= MIN_BASE_MONTHS).select(*keys, "cal_median", "cal_mad"), keys)
     tried = tried.join(seasonal, [*keys, "month_of_year"], "left").withColumn("__r", F.abs((m - F.coalesce(F.col("__season")[0], "cal_median")) / F.greatest("cal_mad", F.lit(MIN_LOG_SCALE))))
     rate = lambda c: F.avg(F.when(c, 1.0).otherwise(0.0))
@@ -168,12 +275,12 @@ def level_stats(history: DataFrame, scoring: DataFrame, scoring_ord: int, has_cu
     out = out.join(calibration, keys, "left")
     shown = {"__y": (y, (0.25, 0.5, 0.75)), "__mid": (F.col("main_metric"), (0.5,))}
     means = [F.avg("main_metric").alias("__mean"), F.stddev_pop("main_metric").alias("__dev")]
-    current = quantiles(scoring, keys, shown, [F.count("*").alias("current_n"), *means], large).withColumn("current_median", F.col("__y")[1])
-    spread = quantiles(scoring.join(current.select(*keys, "current_median"), keys), keys, {"__d": (F.abs(y - F.col("current_median")), (0.5,))}, (), large)
+    current = grouped(scoring, candidates, shown, [F.count("*").alias("current_n"), *means], (), large).withColumn("current_median", F.col("__y")[1])
+    spread = quantiles(exploded(scoring, candidates, ["log_main_metric"]).join(current.select(*keys, "current_median"), keys), keys, {"__d": (F.abs(y - F.col("current_median")), (0.5,))}, (), large)
     if has_current:
         out = out.join(current, keys, "left")
     else:
-        out = out.join(current.select(*keys, "current_n", "current_median"), keys, "left").join(quantiles(rows, keys, shown, means, large), keys, "left")
+        out = out.join(current.select(*keys, "current_n", "current_median"), keys, "left").join(grouped(history, candidates, shown, means, (), large), keys, "left")
     out = out.join(spread, keys, "left").withColumns({"current_mad": F.when(F.col("current_n") > 0, floored(MAD_FACTOR * F.col("__d")[0])), "peer_current_iqr_log": F.col("__y")[2] - F.col("__y")[0]})
     floor = at_least(F.col("__mid")[0], 1e-6)
     out = out.withColumns({"peer_current_mad_log": F.col("peer_current_iqr_log") / IQR_FACTOR, "peer_mean_median_ratio": F.col("__mean") / floor, "peer_std_median_ratio": F.col("__dev") / floor})

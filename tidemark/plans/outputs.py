@@ -11,9 +11,9 @@ from ..functions.periods import from_ord, to_ord
 from ..functions.scalars import at_least, first_match, number_text, period_label
 from ..operators.labels import anomaly_flag
 from ..operators.panel import Profile, rolling_window
-from ..operators.peers import Candidate, exploded
+from ..operators.peers import Candidate, exploded, grouped, key_columns
 from ..operators.segments import apply_segments
-from ..operators.stats import AVERAGE_RANK, RANKS, quantiles, ranked
+from ..operators.stats import AVERAGE_RANK, RANKS, ranked
 from .config import Config
 from .scoring import Run, score_month
 
@@ -49,10 +49,11 @@ def calendar_grid(rows: DataFrame, scoring_month: int) -> DataFrame:
 def peer_monthly_stats(rows: DataFrame, candidates: Sequence[Candidate], large: bool = False) -> DataFrame:
     """Size and medians of every peer group (cand, key) in every month. large: whether a group may be too large for one task."""
     keep = ("customer_id", "invoice_month", "main_metric", "reference_feature", "main_to_reference_ratio")
-    spread = exploded(rows.withColumn("main_to_reference_ratio", F.when(F.col("reference_feature_for_model") > 0, F.col("main_metric") / F.col("reference_feature_for_model"))), candidates, keep)
+    ratio = F.when(F.col("reference_feature_for_model") > 0, F.col("main_metric") / F.col("reference_feature_for_model"))
+    told = rows.withColumn("main_to_reference_ratio", ratio).select(*dict.fromkeys((*keep, *key_columns(candidates))))
     medians = {"main_metric": "main_metric", "reference_feature": "reference_feature", "main_to_reference": "main_to_reference_ratio"}
     others = [F.count("*").alias("peer_month_row_count"), F.count_distinct("customer_id").alias("peer_month_customer_count"), F.avg("main_metric").alias("peer_month_main_metric_mean")]
-    out = quantiles(spread, ["cand", "key", "invoice_month"], {f"peer_month_{k}_median": (F.col(v), (0.5,)) for k, v in medians.items()}, others, large)
+    out = grouped(told, candidates, {f"peer_month_{k}_median": (F.col(v), (0.5,)) for k, v in medians.items()}, others, ("invoice_month",), large)
     return out.withColumns({f"peer_month_{k}_median": F.col(f"peer_month_{k}_median")[0] for k in medians})
 
 

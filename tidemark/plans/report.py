@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.peers import exploded
+from ..operators.peers import exploded, key_text
 from ..operators.stats import main_metric_stats
 from .scoring import Run, valid
 
@@ -32,7 +32,7 @@ def summarise(scores: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def instance_keys(run: Run, scores: DataFrame) -> DataFrame:
     """scores with the key of each row's chosen peer group."""
-    keys = exploded(run.scoring, run.candidates, ["customer_id"]).withColumnRenamed("cand", "peer_candidate_order").withColumnRenamed("key", "peer_key")
+    keys = exploded(run.scoring, run.candidates, ["customer_id"]).select("customer_id", F.col("cand").alias("peer_candidate_order"), key_text(run.candidates).alias("peer_key"))
     return scores.join(keys, ["customer_id", "peer_candidate_order"], "left")
 
 
@@ -42,7 +42,7 @@ def metric_stats(run: Run) -> DataFrame:
     for prefix, rows in (("current", run.scoring), ("history", run.history)):
         stats = main_metric_stats(exploded(valid(rows), run.candidates, ["main_metric"]), ["cand", "key"], large=run.large)
         names = ("mean", "median", "std", "min", "max", "mean_to_median", "std_to_median")
-        parts.append(stats.select(F.col("cand").alias("peer_candidate_order"), F.col("key").alias("peer_key"), *[F.col(n).alias(f"{prefix}_{n}") for n in names]))
+        parts.append(stats.select(F.col("cand").alias("peer_candidate_order"), key_text(run.candidates).alias("peer_key"), *[F.col(n).alias(f"{prefix}_{n}") for n in names]))
     return parts[0].join(parts[1], ["peer_candidate_order", "peer_key"], "full_outer")
 
 

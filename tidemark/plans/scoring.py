@@ -17,7 +17,6 @@ from .config import Config
 
 #: Rows of history up to which one task may hold a whole group's values or ranks; beyond, ranges of values are dealt out instead. Results are the same.
 LARGE_ROWS = 20_000_000
-STAT_COLUMNS = ("log_main_metric", "main_metric", "main_to_reference_log_ratio", "invoice_month", "month_ord", "month_of_year")
 
 
 @dataclass(frozen=True)
@@ -58,9 +57,7 @@ def valid(df: DataFrame) -> DataFrame:
 def candidate_rows(history: DataFrame, scoring: DataFrame, candidates: Sequence[peers.Candidate], scoring_ord: int, large: bool = False) -> DataFrame:
     """A row for each scoring row and candidate with the statistics of its peer group."""
     has_current = not valid(scoring).isEmpty()
-    old = peers.exploded(valid(history), candidates, STAT_COLUMNS)
-    now = peers.exploded(valid(scoring), candidates, STAT_COLUMNS)
-    level = peers.level_stats(old, now, scoring_ord, has_current, large)
+    level = peers.level_stats(valid(history), valid(scoring), candidates, scoring_ord, has_current, large)
     return peers.exploded(scoring, candidates, [c for c in scoring.columns]).join(level, list(peers.KEYS), "left")
 
 

@@ -210,8 +210,11 @@ class Stages:
         return scoring.cut(signals.gaps(out)).withColumn("customer_explainability_score", signals.explainability(EXPLAINABILITY))
 
     def level(self) -> DataFrame:
-        old, new = (peers.exploded(scoring.valid(x), self.candidates, scoring.STAT_COLUMNS) for x in (self.history, self.now))
-        return scoring.cut(peers.level_stats(old, new, ORD))
+        return scoring.cut(peers.level_stats(scoring.valid(self.history), scoring.valid(self.now), self.candidates, ORD))
+
+    def told(self) -> DataFrame:
+        """level() with its keys as text."""
+        return self.level().withColumn("key", peers.key_text(self.candidates))
 
     def quality(self) -> DataFrame:
         rows = self.rows()
@@ -247,35 +250,35 @@ def customer_z_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("level_stats_candidates", "SELECT cand, key, hist_n, recent_n, moy_n, ratio_n, current_n, " + rs({k: k for k in ("hist_median", "hist_mad", "recent_median", "recent_mad", "moy_median", "moy_mad", "ratio_median", "ratio_mad", "current_median", "current_mad")}) + " FROM level")
 def level_stats_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = Stages(spark, sf_dir).level()
+    out = Stages(spark, sf_dir).told()
     return rounded(out.select("cand", "key", "hist_n", "recent_n", "moy_n", "ratio_n", "current_n", "hist_median", "hist_mad", "recent_median", "recent_mad", "moy_median", "moy_mad", "ratio_median", "ratio_mad", "current_median", "current_mad"))
 
 
 @query("trend_ols_monthly_median", "SELECT cand, key, CAST(trend_n AS BIGINT) AS peer_trend_n, " + rs({"peer_trend_slope": "slope", "peer_trend_intercept": "CASE WHEN slope IS NOT NULL THEN intercept END"}) + " FROM level")
 def trend_ols_monthly_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(Stages(spark, sf_dir).level().select("cand", "key", "peer_trend_n", "peer_trend_slope", "peer_trend_intercept"))
+    return rounded(Stages(spark, sf_dir).told().select("cand", "key", "peer_trend_n", "peer_trend_slope", "peer_trend_intercept"))
 
 
 @query("skew_kurt_tail", "SELECT cand, key, " + rs({"peer_log_ratio_skew": "skew", "peer_log_ratio_kurtosis": "kurt", "peer_tail_rate": "tail"}) + " FROM level")
 def skew_kurt_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(Stages(spark, sf_dir).level().select("cand", "key", "peer_log_ratio_skew", "peer_log_ratio_kurtosis", "peer_tail_rate"))
+    return rounded(Stages(spark, sf_dir).told().select("cand", "key", "peer_log_ratio_skew", "peer_log_ratio_kurtosis", "peer_tail_rate"))
 
 
 @query("distribution_quality", "SELECT cand, key, " + rs({"peer_distribution_quality_score": "distribution", "peer_mean_median_ratio": "mean_ratio", "peer_std_median_ratio": "sd_ratio", "peer_current_iqr_log": "c_iqr", "peer_history_monthly_iqr_log": "h_iqr"}) + " FROM level")
 def distribution_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(Stages(spark, sf_dir).level().select("cand", "key", "peer_distribution_quality_score", "peer_mean_median_ratio", "peer_std_median_ratio", "peer_current_iqr_log", "peer_history_monthly_iqr_log"))
+    return rounded(Stages(spark, sf_dir).told().select("cand", "key", "peer_distribution_quality_score", "peer_mean_median_ratio", "peer_std_median_ratio", "peer_current_iqr_log", "peer_history_monthly_iqr_log"))
 
 
 @query("calibration_holdout", "SELECT cand, key, cal_n AS peer_calibration_n, " + rs({"peer_calibration_abs_residual_median": "cal_r", "peer_calibration_interval_coverage": "cal_cover", "peer_calibration_false_alarm_rate": "cal_false", "peer_calibration_score": "calibration"}) + " FROM level")
 def calibration_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(Stages(spark, sf_dir).level().select("cand", "key", "peer_calibration_n", "peer_calibration_abs_residual_median", "peer_calibration_interval_coverage", "peer_calibration_false_alarm_rate", "peer_calibration_score"))
+    return rounded(Stages(spark, sf_dir).told().select("cand", "key", "peer_calibration_n", "peer_calibration_abs_residual_median", "peer_calibration_interval_coverage", "peer_calibration_false_alarm_rate", "peer_calibration_score"))
 
 
 @query("semi_join_reduction", "SELECT cand, key, count(*) AS n FROM xhist GROUP BY 1, 2")
 def semi_join_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Stages(spark, sf_dir)
-    old, new = (peers.exploded(scoring.valid(x), s.candidates, scoring.STAT_COLUMNS) for x in (s.history, s.now))
-    return old.join(new.select(*peers.KEYS).distinct(), list(peers.KEYS), "left_semi").groupBy(*peers.KEYS).agg(F.count("*").alias("n"))
+    rows = peers.reduced(scoring.valid(s.history), scoring.valid(s.now), s.candidates, [])
+    return rows.groupBy(*peers.KEYS).agg(F.count("*").alias("n")).withColumn("key", peers.key_text(s.candidates))
 
 
 @query("support_gate", "SELECT level_name AS peer_group_level_name, count(*) AS n FROM q4 GROUP BY 1")
