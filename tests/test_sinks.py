@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.test_engine import MONTH, made
-from tidemark.operators import segments
+from tidemark.operators import panel, segments
 from tidemark.plans import config, pipeline
 from tidemark.sources import files, jdbc
 
@@ -44,12 +44,79 @@ def test_write_modes_of_tables(spark, base):
     assert len(rows(spark, base, "T1")) == 3
     jdbc.write(new, base, "T1", "truncate_insert", execute, kind=kinds)
     assert rows(spark, base, "T1") == [(202602, "c", 9.0)]
-    jdbc.write(new.select("v", "m"), base, "T1", "append", execute, kind=kinds)  # other columns: made anew
+    jdbc.write(df.limit(1).select("v", "txt", "m"), base, "T1", "append", execute, kind=kinds)  # another order of columns is no other table
+    assert rows(spark, base, "T1") == [(202601, "a", 1.5), (202602, "c", 9.0)] and jdbc.table_columns(spark, base, "T1") == ["M", "TXT", "V"]
+    with pytest.raises(ValueError, match="recreate"):
+        jdbc.write(new.select("v", "m"), base, "T1", "append", execute, kind=kinds)
+    assert len(rows(spark, base, "T1")) == 2
+    jdbc.write(new.select("v", "m"), base, "T1", "append", execute, kind=kinds, recreate=True)
     assert rows(spark, base, "T1") == [(9.0, 202602)] and jdbc.table_columns(spark, base, "T1") == ["V", "M"]
     jdbc.write(df, base, "T1", "replace", execute, kind=kinds)
     assert len(rows(spark, base, "T1")) == 2 and jdbc.table_columns(spark, base, "NO_TABLE") is None
 
 
+def tables(spark, base):
+    return [r[0] for r in spark.read.format("jdbc").options(**base).option("query", "SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLETYPE = 'T'").load().collect()]
+
+
+@pytest.mark.parametrize("mode", ["append", "delete_insert", "truncate_insert", "replace"])
+def test_a_failing_task_leaves_the_target_as_it_was(spark, base, mode):
+    execute = jdbc.executor(spark, base)
+    old = spark.createDataFrame([(202601, "a"), (202602, "b")], "m int, txt string")
+    jdbc.write(old, base, "T1", "replace", execute, kind=kinds)
+    late = spark.range(0, 40, 1, 4).select(F.lit(202602).alias("m"), F.when(F.col("id") < 35, "new").otherwise(F.raise_error(F.lit("lost midway")).cast("string")).alias("txt"))
+    with pytest.raises(Exception, match="lost midway"):
+        jdbc.write(late, base, "T1", mode, execute, "M", [202602], lambda n, t, longest: "INTEGER" if n == "M" else "VARCHAR(9)")
+    assert rows(spark, base, "T1") == [(202601, "a"), (202602, "b")] and tables(spark, base) == ["T1"]
+
+
+def test_a_failing_move_leaves_the_target_as_it_was(spark, base):
+    execute = jdbc.executor(spark, base)
+    narrow = lambda n, t, longest: "INTEGER" if n == "M" else "VARCHAR(3)"
+    wide = lambda n, t, longest: "INTEGER" if n == "M" else "VARCHAR(30)"
+    jdbc.write(spark.createDataFrame([(1, "a"), (2, "b")], "m int, txt string"), base, "T1", "replace", execute, kind=narrow)
+    with pytest.raises(Exception, match="(?i)truncation|length|VARCHAR"):
+        jdbc.write(spark.createDataFrame([(2, "too long a text")], "m int, txt string"), base, "T1", "delete_insert", execute, "M", [2], wide)
+    assert rows(spark, base, "T1") == [(1, "a"), (2, "b")] and tables(spark, base) == ["T1"]
+
+
+def test_rows_that_were_staged_twice_are_an_error(spark, base, monkeypatch):
+    execute = jdbc.executor(spark, base)
+    df = spark.createDataFrame([(1, "a")], "m int, txt string")
+    jdbc.write(df, base, "T1", "replace", execute, kind=kinds)
+    stage = jdbc.stage
+    monkeypatch.setattr(jdbc, "stage", lambda out, connection, name: (stage(out, connection, name), stage(out, connection, name)))
+    with pytest.raises(RuntimeError, match="holds 2 rows in place of 1"):
+        jdbc.write(df, base, "T1", "append", execute, kind=kinds)
+    assert rows(spark, base, "T1") == [(1, "a")] and tables(spark, base) == ["T1"]
+
+
+def test_an_unreachable_database_is_an_error(spark, base):
+    with pytest.raises(Exception, match="(?i)derby|database|connect"):
+        jdbc.table_columns(spark, base | {"url": base["url"].replace(";create=true", "-none")}, "T1")
+
+
+def test_places_in_files_go_by_name_and_row(spark, tmp_path):
+    for name, lines in (("b", ["id,m,v,w,x", *(f"{k % 5},202601,{k},late,{k}" for k in range(400))]), ("a", ["id,m,v,w,x", "1,202601,5,early,", "7,202601,6,only,"])):
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    for size in ("200", old):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            raw = files.read_csv(spark, str(tmp_path), "utf-8", ",", ordinal=True)
+            roles = config.Roles("id", "m", "v")
+            last = {r["customer_id"]: (r["row"]["v"], r["row"]["w"]) for r in panel.last_rows(raw, roles, 202601).collect()}
+            first = {r["customer_id"]: (r["w"], r["x"], r["main_metric"]) for r in panel.collapse(panel.normalise(raw, roles)).collect()}
+            found.append((last, first))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found[0] == found[1]
+    last, first = found[0]
+    assert last == {str(k): (str(395 + k), "late") for k in range(5)} | {"7": ("6", "only")}
+    assert first["1"][:2] == ("early", "1") and first["1"][2] == 5 + sum(range(1, 400, 5)) and first["2"][:2] == ("late", "2") and first["7"] == ("only", None, 6.0)
+
+
 def test_deletes_bind_their_values():
     found = jdbc.delete_statements("O.T", "K", list(range(1000)))
     assert [len(v) for _, v in found] == [900, 100] and found[0][0].count("?") == 900

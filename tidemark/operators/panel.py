@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_number, parse_period, period_label, period_ord
 from ..plans.config import Config, Roles
+from ..sources.files import ORDINAL
 
 ROLE_COLUMNS = ("customer_id", "invoice_month", "main_metric", "reference_feature", "exposure_feature", "exposure_feature_missing_flag")
 #: Right-closed edges and names of the exposure buckets.
@@ -61,14 +62,26 @@ def normalise(raw: DataFrame, roles: Roles) -> DataFrame:
     return raw.select(*[v.alias(k) for k, v in columns.items()], *rest)
 
 
+def last_rows(raw: DataFrame, roles: Roles, month: int) -> DataFrame:
+    """(customer_id, invoice_month, row) of raw, whose rows have their places: for each customer of a month, all columns of its last row."""
+    columns = [c for c in raw.columns if c != ORDINAL]
+    kind = {f.name: f.dataType for f in raw.schema}
+    period = parse_period(F.col(f"`{roles.invoice_month}`"), kind[roles.invoice_month])
+    keys = [F.coalesce(F.col(f"`{roles.customer_id}`").cast("string"), F.lit("nan")).alias("customer_id"), period.alias("invoice_month")]
+    rows = raw.select(*keys, F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), ORDINAL).filter(F.col("invoice_month") == month)
+    return rows.groupBy("customer_id", "invoice_month").agg(F.max_by("row", ORDINAL).alias("row"))
+
+
 def collapse(rows: DataFrame) -> DataFrame:
     """One row for each customer and month: metric summed, exposure's greatest, any other column's first non-null.
 
-    'First' goes by the order of the values of all columns, so that it doesn't hang
-    on how rows are dealt out. Partial sums come together by key; no group is gathered.
+    'First' goes by the rows' places in their source (``files.with_ordinal``). Rows
+    without one go by a hash of all values, so that it doesn't hang on how rows are dealt
+    out. Partial sums come together by key; no group is gathered.
     """
-    order = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
-    first = [F.min_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), F.struct(order, F.col(f"`{c}`")))).alias(c) for c in rows.columns if c not in ROLE_COLUMNS or c == "reference_feature"]
+    value = lambda c: F.col(f"`{c}`")
+    order = (lambda c: F.col(ORDINAL)) if ORDINAL in rows.columns else (lambda c: F.struct(F.xxhash64(*map(value, rows.columns)), value(c)))
+    first = [F.min_by(value(c), F.when(value(c).isNotNull(), order(c))).alias(c) for c in rows.columns if c != ORDINAL and (c not in ROLE_COLUMNS or c == "reference_feature")]
     return rows.groupBy("customer_id", "invoice_month").agg(
         F.sum("main_metric").alias("main_metric"),
         F.max("exposure_feature").alias("exposure_feature"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.panel import Profile, panel
+from ..sources.files import ORDINAL, with_ordinal
 from .config import Config, Roles, Segment, Support
 
 SCORING_MONTH = 200107
@@ -16,14 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row for each order: customer, month, amount, the quantity of its lines, one order, and the customer's segments."""
+def order_rows(spark: SparkSession, sf_dir: str, places: bool = False) -> DataFrame:
+    """A row for each order: customer, month, amount, the quantity of its lines, one order, and the customer's segments. places: also its key, status and place in the table."""
+    own = ["o_orderkey", "o_orderstatus", ORDINAL] if places else []
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("quantity"))
     customers = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    orders = table(spark, sf_dir, "orders")
+    orders = (with_ordinal(orders) if places else orders).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return orders.select(
         F.col("o_custkey").alias("customer"), (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("month"), F.col("o_totalprice").alias("amount"), "quantity", F.lit(1).alias("orders"),
-        F.col("c_mktsegment").alias("segment"), F.col("r_name").alias("region"), F.col("n_name").alias("nation"), F.col("c_acctbal").alias("balance"),
+        F.col("c_mktsegment").alias("segment"), F.col("r_name").alias("region"), F.col("n_name").alias("nation"), F.col("c_acctbal").alias("balance"), *own,
     )
 
 

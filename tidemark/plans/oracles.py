@@ -36,17 +36,18 @@ def _scaled(factor: float) -> str:
     return f"main_metric * CASE WHEN customer_id IN (SELECT customer_id FROM base WHERE main_metric > 0) THEN {factor} ELSE 1.0 END"
 
 
-def chain(month: int = MONTH, first: int = FIRST, factor: float = 1.0) -> list[tuple[str, str]]:
-    """(name, body) of each expression, each of which may use those before it; first: the first month of the window."""
+def chain(month: int = MONTH, first: int = FIRST, factor: float = 1.0, repeated: bool = False) -> list[tuple[str, str]]:
+    """(name, body) of each expression, each of which may use those before it; first: the first month of the window; repeated: whether the source is the orders themselves, of which a customer-month takes the first quantity that is there."""
+    quantity = "arg_min(quantity, orderkey) FILTER (quantity IS NOT NULL) AS quantity, 1 AS orders" if repeated else "sum(quantity) AS quantity, count(*) AS orders"
     ordinal = to_ord(month)
     steps: list[tuple[str, str]] = [
         ("lines", "SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1"),
         (
             "order_rows",
-            "SELECT o_custkey AS customer, year(o_orderdate) * 100 + month(o_orderdate) AS month, o_totalprice AS amount, quantity, c_mktsegment AS segment, r_name AS region, n_name AS nation, c_acctbal AS balance "
+            "SELECT o_orderkey AS orderkey, o_orderstatus AS status, o_custkey AS customer, year(o_orderdate) * 100 + month(o_orderdate) AS month, o_totalprice AS amount, quantity, c_mktsegment AS segment, r_name AS region, n_name AS nation, c_acctbal AS balance "
             "FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
         ),
-        ("src", "SELECT customer, month, sum(amount) AS amount, sum(quantity) AS quantity, count(*) AS orders, min(segment) AS segment, min(region) AS region, min(nation) AS nation, min(balance) AS balance FROM order_rows GROUP BY 1, 2"),
+        ("src", f"SELECT customer, month, sum(amount) AS amount, {quantity}, min(segment) AS segment, min(region) AS region, min(nation) AS nation, min(balance) AS balance FROM order_rows GROUP BY 1, 2"),
         (
             "panel0",
             "SELECT CAST(customer AS VARCHAR) AS customer_id, CAST(month AS INTEGER) AS invoice_month, CAST(amount AS DOUBLE) AS main_metric, CAST(quantity AS DOUBLE) AS reference_feature, CAST(orders AS DOUBLE) AS exposure_feature, segment, region, nation, balance, "
@@ -244,9 +245,9 @@ def month_summary(month: int, first: int) -> str:
     )
 
 
-def with_chain(final: str, month: int = MONTH, first: int = FIRST, factor: float = 1.0) -> str:
+def with_chain(final: str, month: int = MONTH, first: int = FIRST, factor: float = 1.0, repeated: bool = False) -> str:
     """The chain of a scored month with a final SELECT."""
-    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in chain(month, first, factor)) + "\n" + final
+    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in chain(month, first, factor, repeated)) + "\n" + final
 
 
 def sql(final: str) -> str:

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.periods import from_ord, to_ord
 from ..functions.scalars import at_least, first_match, number_text, period_label
 from ..operators.labels import anomaly_flag
-from ..operators.panel import Profile, rolling_window
+from ..operators.panel import Profile, last_rows, rolling_window
 from ..operators.peers import Candidate, exploded, grouped, key_columns
 from ..operators.segments import apply_segments
 from ..operators.stats import AVERAGE_RANK, RANKS, ranked
-from .config import Config
+from .config import Config, Roles
 from .scoring import Run, score_month
 
 CONTEXT = ("peer_group_level_name", "anomaly_label", "anomaly_direction", "final_anomaly_score", "confidence", "evidence_driver", "action_label", "reason_codes", "reason_explanation", "scoreability_status", "operational_decision")
@@ -30,10 +30,20 @@ def verdicts(run: Run) -> DataFrame:
     return scored.unionByName(lost, allowMissingColumns=True)
 
 
-def decision_table(run: Run, raw_columns: Sequence[str] = ()) -> DataFrame:
-    """The scoring month's source columns with ANOMALI_FLAG (0 or 1), ANOMALI_SKORU and ANOMALI_NEDENI."""
-    columns = [c for c in raw_columns if c in run.scoring.columns and c not in ("customer_id", "invoice_month")]
-    rows = run.scoring.select("customer_id", "invoice_month", *columns)
+def decision_table(run: Run, raw_columns: Sequence[str] = (), source: DataFrame | None = None, roles: Roles | None = None) -> DataFrame:
+    """The scoring month's source columns with ANOMALI_FLAG (0 or 1), ANOMALI_SKORU and ANOMALI_NEDENI.
+
+    source: the raw table whose rows have their places (``files.with_ordinal``); the source
+    columns are then those of a customer's last row in the month. Otherwise they are the
+    panel's, where repeated customer-months have become one.
+    """
+    if source is not None:
+        columns = [c for c in raw_columns if c in source.columns and c not in ("customer_id", "invoice_month")]
+        own = last_rows(source, roles, run.scoring_month).select("customer_id", "invoice_month", *[F.col("row")[c].alias(c) for c in columns])
+        rows = run.scoring.select("customer_id", "invoice_month").join(own, ["customer_id", "invoice_month"], "left")
+    else:
+        columns = [c for c in raw_columns if c in run.scoring.columns and c not in ("customer_id", "invoice_month")]
+        rows = run.scoring.select("customer_id", "invoice_month", *columns)
     out = rows.join(verdicts(run).select("customer_id", "anomaly_label", "final_anomaly_score", "reason_explanation"), "customer_id", "left")
     return out.select("customer_id", "invoice_month", *columns, anomaly_flag(F.col("anomaly_label")).alias("ANOMALI_FLAG"), F.coalesce("final_anomaly_score", F.lit(0.0)).alias("ANOMALI_SKORU"), F.coalesce("reason_explanation", F.lit("")).alias("ANOMALI_NEDENI"))
 

@@ -30,15 +30,15 @@ class Result:
 
 
 def read_source(spark: SparkSession, source: Mapping[str, Any]) -> DataFrame:
-    """The active one of named connections, or an inline source: CSV, Parquet or JDBC."""
+    """The active one of named connections, or an inline source: CSV, Parquet or JDBC. Rows of files have their places in files.ORDINAL."""
     if "connections" in source:
         name = source.get("active_source") or source.get("default_source")
         source = source["connections"][name]
     kind = source.get("type", "csv")
     if kind == "csv":
-        return files.read_csv(spark, source["path"], source.get("encoding", "auto"), source.get("sep", "auto"))
+        return files.read_csv(spark, source["path"], source.get("encoding", "auto"), source.get("sep", "auto"), ordinal=True)
     if kind == "parquet":
-        return spark.read.parquet(source["path"])
+        return files.with_ordinal(spark.read.parquet(source["path"]))
     if kind in ("oracle", "jdbc"):
         return jdbc.read(spark, jdbc.options(jdbc.credentials(source)) if "url" not in source else {k: str(source[k]) for k in ("url", "user", "password") if k in source}, source.get("table"), source.get("query"))
     raise ValueError(f"no source of type {kind!r}")
@@ -53,7 +53,9 @@ def run(raw: DataFrame, config: Config, scoring_month: object = "last", prior: b
     got = score_month(table, profile, config, month)
     scores = with_prior_scores(table, profile, config, got) if prior else got.scores
     scores = add_challengers(scores, config.aggregation, large=got.large)
-    return Result(got, scores, decision_table(got, raw.columns), detail_table(table, got, config), config)
+    columns = [c for c in raw.columns if c != files.ORDINAL]
+    decision = decision_table(got, columns, raw if files.ORDINAL in raw.columns else None, config.roles)
+    return Result(got, scores, decision, detail_table(table, got, config), config)
 
 
 def config_of(raw: Mapping[str, Any], df: DataFrame) -> Config:
@@ -61,7 +63,7 @@ def config_of(raw: Mapping[str, Any], df: DataFrame) -> Config:
     plain = compiled(raw) if "variables" in raw or "model" in raw else dict(raw)
     if plain.get("segments") == AUTO:
         taken = {*plain.get("columns", {}).values(), *plain.get("excluded", [])}
-        plain["segments"] = [s.source for s in auto_segments(df, [c for c in df.columns if c not in taken])]
+        plain["segments"] = [s.source for s in auto_segments(df, [c for c in df.columns if c not in (*taken, files.ORDINAL)])]
     variants = plain.pop("bucket_variants", None) if "bucket_variants" in plain else False
     out = from_mapping(plain, df.columns)
     out = replace(out, segments=tuple(s for s in out.segments if s.source not in out.excluded))
@@ -107,8 +109,9 @@ def write_outputs(result: Result, sink: Mapping[str, Any], name: str | None = No
     tables = {"decision": sink.get("decision_table", "ANOMALY_DECISIONS"), "detail": sink.get("detail_table", "ANOMALY_DECISION_DETAIL")}
     period = jdbc.identifiers(decision.columns)[roles.invoice_month]
     months = [r[0] for r in decision.select(roles.invoice_month).distinct().collect()]  # the scoring month's forms in the source
-    jdbc.write(decision, connection, tables["decision"], mode, execute, period, months, types)
-    jdbc.write(detail, connection, tables["detail"], mode, execute, "MODEL_DONEM_AY", [month], types)
+    recreate = bool(sink.get("recreate", False))
+    jdbc.write(decision, connection, tables["decision"], mode, execute, period, months, types, recreate)
+    jdbc.write(detail, connection, tables["detail"], mode, execute, "MODEL_DONEM_AY", [month], types, recreate)
     return tables
 
 

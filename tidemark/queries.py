@@ -383,6 +383,23 @@ def decision_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(outputs.decision_table(run(spark, sf_dir)))
 
 
+@query(
+    "decision_raw_rows",
+    oracles.with_chain(
+        "SELECT n.customer_id, n.invoice_month, x.o_orderkey, x.o_orderstatus, x.segment, CASE WHEN coalesce(label, 'NOT_SCORED') IN ('NORMAL', 'NOT_SCORED') THEN 0 ELSE 1 END AS ANOMALI_FLAG, coalesce(reason, 'not scored: ' || CASE WHEN n.valid THEN 'insufficient_peer_support' ELSE 'invalid_main_metric' END) AS ANOMALI_NEDENI, " + rs({"amount": "x.amount", "quantity": "x.quantity", "ANOMALI_SKORU": "coalesce(score, 0.0)"})
+        + f" FROM now n LEFT JOIN diag l ON n.customer_id = l.customer_id JOIN (SELECT CAST(customer AS VARCHAR) AS customer_id, max(orderkey) AS o_orderkey, arg_max(status, orderkey) AS o_orderstatus, arg_max(segment, orderkey) AS segment, arg_max(amount, orderkey) AS amount, max_by(struct_pack(q := quantity), orderkey).q AS quantity FROM order_rows WHERE month = {SCORING_MONTH} GROUP BY 1) x ON n.customer_id = x.customer_id",
+        repeated=True,
+    ),
+    chain=False,
+)
+def decision_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions over the orders themselves, of which a customer has several a month: the first quantity that is there counts, the last order's columns are shown."""
+    raw = order_rows(spark, sf_dir, places=True)
+    table, profile = panel.panel(raw, CONFIG)
+    got = scoring.score_month(scoring.kept(table), profile, CONFIG, SCORING_MONTH)
+    return rounded(outputs.decision_table(got, ["o_orderkey", "o_orderstatus", "segment", "amount", "quantity"], raw, CONFIG.roles))
+
+
 @query(
     "detail_table",
     "SELECT customer_id, invoice_month, customer_main_metric_missing_flag, is_scoring_month, " + rs({"main_metric": "main_metric", "peer_month_main_metric_median": "med", "customer_vs_peer_month_ratio": "CASE WHEN med IS NOT NULL THEN main_metric / greatest(med, 1e-6) END", "final_anomaly_score": "CASE WHEN is_scoring_month THEN score END"})

@@ -28,8 +28,8 @@ def detect_options(head: bytes, encoding: str = "auto", sep: str = "auto") -> tu
     raise ValueError("no encoding and separator fit the file")
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str = "auto", sep: str = "auto") -> DataFrame:
-    """A CSV with a header, every column as text; numbers and months are parsed by the panel.
+def read_csv(spark: SparkSession, path: str, encoding: str = "auto", sep: str = "auto", ordinal: bool = False) -> DataFrame:
+    """A CSV with a header, every column as text; numbers and months are parsed by the panel. ordinal: whether rows are told their place.
 
     Only the first bytes are looked at to detect options, through Spark, so that any
     store will do.
@@ -40,7 +40,22 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "auto", sep: str =
         head = (raw[0] if raw else "").encode("latin-1")
         encoding, sep = detect_options(head, encoding, sep)
     out = spark.read.option("header", True).option("sep", sep).option("encoding", _JAVA.get(encoding, encoding)).csv(path)
-    return out.toDF(*[c.lstrip("﻿") for c in out.columns])
+    names = [c.lstrip("﻿") for c in out.columns]
+    return with_ordinal(out).toDF(*names, ORDINAL) if ordinal else out.toDF(*names)
+
+
+#: The column with a row's place in its source.
+ORDINAL = "__ordinal"
+
+
+def with_ordinal(df: DataFrame) -> DataFrame:
+    """df, as read from files, with each row's place: file, first byte of its part of the file, and place among the part's rows.
+
+    Files are in the order of their names. The order stays the same however the files are
+    cut into parts and whichever task reads them; the last number is only for comparing.
+    """
+    part = F.col("_metadata")
+    return df.withColumn(ORDINAL, F.struct(part["file_path"].alias("file"), part["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("row")))
 
 
 def output_columns(df: DataFrame, wanted: str | Sequence[str] = "all", excluded: Sequence[str] = ()) -> DataFrame:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import configparser
+import contextlib
 import hashlib
 import re
-from collections.abc import Callable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
 import yaml
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,22 +88,40 @@ def column_type(name: str, kind: T.DataType, longest: int = 0) -> str:
     return "CLOB" if longest > 3900 or any(k in name.upper() for k in LONG_TEXT) else "VARCHAR2(4000 CHAR)"
 
 
-#: Runs a statement with values for its question marks on the target.
-Execute = Callable[[str, Sequence[Any]], None]
+#: A statement and the values for its question marks.
+Statement = tuple[str, Sequence[Any]]
+#: Runs statements on the target, in one transaction.
+Execute = Callable[[Sequence[Statement]], None]
+
+
+@contextlib.contextmanager
+def _connected(spark: SparkSession, connection: Mapping[str, str]) -> Iterator[Any]:
+    """The driver's own JDBC connection."""
+    if connection.get("driver"):
+        spark._jvm.java.lang.Class.forName(connection["driver"], True, spark._jvm.java.lang.Thread.currentThread().getContextClassLoader())
+    own = spark._jvm.java.sql.DriverManager.getConnection(connection["url"], connection.get("user"), connection.get("password"))
+    try:
+        yield own
+    finally:
+        own.close()
 
 
 def executor(spark: SparkSession, connection: Mapping[str, str]) -> Execute:
-    """Statements by the driver's own JDBC connection, each committed by itself."""
-
-    def execute(statement: str, values: Sequence[Any] = ()) -> None:
-        own = spark._jvm.java.sql.DriverManager.getConnection(connection["url"], connection.get("user"), connection.get("password"))
-        try:
-            prepared = own.prepareStatement(statement)
-            for k, value in enumerate(values, 1):
-                prepared.setObject(k, value)
-            prepared.executeUpdate()
-        finally:
-            own.close()
+    """Statements by the driver's own connection: all of a call are committed together, or none."""
+
+    def execute(statements: Sequence[Statement]) -> None:
+        with _connected(spark, connection) as own:
+            own.setAutoCommit(False)
+            try:
+                for statement, values in statements:
+                    prepared = own.prepareStatement(statement)
+                    for k, value in enumerate(values, 1):
+                        prepared.setObject(k, value)
+                    prepared.executeUpdate()
+                own.commit()
+            except Exception:
+                own.rollback()
+                raise
 
     return execute
 
@@ -127,11 +147,14 @@ def create_statement(table: str, columns: Mapping[str, str]) -> str:
 
 
 def table_columns(spark: SparkSession, connection: Mapping[str, str], table: str) -> list[str] | None:
-    """The columns of a table in their order, or None where it can't be read."""
-    try:
-        return [c.upper() for c in spark.read.format("jdbc").options(**connection).option("query", f"SELECT * FROM {qualified(table)} WHERE 1 = 0").load().columns]
-    except Exception:  # drivers tell a missing table in errors of their own
-        return None
+    """The columns of a table in their order by the database's own catalogue, or None where there is no such table. A failing connection is an error."""
+    owner, _, name = qualified(table).rpartition(".")
+    with _connected(spark, connection) as own:
+        found = own.getMetaData().getColumns(None, owner or own.getSchema(), name, None)
+        columns: list[tuple[int, str]] = []
+        while found.next():
+            columns.append((found.getInt("ORDINAL_POSITION"), found.getString("COLUMN_NAME").upper()))
+    return [n for _, n in sorted(columns)] or None
 
 
 def longest_texts(df: DataFrame) -> dict[str, int]:
@@ -140,32 +163,58 @@ def longest_texts(df: DataFrame) -> dict[str, int]:
     return {k: v or 0 for k, v in df.agg(*[F.max(F.length(F.col(f"`{c}`"))).alias(c) for c in texts]).first().asDict().items()} if texts else {}
 
 
-def write(df: DataFrame, connection: Mapping[str, str], table: str, mode: str = "append", execute: Execute | None = None, key: str | None = None, values: Sequence[Any] = (), kind: Callable[[str, T.DataType, int], str] = column_type) -> None:
-    """Write in mode append, delete_insert (key in values goes first), truncate_insert or replace.
+def staging_name(table: str) -> str:
+    """A new valid name beside a table."""
+    owner, _, name = qualified(table).rpartition(".")
+    own = f"{name[: MAX_NAME - 10]}_S{uuid.uuid4().hex[:8].upper()}"
+    return f"{owner}.{own}" if owner else own
+
 
-    A table that is missing, or has other columns or an other order of them, is made
-    anew (with replace, in any case). execute runs statements on the target; only append
-    to a table that fits does without. Each task of the insert commits by itself.
+def stage(df: DataFrame, connection: Mapping[str, str], name: str) -> None:
+    """Append df to the table ``name``, each task in a transaction of its own; an error where it doesn't hold every row once afterwards."""
+    told = Observation()
+    df.observe(told, F.count(F.lit(1)).alias("n")).write.format("jdbc").options(**connection).option("dbtable", name).mode("append").save()
+    held = df.sparkSession.read.format("jdbc").options(**connection).option("query", f"SELECT COUNT(*) AS N FROM {name}").load().first()[0]
+    if int(held) != told.get["n"]:
+        # A task that was tried again after its commit has written its rows twice.
+        raise RuntimeError(f"{name} holds {held} rows in place of {told.get['n']}; the target is as it was")
+
+
+def write(df: DataFrame, connection: Mapping[str, str], table: str, mode: str = "append", execute: Execute | None = None, key: str | None = None, values: Sequence[Any] = (), kind: Callable[[str, T.DataType, int], str] = column_type, recreate: bool = False) -> None:
+    """Write in mode append, delete_insert (key in values goes first), truncate_insert or replace; as a whole, or not at all.
+
+    Tasks fill a staging table beside the target. One closing transaction then deletes
+    what goes and moves the staged rows in by column name, so that readers see the old
+    rows or the new ones, and a failing task leaves the target as it was. A missing
+    table is made. One with other columns is dropped and made anew only with replace or
+    recreate, since its rows are lost; the order of columns doesn't matter.
     """
     if mode not in ("append", "delete_insert", "truncate_insert", "replace"):
         raise ValueError(f"no write mode {mode!r}")
+    if execute is None:
+        raise ValueError(f"writing {table} needs execute")
     names = identifiers(df.columns)
     out = df.toDF(*[names[c] for c in df.columns])
-    deletes = delete_statements(table, key or "", values) if mode == "delete_insert" else []
+    deletes = delete_statements(table, key or "", values) if mode == "delete_insert" else [(f"DELETE FROM {qualified(table)}", [])] if mode == "truncate_insert" else []
     there = table_columns(df.sparkSession, connection, table)
-    if there != out.columns or mode == "replace":
-        if execute is None:
-            raise ValueError(f"{table} must be made, which needs execute")
-        longest = longest_texts(out)
-        if there is not None:
-            execute(f"DROP TABLE {qualified(table)}", ())
-        execute(create_statement(table, {f.name: kind(f.name, f.dataType, longest.get(f.name, 0)) for f in out.schema}), ())
-    elif mode != "append":
-        if execute is None:
-            raise ValueError(f"{mode} needs execute")
-        for statement, own in deletes or [(f"TRUNCATE TABLE {qualified(table)}", [])]:
-            execute(statement, own)
-    out.write.format("jdbc").options(**connection).option("dbtable", qualified(table)).mode("append").save()
+    other = there is not None and sorted(there) != sorted(out.columns)
+    if other and mode != "replace" and not recreate:
+        raise ValueError(f"{table} has other columns ({', '.join(sorted(set(there) ^ set(out.columns)))}); recreate=True drops it with its rows and makes it anew")
+    longest = longest_texts(out)
+    types = {f.name: kind(f.name, f.dataType, longest.get(f.name, 0)) for f in out.schema}
+    staged, columns = staging_name(table), ", ".join(map(valid_identifier, out.columns))
+    execute([(create_statement(staged, types), ())])
+    try:
+        stage(out, connection, staged)
+        if there is not None and (other or mode == "replace"):
+            execute([(f"DROP TABLE {qualified(table)}", ())])
+            there = None
+        if there is None:
+            execute([(create_statement(table, types), ())])
+            deletes = []
+        execute([*deletes, (f"INSERT INTO {qualified(table)} ({columns}) SELECT {columns} FROM {staged}", ())])
+    finally:
+        execute([(f"DROP TABLE {staged}", ())])
 
 
 def load_csv(spark: SparkSession, path: str, connection: Mapping[str, str], table: str, mode: str, execute: Execute, kind: Callable[[str, T.DataType, int], str] | None = None) -> None:
