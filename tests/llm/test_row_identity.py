@@ -14,7 +14,7 @@ def test_null_and_shared_ids(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     left = [tuple(r) for r in stages["benchmark_decontamination"](spark, docs, str(tmp_path)).collect()]
     assert sorted(left, key=str) == sorted([r for r in rows if ITEM not in r[1]], key=str)
-    kept = [tuple(r) for r in stages["simhash_near_dedup"](spark, docs, str(tmp_path)).collect()]
+    kept = [tuple(r) for r in corpus_pipeline.STAGES[1][1](spark, docs, str(tmp_path)).collect()]
     assert sorted(kept) == sorted([(5, f"so {ITEM} then"), (5, CLEAN[0]), (5, CLEAN[1])])
 
 
