@@ -56,7 +56,7 @@ def pack_best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", identify_language),
-    ("simhash_near_dedup", drop_near_duplicates),
+    ("simhash_minhash_near_dedup", drop_near_duplicates),
     ("benchmark_decontamination", drop_contaminated),
     ("pii", mask_personal_data),
     ("best_fit_packing", pack_best_fit),
