@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.test_engine import MONTH, made
-from tidemark.operators import panel, segments
+from tidemark.operators import panel, peers, segments
 from tidemark.plans import config, pipeline
 from tidemark.sources import files, jdbc
 
@@ -191,3 +191,51 @@ def test_reference_buckets_and_their_edges(spark):
     few = segments.assign_reference_buckets(df, segments.fit_reference_buckets(df, segments.bucket_variants(["q4"]), 500))
     assert few.filter("feature_bucket_q4 = 'feature_positive' and feature_ratio_bucket = 'reference_feature_positive'").count() == 120
     assert files.stem("a b/ç") == "a_b" and files.stem(None) == "anomaly_input"
+
+
+def test_roles_of_variable_groups():
+    variables = {"ids": ["id", "other"], "dates": "m", "features": ["v", "w"]}
+    assert config.found_roles({"variables": variables}, {}) == {"customer_id": "id", "invoice_month": "m", "main_metric": "v"}
+    buckets = {"bucket_features": [{"source": "x"}, {"source": "Main_Metric", "internal_role": " Exposure "}, {"source": "y", "internal_role": "exposure"}]}
+    for place in ({"model": {"derived_features": buckets}}, {"derived_features": buckets}):
+        assert config.found_roles({"variables": variables | {"main_feature": "w"}} | place, {"denominator": "ref"}) == {"customer_id": "id", "invoice_month": "m", "main_metric": "w", "reference_feature": "ref", "exposure_feature": "w"}
+    assert "reference_feature" not in config.found_roles({"variables": variables}, {"denominator": "ref", "enabled": "No"})
+    assert config.found_roles({"variables": variables}, {"denominator": "invoice_month"})["reference_feature"] == "m"
+
+
+def test_the_first_derived_ratio_is_the_ratio():
+    feature = {"derived_features": {"ratio_feature": {"denominator": "a", "enabled": False}}}
+    assert config.ratio_settings({"model": feature}) == {"denominator": "a", "enabled": False}
+    assert config.ratio_settings(feature | {"derived_signals": {"ratios": ["no", {"denominator": "b"}, {"denominator": "c"}]}}) == config.DERIVED_RATIO | {"denominator": "b"}
+    assert config.ratio_settings({"derived_signals": {"ratios": {"n": {"denominator": "b", "use_as_anomaly_signal": False}}}}) == config.DERIVED_RATIO | {"name": "n", "denominator": "b", "use_as_anomaly_signal": False}
+    assert config.ratio_settings({}) == {} == config.ratio_settings({"model": {"derived_signals": None, "derived_features": []}})
+
+
+def test_peer_settings_reach_the_run():
+    raw = {"columns": {"customer_id": "id", "invoice_month": "m", "main_metric": "v"}}
+    chosen = {
+        "distribution_quality": {"iqr_weight": 0.5, "tail_full_penalty": 0.2}, "objective_quality_caps": {"weak_distribution_cap": 50}, "blocked_values": {"seg_": ["bad"]}, "max_inferred_cardinality": 9, "explicit_levels": ["a+b", ["a"]],
+        "fallback_variables": ["segments"], "selection_mode": "narrow_first",
+    }
+    plain = config.compiled(raw | {"variables": {"segments": ["a", "b"]}, "peer_selection": chosen})
+    got = config.from_mapping(plain, ["id", "m", "v", "a", "b"]).peers
+    assert got.distribution == config.DISTRIBUTION | {"iqr_weight": 0.5, "tail_full_penalty": 0.2} and got.caps == config.OBJECTIVE_CAPS | {"weak_distribution_cap": 50.0}
+    assert (got.blocked, got.max_cardinality, got.explicit, got.fallback, got.selection, got.priority) == ({"seg_": ("bad",)}, 9, (("a", "b"), ("a",)), ("a", "b"), "narrow_first", ("a", "b"))
+    for bad in ({"priority_variable": ["a"]}, {"distribution_quality": {"iqr": 1}}, {"objective_quality_caps": {"cap": 1}}):
+        with pytest.raises(ValueError, match="unknown keys"):
+            config.from_mapping(config.compiled(raw | {"peer_selection": bad}), ["id", "m", "v"])
+    with pytest.raises(ValueError, match="unknown keys of peers"):
+        config.from_mapping(raw | {"peers": {"prioritty": []}}, ["id", "m", "v"])
+
+
+def test_settings_change_the_scores(spark):
+    df = spark.createDataFrame([(1.6, 0.9, 90.0, 0.0)], "peer_current_iqr_log double, peer_current_mad_log double, peer_representability_score double, peer_distribution_quality_score double")
+    nothing = {c: F.lit(None).cast("double") for c in ("peer_history_monthly_iqr_log", "peer_history_monthly_mad_log", "peer_tail_rate", "peer_log_ratio_skew", "peer_log_ratio_kurtosis", "peer_mean_median_ratio", "peer_std_median_ratio")}
+    score = lambda s: df.withColumns(nothing).select(peers.distribution_quality(s)).first()[0]
+    none = {k: 0.0 if k.endswith("_weight") else v for k, v in config.DISTRIBUTION.items()}
+    assert score(none | {"iqr_weight": 2.0}) == pytest.approx(0.0) and score(none | {"iqr_weight": 2.0, "current_iqr_log_full_penalty": 3.2, "history_iqr_log_full_penalty": 3.2}) == pytest.approx(50.0)
+    assert score(none) == pytest.approx(100.0) and score(none | {"tail_weight": 1.0}) == pytest.approx(50.0)
+    objective = lambda caps: df.select(peers.capped_objective(F.lit(99.0), config.OBJECTIVE_CAPS | caps)).first()[0]
+    assert objective({}) == pytest.approx(47.0) and objective({"weak_distribution_penalty_per_point": 9.0}) == 0.0 and objective({"weak_distribution_penalty_per_point": 9.0, "minimum_cap": 12.0}) == 12.0
+    gate = lambda blocked: spark.createDataFrame([(0, "x", True, 500, 500, 500, 500, 90.0)], "cand int, seg_a string, valid_main_metric_for_model boolean, hist_n int, moy_n int, recent_n int, current_n int, peer_distribution_quality_score double").select(peers.support_gate([peers.Candidate(0, ("seg_a",))], config.Support(), blocked)).first()[0]
+    assert gate(config.BLOCKED) is True and gate({"seg_": ("x",)}) is False

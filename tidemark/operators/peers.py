@@ -204,19 +204,20 @@ def key_text(candidates: Sequence[Candidate]) -> Column:
 def distribution_quality(settings: Mapping[str, float] = DISTRIBUTION) -> Column:
     """100 for a group whose values are alike, less for each of seven penalties; an unknown penalty is a half."""
     names = ("iqr", "mad", "tail", "skew", "kurtosis", "mean_median", "std_median")
-    total = sum(settings[f"{n}_weight"] for n in names)
-    weight = {n: settings[f"{n}_weight"] / total for n in names}
+    weight = {n: max(0.0, settings[f"{n}_weight"]) for n in names}
+    total = sum(weight.values())
+    weight = {n: w / total if total else 0.0 for n, w in weight.items()}
     half = lambda c: F.coalesce(c, F.lit(0.5))
     part = lambda c, full: half(share(F.col(c), settings[full]))
     ratio, spread = F.col("peer_mean_median_ratio"), F.col("peer_std_median_ratio")
     penalties = {
-        "iqr": F.greatest(part("peer_current_iqr_log", "current_iqr_full"), part("peer_history_monthly_iqr_log", "history_iqr_full")),
-        "mad": F.greatest(part("peer_current_mad_log", "current_mad_full"), part("peer_history_monthly_mad_log", "history_mad_full")),
-        "tail": part("peer_tail_rate", "tail_full"),
-        "skew": half(share(F.abs("peer_log_ratio_skew"), settings["skew_full"])),
-        "kurtosis": part("peer_log_ratio_kurtosis", "kurtosis_full"),
-        "mean_median": half(F.when(ratio > 0, share(F.abs(F.log(at_least(ratio, 1e-6))), log(max(settings["mean_median_full_ratio"], 1.01))))),
-        "std_median": half(F.when(spread >= 0, share(spread, settings["std_median_full_ratio"]))),
+        "iqr": F.greatest(part("peer_current_iqr_log", "current_iqr_log_full_penalty"), part("peer_history_monthly_iqr_log", "history_iqr_log_full_penalty")),
+        "mad": F.greatest(part("peer_current_mad_log", "current_mad_log_full_penalty"), part("peer_history_monthly_mad_log", "history_mad_log_full_penalty")),
+        "tail": part("peer_tail_rate", "tail_full_penalty"),
+        "skew": half(share(F.abs("peer_log_ratio_skew"), settings["skew_full_penalty"])),
+        "kurtosis": part("peer_log_ratio_kurtosis", "kurtosis_full_penalty"),
+        "mean_median": half(F.when(ratio > 0, share(F.abs(F.log(at_least(ratio, 1e-6))), log(max(settings["mean_median_full_penalty_ratio"], 1.01))))),
+        "std_median": half(F.when(spread >= 0, share(spread, settings["std_median_full_penalty_ratio"]))),
     }
     return clip(100.0 * (1.0 - sum((weight[n] * p for n, p in penalties.items()), F.lit(0.0))), 0, 100)
 
@@ -231,7 +232,7 @@ def reduced(history: DataFrame, scoring: DataFrame, candidates: Sequence[Candida
     return exploded(history, candidates, keep, key_filter(scoring, candidates)).join(now, list(KEYS), "left_semi").select(*keep, *KEYS)
 
 
-def level_stats(history: DataFrame, scoring: DataFrame, candidates: Sequence[Candidate], scoring_ord: int, has_current: bool = True, large: bool = False) -> DataFrame:
+def level_stats(history: DataFrame, scoring: DataFrame, candidates: Sequence[Candidate], scoring_ord: int, has_current: bool = True, large: bool = False, settings: Mapping[str, float] = DISTRIBUTION) -> DataFrame:
     """All statistics of every (cand, key) that scoring rows have; both inputs are valid rows.
 
     Groups, groups by month and groups by month of the year are aggregations over
@@ -284,17 +285,17 @@ def level_stats(history: DataFrame, scoring: DataFrame, candidates: Sequence[Can
     out = out.join(spread, keys, "left").withColumns({"current_mad": F.when(F.col("current_n") > 0, floored(MAD_FACTOR * F.col("__d")[0])), "peer_current_iqr_log": F.col("__y")[2] - F.col("__y")[0]})
     floor = at_least(F.col("__mid")[0], 1e-6)
     out = out.withColumns({"peer_current_mad_log": F.col("peer_current_iqr_log") / IQR_FACTOR, "peer_mean_median_ratio": F.col("__mean") / floor, "peer_std_median_ratio": F.col("__dev") / floor})
-    out = out.withColumns({"peer_mean_median_gap_log": F.abs(F.log(at_least(F.col("peer_mean_median_ratio"), 1e-6))), "peer_distribution_quality_score": distribution_quality()})
+    out = out.withColumns({"peer_mean_median_gap_log": F.abs(F.log(at_least(F.col("peer_mean_median_ratio"), 1e-6))), "peer_distribution_quality_score": distribution_quality(settings)})
     out = out.withColumn("peer_distribution_status", distribution_status(F.col("peer_distribution_quality_score")))
     out = out.drop(*[c for c in out.columns if c.startswith("__")], "cal_n", "cal_median", "cal_mad")
     return out.fillna({"peer_distribution_quality_score": 50.0, "peer_distribution_status": "PEER_DISTRIBUTION_UNKNOWN", "peer_calibration_score": 50.0, "peer_calibration_n": 0})
 
 
-def blocked_for(column: str) -> tuple[str, ...]:
-    return BLOCKED.get(column) or next((v for k, v in BLOCKED.items() if k.endswith("_") and column.startswith(k)), ())
+def blocked_for(column: str, blocked: Mapping[str, tuple[str, ...]] = BLOCKED) -> tuple[str, ...]:
+    return blocked.get(column) or next((v for k, v in blocked.items() if k.endswith("_") and column.startswith(k)), ())
 
 
-def support_gate(candidates: Sequence[Candidate], support: Support) -> Column:
+def support_gate(candidates: Sequence[Candidate], support: Support, blocked: Mapping[str, tuple[str, ...]] = BLOCKED) -> Column:
     """Whether a (row, candidate) has enough rows, spread and usable key values; false where anything is unknown."""
     enough = F.col("valid_main_metric_for_model")
     for column, least in (("hist_n", support.min_history_rows), ("moy_n", support.min_season_rows), ("recent_n", support.min_recent_rows), ("current_n", support.min_current_rows), ("peer_distribution_quality_score", support.min_distribution_score)):
@@ -302,7 +303,7 @@ def support_gate(candidates: Sequence[Candidate], support: Support) -> Column:
     bad = F.lit(False)
     for c in candidates:
         for column in c.columns:
-            if values := blocked_for(column):
+            if values := blocked_for(column, blocked):
                 bad = bad | ((F.col("cand") == c.order) & F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("nan")).isin(*values))
     return F.coalesce(enough & ~bad, F.lit(False))
 
@@ -336,13 +337,14 @@ def representability_status(score: Column, coarse: Column) -> Column:
     )
 
 
-def capped_objective(raw: Column) -> Column:
+def capped_objective(raw: Column, caps: Mapping[str, float] = OBJECTIVE_CAPS) -> Column:
     """The objective under the graded caps of weak distribution and representability."""
     out = raw
-    for column, steps in (("peer_distribution_quality_score", OBJECTIVE_CAPS["distribution"]), ("peer_representability_score", OBJECTIVE_CAPS["representability"])):
+    for column, name, steps in (("peer_distribution_quality_score", "distribution", ("wide", "weak")), ("peer_representability_score", "representability", ("medium", "weak"))):
         score = F.coalesce(F.col(column), F.lit(0.0))
-        for below, cap, loss in reversed(steps):
-            limit = F.greatest(cap - loss * (below - score), F.lit(0.0))
+        for step in steps:
+            below, cap, loss = (caps[f"{step}_{name}_{k}"] for k in ("threshold", "cap", "penalty_per_point"))
+            limit = F.greatest(cap - loss * (below - score), F.lit(caps["minimum_cap"]))
             out = F.when(score < below, F.least(out, limit)).otherwise(out)
     return clip(out, 0, 100)
 
@@ -363,7 +365,7 @@ def quality(df: DataFrame, candidates: Sequence[Candidate], priority: Sequence[s
     raw = sum((w / total * F.coalesce(F.col(names[k]), F.lit(50.0 if k == "calibration" else 0.0)) for k, w in weights.items()), F.lit(0.0))
     return out.withColumns(
         {
-            "peer_objective_score": capped_objective(raw),
+            "peer_objective_score": capped_objective(raw, rules.caps),
             "peer_candidate_order": F.col("cand"),
             "peer_group_level_name": by_cand(lambda s, c: c.name),
             "peer_group_columns": by_cand(lambda s, c: c.name),

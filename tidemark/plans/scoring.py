@@ -13,7 +13,7 @@ from ..functions.periods import to_ord
 from ..operators import evidence, labels, peers, segments, signals, stats
 from ..operators.panel import Profile, rolling_window
 from ..sources.shared import checkpointed as cut
-from .config import Config
+from .config import Config, Peers
 
 #: Rows of history up to which one task may hold a whole group's values or ranks; beyond, ranges of values are dealt out instead. Results are the same.
 LARGE_ROWS = 20_000_000
@@ -54,10 +54,16 @@ def valid(df: DataFrame) -> DataFrame:
     return df.filter("valid_main_metric_for_model and log_main_metric is not null")
 
 
-def candidate_rows(history: DataFrame, scoring: DataFrame, candidates: Sequence[peers.Candidate], scoring_ord: int, large: bool = False) -> DataFrame:
+def high_cardinality(history: DataFrame, columns: Sequence[str], rules: Peers) -> list[str]:
+    """Columns of more distinct values than are combined with derived ones."""
+    row = history.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in columns]).first() if columns else {}
+    return [c for c in columns if row[c] > rules.max_cardinality]
+
+
+def candidate_rows(history: DataFrame, scoring: DataFrame, candidates: Sequence[peers.Candidate], scoring_ord: int, large: bool = False, rules: Peers = Peers()) -> DataFrame:
     """A row for each scoring row and candidate with the statistics of its peer group."""
     has_current = not valid(scoring).isEmpty()
-    level = peers.level_stats(valid(history), valid(scoring), candidates, scoring_ord, has_current, large)
+    level = peers.level_stats(valid(history), valid(scoring), candidates, scoring_ord, has_current, large, rules.distribution)
     return peers.exploded(scoring, candidates, [c for c in scoring.columns]).join(level, list(peers.KEYS), "left")
 
 
@@ -68,10 +74,10 @@ def score_month(panel: DataFrame, profile: Profile, config: Config, scoring_mont
     """
     month = to_ord(scoring_month)
     history, scoring = split(panel, scoring_month, config.window_months)
-    fits = tuple(segments.fit_segments(history, config.segments))
-    history, scoring = held = kept(segments.apply_segments(history, fits)), kept(segments.apply_segments(scoring, fits))
     large = history.count() + scoring.count() > LARGE_ROWS
-    edges = segments.fit_reference_buckets(history, dict(config.bucket_variants), large=large) if profile.reference_usable else {}
+    fits = tuple(segments.fit_segments(history, config.segments, large))
+    history, scoring = held = kept(segments.apply_segments(history, fits)), kept(segments.apply_segments(scoring, fits))
+    edges = segments.fit_reference_buckets(history, dict(config.bucket_variants), large=large) if profile.reference_usable and config.bucket_variants else {}
     history, scoring = (segments.assign_reference_buckets(x, edges) for x in (history, scoring))
     names = [f.column for f in fits if f.column]
     if config.behavior_peers:
@@ -79,7 +85,8 @@ def score_month(panel: DataFrame, profile: Profile, config: Config, scoring_mont
         history, scoring = segments.assign_behavior(history, clusters), segments.assign_behavior(scoring, clusters)
         names.append("behavior_cluster")
     priority = [*[p for p in config.peers.priority if p in names], *[n for n in names if n not in config.peers.priority]]
-    candidates = tuple(peers.build_candidates(priority, config.peers, profile.ratio_signal))
+    wide = high_cardinality(history, names, config.peers) if config.behavior_peers else ()
+    candidates = tuple(peers.build_candidates(priority, config.peers, profile.ratio_signal, wide))
     own = stats.self_stats(valid(history), month)
     rows = stats.join_null_safe(scoring.withColumn("_row_id", F.xxhash64("customer_id", "invoice_month")), own, ["customer_id"])
     rows = signals.customer_signals(rows, config.aggregation["recent_regime"])
@@ -87,8 +94,8 @@ def score_month(panel: DataFrame, profile: Profile, config: Config, scoring_mont
     rows = rows.withColumn("customer_explainability_score", signals.explainability(config.explainability))
     rows = rows.withColumns({"customer_explainability_status": signals.explainability_status(F.col("customer_explainability_score")), "scoreability_status": signals.scoreability()})
     rows = cut(rows)
-    paired = candidate_rows(history, rows, candidates, month, large)
-    gated = paired.filter(peers.support_gate(candidates, config.support))
+    paired = candidate_rows(history, rows, candidates, month, large, config.peers)
+    gated = paired.filter(peers.support_gate(candidates, config.support, config.peers.blocked))
     gated = peers.quality(gated, candidates, priority, config.support, config.peers, config.objective_weights)
     gated = cut(signals.signal_scores(signals.peer_signals(gated, profile, config.min_ratio_rows, config.min_ratio_mad)))
     scored = evidence.aggregate(evidence.empirical_p(gated, config.aggregation, large=large), config.aggregation)
