@@ -16,6 +16,7 @@ from ..operators.segments import apply_segments
 from ..operators.stats import AVERAGE_RANK, RANKS, ranked
 from .config import Config, Roles
 from .scoring import Run, score_month
+from .store import MonthStore, of_config, of_peers
 
 CONTEXT = ("peer_group_level_name", "anomaly_label", "anomaly_direction", "final_anomaly_score", "confidence", "evidence_driver", "action_label", "reason_codes", "reason_explanation", "scoreability_status", "operational_decision")
 
@@ -67,22 +68,40 @@ def peer_monthly_stats(rows: DataFrame, candidates: Sequence[Candidate], large:
     return out.withColumns({f"peer_month_{k}_median": F.col(f"peer_month_{k}_median")[0] for k in medians})
 
 
-def detail_table(panel: DataFrame, run: Run, config: Config) -> DataFrame:
+def stored_monthly_stats(rows: DataFrame, run: Run, store: MonthStore) -> DataFrame:
+    """peer_monthly_stats() of rows; months before the scoring month that the store has are read from it, others are added to it.
+
+    Past months don't change, so that a later month's run aggregates its own rows only.
+    """
+    decides = of_peers(run.candidates, run.fits)
+    if decides is None:
+        return peer_monthly_stats(rows, run.candidates, run.large)
+    wanted = [r[0] for r in rows.select("invoice_month").distinct().collect()]
+    past = [m for m in wanted if m < run.scoring_month]
+    there = set(store.months("peers", decides))
+    for month in [m for m in past if m not in there]:
+        store.write("peers", decides, peer_monthly_stats(rows.filter(F.col("invoice_month") == month), run.candidates, run.large), month)
+    now = peer_monthly_stats(rows.filter(F.col("invoice_month") == run.scoring_month), run.candidates, run.large)
+    return store.read("peers", decides, past).unionByName(now) if past else now
+
+
+def detail_table(panel: DataFrame, run: Run, config: Config, store: MonthStore | None = None) -> DataFrame:
     """Customer by month over the window: the metric, the chosen peer's month, their ratio and its percentile, and the verdict in the scoring month.
 
-    Months without a row have nulls and a missing flag; nothing is filled in.
+    Months without a row have nulls and a missing flag; nothing is filled in. store: where
+    the peers' past months are kept.
     """
     rows = apply_segments(rolling_window(panel, to_ord(run.scoring_month), config.window_months), run.fits)
     rows = rows.filter(F.col("invoice_month") <= run.scoring_month)
     grid = calendar_grid(rows, run.scoring_month)
     series = rows.select("customer_id", "invoice_month", "main_metric", "reference_feature", "exposure_feature", "log_main_metric", F.lit(True).alias("__there"))
-    order = {c.name: c for c in run.candidates}
     chosen = run.scores.select("customer_id", F.col("peer_candidate_order").alias("cand"))
     # A customer's peer key is that of the scoring month, whatever its segment was before.
     keys = exploded(run.scoring, run.candidates, ["customer_id"]).join(chosen, ["customer_id", "cand"], "left_semi")
     context = verdicts(run).join(keys, "customer_id", "left")
     out = grid.join(series, ["customer_id", "invoice_month"], "left").join(context, "customer_id", "left")
-    out = out.join(peer_monthly_stats(rows, list(order.values()), run.large), ["cand", "key", "invoice_month"], "left")
+    monthly = stored_monthly_stats(rows, run, store) if store else peer_monthly_stats(rows, run.candidates, run.large)
+    out = out.join(monthly, ["cand", "key", "invoice_month"], "left")
     scoring = F.col("invoice_month") == run.scoring_month
     out = out.withColumns(
         {
@@ -122,14 +141,37 @@ def prior_month(panel: DataFrame, scoring_month: int) -> int | None:
     return panel.filter(F.col("invoice_month") < scoring_month).agg(F.max("invoice_month")).first()[0]
 
 
-def with_prior_scores(panel: DataFrame, profile: Profile, config: Config, run: Run) -> DataFrame:
-    """Scores with the previous month's score of the same window, the change and what it says."""
+def store_scores(run: Run, config: Config, store: MonthStore) -> None:
+    """Keep a month's scores with the first month of the history that they come from."""
+    first = run.history.agg(F.min("month_ord").alias("history_from"))
+    own = run.scores.select("customer_id", "final_anomaly_score", "anomaly_label").join(first, F.lit(True))
+    store.write("scores", of_config(config), own, run.scoring_month)
+
+
+def stored_scores(panel: DataFrame, config: Config, month: int, store: MonthStore) -> DataFrame | None:
+    """A month's scores from the store, if they come from the same history that panel has before the month; None otherwise."""
+    if month not in store.months("scores", of_config(config)):
+        return None
+    kept = store.read("scores", of_config(config), [month])
+    start = panel.filter(F.col("invoice_month") < month).agg(F.min("month_ord")).first()[0]
+    return None if kept.filter(~F.col("history_from").eqNullSafe(F.lit(start))).limit(1).count() else kept
+
+
+def with_prior_scores(panel: DataFrame, profile: Profile, config: Config, run: Run, store: MonthStore | None = None) -> DataFrame:
+    """Scores with the previous month's score of the same window, the change and what it says.
+
+    store: the previous month isn't scored again where its scores are kept and come from
+    the same months of history; with a window of so many months they don't, as that month's
+    own window began a month earlier.
+    """
     before = prior_month(rolling_window(panel, to_ord(run.scoring_month), config.window_months), run.scoring_month)
     nothing = {"previous_month_score": F.lit(None).cast("double"), "previous_month_label": F.lit(None).cast("string")}
     if before is None:
         out = run.scores.withColumns(nothing)
     else:
-        old = score_month(rolling_window(panel, to_ord(run.scoring_month), config.window_months), profile, config, before).scores
+        window = rolling_window(panel, to_ord(run.scoring_month), config.window_months)
+        old = stored_scores(window, config, before, store) if store else None
+        old = score_month(window, profile, config, before).scores if old is None else old
         out = run.scores.join(old.select("customer_id", F.col("final_anomaly_score").alias("previous_month_score"), F.col("anomaly_label").alias("previous_month_label")), "customer_id", "left")
     out = out.withColumn("score_delta_from_previous_month", F.col("final_anomaly_score") - F.col("previous_month_score"))
     return out.withColumn("score_trend_diagnostic", score_trend(F.col("score_delta_from_previous_month")))

@@ -15,8 +15,9 @@ from ..operators.panel import panel
 from ..operators.segments import auto_segments, bucket_variants
 from ..sources import files, jdbc
 from .config import AUTO, Config, compiled, from_mapping
-from .outputs import decision_table, detail_table, with_prior_scores
+from .outputs import decision_table, detail_table, store_scores, with_prior_scores
 from .scoring import Run, kept, score_month
+from .store import MonthStore
 
 
 @dataclass(frozen=True)
@@ -44,18 +45,20 @@ def read_source(spark: SparkSession, source: Mapping[str, Any]) -> DataFrame:
     raise ValueError(f"no source of type {kind!r}")
 
 
-def run(raw: DataFrame, config: Config, scoring_month: object = "last", prior: bool = True) -> Result:
-    """Score a month of a raw table and make its output tables."""
+def run(raw: DataFrame, config: Config, scoring_month: object = "last", prior: bool = True, store: MonthStore | None = None) -> Result:
+    """Score a month of a raw table and make its output tables. store: where months are kept for later runs."""
     table, profile = panel(raw, config)
     table = kept(table)
     months = [profile.last_month] if profile.last_month else []
     month = parse_scoring_month(scoring_month, months)
     got = score_month(table, profile, config, month)
-    scores = with_prior_scores(table, profile, config, got) if prior else got.scores
+    if store:
+        store_scores(got, config, store)
+    scores = with_prior_scores(table, profile, config, got, store) if prior else got.scores
     scores = add_challengers(scores, config.aggregation, large=got.large)
     columns = [c for c in raw.columns if c != files.ORDINAL]
     decision = decision_table(got, columns, raw if files.ORDINAL in raw.columns else None, config.roles)
-    return Result(got, scores, decision, detail_table(table, got, config), config)
+    return Result(got, scores, decision, detail_table(table, got, config, store), config)
 
 
 def config_of(raw: Mapping[str, Any], df: DataFrame) -> Config:
@@ -116,10 +119,11 @@ def write_outputs(result: Result, sink: Mapping[str, Any], name: str | None = No
 
 
 def run_mapping(spark: SparkSession, raw: Mapping[str, Any], force_sink: bool = False) -> Result:
-    """A run from a mapping: source, sink, scoring_month, and the configuration by groups of variables or plain."""
+    """A run from a mapping: source, sink, store (a folder), scoring_month, and the configuration by groups of variables or plain."""
     source = raw["source"]
     df = read_source(spark, source)
-    result = run(df, config_of(raw, df), raw.get("scoring_month", "last"), bool(raw.get("prior", True)))
+    store = MonthStore(spark, str(raw["store"])) if raw.get("store") else None
+    result = run(df, config_of(raw, df), raw.get("scoring_month", "last"), bool(raw.get("prior", True)), store)
     sink = selected_sink(raw, force_sink)
     written = write_outputs(result, sink, source.get("name") or source.get("active_source"), source.get("output_columns", "all"), source.get("exclude_output_columns", ()))
     return replace(result, written=written)

@@ -12,6 +12,7 @@ from ..functions.periods import label
 from ..operators.panel import Profile
 from .config import Config
 from .scoring import Run, score_month
+from .store import MonthStore, of_config
 
 LABELS = ("NORMAL", "WATCHLIST_HIGH", "WATCHLIST_LOW", "HIGH_MAIN_METRIC_ANOMALY", "LOW_MAIN_METRIC_ANOMALY")
 RELIABLE = ("CUSTOMER_TREND_AND_SEASONAL_AVAILABLE", "CUSTOMER_TREND_AVAILABLE", "CUSTOMER_HISTORY_AVAILABLE")
@@ -37,17 +38,25 @@ def backtest_months(panel: DataFrame, scoring_month: int, months: int = 6) -> li
     return found[1:][-months:]
 
 
-def backtest(panel: DataFrame, profile: Profile, config: Config, months: Iterable[int]) -> DataFrame:
-    """A summary row for each month, each scored from its own window."""
-    rows = []
+def backtest(panel: DataFrame, profile: Profile, config: Config, months: Iterable[int], store: MonthStore | None = None) -> DataFrame:
+    """A summary row for each month, each scored from its own window. store: months that it has aren't scored, and others are added to it."""
+    months = list(months)
+    if not months:
+        raise ValueError("no month to score")
+    decides = of_config(config)
+    there = set(store.months("summary", decides)) if store else set()
+    parts = []
     for month in months:
+        if month in there:
+            continue
         run = score_month(panel, profile, config, month)
-        rows += month_summary(run).collect()
+        summary = month_summary(run)
+        if store:
+            store.write("summary", decides, summary, month)
+        else:
+            parts.append(panel.sparkSession.createDataFrame(summary.collect(), summary.schema))
         run.release()
-    if not rows:
-        raise ValueError("no month to score")
-    schema = month_summary(run).schema
-    return panel.sparkSession.createDataFrame(rows, schema)
+    return store.read("summary", decides, months) if store else reduce(DataFrame.unionByName, parts)
 
 
 def stability_flags(summary: DataFrame) -> DataFrame:

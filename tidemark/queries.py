@@ -16,6 +16,7 @@ from .plans import diagnostics, oracles, outputs, pipeline, report, scoring, val
 from .plans.config import AGGREGATION, EXPLAINABILITY, OBJECTIVE_WEIGHTS, QUANTILES, Segment, resolve_roles
 from .plans.fixtures import ROLES, SCORING_MONTH, order_config, order_panel, order_rows, order_source
 from .plans.oracles import sql
+from .plans.store import MonthStore
 from .sources import files, jdbc
 from .sources.shared import shared_folder
 
@@ -415,6 +416,34 @@ def detail_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select("customer_id", "invoice_month", "customer_main_metric_missing_flag", "is_scoring_month", "main_metric", "peer_month_main_metric_median", "customer_vs_peer_month_ratio", "final_anomaly_score"))
 
 
+_MONTHLY = (
+    "SELECT cand, key, invoice_month, count(*) AS n, count(DISTINCT customer_id) AS customers, median(main_metric) AS med, avg(main_metric) AS mean, median(reference_feature) AS ref_med, median(CASE WHEN reference_feature > 0 THEN main_metric / reference_feature END) AS ratio_med "
+    "FROM (SELECT customer_id, cand, key, invoice_month, main_metric, reference_feature FROM xall UNION ALL SELECT customer_id, cand, key, invoice_month, main_metric, reference_feature FROM xnow) GROUP BY 1, 2, 3"
+)
+_CONTEXT = {"anomaly_label": "label", "anomaly_direction": "direction", "evidence_driver": "driver", "action_label": "action", "reason_codes": "codes", "reason_explanation": "reason", "scoreability_status": "scoreability", "operational_decision": "decision"}
+_DETAIL = (
+    f"WITH g AS (SELECT customer_id, CAST((o - 1) // 12 * 100 + (o - 1) % 12 + 1 AS INTEGER) AS invoice_month FROM (SELECT customer_id, unnest(range(min(month_ord), 24020)) AS o FROM panel WHERE month_ord BETWEEN 23984 AND 24019 GROUP BY 1)), s AS ({_MONTHLY}), "
+    f"d AS (SELECT g.customer_id, g.invoice_month, g.invoice_month = {SCORING_MONTH} AS now, w.main_metric, w.reference_feature, w.exposure_feature, w.y, l.cand, l.key, l.level_name, {', '.join(_CONTEXT.values())}, score, confidence, s.n, s.customers, s.med, s.mean, s.ref_med, s.ratio_med, CASE WHEN s.med IS NOT NULL THEN w.main_metric / greatest(s.med, 1e-6) END AS r "
+    "FROM g LEFT JOIN panel w ON w.customer_id = g.customer_id AND w.invoice_month = g.invoice_month LEFT JOIN diag l ON l.customer_id = g.customer_id LEFT JOIN s ON s.cand = l.cand AND s.key = l.key AND s.invoice_month = g.invoice_month), "
+    "p AS (SELECT *, CASE WHEN NOT now AND r > 0 AND cand IS NOT NULL THEN ln(r) END AS x FROM d), "
+    "q AS (SELECT *, CASE WHEN x IS NOT NULL THEN (rank() OVER (PARTITION BY cand, key, x IS NULL ORDER BY x) + (count(*) OVER (PARTITION BY cand, key, x) - 1) / 2.0) / count(*) OVER (PARTITION BY cand, key, x IS NULL) END AS place, CASE WHEN x IS NOT NULL THEN count(*) OVER (PARTITION BY cand, key, x IS NULL) END AS of_n FROM p) "
+    "SELECT customer_id, invoice_month, CAST(invoice_month // 100 AS VARCHAR) || '-' || lpad(CAST(invoice_month % 100 AS VARCHAR), 2, '0') AS calendar_month, now AS is_scoring_month, main_metric IS NULL AS customer_main_metric_missing_flag, level_name AS peer_group_level_name, "
+    + ", ".join(f"CASE WHEN now THEN {v} END AS {k}" for k, v in _CONTEXT.items())
+    + ", n AS peer_month_row_count, customers AS peer_month_customer_count, of_n AS customer_vs_peer_ratio_reference_n, CASE WHEN now THEN CASE WHEN label IS NULL OR label IN ('NORMAL', 'NOT_SCORED') THEN 0 ELSE 1 END END AS ANOMALI_FLAG, "
+    "CASE WHEN now THEN coalesce(reason, '') WHEN main_metric IS NULL THEN 'no value this month; none is filled in' WHEN r IS NULL THEN 'no peer median this month' WHEN place IS NOT NULL THEN 'ratio to the peer median ' || printf('%.2f', r) || ', percentile ' || printf('%.1f', place * 100) || ' of n=' || of_n ELSE 'near the peer median' END AS month_comment, "
+    + rs({"main_metric": "main_metric", "reference_feature": "reference_feature", "exposure_feature": "exposure_feature", "log_main_metric": "y", "final_anomaly_score": "CASE WHEN now THEN score END", "confidence": "CASE WHEN now THEN confidence END", "peer_month_main_metric_median": "med", "peer_month_main_metric_mean": "mean", "peer_month_reference_feature_median": "ref_med", "peer_month_main_to_reference_median": "ratio_med", "customer_vs_peer_month_ratio": "r", "customer_vs_peer_ratio_percentile": "place"})
+    + " FROM q"
+)
+
+
+@query("detail_all_columns", f"SELECT * FROM ({_DETAIL}) z")
+def detail_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole detail table: every column of it, context in the scoring month, the peers' months and the ratios' percentiles."""
+    table, profile = order_panel(spark, sf_dir, CONFIG)
+    table = scoring.kept(table)
+    return rounded(outputs.detail_table(table, scoring.score_month(table, profile, CONFIG, SCORING_MONTH), CONFIG))
+
+
 @query("peer_level_summary", "SELECT level_name AS peer_group_level_name, count(DISTINCT customer_id) AS customers, " + rs({"anomaly_watch_rate": "avg((label <> 'NORMAL')::INT)", "representability_median": "median(represent)", "distribution_median": "median(distribution)", "calibration_median": "median(calibration)", "confidence_median": "median(confidence)", "score_median": "median(score)"}) + " FROM labelled GROUP BY 1")
 def peer_level_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = report.peer_quality_tables(run(spark, sf_dir))["level"]
@@ -470,6 +499,18 @@ def stability_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(validation.stability_flags(validation.backtest(table, profile, CONFIG, validation.backtest_months(table, SCORING_MONTH, 2))))
 
 
+@query("stored_backtest", _stability_sql(), chain=False)
+def stored_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """stability_flags of months that come from a store: the first is scored in one run, the second in a later one, and the last reads both."""
+    table, profile = order_panel(spark, sf_dir, CONFIG)
+    table = scoring.kept(table)
+    store = MonthStore(spark, f"{shared_folder(spark)}/months-{uuid.uuid4().hex}")
+    months = validation.backtest_months(table, SCORING_MONTH, 2)
+    for n in (1, 2):
+        validation.backtest(table, profile, CONFIG, months[:n], store)
+    return rounded(validation.stability_flags(validation.backtest(table, profile, CONFIG, months, store)))
+
+
 def _stress_sql() -> str:
     base = oracles.with_chain("SELECT customer_id, main_metric, label, score, confidence, objective, scoreability FROM diag")
     after = lambda factor: oracles.with_chain("SELECT customer_id, label, direction, score FROM labelled", factor=factor)

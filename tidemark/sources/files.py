@@ -64,9 +64,13 @@ def output_columns(df: DataFrame, wanted: str | Sequence[str] = "all", excluded:
     return df.select(*[c for c in names if c not in excluded])
 
 
+#: The column that monthly tables are partitioned by.
+MONTH_PARTITION = "MODEL_DONEM_AY"
+
+
 def write_month(df: DataFrame, path: str, scoring_month: int) -> None:
     """Write a month's rows as Parquet, in place of what the path had of that month and of no other."""
-    df.withColumn("MODEL_DONEM_AY", F.lit(scoring_month)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("MODEL_DONEM_AY").parquet(path)
+    df.withColumn(MONTH_PARTITION, F.lit(scoring_month)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH_PARTITION).parquet(path)
 
 
 def stem(name: str | None) -> str:
