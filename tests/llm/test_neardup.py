@@ -57,21 +57,21 @@ def test_a_pair_at_the_limit_is_linked(spark):
     assert sorted(r["doc_id"] for r in neardup.distinct_documents(docs).collect()) == [1, 3]
 
 
-@pytest.mark.parametrize("size", [1, 5, 40, 400, 4000])
+@pytest.mark.parametrize("size", [1, 5, 40, 150, 400, 1000, 4000])
 def test_sketches_keep_similar_pairs_and_drop_far_ones(size):
     rng = np.random.default_rng(size)
     kept = {0.8: 0, 0.5: 0}
-    for _ in range(200):
+    for _ in range(1000):
         for share in kept:
             common = round(2 * size * share / (1 + share))
             pool = rng.integers(0, 1 << 64, 2 * size, dtype=np.uint64)
             one, other = np.unique(pool[:size]), np.unique(np.concatenate([pool[:common], pool[size : 2 * size - common]]))
             a, b = (np.frombuffer(neardup.sketch(x), np.uint8) for x in (one, other))
             if len(np.intersect1d(one, other)) >= 0.8 * len(np.union1d(one, other)) or share < 0.8:
-                kept[share] += bool(neardup.likely(a, b[None, :])[0])
+                kept[share] += bool(neardup.likely(a, b[None, :], len(one), np.array([len(other)]))[0])
             else:
                 kept[share] += 1
-    assert kept[0.8] == 200 and (size < 400 or kept[0.5] == 0)
+    assert kept[0.8] == 1000 and (size < 150 or kept[0.5] == 0)
 
 
 def test_buckets_are_cut_whole_or_in_blocks():

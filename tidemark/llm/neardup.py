@@ -75,12 +75,18 @@ def sketch(values: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def likely(one: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Which of other sketches may be of sets similar to that of one: the share of equal bytes among parts that either has, within ERRORS standard errors of the limit."""
+def likely(one: np.ndarray, others: np.ndarray, size: int, sizes: np.ndarray) -> np.ndarray:
+    """Which of other sketches may be of sets similar to that of one: the share of equal bytes among parts that either has, within ERRORS standard errors of the limit.
+
+    The parts that either has are a sample of both sets' elements without repeats, of so
+    many as two sets of these sizes have at the limit; the more of them it holds, the less it errs.
+    """
     limit = SIMILAR[0] / SIMILAR[1]
     either = ((one > 0) | (others > 0)).sum(axis=1)
     equal = ((one == others) & (one > 0)).sum(axis=1)
-    return equal >= limit * either - ERRORS * np.sqrt(limit * (1 - limit) * either)
+    whole = (size + sizes) / (1 + limit)
+    left = np.clip((whole - either) / np.maximum(whole - 1, 1), 0, 1)
+    return equal >= limit * either - ERRORS * np.sqrt(limit * (1 - limit) * either * left) - 1
 
 
 def row_keys() -> list[Column]:
@@ -172,7 +178,7 @@ class _Members:
         for k in range(len(self.node)):
             at = np.flatnonzero((other.comp != self.comp[k]) & (whole * np.minimum(other.size, self.size[k]) >= part * np.maximum(other.size, self.size[k])))
             at = at[at > k] if own else at
-            at = at[likely(self.sketches[k], other.sketches[at])] if len(at) else at
+            at = at[likely(self.sketches[k], other.sketches[at], self.size[k], other.size[at])] if len(at) else at
             if len(at):
                 found.append((np.minimum(other.node[at], self.node[k]), np.maximum(other.node[at], self.node[k])))
         none = np.zeros(0, np.int64)
