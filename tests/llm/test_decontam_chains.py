@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tidemark.llm import decontam
@@ -92,3 +93,34 @@ def test_chains_match_brute_force(spark, monkeypatch, limit):
             if n and n >= min(decontam.MATCH_TOKENS, decontam.MATCH_SHARE * len(item)):
                 want[d, i] = n
     assert len(want) > 40 and {k: r["matched_tokens"] for k, r in got.items()} == want
+
+
+def test_the_middle_of_a_repeating_stretch_changes_nothing(spark, monkeypatch):
+    rng = random.Random(12)
+    words = ["red", "ball", "box", "near", "door", "old", "put", "in", "the", "a"]
+    piece = lambda n: " ".join(str(rng.randint(1, 3)) if rng.random() < 0.2 else rng.choice(words) for _ in range(n))
+    units = [piece(rng.randint(1, 14)) for _ in range(24)]
+    items = [(k, f"{u} {u} {u} {piece(4)}", "x", "y") for k, u in enumerate(units) if len(u.split()) > 2]
+    items += [(100 + k, " ".join([units[k]] * 12), "x", "y") for k in range(6)]
+    docs = []
+    for k in range(40):
+        unit = rng.choice(units)
+        other = " ".join(str(rng.randint(1, 3)) if w.isdigit() and rng.random() < 0.5 else w for w in unit.split())
+        docs.append((k, " ".join([piece(rng.randint(0, 9)), *[other if k % 3 else unit] * (1200 // len(unit.split())), piece(rng.randint(0, 9)), *[unit] * rng.randint(0, 2)]), "a", "b", "c"))
+    texts = [d[1].split() for d in docs]
+    code = np.array([hash(w) % 1000 for t in texts for w in t])
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    middle, edge = decontam.repeats(owner, code, code, 24, 2, decontam.WINDOW, decontam.PERIODS)
+    assert middle.sum() > 0.3 * len(code) and not (middle & edge).any()
+    kept = {}
+    for periods in (64, 0):
+        monkeypatch.setattr(decontam, "PERIODS", periods)
+        got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string, id string, row string, window string"), spark.createDataFrame(items, "item_id long, text string, id string, row string"), gap=2)
+        kept[periods] = sorted(map(tuple, got.collect()))
+    assert len(kept[0]) > 30 and kept[0] == kept[64]
+
+
+def test_a_long_text_of_one_word_is_searched(spark):
+    items = spark.createDataFrame([(1, "the " * 60)], "item_id long, text string")
+    got = decontam.contaminated(spark.createDataFrame([(1, "the " * 100_000), (2, "other words " * 50_000)], "doc_id long, text string"), items).collect()
+    assert [(r["doc_id"], r["matched_tokens"], r["reparameterised"]) for r in got] == [(1, 60, False)]

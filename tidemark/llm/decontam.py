@@ -19,6 +19,10 @@ most ``FILTER_WINDOWS`` of them, and otherwise every window is joined. With the
 filter, windows that stand too far from others to reach any of their items'
 limit are dropped before the join, so that a phrase of many items and documents
 doesn't multiply.
+
+A stretch of a document that repeats itself for longer than any chain can be has each
+chain at its beginning too. Its middle has no windows; runs that reach a cut are left out,
+since whole ones of the same tokens stand farther from it.
 """
 
 from __future__ import annotations
@@ -59,7 +63,9 @@ _CLASS[48:58] = 1
 _CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = 2
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?:\n\r")] = True
-_HITS = "row long, id long, channel int, window long, pos int, width int, tokens int, slots array<long>"
+_HITS = "row long, id long, channel int, window long, pos int, width int, tokens int, slots array<long>, edge boolean"
+#: Tokens after which a stretch that is cut repeats itself at most.
+PERIODS = 64
 #: A run of windows in place: where it begins and ends in the document and in the item, and the document's value for each of the item's.
 Run = tuple[int, int, int, int, dict[int, int]]
 
@@ -206,7 +212,37 @@ def _near_enough(text: np.ndarray, at: np.ndarray, long: np.ndarray, need: np.nd
     return out
 
 
-def _rows(width: int, literals: int, known: np.ndarray | None, short: tuple[int, ...] | None, need: np.ndarray | None, gap: int):
+def repeats(text: np.ndarray, code: np.ndarray, value: np.ndarray, longest: int, gap: int, width: int, periods: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """(middle, edge): which tokens lie in the middle of a stretch that repeats itself, and which beside the middle, where a run can reach it; None where there are none.
+
+    A chain covers at most ``longest`` tokens of an item in as many runs, so it spans
+    ``longest * (1 + gap)`` tokens; a stretch keeps as many, and room for runs beside
+    the cut, at both its ends.
+    """
+    beside = longest + STRETCH * width
+    keep = longest * (1 + gap) + 2 * beside + periods
+    begins = np.flatnonzero(np.diff(text, prepend=-1)) if len(text) else np.zeros(0, np.int64)
+    ends = np.append(begins[1:], len(text))
+    middle = edge = None
+    for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
+        if b - a <= 2 * keep:
+            continue
+        c, v = code[a:b], value[a:b]
+        for period in range(1, periods + 1):
+            same = (c[period:] == c[:-period]) & (v[period:] == v[:-period])
+            if np.count_nonzero(same) <= 2 * keep - period:
+                continue
+            change = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]]).astype(np.int8)))
+            for i, j in zip(change[::2].tolist(), change[1::2].tolist(), strict=True):
+                first, last = a + i + keep, a + j + period - keep
+                if last > first:
+                    middle, edge = (np.zeros(len(text), bool), np.zeros(len(text), bool)) if middle is None else (middle, edge)
+                    middle[first:last] = True
+                    edge[first - beside : first] = edge[last : last + beside] = True
+    return None if middle is None else (middle, edge & ~middle)
+
+
+def _rows(width: int, literals: int, known: np.ndarray | None, short: tuple[int, ...] | None, need: np.ndarray | None, gap: int, longest: int, periods: int):
     table = None
     if known is not None:
         table = np.zeros(1 << 22, bool)
@@ -219,6 +255,10 @@ def _rows(width: int, literals: int, known: np.ndarray | None, short: tuple[int,
             for channel, (text, code, slot, value) in enumerate(templates(data, low, offsets)):
                 code, value = code.astype(np.uint64), value.astype(np.uint64)
                 at, long, hashes = windows(text, code, slot, value, channel, width, literals, short or ())
+                cut = repeats(text, code, value, longest, gap, width, periods) if short is not None else None
+                if cut:
+                    left = np.flatnonzero(~cut[0][at])
+                    at, long, hashes = at[left], long[left], hashes[left]
                 if table is not None:
                     hit = np.flatnonzero(table[hashes >> np.uint64(42)])
                     place = np.minimum(np.searchsorted(known, hashes[hit]), len(known) - 1)
@@ -245,7 +285,7 @@ def _rows(width: int, literals: int, known: np.ndarray | None, short: tuple[int,
                 lists = [values[a:b] for a, b in zip(slots[at].tolist(), slots[at + long].tolist(), strict=True)]
                 owner = pa.array(text[at])
                 out.append(pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(np.full(len(at), channel), pa.int32()), pa.array(hashes.view(np.int64)), pa.array((at - begin).astype(np.int32)), pa.array(long.astype(np.int32)), pa.array(total.astype(np.int32)), pa.array(lists, pa.list_(pa.int64()))],
+                    [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(np.full(len(at), channel), pa.int32()), pa.array(hashes.view(np.int64)), pa.array((at - begin).astype(np.int32)), pa.array(long.astype(np.int32)), pa.array(total.astype(np.int32)), pa.array(lists, pa.list_(pa.int64())), pa.array(cut[1][at] if cut else np.zeros(len(at), bool))],
                     names=[x.split()[0] for x in _HITS.split(", ")],
                 ))
             yield from out
@@ -253,17 +293,18 @@ def _rows(width: int, literals: int, known: np.ndarray | None, short: tuple[int,
     return rows
 
 
-def template_windows(texts: DataFrame, width: int = WINDOW, literals: int = LITERALS, known: np.ndarray | None = None, short: tuple[int, ...] | None = None, need: np.ndarray | None = None, gap: int = GAP) -> DataFrame:
-    """(row, id, channel, window, pos, width, tokens, slots) of the windows of texts (id, text), or of those whose hash is in known (sorted).
+def template_windows(texts: DataFrame, width: int = WINDOW, literals: int = LITERALS, known: np.ndarray | None = None, short: tuple[int, ...] | None = None, need: np.ndarray | None = None, gap: int = GAP, longest: int = 0) -> DataFrame:
+    """(row, id, channel, window, pos, width, tokens, slots, edge) of the windows of texts (id, text), or of those whose hash is in known (sorted).
 
     row: a number for each row of texts; width: tokens of the window; tokens: template
     tokens of the whole text; slots: value hashes in the window's placeholders, in order.
     short: lengths of further windows, or None for items, of which one under width tokens
     is a window as a whole. need: for each of known, the tokens that its windows must
-    cover together with others near by. Texts without a token have no window.
+    cover together with others near by. longest: tokens of the longest item, for repeats().
+    Texts without a token have no window.
     """
     columns = texts.select(F.monotonically_increasing_id().alias("row"), F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return columns.mapInArrow(_rows(width, literals, known, short, need, gap), _HITS)
+    return columns.mapInArrow(_rows(width, literals, known, short, need, gap, longest, PERIODS), _HITS)
 
 
 def _joined(windows: list[dict]) -> list[tuple[int, int, list[dict]]]:
@@ -297,6 +338,8 @@ def runs(hits: list[dict]) -> list[Run]:
     out = []
     for shift, own in shifts.items():
         for first, end, inside in _joined(own):
+            if any(w["edge"] for w in inside):
+                continue  # beside a cut; a whole run of the same tokens stands elsewhere
             values = _values(inside)
             if values is not None:
                 out.append((first + shift, end + shift, first, end, values))
@@ -365,9 +408,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, lit
         order = np.argsort(known)
         known, need = (known[order], table.column(1).to_numpy()[order]) if len(known) else (np.zeros(1, np.uint64), np.zeros(1))
     short = tuple(sorted(r[0] for r in items.filter(F.col("width") < width).select("width").distinct().collect()))
-    found = template_windows(docs.select(F.col("doc_id").alias("id"), "text"), width, literals, known, short, need, gap)
+    longest = items.agg(F.max("tokens")).first()[0] or 0
+    found = template_windows(docs.select(F.col("doc_id").alias("id"), "text"), width, literals, known, short, need, gap, longest)
     mine = items.select("channel", "window", F.col("row").alias("item_row"), F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("tokens").alias("item_tokens"), F.col("slots").alias("item_slots"))
-    hit = F.struct("pos", "width", "slots", "item_pos", "item_slots")
+    hit = F.struct("pos", "width", "slots", "edge", "item_pos", "item_slots")
     hits = found.join(mine, ["channel", "window"]).groupBy("row", "channel", "item_row").agg(F.first("id").alias("doc_id"), F.first("item_id").alias("item_id"), F.first("item_tokens").cast("long").alias("item_tokens"), F.collect_set(hit).alias("hits"))
     chains = hits.select("doc_id", "item_id", "item_tokens", "hits").mapInArrow(_chains(gap), "doc_id long, item_id long, item_tokens long, matched_tokens long, reparameterised boolean")
     held = chains.filter(F.col("matched_tokens") >= F.least(F.lit(float(match_tokens)), match_share * F.col("item_tokens")))
