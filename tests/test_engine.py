@@ -204,3 +204,64 @@ def test_entry_names_every_query_once():
     assert set(__spark_entry__.oracle_sql()) <= set(names)
     assert len(names) > 45
     assert fixtures.SCORING_MONTH == 200107
+
+
+def values(df, keys):
+    return {tuple(r[k] for k in keys): {c: v for c, v in r.asDict(True).items() if c not in keys} for r in df.collect()}
+
+
+def same(one, other):
+    assert set(one) == set(other)
+    for k, row in one.items():
+        for c, v in row.items():
+            w = other[k][c]
+            assert v == w or (isinstance(v, float) and isinstance(w, float) and np.isclose(v, w, rtol=1e-9, atol=1e-9)), (k, c, v, w)
+
+
+def test_a_month_too_large_for_a_task_is_scored_the_same(spark, scored, monkeypatch):
+    from tidemark.plans import scoring
+
+    table, profile, small = scored
+    monkeypatch.setattr(scoring, "LARGE_ROWS", 0)
+    large = score_month(table, profile, CONFIG, MONTH)
+    assert large.large and not small.large
+    same(values(small.scores, ["customer_id"]), values(large.scores, ["customer_id"]))
+    details = [values(outputs.detail_table(table, run, CONFIG).select("customer_id", "invoice_month", "peer_month_main_metric_median", "peer_month_row_count", "customer_vs_peer_ratio_percentile", "customer_vs_peer_ratio_reference_n", "month_comment"), ["customer_id", "invoice_month"]) for run in (small, large)]
+    same(*details)
+    rules = AGGREGATION | {"challenger_models": AGGREGATION["challenger_models"] | {"min_rows": 50}}
+    shown = ["customer_id", "pca_challenger_score", "if_challenger_score", "lof_challenger_score", "model_challenger_warning"]
+    same(*(values(challengers.add_challengers(run.scores, rules, large=run.large).select(shown), ["customer_id"]) for run in (small, large)))
+    same(*(values(report.metric_stats(run), ["peer_candidate_order", "peer_key"]) for run in (small, large)))
+
+
+def test_months_are_read_from_a_store(spark, scored, tmp_path, monkeypatch):
+    from tidemark.plans import store as stores
+
+    table, profile, run = scored
+    store, whole = stores.MonthStore(spark, str(tmp_path / "months")), Config(ROLES, (Segment("seg"),), CONFIG.support, watch_top_rate=0.05, high_top_rate=0.03, window_months=0)
+    wanted = values(validation.backtest(table, profile, CONFIG, [200201, MONTH]), ["scoring_month"])
+    calls = []
+    for module in (validation, outputs):
+        monkeypatch.setattr(module, "score_month", lambda *a: (calls.append(a[3]), score_month(*a))[1])
+    same(wanted, values(validation.backtest(table, profile, CONFIG, [200201, MONTH], store), ["scoring_month"]))
+    assert calls == [200201, MONTH]
+    same(wanted, values(validation.backtest(table, profile, CONFIG, [200201, MONTH], store), ["scoring_month"]))
+    assert validation.backtest(table, profile, CONFIG, [MONTH], store).count() == 1 and calls == [200201, MONTH]
+    assert store.months("summary", stores.of_config(CONFIG)) == [200201, MONTH] and store.months("summary", stores.of_config(whole)) == []
+    # Peers' past months: the second month's run adds one month only.
+    before = score_month(table, profile, CONFIG, 200201)
+    outputs.detail_table(table, before, CONFIG, store).count()
+    decides = stores.of_peers(run.candidates, run.fits)
+    first = store.months("peers", decides)
+    kept = values(outputs.detail_table(table, run, CONFIG, store), ["customer_id", "invoice_month"])
+    assert first[-1] == 200112 and store.months("peers", decides) == [*first, 200201]
+    same(values(outputs.detail_table(table, run, CONFIG), ["customer_id", "invoice_month"]), kept)
+    # Prior scores: only from the same months of history.
+    calls.clear()
+    for config, reused in ((whole, True), (Config(**{**whole.__dict__, "window_months": 20}), False)):
+        old, new = (score_month(table, profile, config, m) for m in (200201, MONTH))
+        outputs.store_scores(old, config, store)
+        calls.clear()
+        prior = values(outputs.with_prior_scores(table, profile, config, new, store), ["customer_id"])
+        assert calls == ([] if reused else [200201])
+        same(values(outputs.with_prior_scores(table, profile, config, new), ["customer_id"]), prior)

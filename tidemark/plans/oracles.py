@@ -5,6 +5,8 @@ from __future__ import annotations
 from ..functions.periods import to_ord
 
 MONTH, FIRST = 200107, 23984
+#: Rows that count as full support by default.
+STRONG = (800, 100, 150, 120)
 
 _SIGNALS = ("self_history", "customer_trend", "customer_seasonal", "customer_recent_regime", "historical_peer", "current_peer", "peer_trend", "feature_ratio")
 _FAMILY = {"customer": _SIGNALS[:4], "peer": _SIGNALS[4:]}
@@ -36,8 +38,22 @@ def _scaled(factor: float) -> str:
     return f"main_metric * CASE WHEN customer_id IN (SELECT customer_id FROM base WHERE main_metric > 0) THEN {factor} ELSE 1.0 END"
 
 
-def chain(month: int = MONTH, first: int = FIRST, factor: float = 1.0, repeated: bool = False) -> list[tuple[str, str]]:
-    """(name, body) of each expression, each of which may use those before it; first: the first month of the window; repeated: whether the source is the orders themselves, of which a customer-month takes the first quantity that is there."""
+def chain(month: int = MONTH, first: int = FIRST, factor: float = 1.0, repeated: bool = False, groups: int = 0, strong: tuple[int, int, int, int] = STRONG) -> list[tuple[str, str]]:
+    """(name, body) of each expression, each of which may use those before it.
+
+    first: the first month of the window; repeated: whether the source is the orders
+    themselves, of which a customer-month takes the first quantity that is there;
+    groups: in place of the region, so many groups of balances by the rank of their
+    medians over the window, of balances with two rows or more; strong: the rows of
+    history, season, recent months and the month that count as full support.
+    """
+    region = "SELECT * FROM panel0"
+    if groups:
+        cuts = " + ".join(f"(r - 1 > (n - 1) * {k} / {groups}.0)::INT" for k in range(1, groups))
+        region = (
+            f"SELECT p.* REPLACE (coalesce(g.label, 'low_support') AS region) FROM panel0 p LEFT JOIN (SELECT balance, 'g' || ({cuts}) AS label FROM (SELECT balance, row_number() OVER (ORDER BY m, CAST(balance AS VARCHAR)) AS r, count(*) OVER () AS n "
+            f"FROM (SELECT balance, median(y) AS m FROM panel0 WHERE valid AND month_ord BETWEEN {first} AND {to_ord(month) - 1} GROUP BY 1 HAVING count(*) >= 2))) g ON p.balance = g.balance"
+        )
     quantity = "arg_min(quantity, orderkey) FILTER (quantity IS NOT NULL) AS quantity, 1 AS orders" if repeated else "sum(quantity) AS quantity, count(*) AS orders"
     ordinal = to_ord(month)
     steps: list[tuple[str, str]] = [
@@ -54,7 +70,8 @@ def chain(month: int = MONTH, first: int = FIRST, factor: float = 1.0, repeated:
             "CAST(month // 100 * 12 + month % 100 AS INTEGER) AS month_ord, CAST(month % 100 AS INTEGER) AS month_of_year, coalesce(amount >= 0, false) AS valid, CASE WHEN amount >= 0 THEN ln(1 + amount) END AS y, "
             "CASE WHEN amount >= 0 AND quantity > 0 THEN ln(1 + amount) - ln(1 + quantity) END AS ratio FROM src",
         ),
-        ("panel", "SELECT *, count(*) OVER (PARTITION BY customer_id) AS obs, lag(month_ord) OVER (PARTITION BY customer_id ORDER BY invoice_month) AS previous FROM panel0"),
+        ("panel1", region),
+        ("panel", "SELECT *, count(*) OVER (PARTITION BY customer_id) AS obs, lag(month_ord) OVER (PARTITION BY customer_id ORDER BY invoice_month) AS previous FROM panel1"),
         ("hist", f"SELECT * FROM panel WHERE valid AND month_ord BETWEEN {first} AND {ordinal - 1}"),
         ("now", f"SELECT * REPLACE ({_scaled(factor)} AS main_metric, CASE WHEN valid THEN ln(1 + {_scaled(factor)}) END AS y) FROM panel WHERE invoice_month = {month}" if factor != 1 else f"SELECT * FROM panel WHERE invoice_month = {month}"),
         ("seg1", "SELECT segment, region, count(*) AS n, median(y) AS med FROM hist GROUP BY 1, 2"),
@@ -135,7 +152,7 @@ def chain(month: int = MONTH, first: int = FIRST, factor: float = 1.0, repeated:
             f"SELECT r.*, c.cand, c.level_name, c.width, l.* EXCLUDE (cand, key) FROM (SELECT r.*, cand, {key} FROM rows r, cands) r JOIN cands c ON r.cand = c.cand LEFT JOIN level l ON r.cand = l.cand AND r.key = l.key",
         ),
         ("gated", "SELECT * FROM paired WHERE valid AND hist_n >= 100 AND moy_n >= 5 AND recent_n >= 10 AND current_n >= 5 AND distribution >= 20"),
-        ("q1", "SELECT *, CASE cand WHEN 0 THEN 0.25 + 0.55 + 0.20 * 0.5 WHEN 1 THEN 0.25 + 0.275 + 0.20 WHEN 2 THEN 0.25 + 0.275 ELSE 0.25 END AS spec, least(hist_n / 800.0, 1.0) AS h, least(moy_n / 100.0, 1.0) AS m, least(recent_n / 150.0, 1.0) AS r, least(current_n / 120.0, 1.0) AS c FROM gated"),
+        ("q1", "SELECT *, CASE cand WHEN 0 THEN 0.25 + 0.55 + 0.20 * 0.5 WHEN 1 THEN 0.25 + 0.275 + 0.20 WHEN 2 THEN 0.25 + 0.275 ELSE 0.25 END AS spec, least(hist_n / %.1f, 1.0) AS h, least(moy_n / %.1f, 1.0) AS m, least(recent_n / %.1f, 1.0) AS r, least(current_n / %.1f, 1.0) AS c FROM gated" % strong),
         (
             "q2",
             "SELECT *, 100.0 * (0.26 * h + 0.15 * m + 0.21 * r + 0.26 * c + 0.12 * spec) * (0.5 + 0.5 * distribution / 100.0) AS represent, 100.0 * (0.30 * h + 0.20 * m + 0.25 * r + 0.25 * c) AS support, "
@@ -245,9 +262,9 @@ def month_summary(month: int, first: int) -> str:
     )
 
 
-def with_chain(final: str, month: int = MONTH, first: int = FIRST, factor: float = 1.0, repeated: bool = False) -> str:
+def with_chain(final: str, month: int = MONTH, first: int = FIRST, factor: float = 1.0, repeated: bool = False, groups: int = 0, strong: tuple[int, int, int, int] = STRONG) -> str:
     """The chain of a scored month with a final SELECT."""
-    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in chain(month, first, factor, repeated)) + "\n" + final
+    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in chain(month, first, factor, repeated, groups, strong)) + "\n" + final
 
 
 def sql(final: str) -> str:

@@ -328,6 +328,23 @@ def label_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(Stages(spark, sf_dir).labelled().select("customer_id", "anomaly_label", "final_anomaly_score", "score_percentile", "raw_evidence_score", "label_guardrail_max_abs_z", "label_guardrail_abs_log_effect"))
 
 
+#: A category of as many values as there are customers, in four groups, and full support that these groups reach.
+_FEW = (250, 8, 20, 10)
+_GROUPED = replace(CONFIG, support=replace(CONFIG.support, strong_history_rows=_FEW[0], strong_season_rows=_FEW[1], strong_recent_rows=_FEW[2], strong_current_rows=_FEW[3]), segments=(Segment("segment"), Segment("balance", optimize_groups=True, max_groups=4, min_rows=2)))
+
+
+@query(
+    "label_scores_grouped",
+    oracles.with_chain("SELECT customer_id, CAST(cand AS INTEGER) AS peer_candidate_order, supported AS peer_candidate_count, label AS anomaly_label, " + rs({"final_anomaly_score": "score", "raw_evidence_score": "raw_score", "peer_objective_score": "objective"}) + " FROM labelled", groups=4, strong=_FEW),
+    chain=False,
+)
+def label_scores_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scored month whose peers are groups of a category of a thousand values and more: customers choose different levels."""
+    table, profile = order_panel(spark, sf_dir, _GROUPED)
+    out = scoring.score_month(scoring.kept(table), profile, _GROUPED, SCORING_MONTH).scores
+    return rounded(out.select("customer_id", "peer_candidate_order", "peer_candidate_count", "anomaly_label", "final_anomaly_score", "raw_evidence_score", "peer_objective_score"))
+
+
 #: Without a global peer and with a minimum that some groups of the fixture meet and others don't.
 _STRICT = replace(CONFIG, support=replace(CONFIG.support, min_current_rows=38), peers=replace(CONFIG.peers, include_global=False))
 
