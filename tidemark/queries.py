@@ -15,6 +15,7 @@ from .operators import challengers, evidence, labels, panel, peers, segments, si
 from .plans import diagnostics, oracles, outputs, pipeline, report, scoring, validation
 from .plans.config import AGGREGATION, EXPLAINABILITY, OBJECTIVE_WEIGHTS, QUANTILES, Segment, resolve_roles
 from .plans.fixtures import ROLES, SCORING_MONTH, order_config, order_panel, order_rows, order_source
+from .plans.fixtures import table as table_of
 from .plans.oracles import sql
 from .plans.store import MonthStore
 from .sources import files, jdbc
@@ -94,25 +95,44 @@ def rolling_window_36(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.rolling_window(order_panel(spark, sf_dir, CONFIG)[0], ORD, 36).groupBy("invoice_month").agg(F.count("*").alias("n"))
 
 
-#: Texts of numbers and months in the forms that sources have.
-NUMBERS = [("1.234,56", 1234.56), ("12,5", 12.5), ("7.5", 7.5), ("", None), ("NULL", None), ("abc", None), (" 42 ", 42.0), ("-1.000,25", -1000.25), ("nan", None), ("1e3", 1000.0)]
-MONTHS = [("202603", 202603), ("20260301", 202603), ("2026-03-01", 202603), ("01.03.2026", 202603), ("202603.0", 202603), ("1.04.2026", 202604), ("03.2026", 202603), ("2026/3", 202603), ("abc", None)]
+#: Forms that a price has in sources, one for each remainder of an order's key: DuckDB's text of it, and whether it is a number.
+NUMBER_FORMS = [("printf('%.2f', p)", True), ("replace(printf('%.2f', p), '.', ',')", True), ("translate(format('{:,.2f}', p), ',.', '.,')", True), ("'  ' || printf('%.2f', p) || ' '", True), ("'-' || printf('%.2f', p)", True), ("''", False), ("'NULL'", False), ("'abc' || printf('%.2f', p)", False)]
+#: Forms that a month has: of year y and month m as texts.
+MONTH_FORMS = [("y || m", True), ("y || m || '01'", True), ("y || '-' || m || '-01'", True), ("'01.' || m || '.' || y", True), ("y || m || '.0'", True), ("m || '.' || y", True), ("y || '/' || CAST(CAST(m AS INTEGER) AS VARCHAR)", True), ("'month ' || m", False)]
 
 
-def _literal(value: object) -> str:
-    return "NULL" if value is None else repr(value)
+def _forms(forms: list[tuple[str, bool]], column: int) -> str:
+    return f"CASE o_orderkey % {len(forms)} " + " ".join(f"WHEN {k} THEN {f[column]}" for k, f in enumerate(forms)) + " END"
 
 
-@query("numeric_parse", "SELECT * FROM (VALUES " + ", ".join(f"({t!r}, CAST({_literal(v)} AS DOUBLE))" for t, v in NUMBERS) + ") t(text, value)", chain=False)
+def _sign() -> str:
+    return "CASE WHEN o_orderkey % 8 = 4 THEN -1 ELSE 1 END"
+
+
+@query("numeric_parse", f"SELECT o_orderkey, text, CASE WHEN {_forms(NUMBER_FORMS, 1)} THEN {_sign()} * p END AS value FROM (SELECT o_orderkey, p, {_forms(NUMBER_FORMS, 0)} AS text FROM (SELECT o_orderkey, round(o_totalprice, 2) AS p FROM orders))", chain=False)
 def numeric_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = spark.createDataFrame([(t,) for t, _ in NUMBERS], "text string")
-    return df.select("text", scalars.parse_number(F.col("text"), df.schema["text"].dataType).alias("value"))
+    """Every order's price as a text in one of the forms that sources have, parsed."""
+    price, plain = F.col("o_totalprice"), F.format_string("%.2f", F.col("o_totalprice"))
+    texts = [plain, F.replace(plain, F.lit("."), F.lit(",")), F.translate(F.format_number(price, 2), ",.", ".,"), F.concat(F.lit("  "), plain, F.lit(" ")), F.concat(F.lit("-"), plain), F.lit(""), F.lit("NULL"), F.concat(F.lit("abc"), plain)]
+    df = table_of(spark, sf_dir, "orders").select("o_orderkey", F.element_at(F.array(*texts), (F.col("o_orderkey") % len(texts) + 1).cast("int")).alias("text"))
+    return df.withColumn("value", scalars.parse_number(F.col("text"), df.schema["text"].dataType))
+
+
+def month_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, text) of orders: the month in one of the forms that sources have."""
+    y, m = F.date_format("o_orderdate", "yyyy"), F.date_format("o_orderdate", "MM")
+    texts = [F.concat(y, m), F.concat(y, m, F.lit("01")), F.concat(y, F.lit("-"), m, F.lit("-01")), F.concat(F.lit("01."), m, F.lit("."), y), F.concat(y, m, F.lit(".0")), F.concat(m, F.lit("."), y), F.concat(y, F.lit("/"), F.date_format("o_orderdate", "M")), F.concat(F.lit("month "), m)]
+    return table_of(spark, sf_dir, "orders").select("o_orderkey", F.element_at(F.array(*texts), (F.col("o_orderkey") % len(texts) + 1).cast("int")).alias("text"))
+
+
+_MONTH_TEXTS = f"SELECT o_orderkey, p, {_forms(MONTH_FORMS, 0)} AS text FROM (SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS p, strftime(o_orderdate, '%Y') AS y, strftime(o_orderdate, '%m') AS m FROM orders)"
 
 
-@query("period_parse", "SELECT * FROM (VALUES " + ", ".join(f"({t!r}, CAST({_literal(v)} AS INTEGER))" for t, v in MONTHS) + ") t(text, value)", chain=False)
+@query("period_parse", f"SELECT o_orderkey, text, CASE WHEN {_forms(MONTH_FORMS, 1)} THEN p END AS value FROM ({_MONTH_TEXTS})", chain=False)
 def period_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = spark.createDataFrame([(t,) for t, _ in MONTHS], "text string")
-    return df.select("text", scalars.parse_period(F.col("text"), df.schema["text"].dataType).alias("value"))
+    """Every order's month as a text in one of the forms that sources have, parsed."""
+    df = month_texts(spark, sf_dir)
+    return df.withColumn("value", scalars.parse_period(F.col("text"), df.schema["text"].dataType))
 
 
 # Statistics
@@ -744,18 +764,31 @@ def configured_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found.select("MUSTERINO", F.col("DONEM_AY").cast("int").alias("DONEM_AY"), "SEGMENTAD", F.col("ANOMALI_FLAG").cast("int").alias("ANOMALI_FLAG"), F.col("ANOMALI_SKORU").cast("double").alias("ANOMALI_SKORU")))
 
 
-SCORED_MONTHS = [("last", 202604), ("LATEST", 202604), ("202603", 202603), ("20260315", 202603), ("2026-03", 202603), ("2026/3/1", 202603), ("01.03.2026", 202603), ("03.2026", 202603), ("202603.0", 202603)]
-NAMES = [("müşteri no", "M_TERI_NO"), ("1st", "C_1ST"), ("a--b", "A_B"), ("x", "X"), ("X", "X_2"), ("total$ #", "TOTAL$_#")]
 
 
-@query("scoring_month_parse", "SELECT * FROM (VALUES " + ", ".join(f"({t!r}, {v})" for t, v in SCORED_MONTHS) + ") t(text, month)", chain=False)
+@query("scoring_month_parse", f"SELECT DISTINCT text, p AS month FROM ({_MONTH_TEXTS}) WHERE {_forms(MONTH_FORMS, 1)}", chain=False)
 def scoring_month_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(t, parse_scoring_month(t, [202601, 202604])) for t, _ in SCORED_MONTHS], "text string, month int")
+    """Every form of a month that the orders have, as the month to be scored; there are as many as months times forms."""
+    texts = [r["text"] for r in month_texts(spark, sf_dir).filter("not startswith(text, 'month ')").select("text").distinct().collect()]
+    months = [r[0] for r in order_source(spark, sf_dir).select("month").distinct().collect()]
+    return spark.createDataFrame([(t, parse_scoring_month(t, months)) for t in texts], "text string, month int")
 
 
-@query("identifier_map", "SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in NAMES) + ") t(source, identifier)", chain=False)
+_IDENTIFIER = "'C_' || upper(regexp_replace(regexp_replace(source, '[^A-Za-z0-9_$#]', '_', 'g'), '_+', '_', 'g'))"
+
+
+@query(
+    "identifier_map",
+    f"SELECT source, CASE WHEN length(name) > 30 THEN left(name, 23) || '_' || upper(left(sha1(source), 6)) ELSE name END AS identifier FROM (SELECT source, rtrim({_IDENTIFIER}, '_') AS name FROM "
+    "(SELECT DISTINCT strftime(o_orderdate, '%Y') || ' sum, ' || n_name || CASE WHEN n_nationkey % 2 = 0 THEN ' (' || lower(c_mktsegment) || ')' ELSE '' END AS source FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey))",
+    chain=False,
+)
 def identifier_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame(list(jdbc.identifiers([a for a, _ in NAMES]).items()), "source string, identifier string")
+    """Identifiers of the columns that a pivot of the orders by year, nation and segment has."""
+    orders = table_of(spark, sf_dir, "orders").join(table_of(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table_of(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    segment = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit(" ("), F.lower("c_mktsegment"), F.lit(")"))).otherwise("")
+    names = orders.select(F.concat(F.date_format("o_orderdate", "yyyy"), F.lit(" sum, "), "n_name", segment).alias("source")).distinct()
+    return spark.createDataFrame(list(jdbc.identifiers([r[0] for r in names.orderBy("source").collect()]).items()), "source string, identifier string")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
