@@ -278,7 +278,8 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     mixed = held.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("most"), F.count("*").alias("comps"), F.sum("n").alias("n")).filter("comps > 1").select("key", "most", "n")
     members = keyed.join(mixed, "key").join(nodes.select("node", "sketch"), "node")
     pairs = _bucket_pairs(members)
-    pairs = pairs.join(near, ["u", "v"], "left_anti")
+    # Written, as they are read three times.
+    pairs = written(pairs.join(near, ["u", "v"], "left_anti"), "untried")
     of = grouped.select("node", "comp")
     links = _checked(docs, nodes, pairs).join(of.toDF("u", "a"), "u").join(of.toDF("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
     second = connected_components(links).toDF("comp", "component")
