@@ -221,7 +221,9 @@ def repeats(text: np.ndarray, code: np.ndarray, value: np.ndarray, longest: int,
     """
     beside = longest + STRETCH * width
     keep = longest * (1 + gap) + 2 * beside + periods
-    begins = np.flatnonzero(np.diff(text, prepend=-1)) if len(text) else np.zeros(0, np.int64)
+    if not len(text):
+        return None
+    begins = np.flatnonzero(np.diff(text, prepend=-1))
     ends = np.append(begins[1:], len(text))
     middle = edge = None
     for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
