@@ -173,7 +173,8 @@ def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "cu
         raw["isolation_forest"] = _scored(isolation_score(samples, seed))(F.col("x"))
     if "lof" in wanted:
         rows = checkpointed(rows.withColumn("__row", F.monotonically_increasing_id()))
-        found = outlier_factors(rows.select(F.col("__row").alias("row"), "x"), max(5, int(rules["lof_neighbors"])))
+        # Written, as ranks join the factors back: one that is summed anew can differ in its last digit.
+        found = checkpointed(outlier_factors(rows.select(F.col("__row").alias("row"), "x"), max(5, int(rules["lof_neighbors"]))))
         rows = rows.join(found.toDF("__row", "__factor"), "__row").drop("__row")
         raw["lof"] = F.col("__factor")
     out = rows.withColumns({f"__{m}": c for m, c in raw.items()})

@@ -58,8 +58,6 @@ def ranked(df: DataFrame, keys: Sequence[str], value: Column, large: bool = Fals
     """
     out = df.withColumn("__value", value)
     if large:
-        # Written, as values are joined back: one that is summed anew can differ in its last digit.
-        out = checkpointed(out)
         ranks = value_ranks(out, keys, "__value").toDF(*keys, "__value", "__below", "__same", "__total")
         return join_null_safe(out, ranks, [*keys, "__value"]).drop("__value")
     told = F.col("__value").isNotNull()
