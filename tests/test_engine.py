@@ -265,3 +265,10 @@ def test_months_are_read_from_a_store(spark, scored, tmp_path, monkeypatch):
         prior = values(outputs.with_prior_scores(table, profile, config, new, store), ["customer_id"])
         assert calls == ([] if reused else [200201])
         same(values(outputs.with_prior_scores(table, profile, config, new), ["customer_id"]), prior)
+
+
+def test_peers_months_have_their_keys_as_text(spark):
+    got = __spark_entry__.queries()["peer_monthly_stats"](spark, "/root/testdata/sf0.001")
+    assert dict(got.dtypes)["key"] == "string"
+    assert {r["key"] for r in got.filter("cand = 3").select("key").distinct().collect()} == {"ALL"}
+    assert all(r["key"].startswith('{"k0":"') for r in got.filter("cand < 3").select("key").distinct().collect())
