@@ -272,3 +272,14 @@ def test_peers_months_have_their_keys_as_text(spark):
     assert dict(got.dtypes)["key"] == "string"
     assert {r["key"] for r in got.filter("cand = 3").select("key").distinct().collect()} == {"ALL"}
     assert all(r["key"].startswith('{"k0":"') for r in got.filter("cand < 3").select("key").distinct().collect())
+
+
+def test_a_perturbed_month_takes_the_history_that_is_fitted(spark, scored, monkeypatch):
+    from tidemark.operators import peers, stats
+
+    table, profile, run = scored
+    raised = validation.perturbed(table, MONTH, run.scores.select("customer_id"), 2.0)
+    wanted = values(score_month(raised, profile, CONFIG, MONTH).scores, ["customer_id"])
+    for module, name in ((peers, "history_stats"), (stats, "self_stats")):
+        monkeypatch.setattr(module, name, lambda *a, **k: pytest.fail("history is fitted again"))
+    same(wanted, values(score_month(raised, profile, CONFIG, MONTH, run.past).scores, ["customer_id"]))
