@@ -149,6 +149,7 @@ def isolation_score(samples: Sequence[np.ndarray], seed: int):
 
 def add_challengers(scores: DataFrame, config: Mapping[str, Any], key: str = "customer_id", large: bool = False) -> DataFrame:
     """Scores (0 to 100 by rank) and flags of each method, their mean and a warning; nulls where there are too few rows."""
+    scores = checkpointed(scores)  # each method reads them, and they may be a plan of many columns
     rules = config["challenger_models"]
     names = list(rules.get("feature_columns") or (*CUSTOMER_Z, *PEER_Z))
     reason = None
